@@ -5,6 +5,7 @@ from __future__ import annotations
 from catalog.registry import bookings, bookings_sql, logs, logs_sql, query, table, trips, trips_sql
 from ratewise.operators import filters, findings, profile, roles
 from ratewise.plans import flows
+from ratewise.sources.scratch import stage
 
 NUM = ("distance", "minutes", "load", "surcharge", "visibility")
 CATS = ("weather", "congestion", "shape", "high_season")
@@ -427,19 +428,24 @@ AUDIT_COLUMNS = ("distance", "minutes", "load", "surcharge", "visibility", "weat
                  "origin", "destination", "delayed")
 
 
+def _audit_rows(spark, sf):
+    """The bound rows come from a join, so they are stored before the audit scans them several times."""
+    return findings.audit(stage(trips(spark, sf, *AUDIT_COLUMNS), "audit-input"), AUDIT)
+
+
 @query("audit")
 def _audit(spark, sf):
-    return findings.audit(trips(spark, sf, *AUDIT_COLUMNS), AUDIT)
+    return _audit_rows(spark, sf)
 
 
 @query("audit_report")
 def _audit_report(spark, sf):
-    return findings.audit_report(findings.audit(trips(spark, sf, *AUDIT_COLUMNS), AUDIT))
+    return findings.audit_report(_audit_rows(spark, sf))
 
 
 @query("audit_counts")
 def _audit_counts(spark, sf):
-    return findings.audit_counts(findings.audit(trips(spark, sf, *AUDIT_COLUMNS), AUDIT))
+    return findings.audit_counts(_audit_rows(spark, sf))
 
 
 @query(

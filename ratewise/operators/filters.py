@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratewise.functions.columns import as_column, pair_key, ratio_rate, same_pair
+from ratewise.operators.onepass import OnePass, run
 
 Rule = tuple[str, Column]
 
@@ -69,25 +70,40 @@ def drop_null_rows(df: DataFrame, subset: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(subset))
 
 
-def pair_set_check(df: DataFrame, a: str, b: str, members: Sequence[str]) -> DataFrame:
-    """Rows whose two ends are different members of a set, with their share of all rows."""
+def pair_set_pass(a: str, b: str, members: Sequence[str]) -> OnePass:
     hit = F.col(a).isin(*members) & F.col(b).isin(*members) & (F.col(a) != F.col(b))
-    return df.agg(F.count("*").alias("rows"), F.count_if(hit).alias("hits")).select(
-        "rows", "hits", F.round(F.try_divide(F.col("hits") * 100.0, F.col("rows")), 4).alias("pct")
+    return OnePass(
+        {"rows": F.count("*"), "hits": F.count_if(hit)},
+        lambda flat: flat.select(
+            "rows", "hits", F.round(F.try_divide(F.col("hits") * 100.0, F.col("rows")), 4).alias("pct")
+        ),
     )
 
 
+def pair_set_check(df: DataFrame, a: str, b: str, members: Sequence[str]) -> DataFrame:
+    """Rows whose two ends are different members of a set, with their share of all rows."""
+    return run(df, pair_set_pass(a, b, members))
+
+
+def self_pair_pass(a: str, b: str) -> OnePass:
+    return OnePass({"rows": F.count("*"), "hits": F.count_if(F.col(a) == F.col(b))}, lambda flat: flat)
+
+
 def self_pair_check(df: DataFrame, a: str, b: str) -> DataFrame:
-    return df.agg(F.count("*").alias("rows"), F.count_if(F.col(a) == F.col(b)).alias("hits"))
+    return run(df, self_pair_pass(a, b))
 
 
-def rate_band_check(df: DataFrame, amount: str, minutes: str, slow: float = 150.0, fast: float = 950.0) -> DataFrame:
+def rate_band_pass(amount: str, minutes: str, slow: float = 150.0, fast: float = 950.0) -> OnePass:
     rate = ratio_rate(amount, minutes, on_zero="inf")
-    return df.agg(
-        F.count_if(rate < slow).alias("too_slow"), F.count_if((rate > fast) & ~F.isnan(rate)).alias("too_fast")
+    return OnePass(
+        {"too_slow": F.count_if(rate < slow), "too_fast": F.count_if((rate > fast) & ~F.isnan(rate))}, lambda flat: flat
     )
 
 
+def rate_band_check(df: DataFrame, amount: str, minutes: str, slow: float = 150.0, fast: float = 950.0) -> DataFrame:
+    return run(df, rate_band_pass(amount, minutes, slow, fast))
+
+
 def slow_routes(df: DataFrame, a: str, b: str, amount: str, minutes: str, slow: float = 150.0) -> DataFrame:
     """Ordered pairs that contain rows below the slow limit."""
     return (
@@ -99,14 +115,18 @@ def slow_routes(df: DataFrame, a: str, b: str, amount: str, minutes: str, slow:
     )
 
 
-def domain_range_check(df: DataFrame, c: str, lo: float = 0.0, hi: float = 100.0) -> DataFrame:
-    """Counts above the upper limit, below the lower limit and exactly at the lower limit."""
+def domain_range_pass(c: str, lo: float = 0.0, hi: float = 100.0) -> OnePass:
     x = F.col(c)
-    return df.agg(
-        F.count_if(x > hi).alias("above"), F.count_if(x < lo).alias("below"), F.count_if(x == lo).alias("at_lower")
+    return OnePass(
+        {"above": F.count_if(x > hi), "below": F.count_if(x < lo), "at_lower": F.count_if(x == lo)}, lambda flat: flat
     )
 
 
+def domain_range_check(df: DataFrame, c: str, lo: float = 0.0, hi: float = 100.0) -> DataFrame:
+    """Counts above the upper limit, below the lower limit and exactly at the lower limit."""
+    return run(df, domain_range_pass(c, lo, hi))
+
+
 def top_members(df: DataFrame, key: str, n: int) -> DataFrame:
     """The n most frequent values of a key (ties: smaller key first)."""
     return (

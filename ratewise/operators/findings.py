@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratewise.operators import filters, profile, rates, relations
+from ratewise.operators.onepass import OnePass, run_together
+from ratewise.operators.reshape import value_counts
 from ratewise.operators.roles import classify_columns, has_columns
+from ratewise.sources.scratch import stage
+
+Shared = dict[str, DataFrame]
 
 INFO, FINDING, ANOMALY, CRITICAL = "INFO", "FINDING", "ANOMALY", "CRITICAL"
 SEVERITY = (CRITICAL, ANOMALY, FINDING, INFO)
@@ -59,13 +65,13 @@ class AuditRoles:
     impossible_pair: tuple[str, str] | None = None
 
 
-def overview_findings(df: DataFrame, roles: AuditRoles) -> list[DataFrame]:
+def overview_findings(df: DataFrame, roles: AuditRoles, shared: Shared | None = None) -> list[DataFrame]:
     section = "overview"
-    nulls = profile.null_report(df)
+    shared = shared or run_together(df, {"cells": profile.table_nulls_pass(df), "nulls": profile.null_report_pass(df)})
     out = [
-        finding(profile.table_nulls(df), section, "*", F.when(F.col("null_cells") > 0, ANOMALY).otherwise(INFO), "null_cells",
+        finding(shared["cells"], section, "*", F.when(F.col("null_cells") > 0, ANOMALY).otherwise(INFO), "null_cells",
                 F.col("null_cells"), 0.0, _text("%d null cells", "null_cells")),
-        finding(nulls, section, F.col("column"), INFO, "null_column", F.col("nulls"), 0.0,
+        finding(shared["nulls"], section, F.col("column"), INFO, "null_column", F.col("nulls"), 0.0,
                 _text("%s: %d nulls (%.1f%%)", "column", "nulls", "null_pct"), F.col("nulls") > 0),
         _duplicates(profile.duplicate_count(df), section, "duplicate_rows"),
     ]
@@ -83,13 +89,10 @@ def _duplicates(table: DataFrame, section: str, rule: str) -> DataFrame:
     return finding(table, section, "*", level, rule, F.col("duplicates"), 0.0, _text("%d duplicate rows", "duplicates"))
 
 
-def numeric_findings(df: DataFrame, cols: list[str], **quantile_options) -> list[DataFrame]:
-    if not cols:
-        return []
+def numeric_findings(df: DataFrame, cols: list[str], shared: Shared, **quantile_options) -> list[DataFrame]:
     section, name = "numeric", F.col("column")
-    shape = profile.shape_flags(df, cols)
+    shape, signs = shared["shape"], shared["signs"]
     outliers = profile.iqr_outliers(df, cols, pct_base="non_null", **quantile_options)
-    signs = profile.zero_negative_counts(df, cols)
     top = profile.dominant_value(df, cols)
     return [
         finding(shape, section, name, F.when(F.col("skew_level") == "high", FINDING).otherwise(INFO), "skewness",
@@ -107,10 +110,11 @@ def numeric_findings(df: DataFrame, cols: list[str], **quantile_options) -> list
 
 
 def categorical_findings(df: DataFrame, cols: list[str], target: str | None) -> list[DataFrame]:
-    if not cols:
-        return []
+    """All categorical rules from one (column, value) table."""
     section, name = "categorical", F.col("column")
-    summary = profile.category_summary(df, cols)
+    with_target = target is not None and target in df.columns and target not in cols
+    cells = stage(rates.rate_cells(df, cols, target) if with_target else value_counts(df, cols), "category-cells")
+    summary = profile.category_summary_of(cells)
     out = [
         finding(summary, section, name, FINDING, "high_cardinality", F.col("categories"), 30.0,
                 _text("%d categories", "categories"), F.col("high_cardinality")),
@@ -119,9 +123,8 @@ def categorical_findings(df: DataFrame, cols: list[str], target: str | None) ->
         finding(summary, section, name, FINDING, "rare_categories", F.col("rare_categories"), 1.0,
                 _text("%d categories below 1%%", "rare_categories"), F.col("rare_categories") > 0),
     ]
-    others = [c for c in cols if c != target]
-    if target and others:
-        spread = rates.rate_spread_by_category(df, others, target)
+    if with_target:
+        spread = rates.rate_spread_of(cells)
         out.append(
             finding(spread, section, name, F.when(F.col("important"), FINDING).otherwise(INFO), "rate_spread",
                     F.col("spread_pp"), 15.0, _text("rate from %.1f%% to %.1f%% (%.1f pp)", "min_rate", "max_rate", "spread_pp"))
@@ -129,28 +132,25 @@ def categorical_findings(df: DataFrame, cols: list[str], target: str | None) ->
     return out
 
 
-def coherence_findings(df: DataFrame, roles: AuditRoles) -> list[DataFrame]:
+def coherence_findings(df: DataFrame, roles: AuditRoles, shared: Shared) -> list[DataFrame]:
     section, out = "coherence", []
     o, d = roles.origin, roles.destination
-    if o and d and has_columns(df, o, d):
-        if roles.impossible_pair:
-            check = filters.pair_set_check(df, o, d, roles.impossible_pair)
-            out.append(finding(check, section, f"{o},{d}", CRITICAL, "impossible_route", F.col("hits"), 0.0,
-                               _text("%d rows (%.1f%%) on a route that does not exist", "hits", "pct"), F.col("hits") > 0))
-        out.append(finding(filters.self_pair_check(df, o, d), section, f"{o},{d}",
+    if "impossible" in shared:
+        out.append(finding(shared["impossible"], section, f"{o},{d}", CRITICAL, "impossible_route", F.col("hits"), 0.0,
+                           _text("%d rows (%.1f%%) on a route that does not exist", "hits", "pct"), F.col("hits") > 0))
+    if "same_ends" in shared:
+        out.append(finding(shared["same_ends"], section, f"{o},{d}",
                            F.when(F.col("hits") > 0, ANOMALY).otherwise(INFO), "same_ends", F.col("hits"), 0.0,
                            _text("%d rows with equal ends", "hits")))
         one_way = rates.pair_totals(df, o, d).agg(F.count_if(F.col("directions") == 1).alias("one_way"))
         out.append(finding(one_way, section, f"{o},{d}", F.when(F.col("one_way") > 0, FINDING).otherwise(INFO), "one_way_routes",
                            F.col("one_way"), 0.0, _text("%d routes run in one direction only", "one_way")))
-    if roles.distance and roles.minutes and has_columns(df, roles.distance, roles.minutes):
-        pair = f"{roles.distance},{roles.minutes}"
-        band = filters.rate_band_check(df, roles.distance, roles.minutes)
+    if "band" in shared:
+        pair, band, r = f"{roles.distance},{roles.minutes}", shared["band"], shared["distance_time"]
         out.append(finding(band, section, pair, FINDING, "rate_too_low", F.col("too_slow"), 150.0,
                            _text("%d rows below 150 per hour", "too_slow"), F.col("too_slow") > 0))
         out.append(finding(band, section, pair, F.when(F.col("too_fast") > 0, ANOMALY).otherwise(INFO), "rate_too_high",
                            F.col("too_fast"), 950.0, _text("%d rows above 950 per hour", "too_fast")))
-        r = relations.row_correlation(df, roles.distance, roles.minutes)
         out.append(finding(r, section, pair, INFO, "distance_time_correlation", F.col("r"), None, _text("correlation %.4f", "r")))
         out.append(finding(r, section, pair, ANOMALY, "distance_time_low", F.col("r"), 0.90,
                            _text("correlation %.4f below the expected 0.90", "r"), F.col("r") < 0.90))
@@ -158,10 +158,9 @@ def coherence_findings(df: DataFrame, roles: AuditRoles) -> list[DataFrame]:
             spread = rates.type_mean_spread(df, roles.kind, roles.distance, roles.minutes)
             out.append(finding(spread, section, roles.kind, FINDING, "type_mean_spread", F.col("spread"), 30.0,
                                _text("type means differ by only %.1f", "spread"), F.col("almost_equal")))
-    if roles.load and has_columns(df, roles.load):
-        check = filters.domain_range_check(df, roles.load)
+    if "load" in shared:
         for rule, c, level in (("above_100", "above", ANOMALY), ("below_0", "below", ANOMALY), ("exactly_0", "at_lower", FINDING)):
-            out.append(finding(check, section, roles.load, level, rule, F.col(c), 0.0, _text("%d rows", c), F.col(c) > 0))
+            out.append(finding(shared["load"], section, roles.load, level, rule, F.col(c), 0.0, _text("%d rows", c), F.col(c) > 0))
     return out
 
 
@@ -176,35 +175,58 @@ def target_findings(df: DataFrame, target: str | None) -> list[DataFrame]:
     return [finding(balance, "target", target, level, "class_balance", F.col("ratio"), 0.5, _text("%s balance, ratio %.2f", "grade", "ratio"))]
 
 
-def correlation_findings(df: DataFrame, cols: list[str], target: str | None) -> list[DataFrame]:
-    section = "correlation"
-    others = [c for c in cols if c != target]
-    out = []
-    if target and others:
-        ranking = relations.target_correlation_ranking(df, others, target)
-        out.append(finding(ranking, section, F.col("column"), FINDING, "drop_candidate", F.col("r"), 0.05,
+def correlation_findings(shared: Shared) -> list[DataFrame]:
+    section, out = "correlation", []
+    if "ranking" in shared:
+        out.append(finding(shared["ranking"], section, F.col("column"), FINDING, "drop_candidate", F.col("r"), 0.05,
                            _text("correlation %.4f, candidate to drop", "r"), F.col("drop_candidate")))
-    pairs = relations.correlation_pairs(df, cols)
-    high = F.abs("r") > 0.7
-    out.append(finding(pairs, section, F.concat_ws(",", "x", "y"), FINDING, "collinear", F.col("r"), 0.7,
-                       _text("correlation %.4f, possibly redundant", "r"), high))
-    none = pairs.agg(F.count_if(high).alias("n"))
-    out.append(finding(none, section, "*", INFO, "no_collinearity", F.col("n"), 0.7, F.lit("no pair above 0.7"), F.col("n") == 0))
+    if "pairs" in shared:
+        high = F.abs("r") > 0.7
+        out.append(finding(shared["pairs"], section, F.concat_ws(",", "x", "y"), FINDING, "collinear", F.col("r"), 0.7,
+                           _text("correlation %.4f, possibly redundant", "r"), high))
+        none = shared["pairs"].agg(F.count_if(high).alias("n"))
+        out.append(finding(none, section, "*", INFO, "no_collinearity", F.col("n"), 0.7, F.lit("no pair above 0.7"), F.col("n") == 0))
     return out
 
 
+def _shared_checks(df: DataFrame, roles: AuditRoles, numeric: list[str]) -> dict[str, OnePass]:
+    """Every check that is a plain aggregate over the whole table."""
+    checks = {"cells": profile.table_nulls_pass(df), "nulls": profile.null_report_pass(df)}
+    if numeric:
+        checks["shape"], checks["signs"] = profile.shape_flags_pass(numeric), profile.zero_negative_pass(numeric)
+    o, d = roles.origin, roles.destination
+    if o and d and has_columns(df, o, d):
+        checks["same_ends"] = filters.self_pair_pass(o, d)
+        if roles.impossible_pair:
+            checks["impossible"] = filters.pair_set_pass(o, d, roles.impossible_pair)
+    if roles.distance and roles.minutes and has_columns(df, roles.distance, roles.minutes):
+        checks["band"] = filters.rate_band_pass(roles.distance, roles.minutes)
+        checks["distance_time"] = relations.row_correlation_pass(roles.distance, roles.minutes)
+    if roles.load and has_columns(df, roles.load):
+        checks["load"] = filters.domain_range_pass(roles.load)
+    others = [c for c in numeric if c != roles.target]
+    if roles.target in df.columns and others:
+        checks["ranking"] = relations.target_ranking_pass(others, roles.target)
+    pairs = list(combinations(numeric, 2))
+    if pairs and len(pairs) <= relations.PAIRS_PER_PASS:
+        checks["pairs"] = relations.correlation_pass(pairs)
+    return checks
+
+
 def audit(df: DataFrame, roles: AuditRoles, **quantile_options) -> DataFrame:
-    """Every check as rows of one findings frame. Each check reads only its columns and reduces the table
-    to a few rows before rules apply; checks over the same aggregate share its exchange."""
+    """Every check as rows of one findings frame. The plain aggregates share one scan and the categorical
+    rules one value table; what is left (duplicates, quantiles, routes, types) scans its own columns only.
+    Give a stored table: an input that is itself a join would be joined again by each scan."""
     numeric, categorical, _ = classify_columns(df, [roles.id] if roles.id else [])
-    parts = (
-        overview_findings(df, roles)
-        + numeric_findings(df, numeric, **quantile_options)
-        + categorical_findings(df, categorical, roles.target)
-        + coherence_findings(df, roles)
-        + target_findings(df, roles.target)
-        + correlation_findings(df, numeric, roles.target)
-    )
+    shared = run_together(df, _shared_checks(df, roles, numeric))
+    if "pairs" not in shared and len(numeric) > 1:
+        shared["pairs"] = stage(relations.correlation_pairs(df, numeric), "correlations")
+    parts = overview_findings(df, roles, shared)
+    if numeric:
+        parts += numeric_findings(df, numeric, shared, **quantile_options)
+    if categorical:
+        parts += categorical_findings(df, categorical, roles.target)
+    parts += coherence_findings(df, roles, shared) + target_findings(df, roles.target) + correlation_findings(shared)
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -8,12 +8,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratewise.functions.stats import sample_kurtosis, sample_skewness
+from ratewise.operators.onepass import OnePass, run
 from ratewise.operators.quantiles import quantile_row
 from ratewise.operators.reshape import melt_numeric, rows_of, value_counts
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
+def tidy(x, digits: int):
+    """Half-up rounding after cutting off the float noise of sums and interpolation, so that a value that
+    lies on a rounding tie in decimal falls to the same side however it was computed."""
+    return F.round(F.round(x, 9), digits)
+
+
 def _pct(part, whole):
     return F.try_divide(part * 100.0, whole)
 
@@ -42,33 +49,43 @@ def describe_schema(df: DataFrame, approximate: bool = False) -> DataFrame:
     )
 
 
-def table_nulls(df: DataFrame) -> DataFrame:
-    """Rows, columns, null cells and their share of all cells."""
+def table_nulls_pass(df: DataFrame) -> OnePass:
     width = len(df.columns)
     nulls = sum((F.col(f"`{c}`").isNull().cast("long") for c in df.columns), F.lit(0).cast("long"))
-    return df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(nulls), F.lit(0)).cast("long").alias("null_cells")).select(
-        "rows",
-        F.lit(width).cast("long").alias("columns"),
-        "null_cells",
-        F.round(_pct(F.col("null_cells"), F.col("rows") * width), 2).alias("null_pct"),
+    return OnePass(
+        {"rows": F.count("*"), "null_cells": F.coalesce(F.sum(nulls), F.lit(0)).cast("long")},
+        lambda flat: flat.select(
+            "rows",
+            F.lit(width).cast("long").alias("columns"),
+            "null_cells",
+            F.round(_pct(F.col("null_cells"), F.col("rows") * width), 2).alias("null_pct"),
+        ),
     )
 
 
-def null_report(df: DataFrame) -> DataFrame:
-    flat = df.agg(
-        F.count("*").alias("rows"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)]
+def table_nulls(df: DataFrame) -> DataFrame:
+    """Rows, columns, null cells and their share of all cells."""
+    return run(df, table_nulls_pass(df))
+
+
+def null_report_pass(df: DataFrame) -> OnePass:
+    counts = {f"n{i}": F.count_if(F.col(f"`{c}`").isNull()) for i, c in enumerate(df.columns)}
+    lines = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.col(f"n{i}").alias("nulls"),
+            F.round(_pct(F.col(f"n{i}"), F.col("rows")), 2).alias("null_pct"),
+        )
+        for i, c in enumerate(df.columns)
+    ]
+    return OnePass(
+        {"rows": F.count("*"), **counts}, lambda flat: rows_of(flat, lines).orderBy(F.col("nulls").desc(), "column")
     )
-    return rows_of(
-        flat,
-        [
-            F.struct(
-                F.lit(c).alias("column"),
-                F.col(f"n{i}").alias("nulls"),
-                F.round(_pct(F.col(f"n{i}"), F.col("rows")), 2).alias("null_pct"),
-            )
-            for i, c in enumerate(df.columns)
-        ],
-    ).orderBy(F.col("nulls").desc(), "column")
+
+
+def null_report(df: DataFrame) -> DataFrame:
+    """Nulls per column with their share, most first."""
+    return run(df, null_report_pass(df))
 
 
 def duplicate_count(df: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
@@ -108,40 +125,42 @@ def numeric_summary(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
         .groupBy(*keys)
         .agg(
             F.count("value").alias("count"),
-            F.round(F.avg("value"), digits).alias("mean"),
-            F.round(F.stddev_samp("value"), digits).alias("std"),
-            F.round(F.min("value"), digits).alias("min"),
-            F.round(F.max("value"), digits).alias("max"),
+            tidy(F.avg("value"), digits).alias("mean"),
+            tidy(F.stddev_samp("value"), digits).alias("std"),
+            tidy(F.min("value"), digits).alias("min"),
+            tidy(F.max("value"), digits).alias("max"),
         )
     )
     quartiles = quantile_row(df, cols, QUARTILES, by, **options)
-    rounded = [F.round(q, digits).alias(q) for q in QUARTILES]
+    rounded = [tidy(q, digits).alias(q) for q in QUARTILES]
     return basic.join(quartiles.select(*keys, *rounded), keys)
 
 
-def shape_flags(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Corrected skewness and excess kurtosis per column with their levels."""
-    flat = df.agg(
-        *[sample_skewness(c).alias(f"s{i}") for i, c in enumerate(cols)],
-        *[sample_kurtosis(c).alias(f"k{i}") for i, c in enumerate(cols)],
-    )
-    long = rows_of(
-        flat,
-        [
-            F.struct(F.lit(c).alias("column"), F.col(f"s{i}").alias("skewness"), F.col(f"k{i}").alias("kurtosis"))
-            for i, c in enumerate(cols)
-        ],
-    )
+def shape_flags_pass(cols: Sequence[str]) -> OnePass:
+    moments = {f"s{i}": sample_skewness(F.col(f"`{c}`")) for i, c in enumerate(cols)}
+    moments |= {f"k{i}": sample_kurtosis(F.col(f"`{c}`")) for i, c in enumerate(cols)}
+    lines = [
+        F.struct(F.lit(c).alias("column"), F.col(f"s{i}").alias("skewness"), F.col(f"k{i}").alias("kurtosis"))
+        for i, c in enumerate(cols)
+    ]
     s, k = F.abs("skewness"), F.abs("kurtosis")
-    return long.select(
-        "column",
-        F.round("skewness", 6).alias("skewness"),
-        F.when(s > 2, "high").when(s > 1, "moderate").otherwise("low").alias("skew_level"),
-        F.round("kurtosis", 6).alias("kurtosis"),
-        F.when(k > 7, True).otherwise(False).alias("heavy_tails"),
+    return OnePass(
+        moments,
+        lambda flat: rows_of(flat, lines).select(
+            "column",
+            F.round("skewness", 6).alias("skewness"),
+            F.when(s > 2, "high").when(s > 1, "moderate").otherwise("low").alias("skew_level"),
+            F.round("kurtosis", 6).alias("kurtosis"),
+            F.coalesce(k > 7, F.lit(False)).alias("heavy_tails"),
+        ),
     )
 
 
+def shape_flags(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Corrected skewness and excess kurtosis per column with their levels."""
+    return run(df, shape_flags_pass(cols))
+
+
 def skewness_flag(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return shape_flags(df, cols).select("column", "skewness", "skew_level")
 
@@ -218,18 +237,18 @@ def outlier_columns_count(df: DataFrame, cols: Sequence[str], **options) -> Data
     )
 
 
+def zero_negative_pass(cols: Sequence[str]) -> OnePass:
+    counts = {f"z{i}": F.count_if(F.col(f"`{c}`") == 0) for i, c in enumerate(cols)}
+    counts |= {f"n{i}": F.count_if(F.col(f"`{c}`") < 0) for i, c in enumerate(cols)}
+    lines = [
+        F.struct(F.lit(c).alias("column"), F.col(f"z{i}").alias("zeros"), F.col(f"n{i}").alias("negatives"))
+        for i, c in enumerate(cols)
+    ]
+    return OnePass(counts, lambda flat: rows_of(flat, lines))
+
+
 def zero_negative_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    flat = df.agg(
-        *[F.count_if(F.col(f"`{c}`") == 0).alias(f"z{i}") for i, c in enumerate(cols)],
-        *[F.count_if(F.col(f"`{c}`") < 0).alias(f"n{i}") for i, c in enumerate(cols)],
-    )
-    return rows_of(
-        flat,
-        [
-            F.struct(F.lit(c).alias("column"), F.col(f"z{i}").alias("zeros"), F.col(f"n{i}").alias("negatives"))
-            for i, c in enumerate(cols)
-        ],
-    )
+    return run(df, zero_negative_pass(cols))
 
 
 def dominant_value(df: DataFrame, cols: Sequence[str], share: float = 0.25) -> DataFrame:
@@ -298,8 +317,12 @@ def category_summary(
     df: DataFrame, cols: Sequence[str], many: int = 30, dominant: float = 0.80, rare: float = 0.01
 ) -> DataFrame:
     """Per categorical column: number of categories, most frequent one and its share, and how many
-    categories lie below the rare share. Works on the (column, value) counts only."""
-    counts = value_counts(df, cols)
+    categories lie below the rare share."""
+    return category_summary_of(value_counts(df, cols), many, dominant, rare)
+
+
+def category_summary_of(counts: DataFrame, many: int = 30, dominant: float = 0.80, rare: float = 0.01) -> DataFrame:
+    """The same from given (column, value, rows) counts."""
     totals = counts.groupBy("column").agg(F.sum("rows").alias("present"))
     share = F.col("rows") / F.col("present")
     return (

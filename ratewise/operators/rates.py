@@ -28,18 +28,27 @@ def rate_by_category(df: DataFrame, category: str, y: str, digits: int = 2) -> D
 
 def rate_by_category_all(df: DataFrame, cols: Sequence[str], y: str, max_categories: int = 20) -> DataFrame:
     """Rate of every category of every column that has at most ``max_categories`` of them."""
-    counts = value_counts(df, cols, [F.sum(y).alias("positives"), F.count(y).alias("known")], keep=[y])
+    counts = rate_cells(df, cols, y)
     narrow = counts.groupBy("column").agg(F.count("*").alias("n")).filter(F.col("n") <= max_categories).select("column")
     return counts.join(narrow, "column", "left_semi").select(
         "column", "value", "rows", F.round(F.try_divide(F.col("positives") * 100.0, F.col("known")), 4).alias("rate_pct")
     )
 
 
+def rate_cells(df: DataFrame, cols: Sequence[str], y: str) -> DataFrame:
+    """(column, value, rows, positives, known) for every category of every column."""
+    return value_counts(df, cols, [F.sum(y).alias("positives"), F.count(y).alias("known")], keep=[y])
+
+
 def rate_spread_by_category(df: DataFrame, cols: Sequence[str], y: str, limit: float = 15.0) -> DataFrame:
     """Lowest and highest category rate per column, their distance, and whether it passes the limit."""
-    counts = value_counts(df, cols, [F.sum(y).alias("positives"), F.count(y).alias("known")], keep=[y])
+    return rate_spread_of(rate_cells(df, cols, y), limit)
+
+
+def rate_spread_of(cells: DataFrame, limit: float = 15.0) -> DataFrame:
+    """The same from given category cells."""
     rate = F.try_divide(F.col("positives") * 100.0, F.col("known"))
-    spread = counts.groupBy("column").agg(F.min(rate).alias("lo"), F.max(rate).alias("hi"))
+    spread = cells.groupBy("column").agg(F.min(rate).alias("lo"), F.max(rate).alias("hi"))
     return spread.select(
         "column",
         F.round("lo", 4).alias("min_rate"),

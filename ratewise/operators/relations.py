@@ -3,19 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratewise.functions.stats import pearson, rate_pct
+from ratewise.operators.onepass import OnePass, run
 from ratewise.operators.reshape import rows_of
 
 PAIRS_PER_PASS = 400
 
 
+def row_correlation_pass(x: str, y: str, digits: int = 6) -> OnePass:
+    return OnePass({"r": F.round(pearson(x, y), digits)}, lambda flat: flat)
+
+
 def row_correlation(df: DataFrame, x: str, y: str, digits: int = 6) -> DataFrame:
-    return df.agg(F.round(pearson(x, y), digits).alias("r"))
+    return run(df, row_correlation_pass(x, y, digits))
 
 
 def group_correlation(table: DataFrame, x: str, y: str, digits: int = 6) -> DataFrame:
@@ -23,25 +29,25 @@ def group_correlation(table: DataFrame, x: str, y: str, digits: int = 6) -> Data
     return table.agg(F.round(pearson(x, y), digits).alias("r"))
 
 
+def correlation_pass(pairs: Sequence[tuple[str, str]], digits: int = 6) -> OnePass:
+    lines = [
+        F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.round(F.col(f"r{i}"), digits).alias("r"))
+        for i, (a, b) in enumerate(pairs)
+    ]
+    return OnePass(
+        {f"r{i}": pearson(F.col(f"`{a}`"), F.col(f"`{b}`")) for i, (a, b) in enumerate(pairs)},
+        lambda flat: rows_of(flat, lines),
+    )
+
+
 def correlation_pairs(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
     """(x, y, r) for every unordered pair, each over its own complete rows. One aggregate per block of
     pairs: covariances and deviations are algebraic, so only one row per task is shuffled."""
     pairs = list(combinations(cols, 2))
     if not pairs:
         return df.sparkSession.createDataFrame([], "x string, y string, r double")
-    out = None
-    for start in range(0, len(pairs), PAIRS_PER_PASS):
-        block = pairs[start : start + PAIRS_PER_PASS]
-        flat = df.agg(*[pearson(F.col(f"`{a}`"), F.col(f"`{b}`")).alias(f"r{i}") for i, (a, b) in enumerate(block)])
-        part = rows_of(
-            flat,
-            [
-                F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.round(F.col(f"r{i}"), digits).alias("r"))
-                for i, (a, b) in enumerate(block)
-            ],
-        )
-        out = part if out is None else out.unionByName(part)
-    return out
+    blocks = [pairs[i : i + PAIRS_PER_PASS] for i in range(0, len(pairs), PAIRS_PER_PASS)]
+    return reduce(DataFrame.unionByName, [run(df, correlation_pass(block, digits)) for block in blocks])
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
@@ -53,17 +59,25 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int = 6) -> D
     return mirrored.unionByName(diagonal)
 
 
+def target_ranking_pass(cols: Sequence[str], y: str, digits: int = 6) -> OnePass:
+    lines = [F.struct(F.lit(c).alias("column"), F.col(f"r{i}").alias("r")) for i, c in enumerate(cols)]
+    size = F.abs("r")
+    return OnePass(
+        {f"r{i}": pearson(F.col(f"`{c}`"), y) for i, c in enumerate(cols)},
+        lambda flat: rows_of(flat, lines)
+        .select(
+            "column",
+            F.round("r", digits).alias("r"),
+            F.when(size > 0.3, "strong").when(size > 0.1, "weak").otherwise("none").alias("strength"),
+            F.coalesce(size < 0.05, F.lit(False)).alias("drop_candidate"),
+        )
+        .orderBy(F.abs("r").desc_nulls_last(), "column"),
+    )
+
+
 def target_correlation_ranking(df: DataFrame, cols: Sequence[str], y: str, digits: int = 6) -> DataFrame:
     """Correlation of every column with the outcome, strongest first, with strength and drop advice."""
-    flat = df.agg(*[pearson(F.col(f"`{c}`"), y).alias(f"r{i}") for i, c in enumerate(cols)])
-    long = rows_of(flat, [F.struct(F.lit(c).alias("column"), F.col(f"r{i}").alias("r")) for i, c in enumerate(cols)])
-    size = F.abs("r")
-    return long.select(
-        "column",
-        F.round("r", digits).alias("r"),
-        F.when(size > 0.3, "strong").when(size > 0.1, "weak").otherwise("none").alias("strength"),
-        F.coalesce(size < 0.05, F.lit(False)).alias("drop_candidate"),
-    ).orderBy(F.abs("r").desc_nulls_last(), "column")
+    return run(df, target_ranking_pass(cols, y, digits))
 
 
 def collinear_pairs(df: DataFrame, cols: Sequence[str], limit: float = 0.7) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -161,7 +162,7 @@ def tree_grid_search(
     leaf_minimums: Sequence[int] = LEAF_MINIMUMS,
     split_minimums: Sequence[int] = SPLIT_MINIMUMS,
     max_bins: int = 256,
-    parallelism: int = 4,
+    parallelism: int = 8,
     digits: int = 9,
 ) -> DataFrame:
     """Cross-validated accuracy of every setting; ``data`` has columns fold, y and features.
@@ -171,19 +172,21 @@ def tree_grid_search(
     folds = [r[0] for r in rows.select("fold").distinct().orderBy("fold").collect()]  # a handful
     deepest = None if None in depths else max(d for d in depths if d is not None)
     growths = [(c, leaf) for c in criteria for leaf in leaf_minimums]
-    scored = None
-    for fold in folds:
-        train = rows.filter(F.col("fold") != fold).cache()
+    settings = [(fold, *growth) for fold in folds for growth in growths]
 
-        def grow(setting: tuple[str, int], train: DataFrame = train) -> NodeTable:
-            return node_table(tree_fit(train, TreeParams(setting[0], deepest, setting[1]), max_bins), spark)
+    def grow(setting: tuple) -> NodeTable:
+        fold, criterion, leaf = setting
+        train = rows.filter(F.col("fold") != fold)
+        return node_table(tree_fit(train, TreeParams(criterion, deepest, leaf), max_bins), spark)
 
-        with ThreadPoolExecutor(parallelism) as pool:
-            tables = dict(zip(growths, pool.map(grow, growths)))
+    with ThreadPoolExecutor(parallelism) as pool:
+        grown = dict(zip(settings, pool.map(grow, settings)))
+    parts = []
+    for fold in folds:
+        tables = {growth: grown[(fold, *growth)] for growth in growths}
         held = rows.filter(F.col("fold") == fold).select("y", vector_to_array("features").alias("x"))
-        part = stage(_score_cuts(held, tables, list(depths), list(split_minimums)).withColumn("fold", F.lit(fold)), "grid-fold")
-        scored = part if scored is None else scored.unionByName(part)
-        train.unpersist()
+        parts.append(_score_cuts(held, tables, list(depths), list(split_minimums)).withColumn("fold", F.lit(fold)))
+    scored = reduce(DataFrame.unionByName, parts)
     table = (
         scored.withColumn("accuracy", F.col("hits") / F.col("n"))
         .groupBy("criterion", "depth", "leaf", "split")
