@@ -128,12 +128,12 @@ def _numeric_summary_by_group(spark, sf):
 
 
 @query(
-    "numeric_summary_bracketed",
+    "numeric_summary_narrowed",
     f'WITH t AS ({trips_sql("distance", "visibility")}), u AS ({_long(("distance", "visibility"))}) SELECT "column", {_SUMMARY} FROM u GROUP BY "column"',
 )
-def _numeric_summary_bracketed(spark, sf):
+def _numeric_summary_narrowed(spark, sf):
     cols = ("distance", "visibility")
-    return profile.numeric_summary(trips(spark, sf, *cols), cols, method="bracket", accuracy=5000)
+    return profile.numeric_summary(trips(spark, sf, *cols), cols, limit=50)
 
 
 _SHAPE = f"""WITH t AS ({logs_sql("load", "load_known")}), u AS ({_long(("load", "load_known"))}),

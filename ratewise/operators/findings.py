@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -204,12 +203,6 @@ def _shared_checks(df: DataFrame, roles: AuditRoles, numeric: list[str]) -> dict
         checks["distance_time"] = relations.row_correlation_pass(roles.distance, roles.minutes)
     if roles.load and has_columns(df, roles.load):
         checks["load"] = filters.domain_range_pass(roles.load)
-    others = [c for c in numeric if c != roles.target]
-    if roles.target in df.columns and others:
-        checks["ranking"] = relations.target_ranking_pass(others, roles.target)
-    pairs = list(combinations(numeric, 2))
-    if pairs and len(pairs) <= relations.PAIRS_PER_PASS:
-        checks["pairs"] = relations.correlation_pass(pairs)
     return checks
 
 
@@ -219,8 +212,10 @@ def audit(df: DataFrame, roles: AuditRoles, **quantile_options) -> DataFrame:
     Give a stored table: an input that is itself a join would be joined again by each scan."""
     numeric, categorical, _ = classify_columns(df, [roles.id] if roles.id else [])
     shared = run_together(df, _shared_checks(df, roles, numeric))
-    if "pairs" not in shared and len(numeric) > 1:
+    if len(numeric) > 1:
         shared["pairs"] = stage(relations.correlation_pairs(df, numeric), "correlations")
+        if roles.target in numeric:
+            shared["ranking"] = relations.target_ranking_of(shared["pairs"], roles.target)
     parts = overview_findings(df, roles, shared)
     if numeric:
         parts += numeric_findings(df, numeric, shared, **quantile_options)

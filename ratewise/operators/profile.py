@@ -118,22 +118,18 @@ def id_uniqueness(df: DataFrame, id_column: str) -> DataFrame:
 
 
 def numeric_summary(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), digits: int = 2, **options) -> DataFrame:
-    """count, mean, std, min, quartiles and max per column, optionally per group."""
-    keys = [*by, "column"]
-    basic = (
-        melt_numeric(df, cols, by)
-        .groupBy(*keys)
-        .agg(
-            F.count("value").alias("count"),
-            tidy(F.avg("value"), digits).alias("mean"),
-            tidy(F.stddev_samp("value"), digits).alias("std"),
-            tidy(F.min("value"), digits).alias("min"),
-            tidy(F.max("value"), digits).alias("max"),
-        )
-    )
-    quartiles = quantile_row(df, cols, QUARTILES, by, **options)
-    rounded = [tidy(q, digits).alias(q) for q in QUARTILES]
-    return basic.join(quartiles.select(*keys, *rounded), keys)
+    """count, mean, std, min, quartiles and max per column, optionally per group. The plain statistics ride
+    along in the first quantile pass."""
+    plain = {
+        "count": F.count("value"),
+        "mean": F.avg("value"),
+        "std": F.stddev_samp("value"),
+        "min": F.min("value"),
+        "max": F.max("value"),
+    }
+    table = quantile_row(df, cols, QUARTILES, by, extra=plain, **options)
+    rounded = [tidy(F.col(c), digits).alias(c) for c in ("mean", "std", "min", "max", *QUARTILES)]
+    return table.select(*by, "column", "count", *rounded)
 
 
 def shape_flags_pass(cols: Sequence[str]) -> OnePass:

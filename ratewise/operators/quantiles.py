@@ -1,87 +1,46 @@
 """Exact order statistics and exact cumulative counts without a single-task sort.
 
-``percentile`` keeps a value -> count map per group, fine only while the number of distinct values is
-bounded. ``exact_quantiles`` checks that number first. Above the limit it brackets every wanted rank
-with two sketch quantiles, counts what lies below the bracket, and ranks only the few values inside.
+A first pass takes, per group, the size, the approximate number of distinct values and a coarse sketch of
+evenly spaced quantiles. Groups with few distinct values are ranked from their value counts. For larger
+ones the sketch gives an interval that must hold each wanted rank; the interval is narrowed by further
+sketches until few values are left in it, and only those are ranked. Sketches stay small whatever the
+data size, hot values fold into one counted row, and no task ever sorts a whole column.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewise.operators.reshape import melt_numeric
 from ratewise.sources.scratch import stage
 
-MAP_LIMIT = 100_000
-ACCURACY = 100_000
+RANK_LIMIT = 200_000  # values ranked in one window
+GRID = 400
+ACCURACY = 4_000  # rank error of a sketch is 1/ACCURACY, well inside one grid step
 
 
-def exact_quantiles(
-    df: DataFrame,
-    cols: Sequence[str],
-    qs: Sequence[float],
-    by: Sequence[str] = (),
-    method: str = "auto",
-    accuracy: int = ACCURACY,
-    map_limit: int = MAP_LIMIT,
-) -> DataFrame:
-    """Rows (*by, column, q, value), linear interpolation between ranks, nulls and NaN ignored."""
-    long = melt_numeric(df, cols, by)
-    keys = [*by, "column"]
-    if method == "auto":
-        distinct = long.groupBy(*keys).agg(F.approx_count_distinct("value").alias("d"))
-        largest = distinct.agg(F.max("d")).first()[0] or 0
-        method = "map" if largest <= map_limit else "bracket"
-    if method == "map":
-        points = F.array(*[F.lit(float(q)) for q in qs])
-        grouped = long.groupBy(*keys).agg(F.percentile("value", points).alias("values"))
-        pairs = F.arrays_zip(points.alias("q"), F.col("values").alias("value"))
-        return grouped.select(*keys, F.inline(pairs).alias("q", "value"))
-    return _bracketed(long, keys, qs, accuracy)
-
-
-def _bracketed(long: DataFrame, keys: list[str], qs: Sequence[float], accuracy: int) -> DataFrame:
-    margin = 4.0 / accuracy
-    probes = [max(0.0, q - margin) for q in qs] + [min(1.0, q + margin) for q in qs]
-    sketch = long.groupBy(*keys).agg(
-        F.count("value").alias("n"),
-        F.percentile_approx("value", [float(p) for p in probes], accuracy).alias("at"),
-    )
-    brackets = sketch.select(
-        *keys,
-        "n",
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(float(q)).alias("q"),
-                        F.col("at")[i].alias("lo"),
-                        F.col("at")[len(qs) + i].alias("hi"),
-                    )
-                    for i, q in enumerate(qs)
-                ]
-            )
-        ),
-    )
-    # Written out, the brackets have a known size: Catalyst broadcasts them when they are small.
-    brackets = stage(brackets, "brackets")
-    # Partial aggregation folds every value below a bracket, and every hot value, into one row per map task.
-    counts = (
-        long.join(brackets, keys)
-        .filter(F.col("value") <= F.col("hi"))
-        .withColumn("inside", F.when(F.col("value") >= F.col("lo"), F.col("value")))
-        .groupBy(*keys, "q", "n", "inside")
-        .agg(F.count("*").alias("rows"))
-    )
-    by_bracket = Window.partitionBy(*keys, "q").orderBy(F.col("inside").asc_nulls_first())
-    ranked = counts.withColumn("upto", F.sum("rows").over(by_bracket)).filter(F.col("inside").isNotNull())
-    position = F.col("q") * (F.col("n") - 1)
+def _sketch(value: Column) -> Column:
+    return F.percentile_approx(value, [i / GRID for i in range(GRID + 1)], ACCURACY)
+
+
+def _position() -> Column:
+    return F.col("q") * (F.col("n") - 1)
+
+
+def _points(frame: DataFrame, qs: Sequence[float]) -> DataFrame:
+    return frame.withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs])))
+
+
+def _interpolate(ranked: DataFrame, keys: list[str]) -> DataFrame:
+    """Value at the wanted position from rows (keys, q, n, value, rows, upto); ``upto`` counts the rows up
+    to and including the value."""
+    position = _position()
     ends = ranked.groupBy(*keys, "q", "n").agg(
-        F.min(F.when(F.col("upto") > F.floor(position), F.col("inside"))).alias("low"),
-        F.min(F.when(F.col("upto") > F.ceil(position), F.col("inside"))).alias("high"),
+        F.min(F.when(F.col("upto") > F.floor(position), F.col("value"))).alias("low"),
+        F.min(F.when(F.col("upto") > F.ceil(position), F.col("value"))).alias("high"),
         F.min(F.col("upto") - F.col("rows")).alias("before"),
     )
     missed = F.col("low").isNull() | F.col("high").isNull() | (F.col("before") > F.floor(position))
@@ -89,20 +48,104 @@ def _bracketed(long: DataFrame, keys: list[str], qs: Sequence[float], accuracy:
     return ends.select(
         *keys,
         "q",
-        F.when(missed, F.raise_error(F.lit("quantile bracket missed its rank: raise accuracy")).cast("double"))
-        .otherwise(value)
-        .alias("value"),
+        F.when(missed, F.raise_error(F.lit("an interval missed its rank")).cast("double")).otherwise(value).alias("value"),
     )
 
 
+def _narrow(long: DataFrame, keys: list[str], spans: DataFrame, limit: int) -> DataFrame:
+    """Narrow every (lo, hi) until at most ``limit`` rows are expected inside."""
+    while (spans.agg(F.max("expected")).first()[0] or 0) > limit:
+        inside = F.when(F.col("value") >= F.col("lo"), F.col("value"))
+        looked = (
+            long.join(spans.select(*keys, "q", "n", "lo", "hi"), keys)
+            .filter(F.col("value") <= F.col("hi"))
+            .groupBy(*keys, "q", "n")
+            .agg(
+                F.count_if(F.col("value") < F.col("lo")).alias("below"),
+                F.count(inside).alias("inside"),
+                F.approx_count_distinct(inside).alias("distinct"),
+                _sketch(inside).alias("grid"),
+            )
+        )
+        spans = stage(_spans(looked), "spans")
+    return spans
+
+
+def _spans(looked: DataFrame) -> DataFrame:
+    """The grid steps around the wanted rank, one step of margin on either side."""
+    relative = (_position() - F.col("below")) / F.greatest(F.col("inside") - 1, F.lit(1)) * GRID
+    first = F.greatest(F.lit(0), F.floor(relative).cast("int") - 1)
+    last = F.least(F.lit(GRID), F.ceil(relative).cast("int") + 1)
+    lo, hi = F.col("grid")[first], F.col("grid")[last]
+    rows = F.col("inside") * (last - first + 1) / GRID
+    expected = F.when(lo == hi, F.lit(0.0)).otherwise(F.least(rows, F.col("distinct").cast("double")))
+    return looked.withColumns({"lo": lo, "hi": hi, "expected": expected}).drop("grid", "below", "inside", "distinct")
+
+
 def quantile_row(
-    df: DataFrame, cols: Sequence[str], qs: dict[str, float], by: Sequence[str] = (), **options
+    df: DataFrame,
+    cols: Sequence[str],
+    qs: Mapping[str, float],
+    by: Sequence[str] = (),
+    extra: Mapping[str, Column] | None = None,
+    limit: int = RANK_LIMIT,
 ) -> DataFrame:
-    """One row per (*by, column) with one named column per quantile."""
-    long = exact_quantiles(df, cols, list(qs.values()), by, **options)
-    return long.groupBy(*by, "column").agg(
+    """One row per (*by, column) with a named column per quantile: linear interpolation between ranks, nulls
+    and NaN ignored. ``extra`` aggregates over ``value`` ride along in the first pass."""
+    extra = dict(extra or {})
+    long, keys = melt_numeric(df, cols, by), [*by, "column"]
+    points = sorted(set(qs.values()))
+    seen = stage(
+        long.groupBy(*keys).agg(
+            F.count("value").alias("n"),
+            F.approx_count_distinct("value").alias("distinct"),
+            _sketch(F.col("value")).alias("grid"),
+            *[c.alias(f"x_{name}") for name, c in extra.items()],
+        ),
+        "sketches",
+    )
+    sizes = seen.agg(
+        F.count_if(F.col("distinct") <= limit).alias("small"), F.count_if(F.col("distinct") > limit).alias("large")
+    ).first()
+    found = []
+    if sizes["small"]:
+        few = seen.filter(F.col("distinct") <= limit).select(*keys, "n")
+        rows = long if not sizes["large"] else long.join(few.select(*keys), keys, "left_semi")
+        counts = rows.groupBy(*keys, "value").agg(F.count("*").alias("rows"))
+        upto = F.sum("rows").over(Window.partitionBy(*keys).orderBy("value"))
+        ranked = counts.withColumn("upto", upto).join(few, keys)
+        found.append(_interpolate(_points(ranked, points), keys))
+    if sizes["large"]:
+        many = seen.filter(F.col("distinct") > limit)
+        whole = many.select(*keys, "n", "distinct", "grid", F.lit(0).alias("below"), F.col("n").alias("inside"))
+        spans = _narrow(long, keys, stage(_spans(_points(whole, points)), "spans"), limit)
+        counts = (
+            long.join(spans.select(*keys, "q", "n", "lo", "hi"), keys)
+            .filter(F.col("value") <= F.col("hi"))
+            .withColumn("value", F.when(F.col("value") >= F.col("lo"), F.col("value")))
+            .groupBy(*keys, "q", "n", "value")
+            .agg(F.count("*").alias("rows"))
+        )
+        upto = F.sum("rows").over(Window.partitionBy(*keys, "q").orderBy(F.col("value").asc_nulls_first()))
+        found.append(_interpolate(counts.withColumn("upto", upto).filter(F.col("value").isNotNull()), keys))
+    base = seen.select(*keys, *[F.col(f"x_{name}").alias(name) for name in extra])
+    if not found:  # no values at all
+        return base.withColumns({name: F.lit(None).cast("double") for name in qs})
+    values = found[0] if len(found) == 1 else found[0].unionByName(found[1])
+    wide = values.groupBy(*keys).agg(
         *[F.max(F.when(F.col("q") == F.lit(float(q)), F.col("value"))).alias(name) for name, q in qs.items()]
     )
+    return base.join(wide, keys) if extra else wide
+
+
+def exact_quantiles(
+    df: DataFrame, cols: Sequence[str], qs: Sequence[float], by: Sequence[str] = (), **options
+) -> DataFrame:
+    """The same in long form: rows (*by, column, q, value)."""
+    names = {f"q{i}": float(q) for i, q in enumerate(qs)}
+    wide = quantile_row(df, cols, names, by, **options)
+    pairs = F.inline(F.array(*[F.struct(F.lit(q).alias("q"), F.col(n).alias("value")) for n, q in names.items()]))
+    return wide.select(*by, "column", pairs)
 
 
 def cumulative_counts(

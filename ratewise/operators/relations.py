@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import DataFrame
@@ -11,9 +10,6 @@ from pyspark.sql import functions as F
 
 from ratewise.functions.stats import pearson, rate_pct
 from ratewise.operators.onepass import OnePass, run
-from ratewise.operators.reshape import rows_of
-
-PAIRS_PER_PASS = 400
 
 
 def row_correlation_pass(x: str, y: str, digits: int = 6) -> OnePass:
@@ -29,25 +25,25 @@ def group_correlation(table: DataFrame, x: str, y: str, digits: int = 6) -> Data
     return table.agg(F.round(pearson(x, y), digits).alias("r"))
 
 
-def correlation_pass(pairs: Sequence[tuple[str, str]], digits: int = 6) -> OnePass:
-    lines = [
-        F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.round(F.col(f"r{i}"), digits).alias("r"))
+def pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]], digits: int = 6) -> DataFrame:
+    """(x, y, r) for the given pairs, each over its own complete rows. Rows are spread to one record per
+    pair and folded again before the shuffle: the aggregate stays one short, compiled loop for any number of
+    columns, and one row per pair and task is shuffled."""
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "x string, y string, r double")
+    records = [
+        F.struct(F.lit(i).alias("pair"), F.col(f"`{a}`").cast("double").alias("a"), F.col(f"`{b}`").cast("double").alias("b"))
         for i, (a, b) in enumerate(pairs)
     ]
-    return OnePass(
-        {f"r{i}": pearson(F.col(f"`{a}`"), F.col(f"`{b}`")) for i, (a, b) in enumerate(pairs)},
-        lambda flat: rows_of(flat, lines),
-    )
+    complete = df.select(F.inline(F.array(*records))).filter(F.col("a").isNotNull() & F.col("b").isNotNull())
+    spread = F.stddev_pop("a") * F.stddev_pop("b")
+    table = complete.groupBy("pair").agg(F.round(F.try_divide(F.covar_pop("a", "b"), spread), digits).alias("r"))
+    names = df.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "pair int, x string, y string")
+    return names.join(table, "pair", "left").select("x", "y", "r")
 
 
 def correlation_pairs(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
-    """(x, y, r) for every unordered pair, each over its own complete rows. One aggregate per block of
-    pairs: covariances and deviations are algebraic, so only one row per task is shuffled."""
-    pairs = list(combinations(cols, 2))
-    if not pairs:
-        return df.sparkSession.createDataFrame([], "x string, y string, r double")
-    blocks = [pairs[i : i + PAIRS_PER_PASS] for i in range(0, len(pairs), PAIRS_PER_PASS)]
-    return reduce(DataFrame.unionByName, [run(df, correlation_pass(block, digits)) for block in blocks])
+    return pair_correlations(df, list(combinations(cols, 2)), digits)
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
@@ -59,27 +55,27 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int = 6) -> D
     return mirrored.unionByName(diagonal)
 
 
-def target_ranking_pass(cols: Sequence[str], y: str, digits: int = 6) -> OnePass:
-    lines = [F.struct(F.lit(c).alias("column"), F.col(f"r{i}").alias("r")) for i, c in enumerate(cols)]
+def target_correlation_ranking(df: DataFrame, cols: Sequence[str], y: str, digits: int = 6) -> DataFrame:
+    """Correlation of every column with the outcome, strongest first, with strength and drop advice."""
+    return target_ranking_of(pair_correlations(df, [(c, y) for c in cols], digits), y)
+
+
+def target_ranking_of(pairs: DataFrame, y: str) -> DataFrame:
+    """The same from a table of pair correlations."""
     size = F.abs("r")
-    return OnePass(
-        {f"r{i}": pearson(F.col(f"`{c}`"), y) for i, c in enumerate(cols)},
-        lambda flat: rows_of(flat, lines)
+    return (
+        pairs.filter((F.col("x") == y) | (F.col("y") == y))
+        .select(F.when(F.col("x") == y, F.col("y")).otherwise(F.col("x")).alias("column"), "r")
         .select(
             "column",
-            F.round("r", digits).alias("r"),
+            "r",
             F.when(size > 0.3, "strong").when(size > 0.1, "weak").otherwise("none").alias("strength"),
             F.coalesce(size < 0.05, F.lit(False)).alias("drop_candidate"),
         )
-        .orderBy(F.abs("r").desc_nulls_last(), "column"),
+        .orderBy(F.abs("r").desc_nulls_last(), "column")
     )
 
 
-def target_correlation_ranking(df: DataFrame, cols: Sequence[str], y: str, digits: int = 6) -> DataFrame:
-    """Correlation of every column with the outcome, strongest first, with strength and drop advice."""
-    return run(df, target_ranking_pass(cols, y, digits))
-
-
 def collinear_pairs(df: DataFrame, cols: Sequence[str], limit: float = 0.7) -> DataFrame:
     return correlation_pairs(df, cols).filter(F.abs("r") > limit)
 
