@@ -5,6 +5,9 @@ closest members every query row gets a sure upper bound on its k-th distance, an
 inequality it only visits the cells that can hold a closer row. A visit is an equi-join on
 (cell, slice, block): both sides of a crowded cell are cut into blocks of bounded size, so no task sees
 a whole cell, and each task returns at most k rows per query row instead of the pairs it compared.
+
+Equal train vectors are reduced to their k smallest ids first: more copies can never be among the k nearest,
+so a group of copies of any size costs k rows.
 """
 
 from __future__ import annotations
@@ -59,6 +62,13 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squared, 0.0))
 
 
+def _without_spare_copies(train: DataFrame, k: int) -> DataFrame:
+    """Keep the k smallest ids of every group of equal vectors. The rank limit also applies before the
+    shuffle, and comparing a hash first keeps the sort cheap."""
+    copies = Window.partitionBy(F.xxhash64("v"), "v", "g").orderBy("id")
+    return train.withColumn("copy", F.row_number().over(copies)).filter(F.col("copy") <= k).drop("copy")
+
+
 def _place(train: DataFrame, pivots: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -172,8 +182,8 @@ def knn_neighbors(
 ) -> DataFrame:
     """(id, y, g, rank, neighbor, neighbor_y, distance) with the k closest train rows of every test row,
     ties by smaller neighbour id. Inputs come from ``points``; ids are unique within each side."""
-    size = train.count()
-    pivot_count = int(max(1, min(max_pivots, size // 256)))
+    train = stage(_without_spare_copies(train, k), "knn-points")
+    pivot_count = int(max(1, min(max_pivots, train.count() // 256)))
     sample = hash_sample(train.select("id", "v"), ["id"], pivot_count).collect()  # at most MAX_PIVOTS vectors
     pivots = np.array([r["v"] for r in sample], dtype=np.float64)
     placed = stage(_place(train, pivots), "knn-train")

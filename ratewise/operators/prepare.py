@@ -29,11 +29,11 @@ def medians(df: DataFrame, cols: Sequence[str], **options) -> DataFrame:
 
 def modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Most frequent category per column, the smallest text on ties."""
-    return (
-        value_counts(df, cols)
-        .groupBy("column")
-        .agg(F.min_by("value", F.struct(-F.col("rows"), "value")).alias("mode"))
-    )
+    return modes_of(value_counts(df, cols))
+
+
+def modes_of(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("column").agg(F.min_by("value", F.struct(-F.col("rows"), "value")).alias("mode"))
 
 
 def impute_median(df: DataFrame, cols: Sequence[str], **options) -> DataFrame:
@@ -73,9 +73,11 @@ def min_max_scale(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def categories(df: DataFrame, cols: Sequence[str], limit: int = MAX_CATEGORIES) -> dict[str, list[str]]:
     """Sorted categories per column, refusing columns with more than ``limit``."""
-    if not cols:
-        return {}
-    counts = value_counts(df, cols)
+    return categories_of(stage(value_counts(df, cols), "categories"), cols, limit) if cols else {}
+
+
+def categories_of(counts: DataFrame, cols: Sequence[str], limit: int = MAX_CATEGORIES) -> dict[str, list[str]]:
+    """The same from stored (column, value, rows) counts. The sizes are checked before any value is fetched."""
     sizes = {r["column"]: r["n"] for r in counts.groupBy("column").agg(F.count("*").alias("n")).collect()}
     wide = [c for c in cols if sizes.get(c, 0) > limit]
     if wide:
@@ -147,9 +149,9 @@ def derive(df: DataFrame, spec: ViewSpec) -> DataFrame:
 
 
 def fit_view(clean: DataFrame, spec: ViewSpec, **quantile_options) -> ViewParams:
-    """Learn medians, modes, ranges and categories in three passes over narrow columns: one aggregate for
-    sizes, nulls and ranges (imputed medians never leave the range, so ranges may be taken first), one for
-    the categories and modes, and the medians of the columns that need one."""
+    """Learn medians, modes, ranges and categories: one aggregate for sizes, nulls and ranges (imputed
+    medians never leave the range, so ranges may be taken first), one table of category counts for
+    categories and modes, and quantile passes over the columns that need a median."""
     numeric, categorical, _ = classify_columns(clean, [spec.target])
     flat = clean.agg(
         F.count("*").alias("rows"),
@@ -161,13 +163,15 @@ def fit_view(clean: DataFrame, spec: ViewSpec, **quantile_options) -> ViewParams
     params.nulls = {c: flat[f"x{i}"] for i, c in enumerate(numeric + categorical) if flat[f"x{i}"]}
     params.low = {c: flat[f"l{i}"] for i, c in enumerate(numeric)}
     params.high = {c: flat[f"h{i}"] for i, c in enumerate(numeric)}
-    params.levels = categories(clean, categorical, spec.max_categories)
+    if categorical:
+        counts = stage(value_counts(clean, categorical), "categories")
+        params.levels = categories_of(counts, categorical, spec.max_categories)
     gaps = [c for c in numeric if c in params.nulls]
     if gaps:
         params.median = {r["column"]: r["median"] for r in medians(clean, gaps, **quantile_options).collect()}
     gaps = [c for c in categorical if c in params.nulls]
     if gaps:
-        params.mode = {r["column"]: r["mode"] for r in modes(clean, gaps).collect()}
+        params.mode = {r["column"]: r["mode"] for r in modes_of(counts).collect() if r["column"] in gaps}
     return params
 
 

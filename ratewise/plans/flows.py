@@ -65,12 +65,14 @@ def eda_report(df: DataFrame, roles: EdaRoles, **quantile_options) -> dict[str,
     return out
 
 
-def publish_view(df: DataFrame, spec: ViewSpec, root: str, **quantile_options) -> tuple[str, ViewParams]:
+def publish_view(
+    df: DataFrame, spec: ViewSpec, root: str, row_id: str | None = None, **quantile_options
+) -> tuple[str, ViewParams]:
     """Build, number, write and describe a view."""
     spark = df.sparkSession
     view, params = build_view(df, spec, **quantile_options)
     view_id = tables.next_view_id(spark, root)
-    tables.write_view(view, root, view_id, spec.target)
+    tables.write_view(view, root, view_id, spec.target, row_id=row_id)
     written = tables.load_view(spark, root, view_id)
     tables.append_metadata(view_metadata(df, written, spec, params, view_id), root)
     return view_id, params

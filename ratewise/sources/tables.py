@@ -88,9 +88,14 @@ def next_view_id(spark: SparkSession, root: str) -> str:
     return last["v"]
 
 
-def write_view(view: DataFrame, root: str, view_id: str, target: str, fmt: str = "parquet") -> str:
-    """Write a view with the target as its last column."""
+def write_view(
+    view: DataFrame, root: str, view_id: str, target: str, fmt: str = "parquet", row_id: str | None = None
+) -> str:
+    """Write a view with the target as its last column. Views carry no id; ``row_id`` adds a unique number
+    that is fixed by being written, so later splits of the stored view are reproducible."""
     path = view_path(root, view_id)
+    if row_id:
+        view = view.select(F.monotonically_increasing_id().alias(row_id), "*")
     out = target_last(view, target).write
     (out.option("header", True).csv(path) if fmt == "csv" else out.parquet(path))
     return path
