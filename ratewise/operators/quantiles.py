@@ -18,6 +18,7 @@ from ratewise.operators.reshape import melt_numeric
 from ratewise.sources.scratch import stage
 
 RANK_LIMIT = 200_000  # values ranked in one window
+SPAN_FLOOR = 2_000  # a grid step must span several rows, so shorter spans are ranked, not narrowed
 GRID = 400
 ACCURACY = 4_000  # rank error of a sketch is 1/ACCURACY, well inside one grid step
 
@@ -92,7 +93,7 @@ def quantile_row(
 ) -> DataFrame:
     """One row per (*by, column) with a named column per quantile: linear interpolation between ranks, nulls
     and NaN ignored. ``extra`` aggregates over ``value`` ride along in the first pass."""
-    extra = dict(extra or {})
+    extra, limit = dict(extra or {}), max(limit, SPAN_FLOOR)
     long, keys = melt_numeric(df, cols, by), [*by, "column"]
     points = sorted(set(qs.values()))
     seen = stage(
