@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ratewise.operators import filters, profile, rates, relations
 from ratewise.operators.onepass import OnePass, run_together
+from ratewise.operators.quantiles import first_look
 from ratewise.operators.reshape import value_counts
 from ratewise.operators.roles import classify_columns, has_columns
 from ratewise.sources.scratch import stage
@@ -91,8 +92,14 @@ def _duplicates(table: DataFrame, section: str, rule: str) -> DataFrame:
 def numeric_findings(df: DataFrame, cols: list[str], shared: Shared, **quantile_options) -> list[DataFrame]:
     section, name = "numeric", F.col("column")
     shape, signs = shared["shape"], shared["signs"]
-    outliers = profile.iqr_outliers(df, cols, pct_base="non_null", **quantile_options)
-    top = profile.dominant_value(df, cols)
+    seen = first_look(df, cols)
+    limits = profile.iqr_limits(df, cols, seen=seen, **quantile_options).collect()  # one row per column
+    candidates = profile.dominant_candidates(seen)
+    checks = {"outliers": profile.iqr_pass(limits, "non_null"), "top": profile.dominant_pass(candidates)}
+    counted = run_together(df, checks) if limits else {}
+    if not counted:  # no values at all
+        return []
+    outliers, top = counted["outliers"], counted["top"]
     return [
         finding(shape, section, name, F.when(F.col("skew_level") == "high", FINDING).otherwise(INFO), "skewness",
                 F.col("skewness"), 1.0, _text("%s skewness: %.2f", "skew_level", "skewness"), F.col("skew_level") != "low"),

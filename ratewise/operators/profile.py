@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from ratewise.functions.stats import sample_kurtosis, sample_skewness
 from ratewise.operators.onepass import OnePass, run
-from ratewise.operators.quantiles import quantile_row
+from ratewise.operators.quantiles import GRID, first_look, quantile_row
 from ratewise.operators.reshape import melt_numeric, rows_of, value_counts
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -178,28 +178,29 @@ def iqr_limits(df: DataFrame, cols: Sequence[str], factor: float = 1.5, **option
     )
 
 
-def iqr_outliers(df: DataFrame, cols: Sequence[str], pct_base: str = "all", factor: float = 1.5, **options) -> DataFrame:
-    """Values outside q1 - f·iqr .. q3 + f·iqr. The share is over all rows or over non-null values."""
-    limits = {r["column"]: r for r in iqr_limits(df, cols, factor, **options).collect()}  # one row per column
-    present = [c for c in cols if c in limits]
-    outside = {c: (F.col(f"`{c}`") < limits[c]["low"]) | (F.col(f"`{c}`") > limits[c]["high"]) for c in present}
-    flat = df.agg(
-        F.count("*").alias("rows"),
-        *[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(present)],
-        *[F.count_if(outside[c]).alias(f"o{i}") for i, c in enumerate(present)],
-    )
-    return rows_of(
-        flat,
-        [
+def iqr_pass(limits: Sequence[Row], pct_base: str = "all") -> OnePass:
+    """Counts outside known limits, one row of limits per column."""
+    aggregates, lines = {"rows": F.count("*")}, []
+    for i, r in enumerate(limits):
+        x = F.col(f"`{r['column']}`")
+        aggregates[f"n{i}"] = F.count(x)
+        aggregates[f"o{i}"] = F.count_if((x < r["low"]) | (x > r["high"]))
+        whole = F.col("rows") if pct_base == "all" else F.col(f"n{i}")
+        lines.append(
             F.struct(
-                F.lit(c).alias("column"),
-                *[F.round(F.lit(limits[c][k]), 6).alias(k) for k in ("q1", "q3", "iqr", "low", "high")],
+                F.lit(r["column"]).alias("column"),
+                *[F.round(F.lit(r[k]), 6).alias(k) for k in ("q1", "q3", "iqr", "low", "high")],
                 F.col(f"o{i}").alias("outliers"),
-                F.round(_pct(F.col(f"o{i}"), F.col("rows") if pct_base == "all" else F.col(f"n{i}")), 4).alias("pct"),
+                F.round(_pct(F.col(f"o{i}"), whole), 4).alias("pct"),
             )
-            for i, c in enumerate(present)
-        ],
-    )
+        )
+    return OnePass(aggregates, lambda flat: rows_of(flat, lines))
+
+
+def iqr_outliers(df: DataFrame, cols: Sequence[str], pct_base: str = "all", factor: float = 1.5, **options) -> DataFrame:
+    """Values outside q1 - f·iqr .. q3 + f·iqr. The share is over all rows or over non-null values."""
+    limits = iqr_limits(df, cols, factor, **options).collect()  # one row per column
+    return run(df, iqr_pass(limits, pct_base))
 
 
 def zscore_outliers(df: DataFrame, cols: Sequence[str], limit: float = 3.0) -> DataFrame:
@@ -247,48 +248,53 @@ def zero_negative_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return run(df, zero_negative_pass(cols))
 
 
-def dominant_value(df: DataFrame, cols: Sequence[str], share: float = 0.25) -> DataFrame:
-    """Columns where one value holds more than ``share`` of the non-null values.
+def dominant_candidates(seen: DataFrame, share: float = 0.25) -> list[tuple[str, float]]:
+    """(column, value) pairs that may hold more than ``share`` of a column.
 
     In sorted order such a value covers an interval longer than ``share``, so it must appear among
-    quantile points spaced closer than that. Only those few candidates are counted exactly; nothing but
-    sketches and counters is shuffled.
+    quantile points spaced closer than that; a stored quantile grid has them.
     """
-    step = share * 0.8
-    points = [round(i * step, 6) for i in range(1, int(1 / step) + 1) if i * step < 1]
-    sketch = df.agg(
-        *[
-            F.percentile_approx(F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")), points, 10_000).alias(f"p{i}")
-            for i, c in enumerate(cols)
-        ]
-    ).first()
-    candidates = [(c, v) for i, c in enumerate(cols) for v in sorted(set(sketch[f"p{i}"] or []))]
-    schema = "column string, value double, rows bigint, pct double"
-    if not candidates:
-        return df.sparkSession.createDataFrame([], schema)
-    flat = df.agg(
-        *[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(cols)],
-        *[F.count_if(F.col(f"`{c}`").cast("double") == F.lit(v)).alias(f"h{j}") for j, (c, v) in enumerate(candidates)],
-    )
-    position = {c: i for i, c in enumerate(cols)}
-    counted = rows_of(
-        flat,
-        [
+    step = max(1, int(share * 0.8 * GRID))
+    at = F.array_distinct(F.array(*[F.col("grid")[i] for i in range(step, GRID, step)]))
+    rows = seen.filter(F.col("n") > 0).select("column", at.alias("at")).collect()  # one row per column
+    return [(r["column"], v) for r in rows for v in r["at"]]
+
+
+def dominant_pass(candidates: Sequence[tuple[str, float]], share: float = 0.25) -> OnePass:
+    """Exact counts of the candidates; keeps the most frequent one per column if it passes the share."""
+    cols = list(dict.fromkeys(c for c, _ in candidates))
+    aggregates = {f"n{i}": F.count(F.col(f"`{c}`")) for i, c in enumerate(cols)}
+    lines = []
+    for j, (c, v) in enumerate(candidates):
+        aggregates[f"h{j}"] = F.count_if(F.col(f"`{c}`").cast("double") == F.lit(v))
+        lines.append(
             F.struct(
                 F.lit(c).alias("column"),
                 F.lit(float(v)).alias("value"),
                 F.col(f"h{j}").alias("rows"),
-                F.try_divide(F.col(f"h{j}").cast("double"), F.col(f"n{position[c]}")).alias("share"),
+                F.try_divide(F.col(f"h{j}").cast("double"), F.col(f"n{cols.index(c)}")).alias("share"),
             )
-            for j, (c, v) in enumerate(candidates)
-        ],
-    )
-    best = counted.groupBy("column").agg(F.max_by(F.struct("value", "rows", "share"), F.struct("rows", -F.col("value"))).alias("b"))
-    return best.filter(F.col("b.share") > share).select(
-        "column", "b.value", "b.rows", F.round(F.col("b.share") * 100, 4).alias("pct")
+        )
+    first = F.max_by(F.struct("value", "rows", "share"), F.struct("rows", -F.col("value")))
+    return OnePass(
+        aggregates,
+        lambda flat: rows_of(flat, lines)
+        .groupBy("column")
+        .agg(first.alias("b"))
+        .filter(F.col("b.share") > share)
+        .select("column", "b.value", "b.rows", F.round(F.col("b.share") * 100, 4).alias("pct")),
     )
 
 
+def dominant_value(df: DataFrame, cols: Sequence[str], share: float = 0.25) -> DataFrame:
+    """Columns where one value holds more than ``share`` of the non-null values. Nothing but sketches and
+    counters is shuffled."""
+    candidates = dominant_candidates(first_look(df, cols), share)
+    if not candidates:
+        return df.sparkSession.createDataFrame([], "column string, value double, rows bigint, pct double")
+    return run(df, dominant_pass(candidates, share))
+
+
 def category_proportions(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count of every category, its share of all rows and of the non-null rows. The null counts stay in
     until the totals are taken, so no second scan is needed for the number of rows."""

@@ -83,6 +83,23 @@ def _spans(looked: DataFrame) -> DataFrame:
     return looked.withColumns({"lo": lo, "hi": hi, "expected": expected}).drop("grid", "below", "inside", "distinct")
 
 
+def first_look(
+    df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), extra: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """Stored (*by, column, n, distinct, grid, x_<extra>): size, approximate distinct count and quantile grid
+    of every column, in one scan."""
+    long = melt_numeric(df, cols, by)
+    return stage(
+        long.groupBy(*by, "column").agg(
+            F.count("value").alias("n"),
+            F.approx_count_distinct("value").alias("distinct"),
+            _sketch(F.col("value")).alias("grid"),
+            *[c.alias(f"x_{name}") for name, c in (extra or {}).items()],
+        ),
+        "sketches",
+    )
+
+
 def quantile_row(
     df: DataFrame,
     cols: Sequence[str],
@@ -90,21 +107,15 @@ def quantile_row(
     by: Sequence[str] = (),
     extra: Mapping[str, Column] | None = None,
     limit: int = RANK_LIMIT,
+    seen: DataFrame | None = None,
 ) -> DataFrame:
     """One row per (*by, column) with a named column per quantile: linear interpolation between ranks, nulls
-    and NaN ignored. ``extra`` aggregates over ``value`` ride along in the first pass."""
+    and NaN ignored. ``extra`` aggregates over ``value`` ride along in the first pass; ``seen`` reuses an
+    earlier first look."""
     extra, limit = dict(extra or {}), max(limit, SPAN_FLOOR)
     long, keys = melt_numeric(df, cols, by), [*by, "column"]
     points = sorted(set(qs.values()))
-    seen = stage(
-        long.groupBy(*keys).agg(
-            F.count("value").alias("n"),
-            F.approx_count_distinct("value").alias("distinct"),
-            _sketch(F.col("value")).alias("grid"),
-            *[c.alias(f"x_{name}") for name, c in extra.items()],
-        ),
-        "sketches",
-    )
+    seen = first_look(df, cols, by, extra) if seen is None else seen
     sizes = seen.agg(
         F.count_if(F.col("distinct") <= limit).alias("small"), F.count_if(F.col("distinct") > limit).alias("large")
     ).first()

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from ratewise.operators import findings
 from ratewise.operators.findings import AuditRoles
 from ratewise.plans import flows
+from ratewise.sources.scratch import stage
 
 ROLES = AuditRoles(
     id="id_vuelo", target="demora", origin="aeropuerto_origen", destination="aeropuerto_destino", distance="distancia_vuelo",
@@ -11,7 +12,8 @@ ROLES = AuditRoles(
 
 
 def test_planted_problems_are_found(flights, flights_pd):
-    got = findings.audit(flights, ROLES).collect()
+    found = stage(findings.audit(stage(flights, "flights"), ROLES), "findings")
+    got = found.collect()
     by_rule = {}
     for r in got:
         by_rule.setdefault(r["rule"], []).append(r)
@@ -26,10 +28,10 @@ def test_planted_problems_are_found(flights, flights_pd):
     assert [r["column"] for r in by_rule["dominant_value"] if r["column"] == "constante"] == ["constante"]
     assert by_rule["rate_too_low"][0]["value"] >= 1
     assert "drop_candidate" in by_rule
-    order = findings.audit_report(findings.audit(flights, ROLES)).select("level").collect()
+    order = findings.audit_report(found).select("level").collect()
     ranks = [findings.SEVERITY.index(r["level"]) for r in order]
     assert ranks == sorted(ranks)
-    counts = {r["level"]: r["findings"] for r in findings.audit_counts(findings.audit(flights, ROLES)).collect()}
+    counts = {r["level"]: r["findings"] for r in findings.audit_counts(found).collect()}
     assert sum(counts.values()) == len(got) and counts["CRITICAL"] == 1
 
 
@@ -44,7 +46,7 @@ def test_eda_report_skips_missing_parts(flights):
         congestion="nada", hour="hora_salida_programada", visibility="visibilidad", distance="distancia_vuelo",
         minutes="tiempo_estimado_vuelo", kind="tipo_avion",
     )
-    report = flows.eda_report(flights, roles)
+    report = flows.eda_report(stage(flights, "flights"), roles)
     assert "rate_by_congestion" not in report and {"rate_by_weather", "rate_by_hour", "entity_rate", "correlation_matrix"} <= set(report)
     for name in ("rate_by_hour", "rate_by_bin", "class_balance", "rate_by_type"):
         assert report[name].count() > 0
