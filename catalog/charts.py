@@ -88,6 +88,16 @@ def _scatter_sample(spark, sf):
     return chartdata.scatter_sample(logs(spark, sf, "event_id", "user_id", "load"), "user_id", "load", ["event_id"])
 
 
+@query(
+    "scatter_pairs",
+    """WITH t AS (SELECT event_id, CAST(user_id AS DOUBLE) AS u, value AS l, CAST(hour(ts) AS DOUBLE) AS h FROM events ORDER BY md5('42:' || event_id) LIMIT 500)
+    SELECT event_id, 'user_id' AS x_name, 'load' AS y_name, u AS x, l AS y FROM t UNION ALL SELECT event_id, 'user_id', 'hour', u, h FROM t
+    UNION ALL SELECT event_id, 'load', 'hour', l, h FROM t""",
+)
+def _scatter_pairs(spark, sf):
+    return chartdata.scatter_pairs(logs(spark, sf, "event_id", "user_id", "load", "hour"), ["user_id", "load", "hour"], ["event_id"], 500)
+
+
 @query(
     "scatter_grid",
     f"""WITH t AS ({trips_sql("distance", "visibility")}), e AS (SELECT min(distance) AS a, (max(distance) - min(distance)) / 50 AS w,

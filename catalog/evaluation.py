@@ -166,6 +166,35 @@ def _metric_rows(spark, sf):
     return _rule_metrics(spark, sf)
 
 
+_REPORT_LINES = [
+    ("class_0", "p0", "r0", "f0", "n0"),
+    ("class_1", "p1", "r1", "f1", "n1"),
+    ("accuracy", "acc", "acc", "acc", "n"),
+    ("macro avg", "(p0 + p1) / 2", "(r0 + r1) / 2", "(f0 + f1) / 2", "n"),
+    ("weighted avg", "(p0 * n0 + p1 * n1) / n", "(r0 * n0 + r1 * n1) / n", "(f0 * n0 + f1 * n1) / n", "n"),
+]
+
+
+@query(
+    "result_rows",
+    _EVALUATE
+    + """, v AS (SELECT *, tn / (tn + fn) AS p0, tn / (tn + fp) AS r0, tp / (tp + fp) AS p1, tp / (tp + fn) AS r1, tn + fp AS n0, tp + fn AS n1 FROM c),
+    f AS (SELECT *, 2 * p0 * r0 / (p0 + r0) AS f0, 2 * p1 * r1 / (p1 + r1) AS f1, (tn + tp) / n AS acc FROM v), z AS ("""
+    + " UNION ALL ".join(
+        [f"SELECT '{n}' AS metric, CAST({c} AS DOUBLE) AS value FROM e" for n, c in (("accuracy", "accuracy"), ("precision", "pr"), ("recall", "recall"), ("f1", "f1"), ("auc_roc", "auc"))]
+        + [f"SELECT '{c}', CAST({c} AS DOUBLE) FROM c" for c in ("tn", "fp", "fn", "tp")]
+        + [
+            f"SELECT '{line}.{name}', round(CAST({x} AS DOUBLE), 12) FROM f"
+            for line, p, r, f1, n in _REPORT_LINES
+            for name, x in (("precision", p), ("recall", r), ("f1", f1), ("support", n))
+        ]
+    )
+    + ") SELECT 'discount' AS model, '001' AS model_id, '001' AS view_id, metric, value FROM z",
+)
+def _result_rows(spark, sf):
+    return ev.result_rows(predictions(spark, sf), "y", "pred", "score", "discount", "001", "001")
+
+
 @query("metrics_json")
 def _metrics_json(spark, sf):
     return models.metrics_json(_rule_metrics(spark, sf))

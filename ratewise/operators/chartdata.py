@@ -17,6 +17,7 @@ from ratewise.operators.quantiles import quantile_row
 from ratewise.operators.rates import class_balance, rate_contribution_long
 from ratewise.operators.relations import correlation_pairs
 from ratewise.operators.reshape import melt_numeric
+from ratewise.operators.roles import column_pairs
 from ratewise.operators.sampling import hash_sample
 from ratewise.sources.scratch import stage
 
@@ -143,6 +144,24 @@ def scatter_sample(df: DataFrame, x: str, y: str, ids: Sequence[str], n: int = 1
     return hash_sample(df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*ids, x, y), ids, n, seed)
 
 
+def scatter_pairs(
+    df: DataFrame, cols: Sequence[str], ids: Sequence[str], n: int = 1000, pairs: int = 10, seed: int = 42
+) -> DataFrame:
+    """(x_name, y_name, x, y) for the first ``pairs`` pairs of columns, all from one sample of n rows."""
+    chosen = column_pairs(cols, pairs)
+    sample = hash_sample(df.select(*ids, *cols), ids, n, seed)
+    points = [
+        F.struct(
+            F.lit(a).alias("x_name"),
+            F.lit(b).alias("y_name"),
+            F.col(f"`{a}`").cast("double").alias("x"),
+            F.col(f"`{b}`").cast("double").alias("y"),
+        )
+        for a, b in chosen
+    ]
+    return sample.select(*ids, F.inline(F.array(*points))).dropna(subset=["x", "y"])
+
+
 def scatter_grid(df: DataFrame, x: str, y: str, bins: int = 50) -> DataFrame:
     """All points as counts on a two-dimensional grid."""
     known = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()

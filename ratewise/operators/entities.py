@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewise.functions.columns import rate_half_width
@@ -123,10 +123,8 @@ def composition_by_entity(df: DataFrame, places: Sequence[str], part: str) -> Da
         .groupBy("place", part)
         .agg(F.count("*").alias("rows"))
     )
-    totals = cells.groupBy("place").agg(F.sum("rows").alias("total"))
-    return cells.join(totals, "place").select(
-        "place", part, "rows", F.round(F.col("rows") * 100.0 / F.col("total"), 4).alias("pct")
-    )
+    total = F.sum("rows").over(Window.partitionBy("place"))  # one row per level and place
+    return cells.select("place", part, "rows", F.round(F.col("rows") * 100.0 / total, 4).alias("pct"))
 
 
 def role_compare(df: DataFrame, origin: str, destination: str, y: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -162,6 +163,32 @@ def metric_rows(metrics: DataFrame, model: str, model_id: str, view_id: str) ->
     )
 
 
+def result_rows(
+    df: DataFrame, y: str, pred: str, score: str, model: str, model_id: str, view_id: str
+) -> DataFrame:
+    """The full stored result of one evaluation as metric rows: headline metrics, the four cells of the
+    confusion matrix, and every figure of the classification report as ``line.figure``."""
+    cells = stage(_cells(df, y, pred), "cells")
+    lines = report_from_cells(cells)
+    figures = lines.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.concat_ws(".", "line", F.lit(c)).alias("metric"), F.col(c).cast("double").alias("value"))
+                    for c in ("precision", "recall", "f1", "support")
+                ]
+            )
+        )
+    ).select(F.lit(model).alias("model"), F.lit(model_id).alias("model_id"), F.lit(view_id).alias("view_id"), "metric", "value")
+    parts = [
+        metric_rows(metrics_from_cells(cells), model, model_id, view_id),
+        metric_rows(auc_roc(df, y, score), model, model_id, view_id),
+        metric_rows(cells, model, model_id, view_id),
+        figures,
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 METRIC_ORDER = ("accuracy", "precision", "recall", "f1", "auc_roc")
 
 
@@ -175,15 +202,15 @@ def compare_models(metric_table: DataFrame, metrics: Sequence[str] = METRIC_ORDE
     )
 
 
-def model_conclusions(metrics: DataFrame, n_features: int) -> DataFrame:
-    """Threshold rules over a one-row metrics frame: (rule, value, level)."""
+def model_conclusions(metrics: DataFrame, n_features: int, advice: bool = True) -> DataFrame:
+    """Threshold rules over a one-row metrics frame: (rule, value, level), with or without advice rows."""
     acc, pre, rec, auc = (F.col(c) for c in ("accuracy", "precision", "recall", "auc_roc"))
     gap = pre - rec
 
     def graded(c, good, fair):
         return F.when(c >= good, "good").when(c >= fair, "acceptable").otherwise("low")
 
-    advice = [
+    hints = [
         ("advice_balance_classes", rec, rec < 0.60),
         ("advice_other_algorithms", acc, acc < 0.75),
         ("advice_fewer_features", F.lit(float(n_features)), F.lit(n_features > 30)),
@@ -200,7 +227,8 @@ def model_conclusions(metrics: DataFrame, n_features: int) -> DataFrame:
         ),
         ("auc_roc", auc, graded(auc, 0.80, 0.65)),
     ]
-    rules += [(name, value, F.when(on, "yes").otherwise("no")) for name, value, on in advice]
+    if advice:
+        rules += [(name, value, F.when(on, "yes").otherwise("no")) for name, value, on in hints]
     return rows_of(
         metrics,
         [

@@ -272,9 +272,13 @@ def knn_k_search(folded: DataFrame, k_max: int = 30, digits: int = 9, **options)
     voted = found.withColumn("votes", F.sum("neighbor_y").over(so_far))
     correct = ((F.col("votes") * 2 > F.col("rank")).cast("int") == F.col("y")).cast("double")
     per_fold = voted.groupBy(F.col("rank").alias("k"), "g").agg(F.avg(correct).alias("accuracy"))
-    table = per_fold.groupBy("k").agg(
-        F.round(F.avg("accuracy"), digits).alias("accuracy_mean"),
-        F.round(F.stddev_pop("accuracy"), digits).alias("accuracy_std"),
+    # Stored before the best row is looked up: the neighbour pass must not run twice.
+    table = stage(
+        per_fold.groupBy("k").agg(
+            F.round(F.avg("accuracy"), digits).alias("accuracy_mean"),
+            F.round(F.stddev_pop("accuracy"), digits).alias("accuracy_std"),
+        ),
+        "k-search",
     )
     best = table.agg(F.min_by("k", F.struct(-F.col("accuracy_mean"), "k")).alias("best_k"))
     return (

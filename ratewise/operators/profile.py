@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from ratewise.functions.stats import sample_kurtosis, sample_skewness
 from ratewise.operators.onepass import OnePass, run
 from ratewise.operators.quantiles import GRID, first_look, quantile_row
-from ratewise.operators.reshape import melt_numeric, rows_of, value_counts
+from ratewise.operators.reshape import rows_of, value_counts
+from ratewise.sources.scratch import stage
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -296,15 +297,16 @@ def dominant_value(df: DataFrame, cols: Sequence[str], share: float = 0.25) -> D
 
 
 def category_proportions(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Count of every category, its share of all rows and of the non-null rows. The null counts stay in
-    until the totals are taken, so no second scan is needed for the number of rows."""
-    counts = value_counts(df, cols, nulls=True)
+    """Count of every category, its share of all rows and of the non-null rows. The counts are stored, so
+    the rows are read once; the totals have one row per column, so they are broadcast. Null counts stay in
+    until the totals are taken, which gives the number of rows without another scan."""
+    counts = stage(value_counts(df, cols, nulls=True), "category-counts")
     totals = counts.groupBy("column").agg(
         F.sum("rows").alias("all_rows"), F.sum(F.when(F.col("value").isNotNull(), F.col("rows"))).alias("present")
     )
     return (
         counts.filter(F.col("value").isNotNull())
-        .join(totals, "column")
+        .join(F.broadcast(totals), "column")
         .select(
             "column",
             "value",
@@ -320,15 +322,15 @@ def category_summary(
 ) -> DataFrame:
     """Per categorical column: number of categories, most frequent one and its share, and how many
     categories lie below the rare share."""
-    return category_summary_of(value_counts(df, cols), many, dominant, rare)
+    return category_summary_of(stage(value_counts(df, cols), "category-counts"), many, dominant, rare)
 
 
 def category_summary_of(counts: DataFrame, many: int = 30, dominant: float = 0.80, rare: float = 0.01) -> DataFrame:
-    """The same from given (column, value, rows) counts."""
+    """The same from stored (column, value, rows) counts; the totals have one row per column."""
     totals = counts.groupBy("column").agg(F.sum("rows").alias("present"))
     share = F.col("rows") / F.col("present")
     return (
-        counts.join(totals, "column")
+        counts.join(F.broadcast(totals), "column")
         .groupBy("column")
         .agg(
             F.count("*").alias("categories"),

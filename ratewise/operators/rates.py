@@ -8,29 +8,33 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewise.functions.columns import bin_edges, pair_key, ratio_rate, right_closed_bin, time_band_4
 from ratewise.functions.stats import pearson, rate_pct
 from ratewise.operators.profile import numeric_summary
 from ratewise.operators.reshape import bounded_values, melt_places, pivot_fill, value_counts
+from ratewise.sources.scratch import stage
 
 
 def rate_by_category(df: DataFrame, category: str, y: str, digits: int = 2) -> DataFrame:
+    """Rows and rate per category, highest rate first."""
     return (
         df.dropna(subset=[category, y])
         .groupBy(category)
-        .agg(F.count("*").alias("total"), rate_pct(y, digits).alias("rate_pct"))
-        .orderBy(F.col("rate_pct").desc(), category)
+        .agg(F.count("*").alias("total"), rate_pct(y, None).alias("rate"))
+        .orderBy(F.col("rate").desc(), category)
+        .select(category, "total", F.round("rate", digits).alias("rate_pct"))
     )
 
 
 def rate_by_category_all(df: DataFrame, cols: Sequence[str], y: str, max_categories: int = 20) -> DataFrame:
-    """Rate of every category of every column that has at most ``max_categories`` of them."""
-    counts = rate_cells(df, cols, y)
-    narrow = counts.groupBy("column").agg(F.count("*").alias("n")).filter(F.col("n") <= max_categories).select("column")
-    return counts.join(narrow, "column", "left_semi").select(
+    """Rate of every category of every column that has at most ``max_categories`` of them. The cells are
+    stored: they are counted per column first and then filtered by a list of columns."""
+    cells = stage(rate_cells(df, cols, y), "category-cells")
+    narrow = cells.groupBy("column").agg(F.count("*").alias("n")).filter(F.col("n") <= max_categories).select("column")
+    return cells.join(F.broadcast(narrow), "column", "left_semi").select(
         "column", "value", "rows", F.round(F.try_divide(F.col("positives") * 100.0, F.col("known")), 4).alias("rate_pct")
     )
 
@@ -161,26 +165,28 @@ def entity_mean_topn(df: DataFrame, places: Sequence[str], measure: str, n: int
         melt_places(df, places, [measure])
         .filter(F.col(measure).isNotNull())
         .groupBy("place")
-        .agg(F.count("*").alias("total"), F.round(F.avg(measure), 6).alias("mean"))
+        .agg(F.count("*").alias("total"), F.avg(measure).alias("mean"))
         .orderBy(F.col("mean").desc(), "place")
         .limit(n)
+        .withColumn("mean", F.round("mean", 6))
     )
 
 
 def attach_totals(table: DataFrame, key: str, measure: str, total: str = "total") -> DataFrame:
-    """Add the per-key total of an already aggregated table to each of its rows."""
-    totals = table.groupBy(key).agg(F.sum(measure).alias(total))
-    return table.join(totals, key)
+    """Add the per-key total of an already aggregated table to each of its rows. A window does it in one
+    pass over the table; joining a table with its own totals would compute it twice."""
+    return table.withColumn(total, F.sum(measure).over(Window.partitionBy(key)))  # a few rows per key
 
 
 def rate_contribution_long(df: DataFrame, places: Sequence[str], part: str, y: str, n: int = 20) -> DataFrame:
     """Points each level of ``part`` adds to the rate of the n busiest places. The raw rows are read once;
-    totals, ranking and shares come from the (place, part) table. Rows with an unknown level count in the
-    total but form no part."""
-    cells = (
+    totals, ranking and shares come from the stored (place, part) table. Rows with an unknown level count in
+    the total but form no part."""
+    cells = stage(
         melt_places(df, places, [part, y])
         .groupBy("place", part)
-        .agg(F.count("*").alias("cell_rows"), F.sum(y).alias("positives"))
+        .agg(F.count("*").alias("cell_rows"), F.sum(y).cast("long").alias("positives")),
+        "place-cells",
     )
     totals = cells.groupBy("place").agg(F.sum("cell_rows").alias("total"))
     busiest = totals.orderBy(F.col("total").desc(), "place").limit(n)
@@ -190,7 +196,7 @@ def rate_contribution_long(df: DataFrame, places: Sequence[str], part: str, y: s
         .select(
             "place",
             part,
-            F.col("positives").cast("long").alias("positives"),
+            "positives",
             "total",
             F.round(F.col("positives") * 100.0 / F.col("total"), 2).alias("points"),
         )
@@ -201,9 +207,9 @@ def rate_contribution(
     df: DataFrame, places: Sequence[str], part: str, y: str, n: int = 20, levels: Sequence[str] | None = None
 ) -> DataFrame:
     """The same as one row per place with one column per level and the row total, smallest total first."""
+    long = stage(rate_contribution_long(df, places, part, y, n), "contribution")
     if levels is None:
-        levels = bounded_values(df, part, 100)
-    long = rate_contribution_long(df, places, part, y, n)
+        levels = bounded_values(long, part, 100)
     wide = pivot_fill(long, "place", part, "points", levels)
     total = sum((F.col(f"`{v}`") for v in levels), F.lit(0.0))
     return wide.withColumn("row_total", F.round(total, 4)).orderBy("row_total", "place")

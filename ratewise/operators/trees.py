@@ -187,13 +187,14 @@ def tree_grid_search(
         held = rows.filter(F.col("fold") == fold).select("y", vector_to_array("features").alias("x"))
         parts.append(_score_cuts(held, tables, list(depths), list(split_minimums)).withColumn("fold", F.lit(fold)))
     scored = reduce(DataFrame.unionByName, parts)
-    table = (
+    table = stage(
         scored.withColumn("accuracy", F.col("hits") / F.col("n"))
         .groupBy("criterion", "depth", "leaf", "split")
         .agg(
             F.round(F.avg("accuracy"), digits).alias("accuracy_mean"),
             F.round(F.stddev_pop("accuracy"), digits).alias("accuracy_std"),
-        )
+        ),
+        "grid-scores",
     )
     grid = [
         (c, -1 if d is None else d, leaf, split)

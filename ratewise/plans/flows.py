@@ -105,7 +105,7 @@ def train_knn(
     train = split.filter("NOT is_test")
     folded = sampling.stratified_kfold(train, y, [id_column], seed=seed)
     vector = neighbors.vector_of(features)
-    search = stage(neighbors.knn_k_search(neighbors.points(folded, id_column, vector, y, "fold"), k_max), "k-search")
+    search = neighbors.knn_k_search(neighbors.points(folded, id_column, vector, y, "fold"), k_max)
     k = search.filter("best").first()["k"]
     train_points = neighbors.points(train, id_column, vector, y)
     test_points = neighbors.points(split.filter("is_test"), id_column, vector, y)
@@ -128,7 +128,7 @@ def train_tree(
     split = sampling.stratified_split(rows, y, [id_column], seed=seed)
     train = split.filter("NOT is_test")
     folded = sampling.stratified_kfold(train, y, [id_column], seed=seed)
-    search = stage(trees.tree_grid_search(trees.assemble(folded, features, y, ["fold"]), **grid_options), "grid-result")
+    search = trees.tree_grid_search(trees.assemble(folded, features, y, ["fold"]), **grid_options)
     params = trees.best_params(search)
     model = trees.tree_fit(trees.assemble(train, features, y), params)
     test = trees.assemble(split.filter("is_test"), features, y, [id_column])
