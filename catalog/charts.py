@@ -26,7 +26,14 @@ def _histogram_bins_by_group(spark, sf):
     return chartdata.histogram_bins(trips(spark, sf, "visibility", "kind"), "visibility", 12, ["kind"])
 
 
-@query("histogram_bins_auto")
+@query(
+    "histogram_bins_auto",
+    f"""WITH t AS ({logs_sql("load")}), s AS (SELECT min(load) AS lo, max(load) AS hi, count(*) AS n,
+    2 * (quantile_cont(load, 0.75) - quantile_cont(load, 0.25)) / pow(count(*), 1 / 3) AS fd FROM t),
+    e AS (SELECT lo, (hi - lo) / greatest(ceil((hi - lo) / fd), ceil(log2(n) + 1)) AS w, greatest(ceil((hi - lo) / fd), ceil(log2(n) + 1)) AS k FROM s),
+    b AS (SELECT CAST(1 + (SELECT count(*) FROM range(1, 2000) r(i) WHERE i < k AND load >= lo + i * w) AS INTEGER) AS bin, lo, w FROM t, e)
+    SELECT bin, round(max(lo + (bin - 1) * w), 6) AS lo, round(max(lo + bin * w), 6) AS hi, count(*) AS "rows" FROM b GROUP BY bin""",
+)
 def _histogram_bins_auto(spark, sf):
     return chartdata.histogram_bins(logs(spark, sf, "load"), "load")
 

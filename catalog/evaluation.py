@@ -195,6 +195,20 @@ def _result_rows(spark, sf):
     return ev.result_rows(predictions(spark, sf), "y", "pred", "score", "discount", "001", "001")
 
 
-@query("metrics_json")
+@query(
+    "metrics_json",
+    _RULES
+    + """SELECT model, model_id, view_id, round(acc, 9) AS accuracy, round(re, 9) AS recall, true AS valid FROM k""",
+)
 def _metrics_json(spark, sf):
-    return models.metrics_json(_rule_metrics(spark, sf))
+    """The JSON texts, read back."""
+    texts = models.metrics_json(_rule_metrics(spark, sf))
+    parsed = texts.select("model", "model_id", "view_id", F.from_json("json", "model string, metrics map<string,double>").alias("j"))
+    return parsed.select(
+        "model",
+        "model_id",
+        "view_id",
+        F.round(F.col("j.metrics")["accuracy"], 9).alias("accuracy"),
+        F.round(F.col("j.metrics")["recall"], 9).alias("recall"),
+        (F.col("j.model") == F.col("model")).alias("valid"),
+    )

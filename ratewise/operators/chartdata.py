@@ -37,7 +37,7 @@ def auto_bins(df: DataFrame, c: str, **options) -> int:
         return 1
     q = quantile_row(df, [c], {"q1": 0.25, "q3": 0.75}, **options).first()
     width = 2 * (q["q3"] - q["q1"]) / n ** (1 / 3)
-    sturges = math.ceil((hi - lo) / ((hi - lo) / (math.log2(n) + 1)))
+    sturges = math.ceil(math.log2(n) + 1)
     diaconis = math.ceil((hi - lo) / width) if width > 0 else 1
     return min(MAX_BINS, max(sturges, diaconis))
 

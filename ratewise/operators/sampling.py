@@ -22,7 +22,11 @@ PREFIX = 4  # 16**4 digit groups per class
 
 
 def class_counts(df: DataFrame, y: str) -> dict[int, int]:
-    return {r[0]: r[1] for r in df.groupBy(y).agg(F.count("*")).collect()}
+    """Rows per class. A null class is refused: its rows would belong to no part."""
+    counts = {r[0]: r[1] for r in df.groupBy(y).agg(F.count("*")).collect()}
+    if None in counts:
+        raise ValueError(f"class column {y} has {counts[None]} nulls")
+    return counts
 
 
 def _keyed(df: DataFrame, y: str, ids: Sequence[str], seed: int) -> DataFrame:
