@@ -108,7 +108,31 @@ def _tree_grid_search(spark, sf):
     return trees.tree_grid_search(trees.assemble(folded, features, "delayed", ["fold"]))
 
 
-@query("train_knn")
+# The five metrics of a table p(y, pred, score) with both classes and both predictions present.
+METRICS_SQL = """c AS (SELECT count(*) AS n, count(*) FILTER (WHERE y = pred) AS ok, count(*) FILTER (WHERE y = 1 AND pred = 1) AS tp,
+    count(*) FILTER (WHERE pred = 1) AS pp, count(*) FILTER (WHERE y = 1) AS ap, count(*) FILTER (WHERE y = 0) AS an FROM p),
+    z AS (SELECT ok / n AS acc, tp / pp AS pr, tp / ap AS re, ap, an FROM c),
+    h AS (SELECT score, count(*) FILTER (WHERE y = 1) AS a, count(*) FILTER (WHERE y = 0) AS b FROM p GROUP BY score),
+    j AS (SELECT *, sum(a) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) - a AS above FROM h),
+    u AS (SELECT sum(b * (above + a / 2)) AS wins FROM j)
+    SELECT round(acc, 12) AS accuracy, round(pr, 12) AS "precision", round(re, 12) AS recall, round(2 * pr * re / (pr + re), 12) AS f1,
+    round(CAST(wins AS DOUBLE) / CAST(ap * an AS DOUBLE), 9) AS auc_roc FROM z, u"""
+
+
+@query(
+    "train_knn",
+    _SPLIT
+    + f""", tr AS (SELECT id, v, s.delayed AS delayed, (5 * (s.k - CAST(quota AS BIGINT) - 1)) // (n - CAST(quota AS BIGINT)) AS fold FROM s JOIN q_t ON s.delayed = q_t.delayed WHERE NOT is_test),
+    d AS (SELECT a.id AS id, a.fold AS fold, a.delayed AS y, b.id AS nid, b.delayed AS ny, {_DISTANCE.format("a.v", "b.v")} AS distance FROM tr a JOIN tr b ON a.fold <> b.fold),
+    g AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY distance, nid) AS rank FROM d),
+    vt AS (SELECT *, sum(ny) OVER (PARTITION BY id ORDER BY rank ROWS UNBOUNDED PRECEDING) AS votes FROM g WHERE rank <= 30),
+    fa AS (SELECT rank, fold, avg(CASE WHEN CAST(votes * 2 > rank AS INTEGER) = y THEN 1.0 ELSE 0.0 END) AS acc FROM vt GROUP BY rank, fold),
+    bk AS (SELECT rank AS k FROM fa GROUP BY rank ORDER BY round(avg(acc), 9) DESC, rank LIMIT 1),
+    td AS (SELECT a.id AS id, a.delayed AS y, b.id AS nid, b.delayed AS ny, {_DISTANCE.format("a.v", "b.v")} AS distance FROM s a JOIN tr b ON a.is_test),
+    tg AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY distance, nid) AS rank FROM td),
+    p AS (SELECT id, y, CAST(sum(ny) * 2 > max(k) AS INTEGER) AS pred, sum(ny) / max(k) AS score FROM tg, bk WHERE rank <= k GROUP BY id, y), """
+    + METRICS_SQL,
+)
 def _train_knn(spark, sf):
     rows, features = _columns(spark, sf)
     return flows.train_knn(rows, "id", features, "delayed").metrics

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.feature_building import BOOKING_COLUMNS, _BOOKING_VIEW, _rounded, booking_spec
-from catalog.models import _booking_rows, _columns, vectors
+from catalog.models import _DISTANCE, _RANKED, _T, METRICS_SQL, _booking_rows, _columns, vectors
 from catalog.registry import bookings, bookings_sql, query, table, trips, trips_sql
+from catalog.sampling import quota_sql
 from ratewise.operators import evaluate as ev
 from ratewise.operators import neighbors, rates, sampling, trees
 from ratewise.plans import flows
@@ -71,7 +72,16 @@ def _score_saved_model(spark, sf):
     return flows.evaluate_saved_model(models.load_tree(spark, root, "001"), rows, "id", features, "delayed")
 
 
-@query("score_saved_knn")
+@query(
+    "score_saved_knn",
+    f"""WITH {_T}, {_RANKED}, m AS (SELECT min(n) AS q FROM r), s AS (SELECT id, v, delayed, k FROM r, m WHERE k <= q), {quota_sql("s")},
+    w AS (SELECT s.*, k <= quota AS is_test FROM s JOIN q_s ON s.delayed = q_s.delayed),
+    a AS (SELECT id, v, delayed FROM w WHERE is_test UNION ALL SELECT id, v, delayed FROM r, m WHERE k > q),
+    d AS (SELECT a.id AS id, a.delayed AS y, b.id AS nid, b.delayed AS ny, {_DISTANCE.format("a.v", "b.v")} AS distance FROM a JOIN w b ON NOT b.is_test),
+    g AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY distance, nid) AS rank FROM d),
+    p AS (SELECT id, y, CAST(sum(ny) * 2 > 9 AS INTEGER) AS pred, sum(ny) / 9 AS score FROM g WHERE rank <= 9 GROUP BY id, y), """
+    + METRICS_SQL,
+)
 def _score_saved_knn(spark, sf):
     root, (rows, features) = new_path(spark, "models"), _columns(spark, sf)
     marked = sampling.undersample_majority(rows, "delayed", ["id"])
