@@ -25,6 +25,7 @@ from ratewise.sources.scratch import stage
 
 MAX_PIVOTS = 256
 BLOCK_ROWS = 4096
+TWO_ROUND_ROWS = 500_000
 NO_GROUP = -1
 
 
@@ -112,8 +113,11 @@ def _describe(placed: DataFrame, pivots: np.ndarray, k: int) -> _Cells:
     return _Cells(pivots, size, nearest, farthest, close, scale)
 
 
-def _candidate_cells(v: np.ndarray, g: np.ndarray, cells: _Cells) -> tuple[np.ndarray, np.ndarray]:
-    """Per query row: a bound on its k-th neighbour distance, and the mask of cells within that bound."""
+def _candidate_cells(
+    v: np.ndarray, g: np.ndarray, cells: _Cells, known: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Per query row: a bound on its k-th neighbour distance (no larger than a known one), and the mask of
+    cells within that bound."""
     d = _distances(v, cells.pivots)
     norm = np.sqrt((v * v).sum(1))
     slack = 1e-5 * (cells.scale + norm)  # covers rounding in the distances above
@@ -125,6 +129,8 @@ def _candidate_cells(v: np.ndarray, g: np.ndarray, cells: _Cells) -> tuple[np.nd
         reach = (d[rows][:, :, None] + table[None, :, :]).reshape(len(rows), -1)
         bound[rows] = np.partition(reach, k - 1, axis=1)[:, k - 1]
     bound = bound + 4.0 * slack
+    if known is not None:
+        bound = np.minimum(bound, known * (1 + 1e-9))
     low = np.maximum(d - cells.farthest[None, :], cells.nearest[None, :] - d)
     own = d.argmin(1)
     between = _distances(cells.pivots, cells.pivots)[own]
@@ -135,20 +141,41 @@ def _candidate_cells(v: np.ndarray, g: np.ndarray, cells: _Cells) -> tuple[np.nd
     return bound, (low <= bound[:, None]) & (cells.size > 0)[None, :]
 
 
-def _route(test: DataFrame, cells: _Cells, chunk: int = 256) -> DataFrame:
-    """Add the bound and the list of cells to visit."""
+def _route(test: DataFrame, cells: _Cells, own_only: bool, chunk: int = 256) -> DataFrame:
+    """Add the bound and the list of cells to visit: all that may matter, or just the nearest one."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for start in range(0, len(batch), chunk):
                 part = batch.iloc[start : start + chunk]
-                bound, mask = _candidate_cells(np.stack(part["v"].to_numpy()), part["g"].to_numpy(), cells)
-                visits = [np.flatnonzero(m).astype("int32") for m in mask]
+                v = np.stack(part["v"].to_numpy())
+                bound, mask = _candidate_cells(v, part["g"].to_numpy(), cells)
+                if own_only:
+                    d = np.where(cells.size > 0, _distances(v, cells.pivots), np.inf)
+                    visits = [np.array([c], dtype="int32") for c in d.argmin(1)]
+                else:
+                    visits = [np.flatnonzero(m).astype("int32") for m in mask]
                 yield part.assign(bound=bound, cells=visits)
 
     return test.mapInPandas(run, "id long, v array<double>, y int, g int, bound double, cells array<int>")
 
 
+def _reroute(searched: DataFrame, cells: _Cells, chunk: int = 256) -> DataFrame:
+    """Cells still to visit once the nearest cell gave k neighbours: the distance of the k-th one (``kth``)
+    is a much tighter bound. ``cells`` holds the visited cell on the way in."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for start in range(0, len(batch), chunk):
+                part = batch.iloc[start : start + chunk]
+                known = part["kth"].fillna(np.inf).to_numpy(dtype="float64")
+                bound, mask = _candidate_cells(np.stack(part["v"].to_numpy()), part["g"].to_numpy(), cells, known)
+                mask[np.arange(len(part)), [c[0] for c in part["cells"]]] = False
+                yield part.drop(columns="kth").assign(bound=bound, cells=[np.flatnonzero(m).astype("int32") for m in mask])
+
+    return searched.mapInPandas(run, "id long, v array<double>, y int, g int, bound double, cells array<int>")
+
+
 def closest_pairs(
     a: np.ndarray, b: np.ndarray, ids: np.ndarray, allowed: np.ndarray | None, bound: np.ndarray, k: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -177,20 +204,13 @@ def closest_pairs(
     return rows[first], cols[first], exact[first]
 
 
-def knn_neighbors(
-    train: DataFrame, test: DataFrame, k: int, block_rows: int = BLOCK_ROWS, max_pivots: int = MAX_PIVOTS
-) -> DataFrame:
-    """(id, y, g, rank, neighbor, neighbor_y, distance) with the k closest train rows of every test row,
-    ties by smaller neighbour id. Inputs come from ``points``; ids are unique within each side."""
-    train = stage(_without_spare_copies(train, k), "knn-points")
-    pivot_count = int(max(1, min(max_pivots, train.count() // 256)))
-    sample = hash_sample(train.select("id", "v"), ["id"], pivot_count).collect()  # at most MAX_PIVOTS vectors
-    pivots = np.array([r["v"] for r in sample], dtype=np.float64)
-    placed = stage(_place(train, pivots), "knn-train")
-    cells = _describe(placed, pivots, k)
-    routed = stage(_route(test, cells), "knn-test")
+FOUND = "id long, y int, g int, neighbor long, neighbor_y int, distance double"
+
+
+def _visit(routed: DataFrame, placed: DataFrame, cells: _Cells, k: int, block_rows: int) -> DataFrame:
+    """Compare every query row with the cells it visits; at most k rows per query row and block come back."""
     visits = routed.withColumn("cell", F.explode("cells")).drop("cells")
-    queries = np.zeros(len(pivots), dtype=np.int64)
+    queries = np.zeros(len(cells.pivots), dtype=np.int64)
     for r in visits.groupBy("cell").agg(F.count("*").alias("n")).collect():  # one row per pivot
         queries[r["cell"]] = r["n"]
 
@@ -236,11 +256,10 @@ def knn_neighbors(
             }
         )
 
-    found = (
-        left.groupBy(*keys)
-        .cogroup(right.groupBy(*keys))
-        .applyInPandas(compare, "id long, y int, g int, neighbor long, neighbor_y int, distance double")
-    )
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, FOUND)
+
+
+def _closest(found: DataFrame, k: int) -> DataFrame:
     nearest = Window.partitionBy("id").orderBy("distance", "neighbor")
     return (
         found.withColumn("rank", F.row_number().over(nearest))
@@ -249,6 +268,38 @@ def knn_neighbors(
     )
 
 
+def knn_neighbors(
+    train: DataFrame,
+    test: DataFrame,
+    k: int,
+    block_rows: int = BLOCK_ROWS,
+    max_pivots: int = MAX_PIVOTS,
+    two_rounds: bool | None = None,
+) -> DataFrame:
+    """(id, y, g, rank, neighbor, neighbor_y, distance) with the k closest train rows of every test row,
+    ties by smaller neighbour id. Inputs come from ``points``; ids are unique within each side.
+
+    Large train sets are searched in two rounds: the nearest cell first, then only the cells that can still
+    hold something closer than the k-th neighbour found there."""
+    train = stage(_without_spare_copies(train, k), "knn-points")
+    size = train.count()
+    pivot_count = int(max(1, min(max_pivots, size // 256)))
+    sample = hash_sample(train.select("id", "v"), ["id"], pivot_count).collect()  # at most MAX_PIVOTS vectors
+    pivots = np.array([r["v"] for r in sample], dtype=np.float64)
+    placed = stage(_place(train, pivots), "knn-train")
+    cells = _describe(placed, pivots, k)
+    if two_rounds is None:
+        two_rounds = size >= TWO_ROUND_ROWS
+    routed = stage(_route(test, cells, two_rounds), "knn-test")
+    found = _visit(routed, placed, cells, k, block_rows)
+    if not two_rounds:
+        return _closest(found, k)
+    first = stage(_closest(found, k), "knn-first")
+    kth = first.filter(F.col("rank") == k).select("id", F.col("distance").alias("kth"))
+    rest = stage(_reroute(routed.join(kth, "id", "left"), cells), "knn-rest")
+    return _closest(first.drop("rank").unionByName(_visit(rest, placed, cells, k, block_rows)), k)
+
+
 def knn_classify(train: DataFrame, test: DataFrame, k: int, **options) -> DataFrame:
     """(id, y, pred, score): uniform votes, score = share of positive votes, a tied vote is class 0."""
     votes = (

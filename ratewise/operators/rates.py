@@ -271,18 +271,15 @@ def one_way_routes(df: DataFrame, a: str, b: str) -> DataFrame:
 
 def class_balance(df: DataFrame, y: str) -> DataFrame:
     """Count and share per class, plus the smallest/largest ratio and its level."""
-    counts = df.filter(F.col(y).isNotNull()).groupBy(F.col(y).alias("class")).agg(F.count("*").alias("rows"))
-    # A handful of classes: one row holding them all is enough to rate the balance.
-    whole = counts.agg(
-        F.sum("rows").alias("all"),
-        (F.min("rows") / F.max("rows")).alias("ratio"),
-        F.collect_list(F.struct("class", "rows")).alias("classes"),
+    counts = stage(
+        df.filter(F.col(y).isNotNull()).groupBy(F.col(y).alias("class")).agg(F.count("*").alias("rows")), "class-counts"
     )
-    ratio = F.col("ratio")
-    return whole.select("all", "ratio", F.inline("classes")).select(
+    whole = counts.agg(F.sum("rows").alias("all"), (F.min("rows") / F.max("rows")).alias("ratio")).first()
+    ratio, total = F.lit(whole["ratio"]).cast("double"), F.lit(whole["all"]).cast("double")
+    return counts.select(
         "class",
         "rows",
-        F.round(F.col("rows") * 100.0 / F.col("all"), 4).alias("pct"),
+        F.round(F.col("rows") * 100.0 / total, 4).alias("pct"),
         F.round(ratio, 6).alias("ratio"),
         F.when(ratio < 0.25, "severe").when(ratio < 0.5, "moderate").otherwise("acceptable").alias("level"),
     )

@@ -30,13 +30,19 @@ def brute(tv, ty, tid, qv, k, allowed=None):
     return out
 
 
+@pytest.mark.parametrize("two_rounds", [False, True])
 @pytest.mark.parametrize("copies,decimals", [(0, None), (300, None), (0, 0)])
-def test_neighbors_equal_brute_force(spark, copies, decimals):
+def test_neighbors_equal_brute_force(spark, copies, decimals, two_rounds):
     """Several cells, small blocks, a third of the train rows equal, and many tied distances."""
     train, tv, ty, _ = cloud(spark, 900, 3, 1, copies=copies, decimals=decimals)
     test, qv, _, _ = cloud(spark, 120, 3, 2, first=5000, decimals=decimals)
     found = neighbors.knn_neighbors(
-        neighbors.points(train, "id", "vec", "y"), neighbors.points(test, "id", "vec", "y"), 7, block_rows=64, max_pivots=12
+        neighbors.points(train, "id", "vec", "y"),
+        neighbors.points(test, "id", "vec", "y"),
+        7,
+        block_rows=64,
+        max_pivots=12,
+        two_rounds=two_rounds,
     )
     got = {}
     for r in found.orderBy("id", "rank").collect():
@@ -44,9 +50,10 @@ def test_neighbors_equal_brute_force(spark, copies, decimals):
     assert got == brute(tv, ty, list(range(900)), qv, 7)
 
 
-def test_k_search_equals_brute_force(spark):
+@pytest.mark.parametrize("two_rounds", [False, True])
+def test_k_search_equals_brute_force(spark, two_rounds):
     df, v, y, g = cloud(spark, 600, 2, 3)
-    got = neighbors.knn_k_search(neighbors.points(df, "id", "vec", "y", "fold"), 9, block_rows=100, max_pivots=4).toPandas()
+    got = neighbors.knn_k_search(neighbors.points(df, "id", "vec", "y", "fold"), 9, block_rows=100, max_pivots=4, two_rounds=two_rounds).toPandas()
     near = brute(v, y, list(range(600)), v, 9, allowed=lambda i, j: g[i] != g[j])
     best = None
     for k in range(1, 10):

@@ -177,3 +177,7 @@ def test_charts(flights, flights_pd):
     assert chartdata.scatter_sample(flights, "distancia_vuelo", "tiempo_estimado_vuelo", ["id_vuelo"], 50).count() == 50
     cells = chartdata.heatmap_lower_triangle(flights, ["distancia_vuelo", "visibilidad", "ocupacion_vuelo"]).count()
     assert cells == 3
+
+
+def test_balance_of_empty_table(spark):
+    assert rates.class_balance(spark.createDataFrame([], "y int"), "y").collect() == []

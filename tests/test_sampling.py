@@ -53,3 +53,9 @@ def test_tiny_classes(spark):
 def test_quota_rounding():
     assert sampling.split_quotas({0: 10222, 1: 4778}, 0.3) == {0: 3067, 1: 1433}
     assert sum(sampling.split_quotas({0: 5, 1: 5, 2: 5}, 0.3).values()) == 5
+
+
+def test_null_class_is_refused(spark):
+    rows = spark.createDataFrame([(1, 1), (2, None), (3, 0)], "id long, y int")
+    with pytest.raises(ValueError):
+        sampling.stratified_split(rows, "y", ["id"])
