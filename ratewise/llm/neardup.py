@@ -2,7 +2,8 @@
 
 Instead of drawing every table's hashes anew, two small collections of band keys are drawn and a table is a
 pair of them: c * c tables cost the hashes of 2 * c bands. Documents with equal sets are one from the start.
-In every table bucket, members are tied to one member (another one in each table), never all to all; ties
+In every table bucket, members are tied to its first member, never all to all (like documents share many
+buckets, with other members and other first ones); ties
 whose signatures are clearly too unlike are cut, and what stays connected is a family. Within a family all
 pairs are decided on full sets, by blocks of bounded size; distances to a few members rule out pairs by the
 triangle inequality, and pairs already in one component are passed over. Links become components.
@@ -96,12 +97,11 @@ def signatures(docs: DataFrame, n: int, bands: int, band: int = BAND, seed: int
 
 
 def table_ties(sets: DataFrame, bands: int) -> DataFrame:
-    """(a, b): in every table, each member of a bucket tied to one member."""
+    """(a, b): in every table, each member of a bucket tied to the smallest."""
     first, second = F.sequence(F.lit(0), F.lit(bands - 1)), F.sequence(F.lit(bands), F.lit(2 * bands - 1))
     tables = F.flatten(F.transform(first, lambda i: F.transform(second, lambda j: F.xxhash64(i, j, F.get("keys", i), F.get("keys", j)))))
     rows = sets.select(F.col("doc_id").alias("b"), F.explode(tables).alias("key"))
-    centre = F.min(F.struct(F.xxhash64("key", "b").alias("r"), F.col("b").alias("a")))
-    buckets = rows.groupBy("key").agg(centre.alias("c"), F.count("*").alias("n")).filter("n > 1").select(F.col("key").alias("c_key"), "c.a")
+    buckets = rows.groupBy("key").agg(F.min("b").alias("a"), F.count("*").alias("n")).filter("n > 1").select(F.col("key").alias("c_key"), "a")
     return rows.join(buckets, F.col("key") == F.col("c_key")).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
