@@ -15,7 +15,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -29,6 +29,8 @@ from ratewise.llm.common import ascii_words, chunks, mixed, stage, texts_of
 OUTPUTS, CLASS_WORDS, ENDINGS, STATE, EMBEDDING = 1024, 64, 63, 16, 16
 #: Words whose counts every task knows; the counts of all others meet their documents in a join.
 KNOWN_WORDS = 65_536
+#: They make up at least this share of all tokens each, so at most a million words are ordered to find them.
+KNOWN_SHARE = 1e-6
 #: Training tokens: a base and a share of the corpus; tokens to a worker; rounds; steps to a window; lanes.
 TRAIN_BASE, TRAIN_SHARE, WORKER_TOKENS, ROUNDS, WINDOW, LANES = 400_000, 0.015, 500_000, 4, 24, 32
 #: Smoothing of counts.
@@ -78,7 +80,6 @@ class Vocabulary:
     endings: list[bytes]
     class_tokens: np.ndarray
     class_words: np.ndarray
-    _symbols: dict = field(default_factory=dict, repr=False)
 
     @property
     def outputs(self) -> int:
@@ -97,31 +98,44 @@ class Vocabulary:
     def base_floor(self) -> float:
         return math.log10(self.tokens + ADD * (self.distinct + 1))
 
-    def ending_class(self, word: bytes) -> int:
-        return self._endings.get(ending(word), len(self.endings))
-
     def open(self) -> Vocabulary:
         """Look-up tables, made once in each task."""
-        self.place = {w: i for i, w in enumerate(self.words)}
-        self._endings = {e: i for i, e in enumerate(self.endings)}
-        self._symbols = {}
+        ends = {e: i for i, e in enumerate(self.endings)}
+        self.ending_class = lambda word: ends.get(ending(word), len(ends))
+        self.code = Codes(self)
+        known = np.arange(len(self.words) + len(ends) + 1)
+        known[len(self.words) :] += self.outputs - len(self.words)
+        known[self.outputs : len(self.words)] = [self.outputs + self.ending_class(w) for w in self.words[self.outputs :]]
+        self.symbol_of = known.astype(np.int32)
         return self
 
+    def codes(self, words: list[bytes]) -> np.ndarray:
+        """Place among the common words; others: len(words) + class of their ending."""
+        if len(self.code) > 600_000:
+            self.code = Codes(self)
+        return np.fromiter(map(self.code.__getitem__, words), dtype=np.int32, count=len(words))
+
     def symbols(self, words: list[bytes]) -> np.ndarray:
-        """Frequent words by rank; others by OUTPUTS + class of their ending."""
-        known = self._symbols
-        if len(known) > 400_000:
-            known.clear()
-        for w in set(words).difference(known):
-            i = self.place.get(w, -1)
-            known[w] = i if 0 <= i < self.outputs else self.outputs + self.ending_class(w)
-        return np.fromiter(map(known.__getitem__, words), dtype=np.int32, count=len(words))
+        """Frequent words by rank; others by `outputs` + class of their ending."""
+        return self.symbol_of[self.codes(words)]
+
+
+class Codes(dict):
+    """Codes of words, made when first asked for."""
+
+    def __init__(self, vocab: Vocabulary):
+        super().__init__((w, i) for i, w in enumerate(vocab.words))
+        self.vocab = vocab
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = code = len(self.vocab.words) + self.vocab.ending_class(word)
+        return code
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
     """From the table of all counts; fetches KNOWN_WORDS words, the classes and totals."""
     totals = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    top = counts.orderBy(F.desc("n"), "h").limit(KNOWN_WORDS).collect()
+    top = counts.filter(F.col("n") >= KNOWN_SHARE * (totals["n"] or 0)).orderBy(F.desc("n"), "h").limit(KNOWN_WORDS).collect()
     own = [r["word"] for r in top[:OUTPUTS]]
     if own and END not in own:
         own[-1] = END
@@ -149,9 +163,10 @@ def initial(vocab: Vocabulary, seed: int = 5) -> dict[str, np.ndarray]:
     small = lambda *shape: (draw.standard_normal(shape) * 0.1).astype(np.float32)
     counts = np.zeros(k * CLASS_WORDS)
     counts[: vocab.outputs] = vocab.counts[: vocab.outputs] + ADD
+    total = max(1.0, counts.sum() + vocab.class_tokens.sum())
     shares = np.concatenate([counts.reshape(k, CLASS_WORDS).sum(axis=1), vocab.class_tokens + ADD])
     with np.errstate(divide="ignore"):
-        word_bias = np.maximum(np.log(counts), -1e4)  # slots without a word
+        word_bias = np.maximum(np.log(counts / total), -1e4)  # slots without a word
     return {
         "emb": small(symbols, EMBEDDING) * 5,
         "wx": small(EMBEDDING, 3 * STATE) * 3,
@@ -187,6 +202,10 @@ def forward(p: dict, table: np.ndarray, x: np.ndarray, fresh: np.ndarray, h: np.
     return before, h, kept
 
 
+#: Logits start as log shares and stay far below; a bound keeps their exponentials finite.
+_MOST = np.float32(60)
+
+
 def target_classes(vocab: Vocabulary, y: np.ndarray) -> np.ndarray:
     return np.where(y < vocab.outputs, y // CLASS_WORDS, vocab.word_classes + y - vocab.outputs)
 
@@ -196,8 +215,7 @@ def log_probabilities(p: dict, vocab: Vocabulary, h: np.ndarray, y: np.ndarray,
     `grads` and returns the gradient of the states if asked."""
     c = target_classes(vocab, y)
     rows = np.arange(len(y))
-    logits = h @ p["wc"] + p["bc"]
-    logits -= logits.max(axis=1, keepdims=True)
+    logits = np.minimum(h @ p["wc"] + p["bc"], _MOST)
     e = np.exp(logits)
     total = e.sum(axis=1)
     out = logits[rows, c] - np.log(total)
@@ -217,8 +235,7 @@ def log_probabilities(p: dict, vocab: Vocabulary, h: np.ndarray, y: np.ndarray,
         if not len(at):
             continue
         hk, word = h[at], y[at] - k * CLASS_WORDS
-        logits = hk @ p["ww"][k] + p["bw"][k]
-        logits -= logits.max(axis=1, keepdims=True)
+        logits = np.minimum(hk @ p["ww"][k] + p["bw"][k], _MOST)
         e = np.exp(logits)
         total = e.sum(axis=1)
         out[at] += logits[np.arange(len(at)), word] - np.log(total)
@@ -420,26 +437,23 @@ def _scored(given: DataFrame, counts: DataFrame, vocab: Vocabulary, p: dict) ->
         below = np.log10(v.class_tokens + ADD * (v.class_words + 1))
         base_row, seen = (TaskContext.get().partitionId() << 33), 0
         info = pa.struct([("doc_id", pa.int64()), ("learn", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
-        for batch in chunks(batches, most=2 << 20):
+        for batch in chunks(batches, most=6 << 20):
             symbols, about, rows, hashes, times = [], [], [], [], []
+            learns, docs = batch.column("learn").to_pylist(), batch.column("doc_id").to_pylist()
             for k, text in enumerate(texts_of(batch)):
                 words = [*ascii_words(text), END]
-                ids = v.symbols(words)
+                codes = v.codes(words)
+                ids = v.symbol_of[codes]
                 symbols.append(ids)
-                n_known, base, inside = 0, 0.0, 0.0
+                common = codes < len(v.words)
+                own = log_count[codes[common]]
                 row = base_row + seen + k
-                for w, n in Counter(words).items():
-                    at = v.place.get(w, -1)
-                    if at >= 0:
-                        n_known += n if v.counts[at] else 0
-                        base += n * log_count[at]
-                        if at >= v.outputs:
-                            inside += n * log_count[at]
-                    else:
-                        rows.append(row), hashes.append(digest(w)), times.append(n)
-                rare = ids[ids >= v.outputs] - v.outputs
-                inside -= float(below[rare].sum())
-                about.append([row, batch.column("doc_id")[k].as_py(), batch.column("learn")[k].as_py(), len(words), n_known, base - len(words) * v.base_floor, inside])
+                others = Counter([words[i] for i in np.flatnonzero(~common).tolist()])
+                rows += [row] * len(others)
+                hashes += map(digest, others)
+                times += others.values()
+                inside = own[codes[common] >= v.outputs].sum() - below[ids[ids >= v.outputs] - v.outputs].sum()
+                about.append([row, docs[k], learns[k], len(words), int((v.counts[codes[common]] > 0).sum()), float(own.sum()) - len(words) * v.base_floor, float(inside)])
             seen += batch.num_rows
             for a, s in zip(about, likelihoods(p, v, symbols)):
                 a[6] += float(s)
