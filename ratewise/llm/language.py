@@ -23,7 +23,7 @@ from ratewise.llm.common import MIX, chunks, mixed, stage, texts_of
 GRAMS, SLOT_BITS, PROBES = 65_536, 20, 3
 #: A language owns a gram whose share in it is at least this part of the largest share in any language.
 OWN_PART, LEAST_COUNT = 0.2, 3
-UNKNOWN = "und"
+UNKNOWN, FEW = "und", 20
 
 #: A-Z to a-z; all other ASCII that isn't a letter to a space; bytes of other letters stay.
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -70,12 +70,13 @@ class Filter:
         filled = np.array([((table >> np.uint64(k)) & np.uint64(1)).mean() for k in range(len(languages))])
         return cls(languages, table, filled**PROBES)
 
-    def judge(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Index of the best language of each text (the first of equals) and its score; -1 where nothing hits."""
+    def judge(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Index of the best language of each text (the first of equals; -1 where nothing hits), its score, and
+        the number of grams."""
         codes, at = grams(texts)
         n = np.diff(at)
         if not self.languages:
-            return np.full(len(texts), -1), np.zeros(len(texts))
+            return np.full(len(texts), -1), np.zeros(len(texts)), n
         masks = np.full(len(codes), np.uint64(2**64 - 1))
         for s in slots(codes):
             masks &= self.table[s]
@@ -85,7 +86,7 @@ class Filter:
             hits[:, k] = np.maximum((seen[at[1:]] - seen[at[:-1]] - n * rate) / max(1 - rate, 1e-9), 0)
         best, total = hits.argmax(axis=1), hits.sum(axis=1)
         score = np.divide(hits.max(axis=1), total, out=np.zeros(len(texts)), where=total > 0)
-        return np.where(total > 0, best, -1), score
+        return np.where(total > 0, best, -1), score, n
 
 
 def count_grams(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
@@ -135,7 +136,7 @@ def predict(docs: DataFrame, model: Filter, id_col: str = "doc_id", text_col: st
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            best, score = model.judge(texts_of(batch))
+            best, score, _ = model.judge(texts_of(batch))
             lettered = [bool(t and _LETTER.search(t)) and bool(model.languages) for t in batch.column("text").to_pylist()]
             names = [model.languages[max(b, 0)] if ok else UNKNOWN for b, ok in zip(best, lettered)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names, pa.string()), pa.array(np.where(lettered, score, 0.0))], names=["doc_id", "lang_pred", "score"])
@@ -145,13 +146,14 @@ def predict(docs: DataFrame, model: Filter, id_col: str = "doc_id", text_col: st
 
 
 def keep_identified(docs: DataFrame, model: Filter, text_col: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose text has an identified language."""
+    """The rows, with all their columns, whose text has an identified language: it has a letter, and if it is
+    longer than FEW grams at least one that a language owns."""
     schema = docs.schema
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, text_col):
             ok = [bool(t and _LETTER.search(t)) for t in batch.column(text_col).to_pylist()]
-            best, _ = model.judge(texts_of(batch, text_col))
-            yield batch.filter(pa.array([a and b >= 0 for a, b in zip(ok, best.tolist())], pa.bool_()))
+            best, _, n = model.judge(texts_of(batch, text_col))
+            yield batch.filter(pa.array(np.array(ok) & ((best >= 0) | (n <= FEW)), pa.bool_()))
 
     return docs.mapInArrow(kernel, schema)

@@ -1,7 +1,7 @@
 """Licence scans: lines against licence templates by sparse TF-IDF cosine, then inheritance along directories.
 
-Inverse document frequencies come from all given files. A line is compared if it holds a template word that
-is rare in the files; a whole file is compared if its text is short enough to be a licence file. Files
+Inverse document frequencies come from all given files. A line is compared if it holds a few different template
+words; a whole file is compared if its text is short enough to be a licence file. Files
 without a licence of their own take that of the licence file in the nearest directory above them, found by
 equi-joins on directory paths.
 """
@@ -26,8 +26,8 @@ TEMPLATES = {
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
     "MIT": "Released under the MIT License.",
 }
-#: Least cosine of a statement; a word is rare if at most this share of the files has it.
-LEAST, RARE = 0.75, 0.05
+#: Least cosine of a statement, and least number of different template words in it.
+LEAST, SHARED = 0.75, 3
 #: A file of at most so many words beside its licence lines speaks for its directory.
 LICENCE_FILE_WORDS = 40
 
@@ -65,7 +65,6 @@ class Templates:
         self.idf = {w: math.log((1 + files) / (1 + counts.get(w, 0))) + 1 for t in templates.values() for w in words(t)}
         self.vectors = {name: self._weights(Counter(words(t))) for name, t in sorted(templates.items())}
         self.norms = {name: math.sqrt(sum(v * v for v in vec.values())) for name, vec in self.vectors.items()}
-        self.rare = {w for w in self.idf if counts.get(w, 0) <= RARE * files} or set(self.idf)
 
     def _weights(self, counts: Counter) -> dict[str, float]:
         return {w: n * self.idf.get(w, self.other) for w, n in counts.items()}
@@ -88,17 +87,16 @@ def statements(files: DataFrame, templates: dict[str, str] = TEMPLATES, least: f
     model = Templates(templates, *document_counts(files, {w for t in templates.values() for w in words(t)}))
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stems = re.compile("|".join(sorted(map(re.escape, model.rare))))
         for batch in chunks(batches):
             out: list[list] = [[], [], [], [], []]
             for path, text in zip(batch.column("path").to_pylist(), batch.column("text").to_pylist()):
-                if not text or not stems.search(text.lower()):
+                if not text:
                     continue
                 best, stated, total = ("", 0.0, 0), 0, 0
                 for k, line in enumerate(text.split("\n")):
                     ws = words(line)
                     total += len(ws)
-                    if not model.rare.isdisjoint(ws):
+                    if len(model.idf.keys() & set(ws)) >= SHARED:
                         name, cosine = model.best(ws)
                         if cosine >= least:
                             stated += len(ws)
