@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 from ratewise.llm.common import ascii_words, chunks, mixed, stage, texts_of
 from ratewise.llm.components import components
 
-#: Hashes to a band, chance to miss a pair at the threshold in all tables, members to a block.
-BAND, MISS, BLOCK = 3, 5e-4, 1024
+#: Hashes to a band, chance to miss a pair at the threshold in all tables, members to a block; hashes beside
+#: those of the bands, for the estimate of similarity alone.
+BAND, MISS, BLOCK, MORE = 2, 5e-4, 1024, 28
 
 
 def bands_for(threshold: float, band: int = BAND, miss: float = MISS) -> int:
@@ -35,7 +36,7 @@ def bands_for(threshold: float, band: int = BAND, miss: float = MISS) -> int:
 class WordHasher:
     """64-bit values of words, remembered for frequent ones."""
 
-    def __init__(self, most: int = 300_000):
+    def __init__(self, most: int = 150_000):
         self.known: dict[bytes, int] = {}
         self.most = most
 
@@ -64,7 +65,8 @@ def shingle_set(words: list[bytes], n: int, hasher: WordHasher) -> np.ndarray:
 
 def signatures(docs: DataFrame, n: int, bands: int, band: int = BAND, seed: int = 11) -> DataFrame:
     """doc_id, n_shingles, set_hash, keys (2 * bands), sig (all minhashes, 16 bits each) of every row."""
-    count = 2 * bands * band
+    banded = 2 * bands * band
+    count = banded + MORE
     draw = np.random.default_rng(seed)
     mult = draw.integers(1, 2**63, count, dtype=np.uint64) | np.uint64(1)
 
@@ -85,7 +87,7 @@ def signatures(docs: DataFrame, n: int, bands: int, band: int = BAND, seed: int
                 out[1].append(mixed(s).sum(dtype=np.uint64).tobytes() + np.bitwise_xor.reduce(mixed(s * mult[0])).tobytes())
                 keys = np.zeros(2 * bands, dtype=np.uint64)
                 for i in range(band):
-                    keys = mixed(keys + low[i::band] + np.uint64(i + 1))
+                    keys = mixed(keys + low[i:banded:band] + np.uint64(i + 1))
                 out[2].append(keys.view(np.int64).tolist())
                 out[3].append((mixed(low) & np.uint64(0xFFFF)).astype("<u2").tobytes())
             yield pa.RecordBatch.from_arrays(
@@ -231,7 +233,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     filled = signed.filter("n_shingles > 0 and doc_id is not null")
     classes = stage(filled.groupBy("set_hash").agg(F.min("doc_id").alias("rep")), "near-classes")
     sets = stage(classes.join(filled.withColumnRenamed("set_hash", "h"), (F.col("rep") == F.col("doc_id")) & (F.col("set_hash") == F.col("h"))).groupBy("doc_id").agg(F.min_by(F.struct("keys", "sig"), "h").alias("x")).select("doc_id", "x.keys", "x.sig"), "near-sets")
-    ties = likely(table_ties(sets, bands), sets, percent / 100, 2 * bands * BAND)
+    ties = likely(table_ties(sets, bands), sets, percent / 100, 2 * bands * BAND + MORE)
     families = components(ties)
     sized = stage(families.join(families.groupBy(F.col("root").alias("r")).agg(F.count("*").alias("n")), F.col("root") == F.col("r")).select("node", "root", "n"), "near-families")
     links = components(family_links(given, sized, n, percent))
