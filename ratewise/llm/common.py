@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,10 +38,10 @@ def held_out(id_column: str, modulus: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
-def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about `most` bytes of text each (one longer text stays whole)."""
     for batch in batches:
-        sizes = np.array([len(x) for x in texts_of(batch, column)], dtype=np.int64)
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         if not len(sizes):
             continue
         part = np.cumsum(sizes) // most

@@ -44,15 +44,19 @@ def encoder(name: str):
     import tiktoken
     from tokenizers import Tokenizer
 
-    slow = Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
-    slow.encode_special_tokens = True
+    @lru_cache(maxsize=1)
+    def slow():
+        made = Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
+        made.encode_special_tokens = True
+        return made
+
     with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def ids(text: str) -> np.ndarray:
         if _OTHER_SCRIPTS.search(text):
-            return np.array(slow.encode(text, add_special_tokens=False).ids, dtype="<u4")
+            return np.array(slow().encode(text, add_special_tokens=False).ids, dtype="<u4")
         return np.array(fast.encode_ordinary(text), dtype="<u4")
 
     return ids

@@ -34,7 +34,7 @@ LENGTH, GRAM = 200, 64
 #: Samples of a k-gram that one task may gather; windows of more frequent ones are shuffled one by one.
 CROWD = 20_000
 #: Bytes that are hashed at once; longer texts go in overlapping parts.
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 #: A place is start << 16 | n - 1 for n neighbouring windows; the lowest bits hold the sample's offset.
 _N, _OFF = 8, 8
 
@@ -167,11 +167,12 @@ def _joined(docs: DataFrame, open_: DataFrame) -> DataFrame:
 def window_hashes(contexts: list[bytes], n: np.ndarray, length: int) -> np.ndarray:
     """Names of all windows of the contexts, which have n windows each."""
     size, out = n + length - 1, []
-    for a in range(0, len(n), 8192):
-        m, held = n[a : a + 8192], size[a : a + 8192]
+    step = max(1, 2 * CHUNK // int(size.max(initial=1)))
+    for a in range(0, len(n), step):
+        m, held = n[a : a + step], size[a : a + step]
         begin = np.cumsum(held) - held
         at = np.repeat(begin, m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
-        out.append(Hashes(b"".join(contexts[a : a + 8192])).of(at, at + length))
+        out.append(Hashes(b"".join(contexts[a : a + step])).of(at, at + length))
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
