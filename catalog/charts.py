@@ -120,7 +120,7 @@ def _scatter_grid(spark, sf):
     "bar_counts_pct",
     f"""WITH t AS ({trips_sql("weather", "congestion")}), u AS (SELECT 'weather' AS "column", weather AS value FROM t UNION ALL SELECT 'congestion', congestion FROM t),
     n AS (SELECT "column", count(*) AS a FROM u GROUP BY 1)
-    SELECT u."column", value, count(*) AS "rows", round(round(count(*) * CAST(100 AS DOUBLE) / max(a), 2), 1) AS pct
+    SELECT u."column", value, count(*) AS "rows", round(count(*) * CAST(100 AS DOUBLE) / max(a), 1) AS pct
     FROM u JOIN n ON u."column" = n."column" WHERE value IS NOT NULL GROUP BY ALL""",
 )
 def _bar_counts_pct(spark, sf):
@@ -131,7 +131,7 @@ def _bar_counts_pct(spark, sf):
     "class_bars",
     f"""WITH t AS ({logs_sql("delayed")}), n AS (SELECT count(*) AS a FROM t)
     SELECT CASE delayed WHEN 1 THEN 'delayed' ELSE 'on time' END AS label, count(*) AS "rows",
-    round(round(count(*) * CAST(100 AS DOUBLE) / max(a), 4), 1) AS pct FROM t, n GROUP BY delayed""",
+    round(count(*) * CAST(100 AS DOUBLE) / max(a), 1) AS pct FROM t, n GROUP BY delayed""",
 )
 def _class_bars(spark, sf):
     return chartdata.class_bars(logs(spark, sf, "delayed"), "delayed", {0: "on time", 1: "delayed"})
@@ -141,7 +141,7 @@ def _class_bars(spark, sf):
     "heatmap_lower_triangle",
     f"WITH t AS ({trips_sql(*_CORR)}) "
     + " UNION ALL ".join(
-        f"SELECT '{_CORR[i]}' AS \"row\", '{_CORR[j]}' AS \"col\", round(round(corr({_CORR[i]}, {_CORR[j]}), 6), 2) AS r FROM t"
+        f"SELECT '{_CORR[i]}' AS \"row\", '{_CORR[j]}' AS \"col\", round(corr({_CORR[i]}, {_CORR[j]}), 2) AS r FROM t"
         for i in range(len(_CORR))
         for j in range(i)
     ),

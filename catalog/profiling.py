@@ -255,7 +255,7 @@ _CATEGORY_CTE = f"""WITH t AS ({trips_sql(*_SUMMARY_CATS)}), u AS ({_long_text(_
     _CATEGORY_CTE
     + """SELECT "column", count(*) AS categories, max(CASE WHEN k = 1 THEN value END) AS top_value,
     round(max(share), 6) AS top_share, count(*) FILTER (WHERE share < 0.041) AS rare_categories,
-    count(*) > 20 AS high_cardinality, round(max(share), 6) > 0.7 AS dominant_category FROM s GROUP BY "column" """,
+    count(*) > 20 AS high_cardinality, max(share) > 0.7 AS dominant_category FROM s GROUP BY "column" """,
 )
 def _category_summary(spark, sf):
     return profile.category_summary(trips(spark, sf, *_SUMMARY_CATS), _SUMMARY_CATS, many=20, dominant=0.7, rare=0.041)
@@ -274,7 +274,7 @@ def _high_cardinality(spark, sf):
     "dominant_category",
     _CATEGORY_CTE
     + """SELECT "column", max(CASE WHEN k = 1 THEN value END) AS top_value, round(max(share), 6) AS top_share,
-    round(max(share), 6) > 0.7 AS dominant_category FROM s GROUP BY "column" """,
+    max(share) > 0.7 AS dominant_category FROM s GROUP BY "column" """,
 )
 def _dominant_category(spark, sf):
     return profile.dominant_category(trips(spark, sf, *_SUMMARY_CATS), _SUMMARY_CATS, dominant=0.7)

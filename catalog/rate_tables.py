@@ -41,8 +41,8 @@ def _rate_by_category_congestion(spark, sf):
     "rate_by_category_all",
     f"""WITH t AS ({trips_sql(*RATE_CATS, "kind", "delayed")}), u AS ({_long_text((*RATE_CATS, "kind"))}),
     g AS (SELECT "column", value, count(*) AS r, round(avg(delayed) * 100, 4) AS p FROM u WHERE value IS NOT NULL GROUP BY ALL),
-    n AS (SELECT "column" FROM g GROUP BY "column" HAVING count(*) <= 20)
-    SELECT "column", value, r AS "rows", p AS rate_pct FROM g WHERE "column" IN (SELECT "column" FROM n)""",
+    n AS (SELECT "column", count(*) AS categories FROM g GROUP BY "column")
+    SELECT g."column", value, r AS "rows", p AS rate_pct, categories, categories <= 20 AS drawable FROM g JOIN n ON g."column" = n."column" """,
 )
 def _rate_by_category_all(spark, sf):
     cols = (*RATE_CATS, "kind")

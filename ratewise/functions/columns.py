@@ -19,6 +19,12 @@ HOUR_PATTERN = r"(\d{1,2})"
 MINUTE_PATTERN = r"\d{1,2}:(\d{2})"
 
 
+def known_number(c: str) -> Column:
+    """The column as a double, with NaN as null: both mean that the value is missing."""
+    x = F.col(f"`{c}`").cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def as_column(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

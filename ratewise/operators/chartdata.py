@@ -10,22 +10,19 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratewise.functions.columns import bin_edges, left_closed_bin
+from ratewise.functions.columns import bin_edges, known_number, left_closed_bin
 from ratewise.operators.prepare import min_max_scale
-from ratewise.operators.profile import category_proportions
 from ratewise.operators.quantiles import quantile_row
 from ratewise.operators.rates import class_balance, rate_contribution_long
 from ratewise.operators.relations import correlation_pairs
-from ratewise.operators.reshape import melt_numeric
+from ratewise.operators.reshape import melt_numeric, value_counts
 from ratewise.operators.roles import column_pairs
 from ratewise.operators.sampling import hash_sample
 from ratewise.sources.scratch import stage
 
-MAX_BINS = 2000
-
 
 def _ends(df: DataFrame, c: str) -> tuple[float, float, int, float]:
-    x = F.col(f"`{c}`").cast("double")
+    x = known_number(c)
     r = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(x).alias("n"), F.stddev_samp(x).alias("s")).first()
     return r["lo"], r["hi"], r["n"], r["s"]
 
@@ -39,7 +36,7 @@ def auto_bins(df: DataFrame, c: str, **options) -> int:
     width = 2 * (q["q3"] - q["q1"]) / n ** (1 / 3)
     sturges = math.ceil(math.log2(n) + 1)
     diaconis = math.ceil((hi - lo) / width) if width > 0 else 1
-    return min(MAX_BINS, max(sturges, diaconis))
+    return max(sturges, diaconis)
 
 
 def histogram_bins(df: DataFrame, c: str, bins: int | None = None, by: Sequence[str] = ()) -> DataFrame:
@@ -51,7 +48,7 @@ def histogram_bins(df: DataFrame, c: str, bins: int | None = None, by: Sequence[
     bins = bins or auto_bins(df, c)
     start, width = bin_edges(lo, hi, bins)
     return (
-        df.select(*by, left_closed_bin(F.col(f"`{c}`"), start, width, bins).alias("bin"))
+        df.select(*by, left_closed_bin(known_number(c), start, width, bins).alias("bin"))
         .filter(F.col("bin").isNotNull())
         .groupBy(*by, "bin")
         .agg(F.count("*").alias("rows"))
@@ -84,7 +81,7 @@ def density_curve(df: DataFrame, c: str, points: int = 200, digits: int = 9) ->
                 total += weight[start : start + 4096] @ np.exp(-0.5 * z * z)
         yield pd.DataFrame({"point": np.arange(points, dtype="int32"), "part": total})
 
-    values = df.select(F.col(f"`{c}`").cast("double").alias("x")).dropna()
+    values = df.select(known_number(c).alias("x")).dropna()
     if values.agg(F.approx_count_distinct("x")).first()[0] < n / 4:
         values = values.groupBy("x").agg(F.count("*").alias("weight"))
     else:
@@ -145,9 +142,9 @@ def scatter_sample(df: DataFrame, x: str, y: str, ids: Sequence[str], n: int = 1
 
 
 def scatter_pairs(
-    df: DataFrame, cols: Sequence[str], ids: Sequence[str], n: int = 1000, pairs: int = 10, seed: int = 42
+    df: DataFrame, cols: Sequence[str], ids: Sequence[str], n: int = 1000, pairs: int | None = None, seed: int = 42
 ) -> DataFrame:
-    """(x_name, y_name, x, y) for the first ``pairs`` pairs of columns, all from one sample of n rows."""
+    """(x_name, y_name, x, y) for all pairs of columns (or the first ``pairs``), all from one sample of n rows."""
     chosen = column_pairs(cols, pairs)
     sample = hash_sample(df.select(*ids, *cols), ids, n, seed)
     points = [
@@ -164,7 +161,7 @@ def scatter_pairs(
 
 def scatter_grid(df: DataFrame, x: str, y: str, bins: int = 50) -> DataFrame:
     """All points as counts on a two-dimensional grid."""
-    known = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
+    known = df.select(known_number(x).alias("x"), known_number(y).alias("y")).dropna()
     r = known.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
     if r[0] is None:
         return df.sparkSession.createDataFrame([], "bin_x int, bin_y int, rows bigint")
@@ -175,7 +172,11 @@ def scatter_grid(df: DataFrame, x: str, y: str, bins: int = 50) -> DataFrame:
 
 
 def bar_counts_pct(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return category_proportions(df, cols).select("column", "value", "rows", F.round("pct_of_rows", 1).alias("pct"))
+    """Count and share of all rows of every category; rounded once, from the counts."""
+    counts = stage(value_counts(df, cols, nulls=True), "bar-counts")
+    whole = counts.groupBy("column").agg(F.sum("rows").alias("whole"))  # one row per column
+    share = F.round(F.col("rows") * 100.0 / F.col("whole"), 1)
+    return counts.join(F.broadcast(whole), "column").filter(F.col("value").isNotNull()).select("column", "value", "rows", share.alias("pct"))
 
 
 def class_bars(df: DataFrame, y: str, labels: dict[int, str]) -> DataFrame:
@@ -183,14 +184,13 @@ def class_bars(df: DataFrame, y: str, labels: dict[int, str]) -> DataFrame:
     label = F.lit(None).cast("string")
     for value, text in labels.items():
         label = F.when(F.col("class") == value, text).otherwise(label)
-    return class_balance(df, y).select(label.alias("label"), "rows", F.round("pct", 1).alias("pct"))
+    whole = F.sum("rows").over(Window.partitionBy())  # one row per class
+    return class_balance(df, y).select(label.alias("label"), "rows", F.round(F.col("rows") * 100.0 / whole, 1).alias("pct"))
 
 
 def heatmap_lower_triangle(df: DataFrame, cols: Sequence[str], digits: int = 2) -> DataFrame:
     """Cells below the diagonal: row column comes later in ``cols`` than the column column."""
-    return correlation_pairs(df, cols, 6).select(
-        F.col("y").alias("row"), F.col("x").alias("col"), F.round("r", digits).alias("r")
-    )
+    return correlation_pairs(df, cols, digits).select(F.col("y").alias("row"), F.col("x").alias("col"), "r")
 
 
 def error_band(search: DataFrame) -> DataFrame:

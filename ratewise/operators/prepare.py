@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.functions.columns import category_text, decimal_hour, extract_hour_of, time_band_5
+from ratewise.functions.columns import category_text, decimal_hour, extract_hour_of, known_number, time_band_5
 from ratewise.operators.filters import Rule, apply_rules, filter_report
 from ratewise.operators.quantiles import exact_quantiles
 from ratewise.operators.reshape import value_counts
@@ -48,8 +48,8 @@ def impute_mode(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def scaled(c: str | Column, lo: float | None, hi: float | None) -> Column:
     """(x - lo) / (hi - lo); 0 for a constant column."""
-    x = F.col(f"`{c}`") if isinstance(c, str) else c
-    x = x.cast("double")
+    x = known_number(c) if isinstance(c, str) else c.cast("double")
+    x = F.when(~F.isnan(x), x)
     if lo is None or hi is None or lo == hi:
         return F.when(x.isNotNull(), F.lit(0.0))
     return (x - F.lit(float(lo))) / F.lit(float(hi) - float(lo))
@@ -60,8 +60,8 @@ def ranges(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float | None,
     if not cols:
         return {}
     row = df.agg(
-        *[F.min(F.col(f"`{c}`").cast("double")).alias(f"l{i}") for i, c in enumerate(cols)],
-        *[F.max(F.col(f"`{c}`").cast("double")).alias(f"h{i}") for i, c in enumerate(cols)],
+        *[F.min(known_number(c)).alias(f"l{i}") for i, c in enumerate(cols)],
+        *[F.max(known_number(c)).alias(f"h{i}") for i, c in enumerate(cols)],
     ).first()
     return {c: (row[f"l{i}"], row[f"h{i}"]) for i, c in enumerate(cols)}
 
@@ -156,8 +156,8 @@ def fit_view(clean: DataFrame, spec: ViewSpec, **quantile_options) -> ViewParams
     flat = clean.agg(
         F.count("*").alias("rows"),
         *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"x{i}") for i, c in enumerate(numeric + categorical)],
-        *[F.min(F.col(f"`{c}`").cast("double")).alias(f"l{i}") for i, c in enumerate(numeric)],
-        *[F.max(F.col(f"`{c}`").cast("double")).alias(f"h{i}") for i, c in enumerate(numeric)],
+        *[F.min(known_number(c)).alias(f"l{i}") for i, c in enumerate(numeric)],
+        *[F.max(known_number(c)).alias(f"h{i}") for i, c in enumerate(numeric)],
     ).first()
     params = ViewParams(numeric, categorical, rows=flat["rows"])
     params.nulls = {c: flat[f"x{i}"] for i, c in enumerate(numeric + categorical) if flat[f"x{i}"]}

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from ratewise.functions.columns import known_number
 from ratewise.functions.stats import sample_kurtosis, sample_skewness
 from ratewise.operators.onepass import OnePass, run
 from ratewise.operators.quantiles import GRID, first_look, quantile_row
@@ -70,7 +71,9 @@ def table_nulls(df: DataFrame) -> DataFrame:
 
 
 def null_report_pass(df: DataFrame) -> OnePass:
-    counts = {f"n{i}": F.count_if(F.col(f"`{c}`").isNull()) for i, c in enumerate(df.columns)}
+    floats = {n for n, t in df.dtypes if t in ("double", "float")}
+    missing = lambda c: (known_number(c) if c in floats else F.col(f"`{c}`")).isNull()
+    counts = {f"n{i}": F.count_if(missing(c)) for i, c in enumerate(df.columns)}
     lines = [
         F.struct(
             F.lit(c).alias("column"),
@@ -183,7 +186,7 @@ def iqr_pass(limits: Sequence[Row], pct_base: str = "all") -> OnePass:
     """Counts outside known limits, one row of limits per column."""
     aggregates, lines = {"rows": F.count("*")}, []
     for i, r in enumerate(limits):
-        x = F.col(f"`{r['column']}`")
+        x = known_number(r["column"])
         aggregates[f"n{i}"] = F.count(x)
         aggregates[f"o{i}"] = F.count_if((x < r["low"]) | (x > r["high"]))
         whole = F.col("rows") if pct_base == "all" else F.col(f"n{i}")
@@ -207,13 +210,13 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str], pct_base: str = "all", fact
 def zscore_outliers(df: DataFrame, cols: Sequence[str], limit: float = 3.0) -> DataFrame:
     """Values further than ``limit`` population standard deviations from the mean; share over all rows."""
     moments = df.agg(
-        *[F.avg(F.col(f"`{c}`")).alias(f"m{i}") for i, c in enumerate(cols)],
-        *[F.stddev_pop(F.col(f"`{c}`")).alias(f"s{i}") for i, c in enumerate(cols)],
+        *[F.avg(known_number(c)).alias(f"m{i}") for i, c in enumerate(cols)],
+        *[F.stddev_pop(known_number(c)).alias(f"s{i}") for i, c in enumerate(cols)],
     ).first()
     hits = []
     for i, c in enumerate(cols):
         mean, std = moments[f"m{i}"], moments[f"s{i}"]
-        far = F.lit(False) if not std else F.abs(F.col(f"`{c}`") - F.lit(mean)) / F.lit(std) > limit
+        far = F.lit(False) if not std else F.abs(known_number(c) - F.lit(mean)) / F.lit(std) > limit
         hits.append(F.count_if(far).alias(f"o{i}"))
     flat = df.agg(F.count("*").alias("rows"), *hits)
     return rows_of(
@@ -336,13 +339,15 @@ def category_summary_of(counts: DataFrame, many: int = 30, dominant: float = 0.8
             F.count("*").alias("categories"),
             F.min_by("value", F.struct(-F.col("rows"), "value")).alias("top_value"),
             F.round(F.max(share), 6).alias("top_share"),
+            F.max(share).alias("raw_share"),
             F.count_if(share < rare).alias("rare_categories"),
         )
         .select(
             "*",
             (F.col("categories") > many).alias("high_cardinality"),
-            (F.col("top_share") > dominant).alias("dominant_category"),
+            (F.col("raw_share") > dominant).alias("dominant_category"),
         )
+        .drop("raw_share")
     )
 
 

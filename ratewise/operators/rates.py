@@ -30,12 +30,17 @@ def rate_by_category(df: DataFrame, category: str, y: str, digits: int = 2) -> D
 
 
 def rate_by_category_all(df: DataFrame, cols: Sequence[str], y: str, max_categories: int = 20) -> DataFrame:
-    """Rate of every category of every column that has at most ``max_categories`` of them. The cells are
-    stored: they are counted per column first and then filtered by a list of columns."""
+    """Rate of every category of every column, with the column's number of categories and whether a figure
+    of at most ``max_categories`` of them can show it. The cells are stored: they are counted per column too."""
     cells = stage(rate_cells(df, cols, y), "category-cells")
-    narrow = cells.groupBy("column").agg(F.count("*").alias("n")).filter(F.col("n") <= max_categories).select("column")
-    return cells.join(F.broadcast(narrow), "column", "left_semi").select(
-        "column", "value", "rows", F.round(F.try_divide(F.col("positives") * 100.0, F.col("known")), 4).alias("rate_pct")
+    widths = cells.groupBy("column").agg(F.count("*").alias("categories"))  # one row per column
+    return cells.join(F.broadcast(widths), "column").select(
+        "column",
+        "value",
+        "rows",
+        F.round(F.try_divide(F.col("positives") * 100.0, F.col("known")), 4).alias("rate_pct"),
+        "categories",
+        (F.col("categories") <= max_categories).alias("drawable"),
     )
 
 

@@ -92,7 +92,10 @@ def hour_verdict(df: DataFrame, hour: str, y: str, r_limit: float = 0.05, range_
     n, p = F.sum("n"), F.sum("p")
     sh, shh, shp = F.sum(F.col("h") * F.col("n")), F.sum(F.col("h") * F.col("h") * F.col("n")), F.sum(F.col("h") * F.col("p"))
     r = F.try_divide(n * shp - sh * p, F.sqrt((n * shh - sh * sh) * (n * p - p * p)))
+    flat = (F.abs("_r") < r_limit) & (F.col("_range") < range_limit)
     table = hourly.agg(
+        r.alias("_r"),
+        (F.max("rate") - F.min("rate")).alias("_range"),
         n.cast("long").alias("rows"),
         F.round(F.try_divide(p * 100, n), 4).alias("rate_pct"),
         F.round(r, 6).alias("r"),
@@ -101,5 +104,4 @@ def hour_verdict(df: DataFrame, hour: str, y: str, r_limit: float = 0.05, range_
         F.round(F.max("rate") - F.min("rate"), 4).alias("range_pp"),
         F.round(F.stddev_samp("rate"), 4).alias("std_pp"),
     )
-    flat = (F.abs("r") < r_limit) & (F.col("range_pp") < range_limit)
-    return table.withColumn("verdict", F.when(flat, "no signal").otherwise("some variation"))
+    return table.withColumn("verdict", F.when(flat, "no signal").otherwise("some variation")).drop("_r", "_range")

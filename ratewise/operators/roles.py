@@ -95,7 +95,7 @@ def target_summary(df: DataFrame, target: str, ids: Iterable[str] = ()) -> DataF
     )
 
 
-def column_pairs(names: Sequence[str], limit: int | None = 10) -> list[tuple[str, str]]:
-    """Pairs of column names without repeats, the first ``limit`` of them."""
+def column_pairs(names: Sequence[str], limit: int | None = None) -> list[tuple[str, str]]:
+    """All pairs of column names without repeats, or the first ``limit`` of them."""
     pairs = list(combinations(names, 2))
     return pairs if limit is None else pairs[:limit]

@@ -74,12 +74,15 @@ def load_tree(spark: SparkSession, root: str, model_id: str) -> TreeModel:
 
 
 def save_metrics(rows: DataFrame, root: str) -> None:
-    """Append metric rows (see ``metric_rows``); a handful per evaluation, so one file each."""
-    rows.coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/metrics")
+    """Store metric rows (see ``metric_rows``) under their model and view; a second evaluation of the same
+    model on the same view replaces the first. A handful of rows each, so one file."""
+    kept = rows.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    kept.partitionBy("model", "model_id", "view_id").parquet(f"{root.rstrip('/')}/metrics")
 
 
 def load_metrics(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(METRIC_SCHEMA).parquet(f"{root.rstrip('/')}/metrics")
+    stored = spark.read.schema(METRIC_SCHEMA).parquet(f"{root.rstrip('/')}/metrics")
+    return stored.select("model", "model_id", "view_id", "metric", "value")
 
 
 def metrics_json(metric_table: DataFrame) -> DataFrame:
