@@ -27,8 +27,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
-from ratewise.llm.common import mixed, stage, texts_of
+from ratewise.llm.common import chunks, mixed, stage, texts_of
 
 LENGTH, GRAM = 200, 64
 #: Samples of a k-gram that one task may gather; windows of more frequent ones are shuffled one by one.
@@ -127,7 +128,7 @@ def sampled(docs: DataFrame, length: int, gram: int) -> DataFrame:
     others are known to repeat and get a k-gram name of their own."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chunks(batches):
             keys = np.array(batch.column("key").to_pylist(), dtype=np.int64)
             for number, start, held in parts(texts_of(batch), length):
                 of, lo, n, off, a, c = samples(held, length, gram)
@@ -180,7 +181,7 @@ def contexts(docs: DataFrame, open_: DataFrame, length: int) -> DataFrame:
     """a, key, place, bytes of the places that go on."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chunks(batches):
             out: list[list] = [[], [], [], []]
             for key, text, places in zip(batch.column("key").to_pylist(), texts_of(batch), batch.column("places").to_pylist()):
                 for x in places:
@@ -234,7 +235,7 @@ def window_names(docs: DataFrame, open_: DataFrame, length: int) -> DataFrame:
     """key, start, w (name) of every window of the places that go on."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chunks(batches):
             for key, text, places in zip(batch.column("key").to_pylist(), texts_of(batch), batch.column("places").to_pylist()):
                 places = np.unique(np.array([x["place"] for x in places], dtype=np.int64))
                 lo, n = places >> (_N + _OFF), (places & 255) + 1
@@ -300,7 +301,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        for batch in batches:
+        for batch in chunks(batches):
             out: list[list] = [[], [], [], [], []]
             for text, places in zip(texts_of(batch), batch.column("places").to_pylist()):
                 spans = covered(len(text), places, length)
@@ -322,17 +323,18 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lists = repeats(keyed, length, gram).groupBy(F.col("key").alias("__r_key")).agg(F.collect_set("place").alias("__places"))
     joined = given.join(lists, F.col("__key") == F.col("__r_key"), "left").select(*columns, "__places")
 
-    @F.pandas_udf("string")
-    def cut(text, places):
-        import pandas as pd
-
-        out = []
-        for t, p in zip(text, places):
-            raw = (t or "").encode()
-            out.append(t if t is None or p is None or not len(p) else _cut(raw, covered(len(raw), list(p), length)).decode("utf-8", "ignore"))
-        return pd.Series(out, dtype=object)
-
-    done = joined.withColumn(text_col, F.when(F.col("__places").isNotNull(), cut(F.col(text_col), F.col("__places"))).otherwise(F.col(text_col)))
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = len(columns)
+        for batch in chunks(batches, text_col):
+            out = []
+            for text, places in zip(batch.column(text_col).to_pylist(), batch.column(at).to_pylist()):
+                raw = (text or "").encode()
+                out.append(_cut(raw, covered(len(raw), places, length)).decode("utf-8", "ignore") if places else text)
+            own = [pa.array(out, pa.string()) if name == text_col else batch.column(i) for i, name in enumerate(columns)]
+            yield pa.RecordBatch.from_arrays([*own, batch.column(at).is_valid()], names=[*columns, "__cut"])
+
+    schema = StructType([*docs.schema.fields, StructField("__cut", BooleanType())])
+    done = joined.withColumn(text_col, F.col(text_col).cast("string")).mapInArrow(kernel, schema)
     if "n_chars" in columns:
-        done = done.withColumn("n_chars", F.when(F.col("__places").isNotNull(), F.length(text_col).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        done = done.withColumn("n_chars", F.when(F.col("__cut"), F.length(text_col).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return done.select(*columns)
