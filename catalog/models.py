@@ -141,5 +141,4 @@ def _train_knn(spark, sf):
 @query("train_tree")
 def _train_tree(spark, sf):
     rows, features = _columns(spark, sf)
-    grid = {"depths": (3, 5, 7), "leaf_minimums": (1, 10), "split_minimums": (2, 20)}
-    return flows.train_tree(rows, "id", features, "delayed", balance=True, **grid).metrics
+    return flows.train_tree(rows, "id", features, "delayed", balance=True).metrics

@@ -29,7 +29,7 @@ def finding(
     level: str | Column,
     rule: str,
     value: Column,
-    threshold: float | None,
+    threshold: float | Column | None,
     text: Column,
     when: Column | None = None,
 ) -> DataFrame:
@@ -41,7 +41,7 @@ def finding(
         (F.lit(level) if isinstance(level, str) else level).alias("level"),
         F.lit(rule).alias("rule"),
         value.cast("double").alias("value"),
-        F.lit(threshold).cast("double").alias("threshold"),
+        (threshold if isinstance(threshold, Column) else F.lit(threshold)).cast("double").alias("threshold"),
         text.alias("text"),
     )
 
@@ -102,7 +102,7 @@ def numeric_findings(df: DataFrame, cols: list[str], shared: Shared, **quantile_
     outliers, top = counted["outliers"], counted["top"]
     return [
         finding(shape, section, name, F.when(F.col("skew_level") == "high", FINDING).otherwise(INFO), "skewness",
-                F.col("skewness"), 1.0, _text("%s skewness: %.2f", "skew_level", "skewness"), F.col("skew_level") != "low"),
+                F.col("skewness"), F.when(F.col("skew_level") == "high", 2.0).otherwise(1.0), _text("%s skewness: %.2f", "skew_level", "skewness"), F.col("skew_level") != "low"),
         finding(shape, section, name, FINDING, "kurtosis", F.col("kurtosis"), 7.0,
                 _text("heavy tails, kurtosis %.2f", "kurtosis"), F.col("heavy_tails")),
         finding(outliers, section, name, F.when(F.col("outliers") > 0, FINDING).otherwise(INFO), "iqr_outliers",
@@ -138,6 +138,11 @@ def categorical_findings(df: DataFrame, cols: list[str], target: str | None) ->
     return out
 
 
+def _routes(table: DataFrame, section: str, o: str, d: str, rule: str, pattern: str) -> DataFrame:
+    """One row per route of a top list."""
+    return finding(table, section, f"{o},{d}", INFO, rule, F.col("rows"), None, _text(pattern, o, d, "rows"))
+
+
 def coherence_findings(df: DataFrame, roles: AuditRoles, shared: Shared) -> list[DataFrame]:
     section, out = "coherence", []
     o, d = roles.origin, roles.destination
@@ -148,6 +153,7 @@ def coherence_findings(df: DataFrame, roles: AuditRoles, shared: Shared) -> list
         out.append(finding(shared["same_ends"], section, f"{o},{d}",
                            F.when(F.col("hits") > 0, ANOMALY).otherwise(INFO), "same_ends", F.col("hits"), 0.0,
                            _text("%d rows with equal ends", "hits")))
+        out.append(_routes(rates.top_routes(df, o, d), section, o, d, "top_route", "%s to %s: %d rows"))
         one_way = rates.pair_totals(df, o, d).agg(F.count_if(F.col("directions") == 1).alias("one_way"))
         out.append(finding(one_way, section, f"{o},{d}", F.when(F.col("one_way") > 0, FINDING).otherwise(INFO), "one_way_routes",
                            F.col("one_way"), 0.0, _text("%d routes run in one direction only", "one_way")))
@@ -155,18 +161,26 @@ def coherence_findings(df: DataFrame, roles: AuditRoles, shared: Shared) -> list
         pair, band, r = f"{roles.distance},{roles.minutes}", shared["band"], shared["distance_time"]
         out.append(finding(band, section, pair, FINDING, "rate_too_low", F.col("too_slow"), 150.0,
                            _text("%d rows below 150 per hour", "too_slow"), F.col("too_slow") > 0))
+        if o and d and has_columns(df, o, d):
+            slow = filters.slow_routes(df, o, d, roles.distance, roles.minutes)
+            out.append(_routes(slow, section, o, d, "slow_route", "%s to %s: %d rows below 150 per hour"))
         out.append(finding(band, section, pair, F.when(F.col("too_fast") > 0, ANOMALY).otherwise(INFO), "rate_too_high",
                            F.col("too_fast"), 950.0, _text("%d rows above 950 per hour", "too_fast")))
         out.append(finding(r, section, pair, INFO, "distance_time_correlation", F.col("r"), None, _text("correlation %.4f", "r")))
         out.append(finding(r, section, pair, ANOMALY, "distance_time_low", F.col("r"), 0.90,
                            _text("correlation %.4f below the expected 0.90", "r"), F.col("r") < 0.90))
         if roles.kind and has_columns(df, roles.kind):
-            spread = rates.type_mean_spread(df, roles.kind, roles.distance, roles.minutes)
+            speeds = stage(rates.rate_stats_by_type(df, roles.kind, roles.distance, roles.minutes), "type-rates")
+            out.append(finding(speeds, section, roles.kind, INFO, "type_rate", F.col("mean"), None,
+                               _text("%s: mean %.1f, from %.1f to %.1f", F.col(roles.kind).cast("string"), "mean", "min", "max")))
+            spread = rates.mean_spread_of(speeds)
             out.append(finding(spread, section, roles.kind, FINDING, "type_mean_spread", F.col("spread"), 30.0,
                                _text("type means differ by only %.1f", "spread"), F.col("almost_equal")))
     if "load" in shared:
-        for rule, c, level in (("above_100", "above", ANOMALY), ("below_0", "below", ANOMALY), ("exactly_0", "at_lower", FINDING)):
-            out.append(finding(shared["load"], section, roles.load, level, rule, F.col(c), 0.0, _text("%d rows", c), F.col(c) > 0))
+        for rule, c, level, limit in (
+            ("above_100", "above", ANOMALY, 100.0), ("below_0", "below", ANOMALY, 0.0), ("exactly_0", "at_lower", FINDING, 0.0),
+        ):
+            out.append(finding(shared["load"], section, roles.load, level, rule, F.col(c), limit, _text("%d rows", c), F.col(c) > 0))
     return out
 
 

@@ -12,6 +12,7 @@ so a group of copies of any size costs k rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -23,9 +24,10 @@ from pyspark.sql import functions as F
 from ratewise.operators.sampling import hash_sample
 from ratewise.sources.scratch import stage
 
-MAX_PIVOTS = 256
 BLOCK_ROWS = 4096
-TWO_ROUND_ROWS = 500_000
+CELL_ROWS = 256  # a pivot stands for at least so many train rows
+MAX_GROUPS = 1000
+REACH = 8_000_000  # numbers held at once while a bound is found
 NO_GROUP = -1
 
 
@@ -48,7 +50,7 @@ def points(df: DataFrame, id_column: str, vector: str | Column, y: str | Column,
 
 @dataclass
 class _Cells:
-    """What is known about the train cells: at most MAX_PIVOTS rows, k distances each."""
+    """What is known about the train cells: one row per pivot, k distances each."""
 
     pivots: np.ndarray
     size: np.ndarray
@@ -70,13 +72,14 @@ def _without_spare_copies(train: DataFrame, k: int) -> DataFrame:
     return train.withColumn("copy", F.row_number().over(copies)).filter(F.col("copy") <= k).drop("copy")
 
 
-def _place(train: DataFrame, pivots: np.ndarray) -> DataFrame:
+def _place(train: DataFrame, pivots: np.ndarray, chunk: int = 256) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if len(batch):
-                d = _distances(np.stack(batch["v"].to_numpy()), pivots)
+            for start in range(0, len(batch), chunk):
+                part = batch.iloc[start : start + chunk]
+                d = _distances(np.stack(part["v"].to_numpy()), pivots)
                 cell = d.argmin(1)
-                yield batch.assign(cell=cell.astype("int32"), dist=d[np.arange(len(cell)), cell])
+                yield part.assign(cell=cell.astype("int32"), dist=d[np.arange(len(cell)), cell])
 
     return train.mapInPandas(run, "id long, v array<double>, y int, g int, cell int, dist double")
 
@@ -124,16 +127,19 @@ def _candidate_cells(
     bound = np.full(len(v), np.inf)
     k = next(iter(cells.close.values())).shape[1]
     for group in np.unique(g):
-        rows = np.flatnonzero(g == group)
+        members = np.flatnonzero(g == group)
         table = cells.close.get(int(group), cells.close[NO_GROUP])
-        reach = (d[rows][:, :, None] + table[None, :, :]).reshape(len(rows), -1)
-        bound[rows] = np.partition(reach, k - 1, axis=1)[:, k - 1]
+        step = max(1, REACH // table.size)
+        for start in range(0, len(members), step):
+            rows = members[start : start + step]
+            reach = (d[rows][:, :, None] + table[None, :, :]).reshape(len(rows), -1)
+            bound[rows] = np.partition(reach, k - 1, axis=1)[:, k - 1]
     bound = bound + 4.0 * slack
     if known is not None:
         bound = np.minimum(bound, known * (1 + 1e-9))
     low = np.maximum(d - cells.farthest[None, :], cells.nearest[None, :] - d)
     own = d.argmin(1)
-    between = _distances(cells.pivots, cells.pivots)[own]
+    between = _distances(cells.pivots[own], cells.pivots)
     near = d[np.arange(len(d)), own]
     far_enough = between > 1e-3 * cells.scale
     plane = np.where(far_enough, (d * d - (near * near)[:, None]) / np.where(far_enough, 2.0 * between, 1.0), -np.inf)
@@ -141,21 +147,17 @@ def _candidate_cells(
     return bound, (low <= bound[:, None]) & (cells.size > 0)[None, :]
 
 
-def _route(test: DataFrame, cells: _Cells, own_only: bool, chunk: int = 256) -> DataFrame:
-    """Add the bound and the list of cells to visit: all that may matter, or just the nearest one."""
+def _route(test: DataFrame, cells: _Cells, chunk: int = 256) -> DataFrame:
+    """Add the bound and the cell to visit first: the nearest one that has rows."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for start in range(0, len(batch), chunk):
                 part = batch.iloc[start : start + chunk]
                 v = np.stack(part["v"].to_numpy())
-                bound, mask = _candidate_cells(v, part["g"].to_numpy(), cells)
-                if own_only:
-                    d = np.where(cells.size > 0, _distances(v, cells.pivots), np.inf)
-                    visits = [np.array([c], dtype="int32") for c in d.argmin(1)]
-                else:
-                    visits = [np.flatnonzero(m).astype("int32") for m in mask]
-                yield part.assign(bound=bound, cells=visits)
+                bound, _ = _candidate_cells(v, part["g"].to_numpy(), cells)
+                d = np.where(cells.size > 0, _distances(v, cells.pivots), np.inf)
+                yield part.assign(bound=bound, cells=[np.array([c], dtype="int32") for c in d.argmin(1)])
 
     return test.mapInPandas(run, "id long, v array<double>, y int, g int, bound double, cells array<int>")
 
@@ -273,28 +275,24 @@ def knn_neighbors(
     test: DataFrame,
     k: int,
     block_rows: int = BLOCK_ROWS,
-    max_pivots: int = MAX_PIVOTS,
-    two_rounds: bool | None = None,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """(id, y, g, rank, neighbor, neighbor_y, distance) with the k closest train rows of every test row,
     ties by smaller neighbour id. Inputs come from ``points``; ids are unique within each side.
 
-    Large train sets are searched in two rounds: the nearest cell first, then only the cells that can still
-    hold something closer than the k-th neighbour found there."""
+    The search has two rounds: the nearest cell first, then only the cells that can still hold something
+    closer than the k-th neighbour found there. The number of pivots grows with the root of the train rows."""
     train = stage(_without_spare_copies(train, k), "knn-points")
-    size = train.count()
-    pivot_count = int(max(1, min(max_pivots, size // 256)))
-    sample = hash_sample(train.select("id", "v"), ["id"], pivot_count).collect()  # at most MAX_PIVOTS vectors
+    size, groups = train.agg(F.count("*"), F.approx_count_distinct("g")).first()
+    if groups > MAX_GROUPS:
+        raise ValueError(f"about {groups} groups; distances are kept per group, so at most {MAX_GROUPS} are served")
+    pivot_count = max(1, min(math.isqrt(size), size // cell_rows))
+    sample = hash_sample(train.select("id", "v"), ["id"], pivot_count).collect()  # the root of the rows at most
     pivots = np.array([r["v"] for r in sample], dtype=np.float64)
     placed = stage(_place(train, pivots), "knn-train")
     cells = _describe(placed, pivots, k)
-    if two_rounds is None:
-        two_rounds = size >= TWO_ROUND_ROWS
-    routed = stage(_route(test, cells, two_rounds), "knn-test")
-    found = _visit(routed, placed, cells, k, block_rows)
-    if not two_rounds:
-        return _closest(found, k)
-    first = stage(_closest(found, k), "knn-first")
+    routed = stage(_route(test, cells), "knn-test")
+    first = stage(_closest(_visit(routed, placed, cells, k, block_rows), k), "knn-first")
     kth = first.filter(F.col("rank") == k).select("id", F.col("distance").alias("kth"))
     rest = stage(_reroute(routed.join(kth, "id", "left"), cells), "knn-rest")
     return _closest(first.drop("rank").unionByName(_visit(rest, placed, cells, k, block_rows)), k)
@@ -317,7 +315,12 @@ def knn_classify(train: DataFrame, test: DataFrame, k: int, **options) -> DataFr
 
 def knn_k_search(folded: DataFrame, k_max: int = 30, digits: int = 9, **options) -> DataFrame:
     """(k, accuracy_mean, accuracy_std, best) over the folds in ``g``. One neighbour pass at the largest k
-    serves every k: the running vote over the neighbour rank is the vote of that many neighbours."""
+    serves every k: the running vote over the neighbour rank is the vote of that many neighbours. Every k must be
+    within reach of every row: the rows outside the largest fold are the limit."""
+    per_group = folded.groupBy("g").agg(F.count("*").alias("n"))
+    reachable = per_group.agg(F.sum("n") - F.max("n")).first()[0]
+    if reachable is not None and reachable < k_max:
+        raise ValueError(f"k_max is {k_max}, but some rows have only {reachable} others outside their fold")
     found = knn_neighbors(folded, folded, k_max, **options)
     so_far = Window.partitionBy("id").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
     voted = found.withColumn("votes", F.sum("neighbor_y").over(so_far))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,7 +83,7 @@ def categories_of(counts: DataFrame, cols: Sequence[str], limit: int = MAX_CATEG
     sizes = {r["column"]: r["n"] for r in counts.groupBy("column").agg(F.count("*").alias("n")).collect()}
     wide = [c for c in cols if sizes.get(c, 0) > limit]
     if wide:
-        raise ValueError(f"too many categories to encode in: {', '.join(wide)}; drop them or use a vector encoder")
+        raise ValueError(f"too many categories to encode in: {', '.join(wide)}; drop them or use one_hot_vector")
     found: dict[str, list[str]] = {c: [] for c in cols}
     for r in counts.select("column", "value").collect():  # at most len(cols) x limit rows
         found[r["column"]].append(r["value"])
@@ -103,6 +105,30 @@ def one_hot_drop_first(df: DataFrame, cols: Sequence[str], limit: int = MAX_CATE
     return df.select(*kept, *indicator_columns(df, levels))
 
 
+def one_hot_vector(df: DataFrame, cols: Sequence[str], name: str = "encoded") -> tuple[DataFrame, DataFrame]:
+    """The same encoding for columns of any number of categories: the columns are replaced by one sparse vector,
+    and a second frame (position, column, value) says what each place of the vector stands for. The smallest
+    category of a column and null have no place. A column with less than two categories adds nothing."""
+    sizes = df.agg(
+        *[F.min(category_text(df, c)).alias(f"f{i}") for i, c in enumerate(cols)],
+        *[F.max(category_text(df, c)).alias(f"l{i}") for i, c in enumerate(cols)],
+    ).first()
+    used = [(c, sizes[f"f{i}"]) for i, c in enumerate(cols) if sizes[f"f{i}"] != sizes[f"l{i}"]]
+    labels = df.sparkSession.createDataFrame([], "position int, column string, value string")
+    if not used:
+        return df.drop(*cols).withColumn(name, array_to_vector(F.array().cast("array<double>"))), labels
+    text, code, slots = ([f"_{kind}{i}" for i in range(len(used))] for kind in ("text", "code", "slots"))
+    filled = df.withColumns({t: F.coalesce(category_text(df, c), F.lit(first)) for t, (c, first) in zip(text, used)})
+    # Descending order puts the smallest category last, which is the one the encoder leaves out.
+    index = StringIndexer(inputCols=text, outputCols=code, stringOrderType="alphabetDesc").fit(filled)
+    coded = index.transform(filled)
+    encoded = OneHotEncoder(inputCols=code, outputCols=slots).fit(coded).transform(coded)
+    joined = VectorAssembler(inputCols=slots, outputCol=name).transform(encoded).drop(*cols, *text, *code, *slots)
+    places = [(c, v) for (c, _), values in zip(used, index.labelsArray) for v in values[:-1]]
+    rows = [(i, c, v) for i, (c, v) in enumerate(places)]
+    return joined, df.sparkSession.createDataFrame(rows, labels.schema)
+
+
 @dataclass
 class ViewSpec:
     """What to prepare: the target, columns to drop, row rules, and how to use a departure-hour column."""

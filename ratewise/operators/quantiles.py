@@ -9,8 +9,10 @@ data size, hot values fold into one counted row, and no task ever sorts a whole
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -160,26 +162,28 @@ def exact_quantiles(
     return wide.select(*by, "column", pairs)
 
 
-def cumulative_counts(
-    df: DataFrame, order: str, measures: Sequence[str], buckets: int = 256, small: int = 100_000
-) -> DataFrame:
+def cumulative_counts(df: DataFrame, order: str, measures: Sequence[str], buckets: int | None = None) -> DataFrame:
     """Sums of ``measures`` over all strictly smaller values of ``order`` (columns ``before_<m>``).
 
     ``df`` has one row per distinct ``order`` value. Buckets hold about equally many distinct values, so
-    no window sees more than a share of them; the running sum over bucket totals has ``buckets`` rows.
+    no window sees more than a share of them; the running sum over bucket totals has ``buckets`` rows, by
+    default a sixteenth of the root of the number of values. Rows find their bucket by binary search.
     """
+    if buckets is None:
+        buckets = max(8, math.isqrt(df.count()) // 16)
     cuts = df.agg(
-        F.count("*").alias("n"),
-        F.percentile_approx(order, [i / buckets for i in range(1, buckets)], 10 * buckets).alias("cuts"),
-    ).first()
-    edges = sorted(set(cuts["cuts"] or [])) if cuts["n"] > small else []
-    edge_array = F.array(*[F.lit(float(e)) for e in edges]) if edges else None
-    bucket = F.size(F.filter(edge_array, lambda e: e < F.col(order))) if edges else F.lit(0)
-    placed = df.withColumn("_bucket", bucket)
+        F.percentile_approx(F.col(order).cast("double"), [i / buckets for i in range(1, buckets)], 10 * buckets).alias("cuts")
+    ).first()["cuts"]
+    edges = sorted({e for e in cuts or [] if math.isfinite(e)})
+    if edges:
+        numbered = df.withColumn("_order", F.col(order).cast("double"))
+        splits = [-math.inf, *edges, math.inf]
+        search = Bucketizer(splits=splits, inputCol="_order", outputCol="_bucket", handleInvalid="keep")
+        placed = search.transform(numbered).drop("_order")
+    else:  # no values, or one
+        placed = df.withColumn("_bucket", F.lit(0.0))
     within = Window.partitionBy("_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     local = placed.withColumns({f"before_{m}": F.coalesce(F.sum(m).over(within), F.lit(0)) for m in measures})
-    if not edges:
-        return local.drop("_bucket")
     across = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("_bucket")

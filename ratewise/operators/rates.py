@@ -209,12 +209,13 @@ def rate_contribution_long(df: DataFrame, places: Sequence[str], part: str, y: s
 
 
 def rate_contribution(
-    df: DataFrame, places: Sequence[str], part: str, y: str, n: int = 20, levels: Sequence[str] | None = None
+    df: DataFrame, places: Sequence[str], part: str, y: str, n: int = 20, levels: Sequence[str] | None = None, max_levels: int = 1000
 ) -> DataFrame:
-    """The same as one row per place with one column per level and the row total, smallest total first."""
+    """The same as one row per place with one column per level and the row total, smallest total first.
+    Beyond ``max_levels`` columns use ``rate_contribution_long``, which has no limit."""
     long = stage(rate_contribution_long(df, places, part, y, n), "contribution")
     if levels is None:
-        levels = bounded_values(long, part, 100)
+        levels = bounded_values(long, part, max_levels)
     wide = pivot_fill(long, "place", part, "points", levels)
     total = sum((F.col(f"`{v}`") for v in levels), F.lit(0.0))
     return wide.withColumn("row_total", F.round(total, 4)).orderBy("row_total", "place")
@@ -243,8 +244,13 @@ def rate_summary_by_type(df: DataFrame, kind: str, amount: str, minutes: str, di
 
 def type_mean_spread(df: DataFrame, kind: str, amount: str, minutes: str, limit: float = 30.0) -> DataFrame:
     """Distance between the largest and smallest type mean; below the limit the type hardly matters."""
+    return mean_spread_of(rate_stats_by_type(df, kind, amount, minutes), limit)
+
+
+def mean_spread_of(stats: DataFrame, limit: float = 30.0) -> DataFrame:
+    """The same from the table of ``rate_stats_by_type``."""
     spread = F.max("mean") - F.min("mean")
-    return rate_stats_by_type(df, kind, amount, minutes).agg(
+    return stats.agg(
         F.round(spread, 1).alias("spread"), (spread < limit).alias("almost_equal")
     )
 

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from ratewise.functions.columns import shuffle_key
 
 SEED = 42
-PREFIX = 4  # 16**4 digit groups per class
 
 
 def class_counts(df: DataFrame, y: str) -> dict[int, int]:
@@ -33,16 +32,23 @@ def _keyed(df: DataFrame, y: str, ids: Sequence[str], seed: int) -> DataFrame:
     return df.select(F.col(y).alias("y"), shuffle_key(ids, seed).alias("key"))
 
 
+def prefix_digits(rows: int) -> int:
+    """Hash digits of the histogram: about as many groups as a group has rows, at least 16**4."""
+    return max(4, math.ceil(math.log(max(rows, 1), 16) / 2))
+
+
 def position_keys(
-    df: DataFrame, y: str, ids: Sequence[str], wanted: Mapping[int, Sequence[int]], seed: int = SEED
+    df: DataFrame, y: str, ids: Sequence[str], wanted: Mapping[int, Sequence[int]], rows: int, seed: int = SEED
 ) -> dict[tuple[int, int], str]:
-    """Hash key of the wanted 1-based positions of every class."""
+    """Hash key of the wanted 1-based positions of every class, in a table of about ``rows`` rows. Raises where
+    rows of one id lie on both sides of a position: such a cut would take more rows than asked."""
+    digits = prefix_digits(rows)
     asked = [(c, p) for c, positions in wanted.items() for p in positions]
     if not asked:
         return {}
     keyed = _keyed(df, y, ids, seed)
-    histogram = keyed.groupBy("y", F.substring("key", 1, PREFIX).alias("digits")).agg(F.count("*").alias("rows"))
-    upto = Window.partitionBy("y").orderBy("digits")  # at most 16**PREFIX counted rows per class
+    histogram = keyed.groupBy("y", F.substring("key", 1, digits).alias("digits")).agg(F.count("*").alias("rows"))
+    upto = Window.partitionBy("y").orderBy("digits")  # at most 16**digits counted rows per class
     running = histogram.withColumn("upto", F.sum("rows").over(upto)).withColumn("before", F.col("upto") - F.col("rows"))
     holds = reduce(
         lambda a, b: a | b,
@@ -57,10 +63,18 @@ def position_keys(
         groups,
         F.when(F.lit(False), F.lit(0).cast("long")),
     )
-    order = Window.partitionBy("y", F.substring("key", 1, PREFIX)).orderBy("key")
-    ranked = keyed.filter(edge).withColumn("position", before + F.row_number().over(order))
+    order = Window.partitionBy("y", F.substring("key", 1, digits)).orderBy("key")
+    ranked = keyed.filter(edge).select(
+        "y",
+        "key",
+        (before + F.row_number().over(order)).alias("position"),
+        F.coalesce(F.lead("key").over(order) == F.col("key"), F.lit(False)).alias("torn"),
+    )
     hit = reduce(lambda a, b: a | b, [(F.col("y") == c) & (F.col("position") == p) for c, p in asked])
-    return {(r["y"], r["position"]): r["key"] for r in ranked.filter(hit).collect()}  # one row per wanted position
+    found = ranked.filter(hit).collect()  # one row per wanted position
+    if any(r["torn"] for r in found):
+        raise ValueError(f"rows with equal {', '.join(ids)} lie on both sides of a cut; give ids that are unique")
+    return {(r["y"], r["position"]): r["key"] for r in found}
 
 
 def _quota_flag(
@@ -68,7 +82,7 @@ def _quota_flag(
 ) -> Column:
     """True for the first ``quota[c]`` rows of every class c."""
     partial = {c: [q] for c, q in quota.items() if 0 < q < counts[c]}
-    cuts = position_keys(df, y, ids, partial, seed)
+    cuts = position_keys(df, y, ids, partial, sum(counts.values()), seed)
     key = shuffle_key(ids, seed)
     flag = F.lit(False)
     for c, q in quota.items():
@@ -125,7 +139,7 @@ def stratified_kfold(
     counts = class_counts(df, y)
     ends = {c: [round_up(n * f, folds) for f in range(1, folds)] for c, n in counts.items()}
     wanted = {c: sorted({e for e in es if 0 < e < counts[c]}) for c, es in ends.items()}
-    cuts = position_keys(df, y, ids, wanted, seed)
+    cuts = position_keys(df, y, ids, wanted, sum(counts.values()), seed)
     key = shuffle_key(ids, seed)
     fold = F.lit(0)
     for c, es in ends.items():

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ratewise.functions.columns import extract_hour_of
+from ratewise.operators import chartdata, neighbors, profile, rates, relations, sampling, trees
 from ratewise.operators import evaluate as ev
-from ratewise.operators import neighbors, profile, rates, relations, sampling, trees
 from ratewise.operators.prepare import ViewParams, ViewSpec, build_view, view_metadata
-from ratewise.operators.roles import classify_columns, has_columns
+from ratewise.operators.roles import classify_columns, column_pairs, has_columns
 from ratewise.sources import models, tables
 from ratewise.sources.scratch import stage
 
@@ -24,6 +24,7 @@ class EdaRoles:
     weather: str | None = None
     congestion: str | None = None
     hour: str | None = None
+    load: str | None = None
     visibility: str | None = None
     distance: str | None = None
     minutes: str | None = None
@@ -50,15 +51,29 @@ def eda_report(df: DataFrame, roles: EdaRoles, **quantile_options) -> dict[str,
         if c and has_columns(df, c):
             out[f"rate_by_{name}"] = rates.rate_by_category(df, c, y)
     if roles.hour and has_columns(df, roles.hour):
-        out["rate_by_hour"] = rates.rate_by_hour(df.withColumn("hour", extract_hour_of(df, roles.hour)), "hour", y)
+        timed = df.withColumn("hour", extract_hour_of(df, roles.hour))
+        out["rate_by_hour"] = rates.rate_by_hour(timed, "hour", y)
+        if roles.load and has_columns(df, roles.load):
+            out["hour_occupancy"] = rates.hour_occupancy_rate(timed, "hour", roles.load, y)
+    if categorical:
+        out["rate_by_category_all"] = rates.rate_by_category_all(df, categorical, y)
+        out["bars"] = chartdata.bar_counts_pct(df, categorical)
     if roles.places and has_columns(df, *roles.places):
         out["entity_rate"] = rates.entity_rate(df, roles.places, y)
+        out["busiest_places"] = rates.entity_volume_rate_topn(df, roles.places, y)
+        if roles.load and has_columns(df, roles.load):
+            out["mean_load_by_place"] = rates.entity_mean_topn(df, roles.places, roles.load)
         if roles.weather:
             out["rate_contribution"] = rates.rate_contribution(df, roles.places, roles.weather, y)
     if roles.distance and roles.minutes and has_columns(df, roles.distance, roles.minutes):
         out["distance_time"] = relations.row_correlation(df, roles.distance, roles.minutes)
         if roles.kind:
             out["rate_by_type"] = rates.rate_summary_by_type(df, roles.kind, roles.distance, roles.minutes, **quantile_options)
+    for c in features:
+        out[f"histogram_{c}"] = chartdata.histogram_bins(df, c)
+    out["box_stats"] = chartdata.box_stats(df, features, **quantile_options)
+    for x, z in column_pairs(features):
+        out[f"scatter_{x}_{z}"] = chartdata.scatter_grid(df, x, z)
     out["class_balance"] = rates.class_balance(df, y)
     out["correlation_matrix"] = relations.correlation_matrix(df, numeric)
     out["target_correlation"] = relations.target_correlation_ranking(df, features, y)
@@ -71,7 +86,7 @@ def publish_view(
     """Build, number, write and describe a view."""
     spark = df.sparkSession
     view, params = build_view(df, spec, **quantile_options)
-    view_id = tables.next_view_id(spark, root)
+    view_id = tables.claim_view_id(spark, root)
     tables.write_view(view, root, view_id, spec.target, row_id=row_id)
     written = tables.load_view(spark, root, view_id)
     tables.append_metadata(view_metadata(df, written, spec, params, view_id), root)
@@ -88,6 +103,7 @@ class Trained:
     predictions: DataFrame
     metrics: DataFrame
     search: DataFrame
+    counts: dict[str, int]  # rows of the view, rows after balancing, features
 
 
 def train_knn(
@@ -101,6 +117,7 @@ def train_knn(
 ) -> Trained:
     """Balance (optional), split, search K by cross-validation, predict the test part."""
     rows = stage(balanced(view, y, [id_column], balance, seed), "knn-rows")
+    counts = {"view_rows": view.count(), "used_rows": rows.count(), "features": len(features)}
     split = sampling.stratified_split(rows, y, [id_column], seed=seed)
     train = split.filter("NOT is_test")
     folded = sampling.stratified_kfold(train, y, [id_column], seed=seed)
@@ -111,7 +128,7 @@ def train_knn(
     test_points = neighbors.points(split.filter("is_test"), id_column, vector, y)
     predictions = stage(neighbors.knn_classify(train_points, test_points, k), "knn-predictions")
     metrics = ev.evaluate(predictions, "y", "pred", "score")
-    return Trained(models.KnnModel(train_points, k), predictions, metrics, search)
+    return Trained(models.KnnModel(train_points, k), predictions, metrics, search, counts)
 
 
 def train_tree(
@@ -125,6 +142,7 @@ def train_tree(
 ) -> Trained:
     """Balance (optional), split, search the grid by cross-validation, refit the best, predict."""
     rows = stage(balanced(view, y, [id_column], balance, seed), "tree-rows")
+    counts = {"view_rows": view.count(), "used_rows": rows.count(), "features": len(features)}
     split = sampling.stratified_split(rows, y, [id_column], seed=seed)
     train = split.filter("NOT is_test")
     folded = sampling.stratified_kfold(train, y, [id_column], seed=seed)
@@ -134,7 +152,23 @@ def train_tree(
     test = trees.assemble(split.filter("is_test"), features, y, [id_column])
     predictions = stage(trees.tree_predict(model, test, [id_column], params.min_split), "tree-predictions")
     metrics = ev.evaluate(predictions, "y", "pred", "score")
-    return Trained(models.TreeModel(model, params), predictions, metrics, search)
+    return Trained(models.TreeModel(model, params), predictions, metrics, search, counts)
+
+
+def publish_model(trained: Trained, spark: SparkSession, root: str, model_id: str, view_id: str) -> DataFrame:
+    """Save the model, its full evaluation with the row and feature counts, and return its card. A second run
+    under the same ids replaces the first."""
+    if isinstance(trained.model, models.KnnModel):
+        kind = "knn"
+        models.save_knn(trained.model, root, model_id)
+    else:
+        kind = "tree"
+        models.save_tree(trained.model, spark, root, model_id)
+    results = ev.result_rows(trained.predictions, "y", "pred", "score", kind, model_id, view_id)
+    counts = [(kind, model_id, view_id, name, float(n)) for name, n in trained.counts.items()]
+    models.save_metrics(results.unionByName(spark.createDataFrame(counts, models.METRIC_SCHEMA)), root)
+    stored = models.load_metrics(spark, root)
+    return models.model_card(stored, models.load_params(spark, root, kind, model_id), kind, model_id)
 
 
 def score_saved_model(

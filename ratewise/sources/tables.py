@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,9 +58,8 @@ def metadata_path(root: str) -> str:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
 
 
 def view_registry(spark: SparkSession, root: str) -> DataFrame:
@@ -78,14 +78,38 @@ def view_registry(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _numbers_in(spark: SparkSession, folder: str, prefix: str = "") -> list[int]:
+    fs, p = _file_system(spark, folder)
+    names = [str(f.getPath().getName()) for f in fs.listStatus(p)] if fs.exists(p) else []
+    return [int(n.removeprefix(prefix)) for n in names if n.removeprefix(prefix).isdigit()]
+
+
 def next_view_id(spark: SparkSession, root: str) -> str:
-    """Last number + 1 as a three-digit text; '001' for the first view."""
-    last = (
-        view_registry(spark, root)
-        .agg(F.lpad((F.coalesce(F.max(F.col("view_id").cast("int")), F.lit(0)) + 1).cast("string"), 3, "0").alias("v"))
-        .first()
-    )
-    return last["v"]
+    """Last number + 1, at least three digits; '001' for the first view. Described views, folders a run left
+    behind and claimed numbers all count."""
+    described = view_registry(spark, root).agg(F.max(F.col("view_id").cast("int"))).first()[0] or 0
+    base = root.rstrip("/")
+    taken = [described, *_numbers_in(spark, f"{base}/views", "view_id="), *_numbers_in(spark, f"{base}/claims")]
+    return f"{max(taken) + 1:03d}"
+
+
+def claim_view_id(spark: SparkSession, root: str, attempts: int = 100) -> str:
+    """The next number, claimed by creating an empty file that may not exist yet: two runs never share one."""
+    for _ in range(attempts):
+        view_id = next_view_id(spark, root)
+        fs, p = _file_system(spark, f"{root.rstrip('/')}/claims/{view_id}")
+        try:
+            fs.create(p, False).close()
+            return view_id
+        except Py4JJavaError:
+            if not fs.exists(p):  # not a race for the number
+                raise
+    raise RuntimeError(f"no view number could be claimed in {attempts} attempts")
 
 
 def write_view(

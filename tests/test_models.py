@@ -30,9 +30,8 @@ def brute(tv, ty, tid, qv, k, allowed=None):
     return out
 
 
-@pytest.mark.parametrize("two_rounds", [False, True])
 @pytest.mark.parametrize("copies,decimals", [(0, None), (300, None), (0, 0)])
-def test_neighbors_equal_brute_force(spark, copies, decimals, two_rounds):
+def test_neighbors_equal_brute_force(spark, copies, decimals):
     """Several cells, small blocks, a third of the train rows equal, and many tied distances."""
     train, tv, ty, _ = cloud(spark, 900, 3, 1, copies=copies, decimals=decimals)
     test, qv, _, _ = cloud(spark, 120, 3, 2, first=5000, decimals=decimals)
@@ -41,8 +40,7 @@ def test_neighbors_equal_brute_force(spark, copies, decimals, two_rounds):
         neighbors.points(test, "id", "vec", "y"),
         7,
         block_rows=64,
-        max_pivots=12,
-        two_rounds=two_rounds,
+        cell_rows=50,
     )
     got = {}
     for r in found.orderBy("id", "rank").collect():
@@ -50,10 +48,9 @@ def test_neighbors_equal_brute_force(spark, copies, decimals, two_rounds):
     assert got == brute(tv, ty, list(range(900)), qv, 7)
 
 
-@pytest.mark.parametrize("two_rounds", [False, True])
-def test_k_search_equals_brute_force(spark, two_rounds):
+def test_k_search_equals_brute_force(spark):
     df, v, y, g = cloud(spark, 600, 2, 3)
-    got = neighbors.knn_k_search(neighbors.points(df, "id", "vec", "y", "fold"), 9, block_rows=100, max_pivots=4, two_rounds=two_rounds).toPandas()
+    got = neighbors.knn_k_search(neighbors.points(df, "id", "vec", "y", "fold"), 9, block_rows=100, cell_rows=100).toPandas()
     near = brute(v, y, list(range(600)), v, 9, allowed=lambda i, j: g[i] != g[j])
     best = None
     for k in range(1, 10):
@@ -67,6 +64,18 @@ def test_k_search_equals_brute_force(spark, two_rounds):
     assert got[got.best].k.tolist() == [best[0]]
 
 
+def test_k_beyond_the_reachable_rows_is_refused(spark):
+    df, _, _, _ = cloud(spark, 10, 2, 4)
+    with pytest.raises(ValueError, match="k_max"):
+        neighbors.knn_k_search(neighbors.points(df, "id", "vec", "y", "fold"), 9)
+
+
+def test_too_many_groups_are_refused(spark):
+    df = spark.range(3000).selectExpr("id", "array(double(id)) AS v", "0 AS y")
+    with pytest.raises(ValueError, match="groups"):
+        neighbors.knn_neighbors(neighbors.points(df, "id", "v", "y", "id"), neighbors.points(df, "id", "v", "y", "id"), 2)
+
+
 def test_vote_ties_are_class_zero(spark):
     train = spark.createDataFrame([(0, [0.0], 1), (1, [1.0], 0)], "id long, v array<double>, y int")
     test = spark.createDataFrame([(9, [0.5], 1)], "id long, v array<double>, y int")

@@ -134,7 +134,7 @@ def test_quantiles_of_empty_column(spark):
 def test_cumulative_counts_over_buckets(spark):
     df = spark.range(1000).selectExpr("cast(id * id as double) AS k", "id % 7 AS m").repartition(5)
     small = {r["k"]: r["before_m"] for r in cumulative_counts(df, "k", ["m"]).collect()}
-    large = {r["k"]: r["before_m"] for r in cumulative_counts(df, "k", ["m"], buckets=16, small=10).collect()}
+    large = {r["k"]: r["before_m"] for r in cumulative_counts(df, "k", ["m"], buckets=16).collect()}
     want, total = {}, 0
     for i in range(1000):
         want[float(i * i)], total = total, total + i % 7
