@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from catalog.registry import bookings, bookings_sql, logs, logs_sql, query, trips, trips_sql
@@ -74,6 +75,33 @@ def _one_hot_drop_first(spark, sf):
     return prepare.one_hot_drop_first(trips(spark, sf, "order_id", "line", "weather", "high_season"), ["weather", "high_season"])
 
 
+_WIDE = ("kind", "shape", "weather")
+
+
+@query(
+    "one_hot_vector",
+    f"""WITH t AS ({trips_sql("order_id", "line", *_WIDE)}),
+    u AS ({" UNION ALL ".join(f"SELECT order_id, line, '{c}' AS \"column\", {c} AS value FROM t" for c in _WIDE)}),
+    f AS (SELECT "column", min(value) AS lowest FROM u GROUP BY "column")
+    SELECT order_id, line, u."column", value FROM u JOIN f ON u."column" = f."column" WHERE value > lowest""",
+)
+def _one_hot_vector(spark, sf):
+    """Places set to one, with what they stand for."""
+    rows, labels = prepare.one_hot_vector(trips(spark, sf, "order_id", "line", *_WIDE), _WIDE)
+    ones = rows.select("order_id", "line", F.posexplode(vector_to_array("encoded")).alias("position", "one"))
+    return ones.filter("one = 1").join(labels, "position").select("order_id", "line", "column", "value")
+
+
+@query(
+    "min_max_scale_nan",
+    f"""WITH t AS ({logs_sql("event_id", "load_nan")}), r AS (SELECT min(load_nan) AS a, max(load_nan) AS b FROM t)
+    SELECT event_id, round((load_nan - a) / (b - a), 9) AS load_nan FROM t, r""",
+)
+def _min_max_scale_nan(spark, sf):
+    scaled = prepare.min_max_scale(logs(spark, sf, "event_id", "load_nan"), ["load_nan"])
+    return scaled.withColumn("load_nan", F.round("load_nan", 9))
+
+
 BOOKING_COLUMNS = ("id", "price", "balance", "priority", "segment", "high_season", "delayed")
 
 

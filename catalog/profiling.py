@@ -189,6 +189,40 @@ def _zscore_outliers(spark, sf):
     return profile.zscore_outliers(logs(spark, sf, *_IQR_COLS), _IQR_COLS)
 
 
+_NAN = f"WITH t AS ({logs_sql('load_nan')}), v AS (SELECT load_nan AS x FROM t WHERE load_nan IS NOT NULL)"
+
+
+@query(
+    "iqr_outliers_nan",
+    _NAN
+    + """, q AS (SELECT quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.75) AS q3 FROM v),
+    n AS (SELECT count(*) AS k FROM v, q WHERE x < q1 - 1.5 * (q3 - q1) OR x > q3 + 1.5 * (q3 - q1))
+    SELECT 'load_nan' AS "column", k AS outliers FROM n""",
+)
+def _iqr_outliers_nan(spark, sf):
+    return profile.iqr_outliers(logs(spark, sf, "load_nan"), ["load_nan"]).select("column", "outliers")
+
+
+@query(
+    "zscore_outliers_nan",
+    _NAN
+    + """, m AS (SELECT avg(x) AS m, stddev_pop(x) AS s FROM v)
+    SELECT 'load_nan' AS "column", count(*) FILTER (WHERE abs(x - m) / s > 3) AS outliers FROM v, m""",
+)
+def _zscore_outliers_nan(spark, sf):
+    return profile.zscore_outliers(logs(spark, sf, "load_nan"), ["load_nan"]).select("column", "outliers")
+
+
+@query(
+    "null_report_nan",
+    _NAN
+    + """ SELECT 'load_nan' AS "column", count(*) - count(load_nan) AS nulls,
+    round(CAST((count(*) - count(load_nan)) * 100.0 AS DOUBLE) / count(*), 2) AS null_pct FROM t""",
+)
+def _null_report_nan(spark, sf):
+    return profile.null_report(logs(spark, sf, "load_nan"))
+
+
 @query(
     "outlier_columns_count",
     f"""WITH t AS ({trips_sql("distance", "load", "minutes")}), u AS ({_long(("distance", "load", "minutes"))}),

@@ -92,6 +92,8 @@ _LOG_COLUMNS: dict[str, tuple[str, str]] = {
     "event_type": ("event_type", "event_type"),
     "load": ("value", "value"),
     "load_known": ("CASE WHEN value >= 1 THEN value END", "CASE WHEN value >= 1 THEN value END"),
+    # unknown loads as NaN; SQL takes them as null
+    "load_nan": ("CASE WHEN value >= 1 THEN value ELSE double('NaN') END", "CASE WHEN value >= 1 THEN value END"),
     "delayed": ("CASE WHEN event_type = 'error' THEN 1 ELSE 0 END", "CASE WHEN event_type = 'error' THEN 1 ELSE 0 END"),
 }
 

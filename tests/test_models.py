@@ -132,7 +132,10 @@ def test_saved_models_score_without_training(spark, tmp_path):
     rows = spark.read.parquet(f"{root}/rows")
     features = ["a", "b", "c"]
     knn = flows.train_knn(rows, "id", features, "y", k_max=5)
-    models.save_knn(knn.model, root, "001")
+    flows.publish_model(knn, spark, root, "001", "007")
+    card = {r["name"]: r["text"] for r in flows.publish_model(knn, spark, root, "001", "007").collect()}
+    assert card["view_id"] == "007" and card["k"] == str(knn.model.k)
+    assert (card["view_rows"], card["used_rows"], card["features"]) == ("400.0000", "400.0000", "3.0000")
     loaded = models.load_knn(spark, root, "001")
     again = flows.evaluate_saved_model(loaded, rows, "id", features, "y")
     assert loaded.k == knn.model.k and again.exceptAll(knn.metrics).count() == 0

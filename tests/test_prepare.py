@@ -125,3 +125,27 @@ def test_csv_view_and_summary(spark, flights, tmp_path):
     tables.write_view(view, str(tmp_path), "007", "demora", fmt="csv")
     back = tables.load_view(spark, str(tmp_path), "007", "csv", view.select("distancia_vuelo", "demora").schema)
     assert back.columns == ["distancia_vuelo", "demora"] and back.count() == view.count()
+
+
+def test_vector_encoding_of_many_categories(spark):
+    rows = spark.range(1200).selectExpr("id", "CASE WHEN id % 7 > 0 THEN concat('c', id % 1000) END AS k", "'one' AS same")
+    out, labels = prepare.one_hot_vector(rows, ["k", "same"])
+    names = {r["position"]: (r["column"], r["value"]) for r in labels.collect()}
+    source = {r["id"]: r["k"] for r in rows.collect()}
+    values = sorted({v for v in source.values() if v is not None})
+    assert sorted(v for _, v in names.values()) == values[1:] and out.columns == ["id", "encoded"]
+    for r in out.collect():
+        want = [source[r["id"]]] if source[r["id"]] in values[1:] else []
+        assert [names[int(i)][1] for i in r["encoded"].indices] == want
+
+
+def test_vector_encoding_without_categories(spark):
+    out, labels = prepare.one_hot_vector(spark.range(2).selectExpr("id", "cast(null AS string) AS k"), ["k"])
+    assert labels.count() == 0 and [r["encoded"].size for r in out.collect()] == [0, 0]
+
+
+def test_left_over_folders_and_claims_keep_their_numbers(spark, tmp_path):
+    root = str(tmp_path)
+    spark.range(1).write.parquet(tables.view_path(root, "004"))
+    assert tables.claim_view_id(spark, root) == "005"
+    assert tables.claim_view_id(spark, root) == "006"

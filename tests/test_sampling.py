@@ -59,3 +59,15 @@ def test_null_class_is_refused(spark):
     rows = spark.createDataFrame([(1, 1), (2, None), (3, 0)], "id long, y int")
     with pytest.raises(ValueError):
         sampling.stratified_split(rows, "y", ["id"])
+
+
+def test_repeated_ids_at_a_cut_are_refused(spark):
+    rows = spark.range(70).select(F.lit(1).alias("id"), (F.col("id") < 10).cast("int").alias("y"))
+    with pytest.raises(ValueError, match="unique"):
+        sampling.undersample_majority(rows, "y", ["id"])
+
+
+def test_repeated_ids_away_from_the_cut_are_exact(spark):
+    rows = labelled(spark, 60, 10).unionByName(labelled(spark, 60, 10).filter("y = 1"))
+    kept = sampling.undersample_majority(rows, "y", ["id"])
+    assert {r["y"]: r["count"] for r in kept.groupBy("y").count().collect()} == {0: 20, 1: 20}
