@@ -17,6 +17,8 @@ MASKS = ((0, 1, 3, 6, 7), (0, 1, 4, 6, 7))
 WINDOW, SHARE = 13, 0.8
 #: Benchmark seeds up to this many rows (under 64 MB) are broadcast; more are joined by shuffle.
 BROADCAST_SEEDS = 1_000_000
+#: Texts are looked through in blocks of as many words as the longest item has, but at least of this many.
+LEAST_BLOCK = 64
 
 
 def word_hashes(text: Column) -> Column:
@@ -25,19 +27,34 @@ def word_hashes(text: Column) -> Column:
     return F.transform(F.coalesce(words, F.array().cast("array<string>")), lambda w: F.xxhash64(w))
 
 
-def seeds(hashes: str, masks=MASKS) -> Column:
-    """For every position an array with the seed of each mask; positions too near to the end have none."""
-    span = max(m[-1] for m in masks)
+def seeds(hashes: str, masks=MASKS, first: Column | None = None, last: Column | None = None) -> Column:
+    """The seeds of the positions first to last (all), one after the other, of each position one for each mask;
+    positions too near to the end have none."""
     h = F.col(hashes)
-    at = lambda i, k: F.get(h, i + F.lit(k))
-    every = lambda i: F.array(*[F.xxhash64(F.lit(n), *[at(i, k) for k in m]) for n, m in enumerate(masks)])
-    return F.when(F.size(h) > span, F.transform(F.sequence(F.lit(0), F.size(h) - 1 - span), every)).otherwise(F.array().cast("array<array<bigint>>"))
+    start, end = F.lit(0) if first is None else first, F.size(h) - 1 - max(m[-1] for m in masks)
+    end = end if last is None else F.least(end, last)
+    every = lambda i: F.array(*[F.xxhash64(F.lit(n), *[F.get(h, i + F.lit(k)) for k in m]) for n, m in enumerate(masks)])
+    return F.when(end >= start, F.flatten(F.transform(F.sequence(start, end), every))).otherwise(F.array().cast("array<bigint>"))
+
+
+def position(of_seed: str, masks=MASKS) -> Column:
+    """The position that the n-th seed belongs to."""
+    return (F.col(of_seed) / len(masks)).cast("int")
 
 
 def benchmark_seeds(items: DataFrame, masks=MASKS) -> DataFrame:
     """item_id, item_at, seed of every item position and mask."""
-    rows = items.select("item_id", "hashes", F.posexplode(seeds("hashes", masks)).alias("item_at", "of_masks"))
-    return rows.select("item_id", "item_at", F.explode("of_masks").alias("seed"))
+    rows = items.select("item_id", F.posexplode(seeds("hashes", masks)).alias("nth", "seed"))
+    return rows.select("item_id", position("nth", masks).alias("item_at"), "seed")
+
+
+def blocks(texts: DataFrame, size: int, around: int) -> DataFrame:
+    """doc_id, block_at, from, h: the word hashes of every block of `size` words with `around` words on both
+    sides; `from` is where h starts. A row's width does not grow with the text."""
+    begin = lambda at: F.greatest(F.lit(0), at - F.lit(around))
+    cut = lambda at: F.struct(at.alias("block_at"), begin(at).alias("from"), F.slice("h", begin(at) + 1, F.lit(size + around) + at - begin(at)).alias("h"))
+    starts = F.sequence(F.lit(0), F.size("h") - 1, F.lit(size))
+    return texts.filter(F.size("h") > 0).select("doc_id", F.explode(F.transform(starts, cut)).alias("b")).select("doc_id", "b.*")
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", masks=MASKS, window: int = WINDOW, share: float = SHARE) -> DataFrame:
@@ -53,10 +70,15 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     wide = known.join(items.select(F.col("item_id").alias("i_id"), F.size("hashes").alias("n_item")).groupBy("i_id").agg(F.max("n_item").alias("n_item")), F.col("item_id") == F.col("i_id")).select("seed", "item_id", "item_at", "n_item")
     if known.count() <= BROADCAST_SEEDS:
         wide = F.broadcast(wide)
-    each = texts.select("doc_id", "h", F.posexplode(seeds("h", masks)).alias("doc_at", "of_masks")).select("doc_id", "h", "doc_at", F.explode("of_masks").alias("d_seed"))
-    hits = each.join(wide, F.col("d_seed") == F.col("seed")).withColumn("shift", F.col("doc_at") - F.col("item_at"))
+    longest = items.agg(F.max(F.size("hashes"))).first()[0] or 0
+    size = max(LEAST_BLOCK, longest)
+    local = F.col("block_at") - F.col("from")
+    each = blocks(texts, size, longest + max(m[-1] for m in masks))
+    each = each.select("doc_id", "from", "h", local.alias("local"), F.posexplode(seeds("h", masks, local, local + (size - 1))).alias("nth", "d_seed"))
+    hits = each.join(wide, F.col("d_seed") == F.col("seed"))
+    hits = hits.withColumn("shift", F.col("from") + F.col("local") + position("nth", masks) - F.col("item_at"))
     first = F.greatest(F.lit(0), F.col("shift"))
-    laid = hits.select("doc_id", "item_id", "shift", F.slice("h", first + 1, F.col("n_item") - (first - F.col("shift"))).alias("part"))
+    laid = hits.select("doc_id", "item_id", "shift", F.slice("h", first - F.col("from") + 1, F.col("n_item") - (first - F.col("shift"))).alias("part"))
     laid = laid.groupBy("doc_id", "item_id", "shift", "part").agg(F.lit(1).alias("one"))
     skip = F.greatest(F.lit(0), -F.col("shift"))
     pairs = laid.join(items.select(F.col("item_id").alias("i_id"), "hashes"), F.col("item_id") == F.col("i_id"))
@@ -81,4 +103,4 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **columns) -> DataFrame
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows, with all their columns, whose text overlaps no benchmark item."""
     found = stage(overlaps(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("f_doc")).distinct(), "contaminated")
-    return docs.join(found, F.col(id_col).cast("long") == F.col("f_doc"), "left_anti")
+    return docs.join(found, docs[id_col].cast("long") == found["f_doc"], "left_anti")

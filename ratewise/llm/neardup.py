@@ -247,4 +247,4 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows, with all their columns, but for those of documents that repeat one with a smaller id."""
     dropped = stage(near_duplicates(docs, n, percent, id_col, text_col).filter("not kept").select(F.col("doc_id").alias("dropped_id")).distinct(), "near-dropped")
-    return docs.join(dropped, F.col(id_col).cast("long") == F.col("dropped_id"), "left_anti")
+    return docs.join(dropped, docs[id_col].cast("long") == dropped["dropped_id"], "left_anti")

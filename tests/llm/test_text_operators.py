@@ -369,15 +369,28 @@ def test_decontamination(spark, docs, none):
         (1, " ".join(rng.choices(vocab, k=50) + w[0] + ["z"])), (2, " ".join(["q"] * 5 + altered)), (3, " ".join(w[1][:12])), (4, " ".join(w[4][20:40])), (5, " ".join(w[2]).upper()), (6, " ".join(w[3])),
         (7, " ".join(w[4][:6] + ["x"] * 30 + w[4][6:12])), (8, None), (9, ""), (10, " ".join(rng.choices(vocab, k=3000))), (1, "again " + " ".join(w[1])), (None, " ".join(w[0])),
     ]
-    table = spark.createDataFrame(texts, "doc_id long, text string").withColumn("item_id", F.lit(3)).withColumn("h", F.lit(1))
+    table = spark.createDataFrame(texts, "doc_id long, text string").withColumn("item_id", F.lit(3)).withColumn("h", F.lit(1)).withColumn("f_doc", F.lit(1)).withColumn("dropped_id", F.lit(1))
     bench = spark.createDataFrame(items, "item_id long, text string")
     out = {r["doc_id"]: r["item_ids"] for r in decontam.contamination(table, bench).collect()}
     assert out == {1: [0, 1], 2: [0], 3: [], 4: [4], 5: [2], 6: [], 7: [], 8: [], 9: [], 10: [], None: []}
+    assert "f_doc" in neardup.keep_one(table).columns
     kept = decontam.drop_contaminated(table, bench)
     assert kept.columns == table.columns and {r["doc_id"] for r in kept.collect()} == {3, 6, 7, 8, 9, 10, None}
     assert decontam.contamination(none, bench).count() == 0 and not decontam.contamination(table, bench.limit(0)).filter("contaminated").count()
 
 
+def test_decontamination_of_long_texts(spark):
+    rng = random.Random(5)
+    vocab = [f"w{i}" for i in range(300)]
+    item = rng.choices(vocab, k=30)
+    filler = ["q"] * 400
+    texts = [(at, " ".join(filler[:at] + item[:13] + filler[at:] + item[10:])) for at in range(40, 200)]
+    found = decontam.overlaps(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")).toPandas()
+    assert len(found) == 2 * len(texts)
+    starts = found.groupby("doc_id")["doc_at"].agg(["min", "max"])
+    assert (starts["min"] == starts.index).all() and (starts["max"] == 403).all()
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
 
