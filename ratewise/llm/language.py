@@ -21,6 +21,8 @@ from ratewise.llm.common import MIX, chunks, mixed, stage, texts_of
 
 #: The model's size: grams kept per language, the most frequent first, and log2 of the filter's slots.
 GRAMS, SLOT_BITS, PROBES = 65_536, 20, 3
+#: Parts in which a language's grams are ranked before the last ranking.
+PARTS = 32
 #: A language owns a gram whose share in it is at least this part of the largest share in any language.
 OWN_PART, LEAST_COUNT = 0.2, 3
 UNKNOWN, FEW = "und", 20
@@ -122,7 +124,10 @@ def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Fi
     bit = F.create_map(*[x for k, lang in enumerate(languages) for x in (F.lit(lang), F.lit(k))])
     shares = counts.join(F.broadcast(totals), "lang").select("gram", "lang", "n", (F.col("n") / F.col("total")).alias("share"))
     best = shares.withColumn("best", F.max("share").over(Window.partitionBy("gram"))).filter((F.col("share") >= OWN_PART * F.col("best")) & (F.col("n") >= LEAST_COUNT))
-    kept = best.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("share"), "gram"))).filter(F.col("place") <= GRAMS)
+    # The first of every part of a language, then the first of those: no task ranks all grams of a language.
+    first = lambda *part: F.row_number().over(Window.partitionBy("lang", *part).orderBy(F.desc("share"), "gram"))
+    kept = best.withColumn("part", F.pmod(F.xxhash64("gram"), F.lit(PARTS))).withColumn("place", first("part")).filter(F.col("place") <= GRAMS)
+    kept = kept.withColumn("place", first()).filter(F.col("place") <= GRAMS)
     masks = kept.groupBy("gram").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit[F.col("lang")])).alias("mask"))
     return Filter.of(languages, [(r["gram"], r["mask"]) for r in masks.collect()])
 
