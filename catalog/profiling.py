@@ -499,12 +499,24 @@ def _finding_null_cells(spark, sf):
     FROM t WHERE weather IS NOT NULL GROUP BY weather""",
 )
 def _eda_report(spark, sf):
+    return _eda(trips(spark, sf, *EDA_COLUMNS))["rate_by_weather"]
+
+
+EDA_COLUMNS = ("order_id", "distance", "minutes", "visibility", "weather", "congestion", "kind", "origin", "destination", "delayed")
+
+
+def _eda(df):
     roles_ = flows.EdaRoles(
         id="order_id", target="delayed", places=("origin", "destination"), weather="weather", congestion="congestion",
         visibility="visibility", distance="distance", minutes="minutes", kind="kind",
     )
-    df = trips(spark, sf, "order_id", "distance", "minutes", "visibility", "weather", "congestion", "kind", "origin", "destination", "delayed")
-    return flows.eda_report(df, roles_)["rate_by_weather"]
+    return flows.eda_report(df, roles_)
+
+
+@query("eda_table")
+def _eda_table(spark, sf):
+    """The whole report; the joined rows are stored before its tables read them."""
+    return flows.eda_table(_eda(stage(trips(spark, sf, *EDA_COLUMNS), "eda-input")))
 
 
 @query(

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewise.functions.stats import pearson, rate_pct
@@ -25,20 +27,73 @@ def group_correlation(table: DataFrame, x: str, y: str, digits: int = 6) -> Data
     return table.agg(F.round(pearson(x, y), digits).alias("r"))
 
 
+#: A spread below this part of the mean, or a sum of squares that cancels to this part, is rounding noise: the
+#: column counts as constant.
+NOISE = 1e-13
+
+
+def batch_products(x: np.ndarray) -> np.ndarray:
+    """(6, d, d) of a batch of rows: n, mean of a, mean of b, centred aa, bb and ab of every pair of columns, each
+    over the rows that know both."""
+    known = ~np.isnan(x)
+    m = known.astype(float)
+    shift = np.where(known, x, 0).sum(axis=0) / np.maximum(m.sum(axis=0), 1)
+    z = np.where(known, x - shift, 0)
+    n = m.T @ m
+    own, squares = z.T @ m, (z * z).T @ m
+    some = np.maximum(n, 1)
+    aa = squares - own * own / some
+    aa[aa <= NOISE * squares] = 0
+    mean = shift[:, None] + own / some
+    return np.stack([n, mean, mean.T, aa, aa.T, z.T @ z - own * own.T / some])
+
+
+def merged_products(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """The products of two sets of rows together."""
+    n = np.maximum(p[0] + q[0], 1)
+    a, b, w = q[1] - p[1], q[2] - p[2], p[0] * q[0] / n
+    means = [(p[0] * p[k] + q[0] * q[k]) / n for k in (1, 2)]
+    return np.stack([p[0] + q[0], *means, p[3] + q[3] + w * a * a, p[4] + q[4] + w * b * b, p[5] + q[5] + w * a * b])
+
+
 def pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]], digits: int = 6) -> DataFrame:
-    """(x, y, r) for the given pairs, each over its own complete rows. Rows are spread to one record per
-    pair and folded again before the shuffle: the aggregate stays one short, compiled loop for any number of
-    columns, and one row per pair and task is shuffled."""
+    """(x, y, r) for the given pairs, each over the rows that know both (null and NaN are unknown). Every task
+    folds its rows by matrix products over batches and sends one row per pair. Constant columns and
+    columns with infinite values have a null r."""
+    spark = df.sparkSession
     if not pairs:
-        return df.sparkSession.createDataFrame([], "x string, y string, r double")
-    records = [
-        F.struct(F.lit(i).alias("pair"), F.col(f"`{a}`").cast("double").alias("a"), F.col(f"`{b}`").cast("double").alias("b"))
-        for i, (a, b) in enumerate(pairs)
-    ]
-    complete = df.select(F.inline(F.array(*records))).filter(F.col("a").isNotNull() & F.col("b").isNotNull())
-    spread = F.stddev_pop("a") * F.stddev_pop("b")
-    table = complete.groupBy("pair").agg(F.round(F.try_divide(F.covar_pop("a", "b"), spread), digits).alias("r"))
-    names = df.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "pair int, x string, y string")
+        return spark.createDataFrame([], "x string, y string, r double")
+    cols = list(dict.fromkeys(c for pair in pairs for c in pair))
+    at = [[cols.index(pair[k]) for pair in pairs] for k in (0, 1)]
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = np.zeros((6, len(cols), len(cols)))
+        with np.errstate(invalid="ignore", over="ignore"):
+            for batch in batches:
+                if batch.num_rows:
+                    done = merged_products(done, batch_products(np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])))
+        found = done[:, at[0], at[1]]
+        some = np.flatnonzero(found[0] > 0)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *(pa.array(v[some]) for v in found)], names=["pair", "n", "ma", "mb", "aa", "bb", "ab"])
+
+    parts = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)]).mapInArrow(
+        fold, "pair int, n double, ma double, mb double, aa double, bb double, ab double"
+    )
+    tasks = Window.partitionBy("pair")  # one row per task
+    parts = parts.select("*", F.min("ma").over(tasks).alias("low_a"), F.min("mb").over(tasks).alias("low_b"))
+    n, a, b = F.col("n"), F.col("ma") - F.col("low_a"), F.col("mb") - F.col("low_b")
+    sums = parts.groupBy("pair").agg(
+        F.sum("n").alias("n"), F.first("low_a").alias("low_a"), F.first("low_b").alias("low_b"), F.sum(n * a).alias("a"), F.sum(n * b).alias("b"),
+        F.sum(F.col("aa") + n * a * a).alias("aa"), F.sum(F.col("bb") + n * b * b).alias("bb"), F.sum(F.col("ab") + n * a * b).alias("ab"),
+    )
+
+    def spread(k: str) -> Column:
+        mean, deviation = F.col(f"low_{k}") + F.col(k) / n, F.sqrt(F.greatest(F.col(k + k) - F.col(k) * F.col(k) / n, F.lit(0.0)) / n)
+        return F.when(deviation > NOISE * F.abs(mean), deviation)
+
+    r = (F.col("ab") / n - (F.col("a") / n) * (F.col("b") / n)) / (spread("a") * spread("b"))
+    table = sums.select("pair", F.round(F.when(~F.isnan(r), r), digits).alias("r"))
+    names = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "pair int, x string, y string")
     return names.join(table, "pair", "left").select("x", "y", "r")
 
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ratewise.functions.columns import extract_hour_of
 from ratewise.operators import chartdata, neighbors, profile, rates, relations, sampling, trees
@@ -80,6 +82,12 @@ def eda_report(df: DataFrame, roles: EdaRoles, **quantile_options) -> dict[str,
     return out
 
 
+def eda_table(report: dict[str, DataFrame]) -> DataFrame:
+    """All tables of a report as one: the part, and its rows as JSON objects of their columns."""
+    row = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    return reduce(DataFrame.unionByName, [t.select(F.lit(name).alias("part"), row.alias("row")) for name, t in report.items()])
+
+
 def publish_view(
     df: DataFrame, spec: ViewSpec, root: str, row_id: str | None = None, **quantile_options
 ) -> tuple[str, ViewParams]:

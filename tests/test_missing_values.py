@@ -44,3 +44,40 @@ def test_second_result_replaces_the_first(spark, tmp_path):
     stored = models.load_metrics(spark, str(tmp_path))
     assert {(r["model_id"], r["value"]) for r in stored.collect()} == {("001", 0.75), ("002", 0.1)}
     assert models.metrics_json(stored).count() == 2
+
+
+def test_correlations_of_many_columns_with_gaps(spark):
+    import numpy as np
+    import pandas as pd
+
+    from ratewise.operators import relations
+
+    draw = np.random.default_rng(4)
+    wide = draw.normal(size=(400, 100)) @ (np.eye(100) + 0.2 * draw.normal(size=(100, 100)))
+    wide[:, 3] += 1e9
+    wide[:, 7] = 0.1
+    wide[::3, 10], wide[1::4, 20], wide[:, 30] = np.nan, np.nan, np.nan
+    wide[:200, 40], wide[200:, 41] = np.nan, np.nan  # no row knows both
+    wide[50:, 50], wide[:50, 51] = np.nan, 2.5  # constant where the other is known
+    names = [f"c {i}" for i in range(100)]
+    df = spark.createDataFrame([tuple(None if np.isnan(v) and i % 2 else float(v) for v in r) for i, r in enumerate(wide)], ", ".join(f"`{c}` double" for c in names)).repartition(5)
+    out = relations.correlation_matrix(df, names)
+    assert "Generate" not in relations.correlation_pairs(df, names)._jdf.queryExecution().optimizedPlan().toString()
+    got = out.toPandas().pivot(index="x", columns="y", values="r").loc[names, names].to_numpy(dtype=float)
+    want = pd.DataFrame(wide).corr(min_periods=2).to_numpy(copy=True)
+    want[[7, 51, 50], [7, 50, 51]] = np.nan
+    np.fill_diagonal(want, 1.0)
+    want[7, np.arange(100) != 7] = want[np.arange(100) != 7, 7] = np.nan
+    assert np.allclose(got, want, atol=2e-6, equal_nan=True)
+    empty = relations.correlation_matrix(df.limit(0), names[:3]).toPandas()
+    assert len(empty) == 9 and empty["r"].notna().sum() == 3
+
+
+def test_report_as_one_table(spark):
+    import json
+
+    from ratewise.plans import flows
+
+    a = spark.createDataFrame([(1, None), (2, "x")], "n int, c string")
+    got = {(r["part"], r["row"]) for r in flows.eda_table({"a": a, "b": a.select("n")}).collect()}
+    assert {(p, tuple(json.loads(r).items())) for p, r in got} == {("a", (("n", 1), ("c", None))), ("a", (("n", 2), ("c", "x"))), ("b", (("n", 1),)), ("b", (("n", 2),))}
