@@ -2,9 +2,9 @@
 
 Instead of drawing every table's hashes anew, two small collections of band keys are drawn and a table is a
 pair of them: c * c tables cost the hashes of 2 * c bands. Documents with equal sets are one from the start.
-In every table bucket, members are tied to its first member, never all to all (like documents share many
-buckets, with other members and other first ones); ties
-whose signatures are clearly too unlike are cut, and what stays connected is a family. Within a family all
+In every table bucket, members are tied to its first member, and ties whose signatures are clearly too unlike
+are cut. Buckets whose members this leaves unconnected are gone through again, all members against all of
+another family, in blocks of bounded size; what is connected then is a family. Within a family all
 pairs are decided on full sets, by blocks of bounded size; distances to a few members rule out pairs by the
 triangle inequality, and pairs already in one component are passed over. Links become components.
 """
@@ -98,19 +98,22 @@ def signatures(docs: DataFrame, n: int, bands: int, band: int = BAND, seed: int
     return docs.select("doc_id", "text").mapInArrow(kernel, "doc_id long, n_shingles long, set_hash binary, keys array<long>, sig binary")
 
 
-def table_ties(sets: DataFrame, bands: int) -> DataFrame:
-    """(a, b): in every table, each member of a bucket tied to the smallest."""
+def bucket_members(sets: DataFrame, bands: int) -> DataFrame:
+    """(key, a, b): the members b of every table bucket with several, and the smallest of them, a."""
     first, second = F.sequence(F.lit(0), F.lit(bands - 1)), F.sequence(F.lit(bands), F.lit(2 * bands - 1))
     tables = F.flatten(F.transform(first, lambda i: F.transform(second, lambda j: F.xxhash64(i, j, F.get("keys", i), F.get("keys", j)))))
     rows = sets.select(F.col("doc_id").alias("b"), F.explode(tables).alias("key"))
     buckets = rows.groupBy("key").agg(F.min("b").alias("a"), F.count("*").alias("n")).filter("n > 1").select(F.col("key").alias("c_key"), "a")
-    return rows.join(buckets, F.col("key") == F.col("c_key")).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return rows.join(buckets, F.col("key") == F.col("c_key")).select("key", "a", "b")
 
 
-def likely(ties: DataFrame, sets: DataFrame, threshold: float, count: int) -> DataFrame:
-    """The ties whose signatures do not rule out the threshold (five standard errors below it, one in 65,536
-    equal by chance)."""
-    floor = threshold - 5 * math.sqrt(threshold * (1 - threshold) / count)
+def floor_of(threshold: float, count: int) -> float:
+    """The share of equal hashes under which signatures rule out the threshold: five standard errors below it."""
+    return threshold - 5 * math.sqrt(threshold * (1 - threshold) / count)
+
+
+def likely(ties: DataFrame, sets: DataFrame, floor: float) -> DataFrame:
+    """The ties whose signatures do not rule out the threshold (one hash in 65,536 is equal by chance)."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,6 +126,74 @@ def likely(ties: DataFrame, sets: DataFrame, threshold: float, count: int) -> Da
     return both.mapInArrow(kernel, "a long, b long")
 
 
+def runs(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
+    """The rows of each run of equal integers in `by`, also where it goes on in the next batch."""
+    held, name = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        k = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in by])
+        cuts = [0, *(np.flatnonzero((k[:, 1:] != k[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        for s, e in zip(cuts, cuts[1:]):
+            this = tuple(k[:, s].tolist())
+            if held and this != name:
+                yield name, pa.Table.from_batches(held)
+                held = []
+            name = this
+            held.append(batch.slice(s, e - s))
+    if held:
+        yield name, pa.Table.from_batches(held)
+
+
+def joining_pairs(sig: np.ndarray, label: np.ndarray, own: np.ndarray, within: bool, floor: float) -> list[tuple[int, int]]:
+    """Pairs of members of different labels with like signatures that join all such members; only of different
+    `own` unless `within`."""
+    label, links = label.copy(), []
+    for i in range(len(sig) - 1):
+        other = label[i + 1 :] != label[i]
+        if not within:
+            other &= own[i + 1 :] != own[i]
+        other = np.flatnonzero(other) + i + 1
+        if not len(other):
+            continue
+        for j in other[(sig[other] == sig[i]).mean(axis=1) >= floor].tolist():
+            if label[j] != label[i]:
+                label[label == label[j]] = label[i]
+                links.append((i, j))
+    return links
+
+
+def ties_across(members: DataFrame, families: DataFrame, sets: DataFrame, floor: float, block: int = BLOCK) -> DataFrame:
+    """(a, b): ties between members of one bucket that are in different families so far, so that no two members
+    of a bucket with like signatures stay apart. Buckets of two have been compared.
+
+    `members`: key, a, b; `families`: node, root. Buckets over `block` members are cut into blocks that meet
+    pairwise.
+    """
+    known = stage(members.join(families, F.col("b") == F.col("node"), "left").select("key", "b", F.coalesce("root", "b").alias("root")), "near-buckets")
+    apart = known.groupBy(F.col("key").alias("m_key")).agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).filter("n > 2 and low <> high").select("m_key", "n")
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    rows = known.join(apart, F.col("key") == F.col("m_key")).select("key", "b", "root", blocks.alias("blocks"), F.pmod(F.xxhash64("b"), blocks).cast("int").alias("own"))
+    rows = rows.join(sets.select("doc_id", "sig"), F.col("b") == F.col("doc_id")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = rows.select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "b", "root", "sig")
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(found: set[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+        found: set[tuple[int, int]] = set()
+        for (_, x, y), group in runs(batches, ["key", "x", "y"]):
+            ids, root, own = (group.column(c).to_numpy() for c in ("b", "root", "own"))
+            sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), dtype="<u2").reshape(len(ids), -1)
+            found.update((int(min(ids[i], ids[j])), int(max(ids[i], ids[j]))) for i, j in joining_pairs(sig, root, own, x == y, floor))
+            if len(found) > 100_000:
+                yield out(found)
+                found.clear()
+        yield out(found)
+
+    return dealt.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(kernel, "a long, b long").distinct()
+
+
 class Union:
     def __init__(self, n: int):
         self.up = np.arange(n)
@@ -233,8 +304,10 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     filled = signed.filter("n_shingles > 0 and doc_id is not null")
     classes = stage(filled.groupBy("set_hash").agg(F.min("doc_id").alias("rep")), "near-classes")
     sets = stage(classes.join(filled.withColumnRenamed("set_hash", "h"), (F.col("rep") == F.col("doc_id")) & (F.col("set_hash") == F.col("h"))).groupBy("doc_id").agg(F.min_by(F.struct("keys", "sig"), "h").alias("x")).select("doc_id", "x.keys", "x.sig"), "near-sets")
-    ties = likely(table_ties(sets, bands), sets, percent / 100, 2 * bands * BAND + MORE)
-    families = components(ties)
+    floor = floor_of(percent / 100, 2 * bands * BAND + MORE)
+    members = stage(bucket_members(sets, bands), "near-members")
+    ties = stage(likely(members.filter("a <> b").select("a", "b").distinct(), sets, floor), "near-ties")
+    families = components(ties.unionByName(ties_across(members, components(ties), sets, floor)))
     sized = stage(families.join(families.groupBy(F.col("root").alias("r")).agg(F.count("*").alias("n")), F.col("root") == F.col("r")).select("node", "root", "n"), "near-families")
     links = components(family_links(given, sized, n, percent))
     reps = classes.join(links, F.col("rep") == F.col("node"), "left").select("set_hash", F.coalesce("root", "rep").alias("component"))

@@ -275,6 +275,31 @@ def test_near_duplicates(spark, docs, rows, none, monkeypatch, n, percent, block
     assert neardup.near_duplicates(none).count() == 0
 
 
+def test_near_copies_that_share_every_bucket_with_smaller_unlike_documents(spark):
+    rng = random.Random(4)
+    line = lambda k: " ".join(f"l{k}w{j}" for j in range(20))
+    base = [line(k) for k in range(20)]
+    mixes = [rng.sample(base, 12) + [line(1000 + 10 * i + j) for j in range(8)] for i in range(800)]
+    table = [(i, "\n".join(m)) for i, m in enumerate(mixes)]
+    copies = [list(base) for _ in range(3)]
+    for k, c in enumerate(copies):
+        c[5 + k] += str(k)
+    table += [(5000 + k, "\n".join(c)) for k, c in enumerate(copies)]
+    want = brute_links(table, 3, 85)
+    assert [want[5000 + k][1] for k in range(3)] == [5000] * 3
+    got = neardup.near_duplicates(spark.createDataFrame(table, "doc_id long, text string"), 3, 85).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+
+
+def test_members_of_a_bucket_are_compared_with_all_of_other_families():
+    rng = np.random.default_rng(6)
+    sig = rng.integers(0, 1 << 16, (40, 84)).astype("<u2")
+    sig[31], sig[32], sig[33] = sig[7], sig[7], sig[8]
+    label, own = np.arange(40), np.arange(40) % 2
+    assert neardup.joining_pairs(sig, label, own, True, 0.6) == [(7, 31), (7, 32), (8, 33)]
+    assert neardup.joining_pairs(sig, label, own, False, 0.6) == [(7, 32), (8, 33), (31, 32)]
+
+
 def test_enough_bands():
     for t in (0.8, 0.85, 0.9):
         c = neardup.bands_for(t)
