@@ -31,8 +31,8 @@ OUTPUTS, CLASS_WORDS, ENDINGS, STATE, EMBEDDING = 1024, 64, 63, 16, 16
 KNOWN_WORDS = 65_536
 #: They make up at least this share of all tokens each, so at most a million words are ordered to find them.
 KNOWN_SHARE = 1e-6
-#: Training tokens: a base and a share of the corpus; tokens to a worker; rounds; steps to a window; lanes.
-TRAIN_BASE, TRAIN_SHARE, WORKER_TOKENS, ROUNDS, WINDOW, LANES = 400_000, 0.015, 500_000, 4, 24, 32
+#: Training tokens to a worker; rounds; steps to a window; lanes.
+WORKER_TOKENS, ROUNDS, WINDOW, LANES = 500_000, 4, 24, 32
 #: Smoothing of counts.
 ADD = 0.1
 END = b""
@@ -383,14 +383,11 @@ def _local_pass(start: dict, vocab: Vocabulary, rate: float):
 
 
 def fit(docs: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS, rate: float = 0.01) -> dict:
-    """Parameters after `rounds` of local training and averaging over a share of the documents (doc_id, text)."""
+    """Parameters after `rounds` of local training and averaging over all documents (doc_id, text)."""
     p = initial(vocab)
     if not vocab.words:
         return p
-    wanted = min(vocab.tokens, TRAIN_BASE + TRAIN_SHARE * vocab.tokens)
-    workers = max(1, math.ceil(wanted / WORKER_TOKENS))
-    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000))
-    chosen = docs.filter(part < int(1_000_000 * wanted / max(1, vocab.tokens)))
+    workers = max(1, math.ceil(vocab.tokens / WORKER_TOKENS))
 
     def symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocab.open()
@@ -399,11 +396,11 @@ def fit(docs: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS, rate: float =
             yield pa.RecordBatch.from_arrays([batch.column("worker"), pa.array(ids, pa.binary())], names=["worker", "ids"])
 
     worker = F.pmod(F.xxhash64("doc_id", "text", F.lit(1)), F.lit(workers))
-    sample = stage(chosen.select(worker.alias("worker"), "text").mapInArrow(symbols, "worker long, ids binary"), "lm-sample")
+    dealt = stage(docs.select(worker.alias("worker"), "text").mapInArrow(symbols, "worker long, ids binary"), "lm-dealt")
     for k in range(rounds):
 
-        rows = sample.groupBy("worker").applyInPandas(_local_pass(p, vocab, rate / (1 + k / 2)), "worker long, p binary, n long")
-        p = _unpacked(_mean(rows), p) if workers > 1 or sample.head(1) else p
+        rows = dealt.groupBy("worker").applyInPandas(_local_pass(p, vocab, rate / (1 + k / 2)), "worker long, p binary, n long")
+        p = _unpacked(_mean(rows), p) if workers > 1 or dealt.head(1) else p
     return p
 
 

@@ -210,6 +210,16 @@ def test_lm_scores(docs, rows, none):
     assert lm.score(none, learn).count() == 0
 
 
+def test_lm_trains_on_all_documents(spark, monkeypatch):
+    table = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("the of and a to " * 40), F.col("id").cast("string")).alias("text"))
+    vocab = lm.vocabulary(lm.word_counts(table))
+    assert vocab.tokens == 3000 * 202
+    staged = []
+    monkeypatch.setattr(lm, "stage", lambda df, label: staged.append(df) or df)
+    lm.fit(table, vocab, rounds=0)
+    assert staged[-1].agg(F.sum(F.length("ids") / 4)).first()[0] == vocab.tokens
+
+
 def test_toxicity_ignores_mentions_of_groups(spark, docs, none):
     rng = random.Random(5)
     data, labels = [], []
