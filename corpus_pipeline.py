@@ -30,7 +30,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where every piece of the remaining documents goes in sequences of 1024 tokens."""
-    return packing.pack_documents(docs)
+    return packing.pack_documents(docs, special=True)
 
 
 STAGES = [

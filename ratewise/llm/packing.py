@@ -28,15 +28,18 @@ GROUP_DOCS = 16_384
 OPEN_BINS = 8_192
 #: Beyond these letters two libraries may sort a character into different classes.
 _OTHER_SCRIPTS = re.compile("[^\x00-ɏ]")
+#: tiktoken fails on runs of white space a little over ten times as long.
+LONGEST_SPACE = 100_000
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 
 
 @lru_cache(maxsize=2)
-def encoder(name: str):
-    """A function from text to token ids as uint32.
+def encoder(name: str, special: bool = False):
+    """A function from text to token ids as uint32. `special`: special tokens written in a text are their one id,
+    as in the library's plain call; without it they are text like any other.
 
     `tokenizers` defines the ids. `tiktoken` holds the same vocabulary as ranks and is several times faster;
-    it serves texts of scripts for which both split alike (tests compare them).
+    it serves texts of scripts for which both split alike (tests compare them), without very long white space.
     """
     import base64
 
@@ -47,15 +50,18 @@ def encoder(name: str):
     @lru_cache(maxsize=1)
     def slow():
         made = Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
-        made.encode_special_tokens = True
+        made.encode_special_tokens = not special
         return made
 
     with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    tokens = [t.content for t in slow().get_added_tokens_decoder().values()] if special else []
+
     def ids(text: str) -> np.ndarray:
-        if _OTHER_SCRIPTS.search(text):
+        long_space = len(text) > LONGEST_SPACE and max(map(len, re.findall(r"\s+", text)), default=0) > LONGEST_SPACE
+        if long_space or _OTHER_SCRIPTS.search(text) or any(t in text for t in tokens):
             return np.array(slow().encode(text, add_special_tokens=False).ids, dtype="<u4")
         return np.array(fast.encode_ordinary(text), dtype="<u4")
 
@@ -68,7 +74,7 @@ def cut(n: int, size: int) -> list[tuple[int, int]]:
     return [(0, first)] + [(s, size) for s in range(first, n, size)]
 
 
-def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SEQUENCE, tokenizer: str = "byte_bpe_50k") -> DataFrame:
+def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SEQUENCE, tokenizer: str = "byte_bpe_50k", special: bool = False) -> DataFrame:
     """The ids of every text, then an end id, in pieces: doc_id, piece, start, length, ids (little-endian uint32).
 
     Null and empty texts give one piece with the end id alone. Rows with equal or null ids are documents of
@@ -76,7 +82,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer, special)
         schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
         for batch in chunks(batches):
             rows: list[list] = [[], [], [], [], []]
@@ -149,9 +155,9 @@ def pack(pieces: DataFrame, documents: int, size: int = SEQUENCE, open_bins: int
     )
 
 
-def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SEQUENCE) -> DataFrame:
+def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SEQUENCE, special: bool = False) -> DataFrame:
     """Where every piece of every document goes, with a checksum of its ids in place of the ids."""
-    digests = token_pieces(docs, id_col, text_col, size).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    digests = token_pieces(docs, id_col, text_col, size, special=special).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return pack(digests, docs.count(), size)
 
 

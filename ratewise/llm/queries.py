@@ -30,7 +30,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 @query("op1_best_fit_packing")
 def best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf, "documents"))
+    return packing.pack_documents(table(spark, sf, "documents"), special=True)
 
 
 @query("op2_suffix_dedup")

@@ -60,6 +60,17 @@ def test_encoder_gives_the_ids_of_the_defining_library():
     assert [encode(t).tolist() + [2] for t in texts] == tokens(texts)
 
 
+def test_long_white_space_and_special_tokens_are_those_of_the_plain_call():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|>b", "<|endoftext|>" * 2, "a" + " " * 1_100_000 + "b", "a" + "\n" * 1_100_000 + "b", " " * 100_002 + "<|endoftext|>", "a  b"]
+    encode = packing.encoder("byte_bpe_50k", special=True)
+    assert all(encode(t).tolist() == plain.encode(t, add_special_tokens=False).ids for t in texts)
+    assert 50256 in encode(texts[0])
+
+
 def test_packing(docs, rows, none):
     got = packing.pack_documents(docs, size=64).toPandas()
     ids = tokens([r[1] for r in rows])
