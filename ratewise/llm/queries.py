@@ -88,4 +88,4 @@ def exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op10_decontamination")
 def decontamination(spark: SparkSession, sf: str) -> DataFrame:
-    return decontam.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return decontam.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"), least=1)

@@ -425,6 +425,30 @@ def test_decontamination(spark, docs, none):
     assert decontam.contamination(none, bench).count() == 0 and not decontam.contamination(table, bench.limit(0)).filter("contaminated").count()
 
 
+def test_decontamination_by_items_of_every_short_length(spark):
+    items = {n: [f"i{n}w{j}" for j in range(n)] for n in range(1, 13)}
+    texts, want = [(0, "q " * 90), (1, "q"), (2, "i2w1 i2w0 i4w0 i4w1 i4w2")], {}
+    for n, words in items.items():
+        for k in range(4):
+            for bad in itertools.combinations(range(n), k):
+                if len(bad) == 3 and sum(bad) % 7:
+                    continue
+                own = [w if j not in bad else "x" for j, w in enumerate(words)]
+                doc = 10 + len(texts)
+                texts.append((doc, " ".join(["q"] * (doc % 70) + own + ["q"] * (doc % 3))))
+                if 10 * (n - k) >= 8 * n:
+                    want[doc] = [n]
+        texts.append((10 + len(texts), " ".join(["q"] + words[1:])))
+        if 10 * (n - 1) >= 8 * n:
+            want[texts[-1][0]] = [n]
+    table = spark.createDataFrame(texts, "doc_id long, text string")
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    got = {r["doc_id"]: r["item_ids"] for r in decontam.contamination(table, bench, least=1).collect() if r["contaminated"]}
+    assert got == want
+    longer = {r["doc_id"]: r["item_ids"] for r in decontam.contamination(table, bench).collect() if r["contaminated"]}
+    assert longer == {d: i for d, i in want.items() if i[0] >= 8}
+
+
 def test_decontamination_of_long_texts(spark):
     rng = random.Random(5)
     vocab = [f"w{i}" for i in range(300)]
