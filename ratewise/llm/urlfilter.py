@@ -20,6 +20,10 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The host of an absolute or protocol-relative link in a tag.
 LINK_HOST = r"""(?i)\b(?:href|src|action)\s{0,8}=\s{0,8}["']?\s{0,8}(?:[a-z][a-z0-9+.\-]{0,15}:)?//([^/?#"'\s<>\\]+)"""
 
+#: Scores have settled when none changes by more than this part of itself in STEPS rounds and no host is new.
+#: More rounds than MOST_ROUNDS raise.
+TOLERANCE, STEPS, MOST_ROUNDS = 1e-6, 3, 2000
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -60,11 +64,19 @@ def host_edges(pages: DataFrame, host_col: str = "host", html_col: str = "html")
     return links.select("src", bare.alias("dst")).filter((F.col("dst") != "") & (F.col("dst") != F.col("src"))).groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int = 10) -> DataFrame:
+def settled(before: DataFrame, after: DataFrame) -> bool:
+    """Whether both have the same hosts, with about the same scores."""
+    was = before.select(F.col("kind").alias("w_kind"), F.col("host").alias("w_host"), F.col("score").alias("was"))
+    both = after.join(was, (F.col("kind") == F.col("w_kind")) & (F.col("host") == F.col("w_host")), "left")
+    return not both.filter(F.col("was").isNull() | (F.abs(F.col("score") - F.col("was")) > TOLERANCE * F.col("score"))).limit(1).count()
+
+
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int | None = None) -> DataFrame:
     """Trust and distrust of every host that is a seed or linked: host, trust, distrust.
 
     `seeds`: host, trust, distrust (any positive weights). Each round is one join and one sum; every third
-    state is written to the shared folder, which cuts lineage. What hosts without links forward would pass on
+    state is written to the shared folder, which cuts lineage. Goes on until the scores have settled, or for
+    `rounds`. What hosts without links forward would pass on
     is lost, which scales all scores of a kind alike.
     """
     forward = edges.select(F.lit("trust").alias("kind"), F.col("src").alias("a"), F.col("dst").alias("b"), "weight")
@@ -79,17 +91,25 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds:
     sums = start.groupBy("kind").agg(F.sum("w").alias("all"))
     start = start.join(F.broadcast(sums), "kind").select("kind", "host", (F.col("w") / F.col("all")).alias("seed"))
     state = start.select("kind", "host", F.col("seed").alias("score"))
-    for k in range(rounds):
+    last = state
+    for k in range(MOST_ROUNDS if rounds is None else rounds):
         sent = state.join(shares, (shares["kind"] == state["kind"]) & (shares["a"] == state["host"])).select(state["kind"], F.col("b").alias("host"), (damping * F.col("score") * F.col("share")).alias("score"))
         back = start.select("kind", "host", ((1 - damping) * F.col("seed")).alias("score"))
         state = back.unionByName(sent).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-        if k % 3 == 2 or k == rounds - 1:
+        if k % STEPS == STEPS - 1 or k + 1 == rounds:
             state = stage(state, "url-round")
+            if rounds is None:
+                if settled(last, state):
+                    break
+                last = state
+    else:
+        if rounds is None:
+            raise RuntimeError("trust did not settle")
     of = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("score")).otherwise(0.0)).alias(kind)
     return state.groupBy("host").agg(of("trust"), of("distrust"))
 
 
-def judge(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url", html_col: str = "html", threshold: float = 0.0, rounds: int = 10) -> DataFrame:
+def judge(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url", html_col: str = "html", threshold: float = 0.0, rounds: int | None = None) -> DataFrame:
     """Host, path, rule, verdict, trust and distrust of every page.
 
     Null urls and urls without ``://`` have an empty host, fit no rule and are allowed; null html has no

@@ -161,6 +161,14 @@ def test_url_rules_and_links(spark):
     assert urlfilter.judge(pages.limit(0), rules).count() == 0
 
 
+def test_distrust_reaches_the_end_of_a_long_chain(spark):
+    link = '<a href="http://h{}.com/">'.format
+    pages = [(k, f"http://h{k}.com/", link(k + 1)) for k in range(14)] + [(14, "http://h14.com/", "")]
+    got = {r["page_id"]: (r["verdict"], r["distrust"]) for r in urlfilter.judge(spark.createDataFrame(pages, "page_id long, url string, html string"), [urlfilter.Rule("block", "h14.com", "/")]).collect()}
+    assert {v for v, _ in got.values()} == {"block"}
+    assert all(abs(got[14 - k][1] / (0.15 * 0.85**k) - 1) < 1e-5 for k in range(15))
+
+
 def test_propagation_matches_power_iteration(spark):
     edges = [("a", "b", 2.0), ("a", "c", 1.0), ("b", "c", 1.0), ("c", "a", 1.0), ("d", "a", 3.0)]
     got = {r["host"]: (r["trust"], r["distrust"]) for r in urlfilter.propagate(spark.createDataFrame(edges, "src string, dst string, weight double"), spark.createDataFrame([("a", 1.0, 0.0), ("c", 0.0, 2.0)], "host string, trust double, distrust double"), rounds=5).collect()}
