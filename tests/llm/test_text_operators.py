@@ -369,6 +369,24 @@ def test_language(docs, rows, none):
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} >= {1, 2, 3, 7, 13, 14}
 
 
+def test_more_languages_than_bits(spark):
+    rng = random.Random(12)
+    vocab = [["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(12)] for _ in range(130)]
+    table = spark.createDataFrame([(k, " ".join(rng.choices(v, k=200)), f"l{k:03}") for k, v in enumerate(vocab)], "doc_id long, text string, lang string")
+    model = language.learn(table)
+    assert len(model.languages) == 130
+    assert {r["doc_id"]: r["lang_pred"] for r in language.predict(table, model).collect()} == {k: f"l{k:03}" for k in range(130)}
+
+
+def test_foreign_and_random_texts_are_dropped(spark):
+    rng = random.Random(13)
+    table = spark.createDataFrame([(k, prose(rng, 300), "en") for k in range(20)], "doc_id long, text string, lang string")
+    noise = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz    ", k=2000))
+    asked = [(1, prose(rng, 60)), (2, noise), (3, "mikä olikaan tuo pitkä kylmä yötön thing talvi " * 9), (4, noise + " thing reed"), (5, "kylmä yö"), (6, "12")]
+    kept = language.keep_identified(spark.createDataFrame(asked, "doc_id long, text string"), language.learn(table))
+    assert {r["doc_id"] for r in kept.collect()} == {1, 5}
+
+
 def test_filter_answers_with_all_languages():
     f = language.Filter.of(["a", "b"], [(17, 1), (18, 2), (19, 3)])
     probe = np.array([17, 18, 19, 20], np.uint32)
