@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm import decontam, language, licences, lm, mtree, neardup, packing, suffix_dedup, toxicity, urlfilter
+from ratewise.llm import decontam, language, licences, lm, mtree, neardup, packing, phrases, suffix_dedup, toxicity, urlfilter
 from ratewise.llm.common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,34 @@ def exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_decontamination")
 def decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontam.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"), least=1)
+
+
+@query(
+    "op11_phrase_collocations",
+    r"""
+    WITH lowered AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+    pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM lowered),
+    words AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+    totals AS (SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang),
+    grams AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase FROM words, (VALUES (1), (2), (3), (4)) AS sizes(k) WHERE len(w) >= k),
+    frequent AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY lang, k, phrase HAVING count(*) >= 30),
+    candidates AS (SELECT lang, k AS size, phrase, f AS a, string_split(phrase, ' ') AS w FROM frequent WHERE k > 1),
+    cuts AS (SELECT lang, size, phrase, a, w, unnest(range(1, size)) AS k FROM candidates),
+    scored AS (
+        SELECT c.lang, c.phrase, c.a, c.k, l.f AS l, r.f AS r, (2000000::HUGEINT * c.a) // (l.f + r.f) AS score
+        FROM cuts c JOIN frequent l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:c.k], ' ') JOIN frequent r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.k + 1:c.size], ' ')
+    ),
+    lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    inside AS (
+        SELECT lang, a, array_to_string(w[first:first + k - 1], ' ') AS phrase FROM (SELECT lang, a, w, size, k, unnest(range(1, size - k + 2)) AS first FROM (SELECT *, unnest(range(2, size)) AS k FROM candidates))
+    ),
+    longer AS (SELECT lang, phrase, max(a) AS most FROM inside GROUP BY lang, phrase),
+    ranked AS (
+        SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY s.score DESC, s.a DESC, s.phrase) AS rank
+        FROM lowest s LEFT JOIN longer i ON i.lang = s.lang AND i.phrase = s.phrase WHERE i.most IS NULL OR 100 * i.most < 80 * s.a
+    )
+    SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+    """,
+)
+def phrase_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf, "documents"))
