@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm import decontam, hardneg, language, licences, lm, mtree, neardup, packing, phrases, suffix_dedup, toxicity, urlfilter
+from ratewise.llm import decontam, hardneg, language, licences, lm, mtree, neardup, packing, phrases, quality, suffix_dedup, toxicity, urlfilter
 from ratewise.llm.common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,6 +122,13 @@ def phrase_collocations(spark: SparkSession, sf: str) -> DataFrame:
     return phrases.collocations(table(spark, sf, "documents"))
 
 
+@query("op12_quality")
+def quality_scores(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    scored = quality.quality(docs.select("doc_id", "text"), labels.filter(~held_out("doc_id", 3, 1)).select("doc_id", "quality"))
+    return scored.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query(
     "op13_hard_negatives",
     """
