@@ -133,7 +133,7 @@ def _numeric_summary_by_group(spark, sf):
 )
 def _numeric_summary_narrowed(spark, sf):
     cols = ("distance", "visibility")
-    return profile.numeric_summary(trips(spark, sf, *cols), cols, limit=50)
+    return profile.numeric_summary(trips(spark, sf, *cols), cols)
 
 
 _SHAPE = f"""WITH t AS ({logs_sql("load", "load_known")}), u AS ({_long(("load", "load_known"))}),

@@ -27,12 +27,12 @@ def _ends(df: DataFrame, c: str) -> tuple[float, float, int, float]:
     return r["lo"], r["hi"], r["n"], r["s"]
 
 
-def auto_bins(df: DataFrame, c: str, **options) -> int:
+def auto_bins(df: DataFrame, c: str) -> int:
     """Freedman-Diaconis or Sturges, whichever gives more bins."""
     lo, hi, n, _ = _ends(df, c)
     if not n or lo == hi:
         return 1
-    q = quantile_row(df, [c], {"q1": 0.25, "q3": 0.75}, **options).first()
+    q = quantile_row(df, [c], {"q1": 0.25, "q3": 0.75}).first()
     width = 2 * (q["q3"] - q["q1"]) / n ** (1 / 3)
     sturges = math.ceil(math.log2(n) + 1)
     diaconis = math.ceil((hi - lo) / width) if width > 0 else 1
@@ -104,12 +104,12 @@ def density_curve(df: DataFrame, c: str, points: int = 200, digits: int = 9) ->
 BOX = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
-def box_stats(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), digits: int = 6, **options) -> DataFrame:
+def box_stats(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), digits: int = 6) -> DataFrame:
     """Quartiles, whisker ends (last value within 1.5·iqr) and outlier count per column and group.
     The box table has one row per (group, column). It is written out first: with its size known, Catalyst
     broadcasts it when it is small and joins by key when it is not."""
     keys = [*by, "column"]
-    boxes = stage(quantile_row(df, cols, BOX, by, **options), "boxes")
+    boxes = stage(quantile_row(df, cols, BOX, by), "boxes")
     iqr = F.col("q3") - F.col("q1")
     inside = F.col("value").between(F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr)
     return (
@@ -131,9 +131,9 @@ def box_stats(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), digits
     )
 
 
-def box_stats_normalized(df: DataFrame, cols: Sequence[str], **options) -> DataFrame:
+def box_stats_normalized(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Box table of all columns on a common 0-1 scale."""
-    return box_stats(min_max_scale(df.select(*cols), cols), cols, **options)
+    return box_stats(min_max_scale(df.select(*cols), cols), cols)
 
 
 def scatter_sample(df: DataFrame, x: str, y: str, ids: Sequence[str], n: int = 1000, seed: int = 42) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ratewise.operators import filters, profile, rates, relations
 from ratewise.operators.onepass import OnePass, run_together
-from ratewise.operators.quantiles import first_look
+from ratewise.operators.quantiles import order_statistics
 from ratewise.operators.reshape import value_counts
 from ratewise.operators.roles import classify_columns, has_columns
 from ratewise.sources.scratch import stage
@@ -89,11 +89,11 @@ def _duplicates(table: DataFrame, section: str, rule: str) -> DataFrame:
     return finding(table, section, "*", level, rule, F.col("duplicates"), 0.0, _text("%d duplicate rows", "duplicates"))
 
 
-def numeric_findings(df: DataFrame, cols: list[str], shared: Shared, **quantile_options) -> list[DataFrame]:
+def numeric_findings(df: DataFrame, cols: list[str], shared: Shared) -> list[DataFrame]:
     section, name = "numeric", F.col("column")
     shape, signs = shared["shape"], shared["signs"]
-    seen = first_look(df, cols)
-    limits = profile.iqr_limits(df, cols, seen=seen, **quantile_options).collect()  # one row per column
+    seen = order_statistics(df, cols, sorted({*profile.QUARTILES.values(), *profile.spaced_ranks()}))
+    limits = profile.iqr_limits(df, cols, seen=seen).collect()  # one row per column
     candidates = profile.dominant_candidates(seen)
     checks = {"outliers": profile.iqr_pass(limits, "non_null"), "top": profile.dominant_pass(candidates)}
     counted = run_together(df, checks) if limits else {}
@@ -227,7 +227,7 @@ def _shared_checks(df: DataFrame, roles: AuditRoles, numeric: list[str]) -> dict
     return checks
 
 
-def audit(df: DataFrame, roles: AuditRoles, **quantile_options) -> DataFrame:
+def audit(df: DataFrame, roles: AuditRoles) -> DataFrame:
     """Every check as rows of one findings frame. The plain aggregates share one scan and the categorical
     rules one value table; what is left (duplicates, quantiles, routes, types) scans its own columns only.
     Give a stored table: an input that is itself a join would be joined again by each scan."""
@@ -239,7 +239,7 @@ def audit(df: DataFrame, roles: AuditRoles, **quantile_options) -> DataFrame:
             shared["ranking"] = relations.target_ranking_of(shared["pairs"], roles.target)
     parts = overview_findings(df, roles, shared)
     if numeric:
-        parts += numeric_findings(df, numeric, shared, **quantile_options)
+        parts += numeric_findings(df, numeric, shared)
     if categorical:
         parts += categorical_findings(df, categorical, roles.target)
     parts += coherence_findings(df, roles, shared) + target_findings(df, roles.target) + correlation_findings(shared)

@@ -25,8 +25,8 @@ def drop_duplicates(df: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
     return drop_columns(df, ignore).dropDuplicates()
 
 
-def medians(df: DataFrame, cols: Sequence[str], **options) -> DataFrame:
-    return exact_quantiles(df, cols, [0.5], **options).select("column", F.col("value").alias("median"))
+def medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    return exact_quantiles(df, cols, [0.5]).select("column", F.col("value").alias("median"))
 
 
 def modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -38,8 +38,8 @@ def modes_of(counts: DataFrame) -> DataFrame:
     return counts.groupBy("column").agg(F.min_by("value", F.struct(-F.col("rows"), "value")).alias("mode"))
 
 
-def impute_median(df: DataFrame, cols: Sequence[str], **options) -> DataFrame:
-    found = {r["column"]: r["median"] for r in medians(df, cols, **options).collect()}  # one row per column
+def impute_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    found = {r["column"]: r["median"] for r in medians(df, cols).collect()}  # one row per column
     return df.withColumns({c: F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(found.get(c))) for c in cols})
 
 
@@ -174,7 +174,7 @@ def derive(df: DataFrame, spec: ViewSpec) -> DataFrame:
     return drop_columns(out, spec.drop)
 
 
-def fit_view(clean: DataFrame, spec: ViewSpec, **quantile_options) -> ViewParams:
+def fit_view(clean: DataFrame, spec: ViewSpec) -> ViewParams:
     """Learn medians, modes, ranges and categories: one aggregate for sizes, nulls and ranges (imputed
     medians never leave the range, so ranges may be taken first), one table of category counts for
     categories and modes, and quantile passes over the columns that need a median."""
@@ -194,7 +194,7 @@ def fit_view(clean: DataFrame, spec: ViewSpec, **quantile_options) -> ViewParams
         params.levels = categories_of(counts, categorical, spec.max_categories)
     gaps = [c for c in numeric if c in params.nulls]
     if gaps:
-        params.median = {r["column"]: r["median"] for r in medians(clean, gaps, **quantile_options).collect()}
+        params.median = {r["column"]: r["median"] for r in medians(clean, gaps).collect()}
     gaps = [c for c in categorical if c in params.nulls]
     if gaps:
         params.mode = {r["column"]: r["mode"] for r in modes_of(counts).collect() if r["column"] in gaps}
@@ -218,13 +218,13 @@ def apply_view(df: DataFrame, spec: ViewSpec, params: ViewParams, keep: Sequence
     return encode(derive(df, kept_spec), params, spec.target, keep)
 
 
-def build_view(df: DataFrame, spec: ViewSpec, **quantile_options) -> tuple[DataFrame, ViewParams]:
+def build_view(df: DataFrame, spec: ViewSpec) -> tuple[DataFrame, ViewParams]:
     """The whole preparation. The cleaned rows are written once, since fitting and encoding read them
     several times and the deduplication shuffle must not be repeated."""
     clean = derive(df, spec)
     if spec.deduplicate:
         clean = stage(clean.dropDuplicates(), "clean")
-    params = fit_view(clean, spec, **quantile_options)
+    params = fit_view(clean, spec)
     return encode(clean, params, spec.target), params
 
 

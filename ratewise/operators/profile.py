@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Row
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from ratewise.functions.columns import known_number
 from ratewise.functions.stats import sample_kurtosis, sample_skewness
 from ratewise.operators.onepass import OnePass, run
-from ratewise.operators.quantiles import GRID, first_look, quantile_row
+from ratewise.operators.quantiles import order_statistics, quantile, quantile_row
 from ratewise.operators.reshape import rows_of, value_counts
 from ratewise.sources.scratch import stage
 
@@ -121,17 +122,10 @@ def id_uniqueness(df: DataFrame, id_column: str) -> DataFrame:
     )
 
 
-def numeric_summary(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), digits: int = 2, **options) -> DataFrame:
-    """count, mean, std, min, quartiles and max per column, optionally per group. The plain statistics ride
-    along in the first quantile pass."""
-    plain = {
-        "count": F.count("value"),
-        "mean": F.avg("value"),
-        "std": F.stddev_samp("value"),
-        "min": F.min("value"),
-        "max": F.max("value"),
-    }
-    table = quantile_row(df, cols, QUARTILES, by, extra=plain, **options)
+def numeric_summary(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), digits: int = 2) -> DataFrame:
+    """count, mean, std, min, quartiles and max per column, optionally per group. The plain statistics are taken
+    in the first quantile round; the ends are ranks like the others."""
+    table = quantile_row(df, cols, {"min": 0.0, "max": 1.0, **QUARTILES}, by, moments=True)
     rounded = [tidy(F.col(c), digits).alias(c) for c in ("mean", "std", "min", "max", *QUARTILES)]
     return table.select(*by, "column", "count", *rounded)
 
@@ -169,9 +163,11 @@ def kurtosis_flag(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return shape_flags(df, cols).select("column", "kurtosis", "heavy_tails")
 
 
-def iqr_limits(df: DataFrame, cols: Sequence[str], factor: float = 1.5, **options) -> DataFrame:
+def iqr_limits(df: DataFrame, cols: Sequence[str], factor: float = 1.5, seen: DataFrame | None = None) -> DataFrame:
+    """Quartiles and the limits they set; ``seen`` reuses order statistics that hold the quartiles."""
+    seen = order_statistics(df, cols, list(QUARTILES.values())) if seen is None else seen
     iqr = F.col("q3") - F.col("q1")
-    return quantile_row(df, cols, QUARTILES, **options).select(
+    return seen.select("column", *[quantile(q).alias(name) for name, q in QUARTILES.items()]).select(
         "column",
         "q1",
         "median",
@@ -201,9 +197,9 @@ def iqr_pass(limits: Sequence[Row], pct_base: str = "all") -> OnePass:
     return OnePass(aggregates, lambda flat: rows_of(flat, lines))
 
 
-def iqr_outliers(df: DataFrame, cols: Sequence[str], pct_base: str = "all", factor: float = 1.5, **options) -> DataFrame:
+def iqr_outliers(df: DataFrame, cols: Sequence[str], pct_base: str = "all", factor: float = 1.5) -> DataFrame:
     """Values outside q1 - f·iqr .. q3 + f·iqr. The share is over all rows or over non-null values."""
-    limits = iqr_limits(df, cols, factor, **options).collect()  # one row per column
+    limits = iqr_limits(df, cols, factor).collect()  # one row per column
     return run(df, iqr_pass(limits, pct_base))
 
 
@@ -232,8 +228,8 @@ def zscore_outliers(df: DataFrame, cols: Sequence[str], limit: float = 3.0) -> D
     )
 
 
-def outlier_columns_count(df: DataFrame, cols: Sequence[str], **options) -> DataFrame:
-    return iqr_outliers(df, cols, **options).agg(
+def outlier_columns_count(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    return iqr_outliers(df, cols).agg(
         F.count_if(F.col("outliers") > 0).alias("columns_with_outliers"), F.count("*").alias("columns")
     )
 
@@ -252,15 +248,15 @@ def zero_negative_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return run(df, zero_negative_pass(cols))
 
 
+def spaced_ranks(share: float = 0.25) -> list[float]:
+    """Quantiles spaced closer than ``share``: a value that holds more than that much is at one of them."""
+    return [i / (math.floor(1 / share) + 1) for i in range(math.floor(1 / share) + 2)]
+
+
 def dominant_candidates(seen: DataFrame, share: float = 0.25) -> list[tuple[str, float]]:
-    """(column, value) pairs that may hold more than ``share`` of a column.
-
-    In sorted order such a value covers an interval longer than ``share``, so it must appear among
-    quantile points spaced closer than that; a stored quantile grid has them.
-    """
-    step = max(1, int(share * 0.8 * GRID))
-    at = F.array_distinct(F.array(*[F.col("grid")[i] for i in range(step, GRID, step)]))
-    rows = seen.filter(F.col("n") > 0).select("column", at.alias("at")).collect()  # one row per column
+    """(column, value) pairs that may hold more than ``share`` of a column, from order statistics at ``spaced_ranks``."""
+    at = [F.element_at("at", F.floor(F.lit(q) * (F.col("n") - 1)).cast("long")) for q in spaced_ranks(share)]
+    rows = seen.select("column", F.array_distinct(F.array(*at)).alias("at")).collect()  # one row per column
     return [(r["column"], v) for r in rows for v in r["at"]]
 
 
@@ -291,9 +287,9 @@ def dominant_pass(candidates: Sequence[tuple[str, float]], share: float = 0.25)
 
 
 def dominant_value(df: DataFrame, cols: Sequence[str], share: float = 0.25) -> DataFrame:
-    """Columns where one value holds more than ``share`` of the non-null values. Nothing but sketches and
+    """Columns where one value holds more than ``share`` of the non-null values. Nothing but digits and
     counters is shuffled."""
-    candidates = dominant_candidates(first_look(df, cols), share)
+    candidates = dominant_candidates(order_statistics(df, cols, spaced_ranks(share)), share)
     if not candidates:
         return df.sparkSession.createDataFrame([], "column string, value double, rows bigint, pct double")
     return run(df, dominant_pass(candidates, share))

@@ -236,10 +236,10 @@ def rate_stats_by_type(df: DataFrame, kind: str, amount: str, minutes: str, digi
     )
 
 
-def rate_summary_by_type(df: DataFrame, kind: str, amount: str, minutes: str, digits: int = 1, **options) -> DataFrame:
+def rate_summary_by_type(df: DataFrame, kind: str, amount: str, minutes: str, digits: int = 1) -> DataFrame:
     """Full numeric summary of the hourly rate per type, complete rows only."""
     rated = df.select(kind, amount, minutes).dropna().withColumn("rate", ratio_rate(amount, minutes))
-    return numeric_summary(rated, ["rate"], [kind], digits, **options).drop("column").orderBy(F.col("mean").desc(), kind)
+    return numeric_summary(rated, ["rate"], [kind], digits).drop("column").orderBy(F.col("mean").desc(), kind)
 
 
 def type_mean_spread(df: DataFrame, kind: str, amount: str, minutes: str, limit: float = 30.0) -> DataFrame:

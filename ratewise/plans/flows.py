@@ -33,17 +33,17 @@ class EdaRoles:
     kind: str | None = None
 
 
-def eda_report(df: DataFrame, roles: EdaRoles, **quantile_options) -> dict[str, DataFrame]:
+def eda_report(df: DataFrame, roles: EdaRoles) -> dict[str, DataFrame]:
     """The ordered set of profiling and relation tables; parts whose columns are missing are left out."""
     numeric, categorical, _ = classify_columns(df, [roles.id])
     features = [c for c in numeric if c != roles.target]
     y = roles.target
     out = {
         "describe_schema": profile.describe_schema(df),
-        "numeric_summary": profile.numeric_summary(df, numeric, **quantile_options),
+        "numeric_summary": profile.numeric_summary(df, numeric),
         "null_report": profile.null_report(df),
         "duplicate_count": profile.duplicate_count(df),
-        "iqr_outliers": profile.iqr_outliers(df, features, **quantile_options),
+        "iqr_outliers": profile.iqr_outliers(df, features),
         "zscore_outliers": profile.zscore_outliers(df, features),
         "category_proportions": profile.category_proportions(df, categorical),
     }
@@ -70,10 +70,10 @@ def eda_report(df: DataFrame, roles: EdaRoles, **quantile_options) -> dict[str,
     if roles.distance and roles.minutes and has_columns(df, roles.distance, roles.minutes):
         out["distance_time"] = relations.row_correlation(df, roles.distance, roles.minutes)
         if roles.kind:
-            out["rate_by_type"] = rates.rate_summary_by_type(df, roles.kind, roles.distance, roles.minutes, **quantile_options)
+            out["rate_by_type"] = rates.rate_summary_by_type(df, roles.kind, roles.distance, roles.minutes)
     for c in features:
         out[f"histogram_{c}"] = chartdata.histogram_bins(df, c)
-    out["box_stats"] = chartdata.box_stats(df, features, **quantile_options)
+    out["box_stats"] = chartdata.box_stats(df, features)
     for x, z in column_pairs(features):
         out[f"scatter_{x}_{z}"] = chartdata.scatter_grid(df, x, z)
     out["class_balance"] = rates.class_balance(df, y)
@@ -89,11 +89,11 @@ def eda_table(report: dict[str, DataFrame]) -> DataFrame:
 
 
 def publish_view(
-    df: DataFrame, spec: ViewSpec, root: str, row_id: str | None = None, **quantile_options
+    df: DataFrame, spec: ViewSpec, root: str, row_id: str | None = None
 ) -> tuple[str, ViewParams]:
     """Build, number, write and describe a view."""
     spark = df.sparkSession
-    view, params = build_view(df, spec, **quantile_options)
+    view, params = build_view(df, spec)
     view_id = tables.claim_view_id(spark, root)
     tables.write_view(view, root, view_id, spec.target, row_id=row_id)
     written = tables.load_view(spark, root, view_id)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ratewise.operators import filters, profile
-from ratewise.operators.quantiles import cumulative_counts, exact_quantiles, quantile_row
+from ratewise.operators.quantiles import cumulative_counts, exact_quantiles, quantile_row, with_sort_key
 
 NUM = ["distancia_vuelo", "ocupacion_vuelo", "visibilidad", "tiempo_estimado_vuelo", "constante"]
 
@@ -89,16 +89,16 @@ def test_categories(flights, flights_pd):
     assert summary.loc["aeropuerto_origen", "top_value"] == flights_pd["aeropuerto_origen"].mode()[0]
 
 
-@pytest.mark.parametrize("limit", [2000, 10**6])
+@pytest.mark.parametrize("seed", [2000, 10**6])
 @pytest.mark.parametrize("partitions", [1, 5])
-def test_quantiles_exact_with_hot_value(spark, limit, partitions):
-    """A third of the rows share one value; nulls and NaN are ignored; narrowing and counting agree."""
-    rng = np.random.default_rng(limit)
+def test_quantiles_exact_with_hot_value(spark, seed, partitions):
+    """A third of the rows share one value; nulls and NaN are ignored."""
+    rng = np.random.default_rng(seed)
     values = np.concatenate([rng.normal(0, 1, 2000), np.full(1000, 0.25), rng.exponential(50, 500)])
     rows = [(float(v), float(i)) for i, v in enumerate(values)] + [(None, None), (float("nan"), 1.0)]
     df = spark.createDataFrame(rows, "a double, b double").repartition(partitions)
     qs = [0.0, 0.01, 0.25, 1 / 3, 0.5, 0.75, 0.999, 1.0]
-    got = {(r["column"], r["q"]): r["value"] for r in exact_quantiles(df, ["a", "b"], qs, limit=limit).collect()}
+    got = {(r["column"], r["q"]): r["value"] for r in exact_quantiles(df, ["a", "b"], qs).collect()}
     b = np.append(np.arange(len(values), dtype=float), 1.0)
     for q in qs:
         assert got["a", q] == pytest.approx(np.quantile(values, q), abs=1e-9)
@@ -109,10 +109,11 @@ def test_quantiles_by_group_mixed_sizes(spark):
     rng = np.random.default_rng(1)
     pdf = pd.DataFrame({"g": ["big"] * 9000 + ["small"] * 7, "v": rng.normal(10, 3, 9007)})
     df = spark.createDataFrame(pdf).repartition(3)
-    got = quantile_row(df, ["v"], {"m": 0.5, "p": 0.9}, ["g"], extra={"n": F.count("value")}, limit=100).toPandas().set_index("g")
+    got = quantile_row(df, ["v"], {"m": 0.5, "p": 0.9}, ["g"], moments=True).toPandas().set_index("g")
     for g, s in pdf.groupby("g")["v"]:
         assert got.loc[g, "m"] == pytest.approx(s.quantile(0.5)) and got.loc[g, "p"] == pytest.approx(s.quantile(0.9))
-        assert got.loc[g, "n"] == len(s)
+        assert got.loc[g, "count"] == len(s)
+        assert got.loc[g, "mean"] == pytest.approx(s.mean()) and got.loc[g, "std"] == pytest.approx(s.std())
 
 
 def test_quantiles_narrowed_twice(spark):
@@ -120,12 +121,50 @@ def test_quantiles_narrowed_twice(spark):
     df = spark.range(900_000).selectExpr("cast((id * 7919) % 900000 AS double) AS v")
     df = df.unionByName(spark.range(100_000).selectExpr("cast(450000.5 AS double) AS v")).repartition(4)
     qs = [0.001, 0.25, 0.44999, 0.5, 0.55001, 0.9]
-    got = {r["q"]: r["value"] for r in exact_quantiles(df, ["v"], qs, limit=2000).collect()}
+    got = {r["q"]: r["value"] for r in exact_quantiles(df, ["v"], qs).collect()}
     values = np.sort(np.append(np.arange(900_000.0), np.full(100_000, 450000.5)))
     for q in qs:
         assert got[q] == pytest.approx(np.quantile(values, q), abs=1e-6)
 
 
+EXTREMES = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.0, 1.0000000000000002, 0.9999999999999999, -1.0, 1.7976931348623157e308, -1.7976931348623157e308, float("inf"), float("-inf"), 3.0, 0.1, 1e15, 1 / 3]
+
+
+def test_sort_keys_are_the_bits_of_the_double(spark):
+    rng = np.random.default_rng(3)
+    values = EXTREMES + [2.0**e for e in range(-1074, 1024)] + [float(np.nextafter(2.0**e, 0)) for e in range(-1022, 1024)] + rng.integers(0, 2047 << 52, 3000).view(np.float64).tolist()
+    rows = with_sort_key(spark.createDataFrame([(v,) for v in values], "value double")).collect()
+    for r in rows:
+        bits = int(np.array(abs(r["value"])).view(np.int64))
+        assert r["key"] == (-bits if r["value"] < 0 else bits)
+
+
+def test_quantiles_of_extreme_values_and_null_groups(spark):
+    df = spark.createDataFrame([(None if i % 2 else "g", v) for v in EXTREMES for i in range(3)], "g string, v double").repartition(3)
+    got = {(r["g"], r["q"]): r["value"] for r in exact_quantiles(df, ["v"], [0.0, 0.25, 0.5, 1.0], ["g"]).collect()}
+    for g, times in ((None, 1), ("g", 2)):
+        values = np.sort(np.repeat(EXTREMES, times))
+        with np.errstate(invalid="ignore"):
+            assert all(got[g, q] == np.quantile(values, q) for q in (0.25, 0.5)) and got[g, 0.0] == -np.inf and got[g, 1.0] == np.inf
+
+
+def test_quantile_rounds_do_not_follow_the_data(spark):
+    """Five rounds at most, each a bounded number of jobs; one value, or whole numbers, take fewer."""
+    tracker, sc = spark.sparkContext.statusTracker(), spark.sparkContext
+
+    def jobs(df):
+        group = f"quantiles-{id(df)}"
+        sc.setJobGroup(group, "")
+        exact_quantiles(df, ["v"], [0.1, 0.5, 0.9])
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        return len(tracker.getJobIdsForGroup(group))
+
+    few = jobs(spark.range(500).selectExpr("cast(id % 3 AS double) AS v"))
+    many = jobs(spark.range(200_000).selectExpr("rand(1) AS v"))
+    more = jobs(spark.range(50).selectExpr("rand(1) AS v"))
+    assert few < more <= many <= 45
+
+
 def test_quantiles_of_empty_column(spark):
     df = spark.createDataFrame([(None,), (None,)], "v double")
     assert exact_quantiles(df, ["v"], [0.5]).collect() == []
