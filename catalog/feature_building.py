@@ -114,7 +114,7 @@ def _rounded(view):
     return view.withColumns({c: F.round(c, 9) for c in ("price", "balance")})
 
 
-_BOOKING_VIEW = """p AS (SELECT quantile_cont(balance, 0.5) AS med, min(balance) AS lo, max(balance) AS hi, min(price) AS plo, max(price) AS phi FROM t),
+BOOKING_VIEW = """p AS (SELECT quantile_cont(balance, 0.5) AS med, min(balance) AS lo, max(balance) AS hi, min(price) AS plo, max(price) AS phi FROM t),
     m AS (SELECT priority AS md FROM t WHERE priority IS NOT NULL GROUP BY priority ORDER BY count(*) DESC, priority LIMIT 1),
     f AS (SELECT *, coalesce(balance, med) AS b, coalesce(priority, md) AS pr FROM {source}, p, m) SELECT {keep}
     round((price - plo) / (phi - plo), 9) AS price, round((b - lo) / (hi - lo), 9) AS balance,
@@ -127,7 +127,7 @@ _BOOKING_VIEW = """p AS (SELECT quantile_cont(balance, 0.5) AS med, min(balance)
 @query(
     "build_view",
     f"WITH r AS ({bookings_sql(*BOOKING_COLUMNS)}), t AS (SELECT DISTINCT price, balance, priority, segment, high_season, delayed FROM r WHERE price >= 5000), "
-    + _BOOKING_VIEW.format(source="t", keep=""),
+    + BOOKING_VIEW.format(source="t", keep=""),
 )
 def build_view(spark, sf):
     view, _ = prepare.build_view(bookings(spark, sf, *BOOKING_COLUMNS), booking_spec())
@@ -136,7 +136,7 @@ def build_view(spark, sf):
 
 @query(
     "apply_view",
-    f"WITH t AS ({bookings_sql(*BOOKING_COLUMNS)}), " + _BOOKING_VIEW.format(source="t", keep="id,"),
+    f"WITH t AS ({bookings_sql(*BOOKING_COLUMNS)}), " + BOOKING_VIEW.format(source="t", keep="id,"),
 )
 def _apply_view(spark, sf):
     raw = bookings(spark, sf, *BOOKING_COLUMNS)

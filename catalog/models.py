@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.feature_building import BOOKING_COLUMNS
-from catalog.registry import bookings, query, table
+from catalog.feature_building import BOOKING_COLUMNS, BOOKING_VIEW
+from catalog.registry import bookings, bookings_sql, query, table
 from catalog.sampling import quota_sql
+from catalog.tree_sql import GRID, grown, predicted, searched
 from ratewise.operators import chartdata, neighbors, prepare, sampling, trees
 from ratewise.plans import flows
 from ratewise.sources.scratch import stage
@@ -92,16 +93,41 @@ def _booking_rows(spark, sf):
     return stage(prepare.apply_view(raw, spec, params, keep=["id"]), "booking-view"), params.feature_names()
 
 
-@query("tree_predict")
+# The view's rows with their features in long form, split; thresholds come from the training rows (fold 0).
+_BOOKING_FEATURES = ("price", "balance", "priority_2-HIGH", "priority_3-MEDIUM", "priority_5-LOW", "segment_BUILDING", "segment_FURNITURE", "segment_HOUSEHOLD", "segment_MACHINERY", "high_season_True")
+BOOKING_TREE = (
+    f"t AS ({bookings_sql(*BOOKING_COLUMNS)}), view AS (WITH "
+    + BOOKING_VIEW.format(source="t", keep="id,").replace("round((price - plo) / (phi - plo), 9)", "(price - plo) / (phi - plo)").replace("round((b - lo) / (hi - lo), 9)", "(b - lo) / (hi - lo)")
+    + f"""), r AS (SELECT id, delayed, row_number() OVER (PARTITION BY delayed ORDER BY md5('42:' || id)) AS k FROM view), {quota_sql("view")},
+    rows AS (SELECT id, CAST(k <= quota AS INTEGER) AS fold, r.delayed AS y, NOT k <= quota AS known FROM r JOIN q_view ON r.delayed = q_view.delayed),
+    x AS ("""
+    + " UNION ALL ".join(f'SELECT id, {i} AS feature, CAST("{c}" AS DOUBLE) AS value FROM view' for i, c in enumerate(_BOOKING_FEATURES))
+    + ")"
+)
+
+
+@query(
+    "tree_predict",
+    f"WITH RECURSIVE {BOOKING_TREE}, g AS (SELECT 0 AS tree, 1 AS held, 'gini' AS criterion, 10 AS leaf, 5 AS depth, 2 AS split), {grown('', 'rows', 'x', 'g')}, {predicted('', 'rows')} SELECT id, y, pred, round(score, 12) AS score FROM p",
+)
 def _tree_predict(spark, sf):
     rows, features = _booking_rows(spark, sf)
     split = sampling.stratified_split(rows, "delayed", ["id"])
     params = trees.TreeParams("gini", 5, 10, 2)
     model = trees.tree_fit(trees.assemble(split.filter("NOT is_test"), features, "delayed"), params)
-    return trees.tree_predict(model, trees.assemble(split.filter("is_test"), features, "delayed", ["id"]), ["id"])
+    found = trees.tree_predict(model, trees.assemble(split.filter("is_test"), features, "delayed", ["id"]), ["id"])
+    return found.withColumn("score", F.round("score", 12))
+
 
+_LONG_VECTORS = "SELECT vec_id AS id, unnest(range(64)) AS feature, CAST(unnest(embedding) AS DOUBLE) AS value FROM embeddings"
 
-@query("tree_grid_search")
+
+@query(
+    "tree_grid_search",
+    f"""WITH RECURSIVE {_T}, {_RANKED}, rows AS (SELECT id, CAST((5 * (k - 1)) // n AS INTEGER) AS fold, delayed AS y, true AS known FROM r), x AS ({_LONG_VECTORS}),
+    {GRID.format('')}, {grown('', 'rows', 'x', 'g')}, {searched('')}
+    SELECT CAST(position AS INTEGER) AS position, criterion, nullif(depth, -1) AS max_depth, leaf AS min_leaf, split AS min_split, accuracy_mean, accuracy_std, best FROM search""",
+)
 def _tree_grid_search(spark, sf):
     rows, features = _columns(spark, sf)
     folded = sampling.stratified_kfold(rows, "delayed", ["id"])
@@ -138,7 +164,16 @@ def _train_knn(spark, sf):
     return flows.train_knn(rows, "id", features, "delayed").metrics
 
 
-@query("train_tree")
+@query(
+    "train_tree",
+    f"""WITH RECURSIVE {_T}, {_RANKED}, m AS (SELECT min(n) AS q FROM r), s AS (SELECT id, delayed, k FROM r, m WHERE k <= q), {quota_sql("s")},
+    w AS (SELECT id, s.delayed AS y, k, CAST(quota AS BIGINT) AS quota FROM s JOIN q_s ON s.delayed = q_s.delayed), x AS ({_LONG_VECTORS}),
+    s_rows AS (SELECT id, CAST((5 * (k - quota - 1)) // (count(*) OVER (PARTITION BY y)) AS INTEGER) AS fold, y, true AS known FROM w WHERE k > quota),
+    {GRID.format("s_")}, {grown("s_", "s_rows", "x", "s_g")}, {searched("s_")},
+    f_rows AS (SELECT id, CAST(k <= quota AS INTEGER) AS fold, y, k > quota AS known FROM w), f_g AS (SELECT 0 AS tree, 1 AS held, criterion, leaf, depth, split FROM s_search WHERE best),
+    {grown("f_", "f_rows", "x", "f_g")}, {predicted("f_", "f_rows")}, """
+    + METRICS_SQL,
+)
 def _train_tree(spark, sf):
     rows, features = _columns(spark, sf)
     return flows.train_tree(rows, "id", features, "delayed", balance=True).metrics

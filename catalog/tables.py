@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.feature_building import BOOKING_COLUMNS, _BOOKING_VIEW, _rounded, booking_spec
-from catalog.models import _DISTANCE, _RANKED, _T, METRICS_SQL, _booking_rows, _columns, vectors
+from catalog.feature_building import BOOKING_COLUMNS, BOOKING_VIEW, _rounded, booking_spec
+from catalog.models import _DISTANCE, _RANKED, _T, BOOKING_TREE, METRICS_SQL, _booking_rows, _columns, vectors
 from catalog.registry import bookings, bookings_sql, query, table, trips, trips_sql
 from catalog.sampling import quota_sql
+from catalog.tree_sql import grown, predicted
 from ratewise.operators import evaluate as ev
 from ratewise.operators import neighbors, rates, sampling, trees
 from ratewise.plans import flows
@@ -30,7 +31,7 @@ def _load_table_csv(spark, sf):
 _VIEW = f"WITH r AS ({bookings_sql(*BOOKING_COLUMNS)}), t AS (SELECT DISTINCT price, balance, priority, segment, high_season, delayed FROM r WHERE price >= 5000), "
 
 
-@query("write_view", _VIEW + _BOOKING_VIEW.format(source="t", keep=""))
+@query("write_view", _VIEW + BOOKING_VIEW.format(source="t", keep=""))
 def _write_view(spark, sf):
     root = new_path(spark, "views")
     view_id, _ = flows.publish_view(bookings(spark, sf, *BOOKING_COLUMNS), booking_spec(), root)
@@ -62,7 +63,10 @@ def _write_summary(spark, sf):
     return tables.load_table(spark, path, "csv", summary.schema)
 
 
-@query("score_saved_model")
+@query(
+    "score_saved_model",
+    f"WITH RECURSIVE {BOOKING_TREE}, g AS (SELECT 0 AS tree, 1 AS held, 'entropy' AS criterion, 5 AS leaf, 5 AS depth, 20 AS split), {grown('', 'rows', 'x', 'g')}, {predicted('', 'rows')}, " + METRICS_SQL,
+)
 def _score_saved_model(spark, sf):
     root, (rows, features) = new_path(spark, "models"), _booking_rows(spark, sf)
     train = sampling.stratified_split(rows, "delayed", ["id"]).filter("NOT is_test")

@@ -54,8 +54,8 @@ def _matches(keys: Sequence[str], prefix: str) -> Column:
 
 
 def _ranks(n: Column, qs: Sequence[float]) -> Column:
-    at = [F.lit(float(q)) * (n - 1) for q in qs]
-    return F.array_distinct(F.array(*[f(p).cast("long") for p in at for f in (F.floor, F.ceil)]))
+    wanted = F.array(*[F.lit(float(q)) for q in qs])
+    return F.array_distinct(F.flatten(F.transform(wanted, lambda q: F.array(F.floor(q * (n - 1)).cast("long"), F.ceil(q * (n - 1)).cast("long")))))
 
 
 def _place(items: DataFrame, counts: DataFrame, keys: list[str]) -> DataFrame:

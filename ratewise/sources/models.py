@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from dataclasses import asdict, dataclass
 
-from pyspark.ml.classification import DecisionTreeClassificationModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.operators.trees import TreeParams
+from ratewise.operators.trees import Tree, TreeParams, read_tree, write_tree
 
 METRIC_SCHEMA = "model string, model_id string, view_id string, metric string, value double"
 PARAM_SCHEMA = "name string, value string"
@@ -41,7 +40,7 @@ class KnnModel:
 
 @dataclass
 class TreeModel:
-    model: DecisionTreeClassificationModel
+    model: Tree
     params: TreeParams
 
 
@@ -59,7 +58,7 @@ def load_knn(spark: SparkSession, root: str, model_id: str) -> KnnModel:
 
 def save_tree(m: TreeModel, spark: SparkSession, root: str, model_id: str) -> str:
     path = model_dir(root, "tree", model_id)
-    m.model.write().overwrite().save(f"{path}/tree")
+    write_tree(m.model, f"{path}/tree")
     _write_params(spark, f"{path}/params", asdict(m.params))
     return path
 
@@ -69,8 +68,7 @@ def load_tree(spark: SparkSession, root: str, model_id: str) -> TreeModel:
     params = TreeParams(
         p["criterion"], None if p["max_depth"] is None else int(p["max_depth"]), int(p["min_leaf"]), int(p["min_split"])
     )
-    model = DecisionTreeClassificationModel.load(f"{model_dir(root, 'tree', model_id)}/tree")
-    return TreeModel(model, params)
+    return TreeModel(read_tree(spark, f"{model_dir(root, 'tree', model_id)}/tree"), params)
 
 
 def save_metrics(rows: DataFrame, root: str) -> None:

@@ -91,39 +91,112 @@ def tree_rows(spark, n=800):
     return df.select("*", noisy)
 
 
-def test_cut_trees_equal_direct_fits(spark, tmp_path):
-    rows = tree_rows(spark)
-    rows.write.parquet(f"{tmp_path}/rows")
-    rows = spark.read.parquet(f"{tmp_path}/rows")
+def predictions(model, data, **options):
+    return [(r["pred"], r["score"]) for r in trees.tree_predict(model, data, ["id"], **options).orderBy("id").collect()]
+
+
+def brute_tree(x, y, criterion, leaf, split, depth):
+    """Where each row ends, by trying every value of every feature in every node: (share of positives, predicted)."""
+    out = {}
+
+    def impurity(n, p):
+        if criterion == "gini":
+            return 1 - (p / n) ** 2 - (1 - p / n) ** 2
+        return -sum(s * np.log2(s) for s in (p / n, 1 - p / n) if s > 0)
+
+    def grow(rows, fit, level):
+        n, p = len(fit), int(y[fit].sum())
+        best = None
+        if 0 < p < n and n >= split and (depth is None or level < depth):
+            for f in range(x.shape[1]):
+                for t in np.unique(x[fit, f])[:-1]:
+                    left = fit[x[fit, f] <= t]
+                    m, q = len(left), int(y[left].sum())
+                    if m >= leaf and n - m >= leaf:
+                        gain = round(impurity(n, p) - (m / n * impurity(m, q) + (n - m) / n * impurity(n - m, p - q)), 12)
+                        if best is None or gain > best[0]:
+                            best = (gain, f, t)
+        if best is None:
+            out.update({int(i): (int(p / n > 0.5), p / n) for i in rows})
+            return
+        goes = lambda r: x[r, best[1]] <= best[2]
+        grow(rows[goes(rows)], fit[goes(fit)], level + 1)
+        grow(rows[~goes(rows)], fit[~goes(fit)], level + 1)
+
+    return grow, out
+
+
+def test_trees_equal_brute_force_and_cut_trees_equal_direct_fits(spark, tmp_path):
+    tree_rows(spark, 150).withColumn("a", F.round("a", 2)).write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows").repartition(3)
     data = trees.assemble(rows, ["a", "b", "c"], "y", ["id"])
-    x = np.array(rows.orderBy("id").select("a", "b", "c").collect(), dtype=float)
-    for criterion in ("gini", "entropy"):
-        whole = trees.node_table(trees.tree_fit(data, trees.TreeParams(criterion, None, 3)), spark)
-        for depth in (1, 3, 6):
-            node = trees.walk(x, whole, 2, [depth])[depth]
-            direct = trees.tree_fit(data, trees.TreeParams(criterion, depth, 3))
-            want = [r["pred"] for r in trees.tree_predict(direct, data, ["id"]).orderBy("id").collect()]
-            assert ((whole.positives[node] > 0.5).astype(int) == np.array(want)).all()
-        strict = trees.walk(x, whole, 100, [None])[None]
-        inner = np.unique(strict)
-        assert ((whole.rows[inner] < 100) | (whole.left[inner] < 0)).all()
-
-
-def test_grid_search_and_prediction_with_split_minimum(spark):
-    rows = sampling.stratified_kfold(tree_rows(spark), "y", ["id"], folds=3)
+    table = np.array(rows.orderBy("id").select("a", "b", "c", "y").collect(), dtype=float)
+    x, y, everyone = table[:, :3], table[:, 3].astype(int), np.arange(len(table))
+    for criterion, leaf in (("gini", 1), ("entropy", 3)):
+        whole = trees.tree_fit(data, trees.TreeParams(criterion, None, leaf))
+        for depth, split in ((None, 2), (3, 2), (None, 40)):
+            grow, want = brute_tree(x, y, criterion, leaf, split, depth)
+            grow(everyone, everyone, 0)
+            cut = trees.Tree(whole.levels if depth is None else whole.levels[: depth + 1])
+            assert predictions(cut, data, min_split=split) == [want[i] for i in everyone]
+    direct = trees.tree_fit(data, trees.TreeParams("entropy", 3, 3, 20))
+    assert predictions(direct, data) == predictions(trees.Tree(whole.levels[:4]), data, min_split=20)
+
+
+def test_grid_search_equals_brute_force(spark, tmp_path):
+    sampling.stratified_kfold(tree_rows(spark, 120), "y", ["id"], folds=3).write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
     data = trees.assemble(rows, ["a", "b", "c"], "y", ["id", "fold"])
     grid = trees.tree_grid_search(data, depths=(2, None), leaf_minimums=(1, 5), split_minimums=(2, 40))
-    table = grid.toPandas()
-    assert len(table) == 16 and table["best"].sum() == 1
-    top = table["accuracy_mean"].max()
-    assert table[table["best"]].position.iloc[0] == table[table["accuracy_mean"] == top].position.min()
-    params = trees.best_params(grid)
-    assert params.criterion in trees.CRITERIA
-    model = trees.tree_fit(data, trees.TreeParams("gini", 6, 1, 2))
-    loose = trees.tree_predict(model, data, ["id"])
-    strict = trees.tree_predict(model, data, ["id"], min_split=200)
-    assert loose.count() == strict.count() == 800
-    assert strict.select("score").distinct().count() < loose.select("score").distinct().count()
+    got = grid.toPandas()
+    table = np.array(rows.orderBy("id").select("a", "b", "c", "y", "fold").collect(), dtype=float)
+    x, y, fold = table[:, :3], table[:, 3].astype(int), table[:, 4]
+    assert len(got) == 16 and got["best"].sum() == 1
+    for r in got.itertuples():
+        accuracy = []
+        for f in range(3):
+            grow, want = brute_tree(x, y, r.criterion, r.min_leaf, r.min_split, None if np.isnan(r.max_depth) else r.max_depth)
+            grow(np.flatnonzero(fold == f), np.flatnonzero(fold != f), 0)
+            accuracy.append(np.mean([want[i][0] == y[i] for i in np.flatnonzero(fold == f)]))
+        assert r.accuracy_mean == pytest.approx(np.mean(accuracy), abs=1e-8) and r.accuracy_std == pytest.approx(np.std(accuracy), abs=1e-8)
+    top = got["accuracy_mean"].max()
+    assert got[got["best"]].position.iloc[0] == got[got["accuracy_mean"] == top].position.min()
+    assert trees.best_params(grid).criterion in trees.CRITERIA
+
+
+def test_trees_are_not_limited_in_depth(spark):
+    """Classes alternate along the only feature, so that each split parts one row from the rest."""
+    rows = spark.range(33).selectExpr("id", "double(id) AS a", "int(id % 2) AS y")
+    data = trees.assemble(rows, ["a"], "y", ["id"])
+    model = trees.tree_fit(data, trees.TreeParams())
+    assert len(model.levels) > 30
+    assert [p for p, _ in predictions(model, data)] == [i % 2 for i in range(33)]
+
+
+def test_thresholds_are_all_values_or_spaced_ranks(spark):
+    rng = np.random.default_rng(0)
+    x = np.stack([rng.normal(size=900), rng.integers(0, 5, 900).astype(float), np.full(900, 2.0)], axis=1)
+    data = spark.createDataFrame([([float(v) for v in r],) for r in x], "features array<double>").repartition(4)
+    a, b, c = trees.thresholds(data, 3, max_bins=16)
+    assert a.tolist() == [np.sort(x[:, 0])[i * 899 // 16] for i in range(1, 16)]
+    assert b.tolist() == [0.0, 1.0, 2.0, 3.0, 4.0] and c.tolist() == [2.0]
+
+
+def test_trees_of_awkward_tables(spark):
+    none = spark.createDataFrame([], "id long, a double, y int")
+    with pytest.raises(ValueError, match="rows"):
+        trees.tree_fit(trees.assemble(none, ["a"], "y"), trees.TreeParams())
+    one = spark.createDataFrame([(i, 1.0, 1) for i in range(5)], "id long, a double, y int")
+    data = trees.assemble(one, ["a"], "y", ["id"])
+    assert predictions(trees.tree_fit(data, trees.TreeParams()), data) == [(1, 1.0)] * 5
+    tied = spark.createDataFrame([(i, 1.0, i % 2) for i in range(4)], "id long, a double, y int")
+    data = trees.assemble(tied, ["a"], "y", ["id"])
+    model = trees.tree_fit(data, trees.TreeParams())
+    assert predictions(model, data) == [(0, 0.5)] * 4
+    assert trees.tree_predict(model, trees.assemble(none, ["a"], "y", ["id"]), ["id"]).count() == 0
+    bad = spark.createDataFrame([(1, float("nan"), 1), (2, 1.0, 0)], "id long, a double, y int")
+    with pytest.raises(Exception, match="missing values"):
+        trees.tree_fit(trees.assemble(bad, ["a"], "y"), trees.TreeParams())
 
 
 def test_saved_models_score_without_training(spark, tmp_path):
