@@ -42,6 +42,19 @@ def _knn_neighbors(spark, sf):
     return found.select("id", "rank", "neighbor", "neighbor_y", F.round("distance", 9).alias("distance"))
 
 
+@query(
+    "knn_text_ids",
+    f"""WITH {_T}, d AS (SELECT 'q' || a.id AS id, 'v-' || b.id AS neighbor, b.delayed AS neighbor_y, {_DISTANCE.format("a.v", "b.v")} AS distance FROM t a, t b),
+    k AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY distance, neighbor) AS rank FROM d)
+    SELECT id, CAST(rank AS INTEGER) AS rank, neighbor, neighbor_y, round(distance, 9) AS distance FROM k WHERE rank <= 4""",
+)
+def _knn_text_ids(spark, sf):
+    v = vectors(spark, sf)
+    named = lambda prefix: neighbors.points(v.withColumn("id", F.concat(F.lit(prefix), "id")), "id", "v", "delayed")
+    found = neighbors.knn_neighbors(named("v-"), named("q"), 4)
+    return found.select("id", "rank", "neighbor", "neighbor_y", F.round("distance", 9).alias("distance"))
+
+
 _SPLIT = f"""WITH {_T}, {_RANKED}, {quota_sql("t")}, s AS (SELECT r.*, k <= quota AS is_test FROM r JOIN q_t ON r.delayed = q_t.delayed) """
 
 

@@ -1,10 +1,14 @@
 """Exact k-nearest-neighbour joins and classification.
 
-Train rows are assigned to the nearest of a few pivots. From the pivots' distance ranges and their k
-closest members every query row gets a sure upper bound on its k-th distance, and by the triangle
-inequality it only visits the cells that can hold a closer row. A visit is an equi-join on
-(cell, slice, block): both sides of a crowded cell are cut into blocks of bounded size, so no task sees
-a whole cell, and each task returns at most k rows per query row instead of the pairs it compared.
+Train rows are assigned to the nearest of a few pivots, at most the root of their number. A cell knows the
+range of its members' distances to the pivot and the box of their leading components under one rotation
+(the sample's principal axes), with the norm of what is left; every row stores its own. Each of these bounds
+the distance of a query row to a member from below, cell by cell and then row by row.
+
+Query rows visit cells in the order of that bound, in rounds that grow eightfold; the k-th distance found so
+far rules out the cells beyond it, whole blocks of rows, and single rows. A visit is an equi-join on (cell,
+slice, block): both sides of a crowded cell are cut into blocks of bounded size, so no task sees a whole cell,
+and each task returns at most k rows per query row instead of the pairs it compared.
 
 Equal train vectors are reduced to their k smallest ids first: more copies can never be among the k nearest,
 so a group of copies of any size costs k rows.
@@ -26,8 +30,9 @@ from ratewise.sources.scratch import stage
 
 BLOCK_ROWS = 4096
 CELL_ROWS = 256  # a pivot stands for at least so many train rows
-MAX_GROUPS = 1000
-REACH = 8_000_000  # numbers held at once while a bound is found
+GROWTH = 8  # of the cells visited up to a round
+LEAD = 8  # leading components that are stored beside a vector
+SPARSE = 0.25  # share of a block's pairs below which they are looked at one by one
 NO_GROUP = -1
 
 
@@ -36,27 +41,54 @@ def vector_of(cols: Sequence[str]) -> Column:
 
 
 def points(df: DataFrame, id_column: str, vector: str | Column, y: str | Column, group: str | None = None) -> DataFrame:
-    """(id, v, y, g): the input form of every function below. Rows never become neighbours of rows of
-    their own group; without a group column everything may match."""
+    """(id, v, y, g): the input form of every function below. Ids are whole numbers or texts. Rows never become
+    neighbours of rows of their own group; without a group column everything may match."""
     v = F.col(vector) if isinstance(vector, str) else vector
     y = F.col(y) if isinstance(y, str) else y
+    id_ = F.col(f"`{id_column}`")
+    whole = dict(df.dtypes)[id_column] in ("tinyint", "smallint", "int", "bigint")
     return df.select(
-        F.col(id_column).cast("long").alias("id"),
+        id_.cast("long" if whole else "string").alias("id"),
         v.cast("array<double>").alias("v"),
         y.cast("int").alias("y"),
         (F.col(group).cast("int") if group else F.lit(NO_GROUP)).alias("g"),
     )
 
 
+def _id_type(*frames: DataFrame) -> str:
+    return "long" if all(dict(f.dtypes)["id"] == "bigint" for f in frames) else "string"
+
+
+def _ids(column: pd.Series, kind: str) -> np.ndarray:
+    return column.to_numpy(dtype=np.int64) if kind == "long" else column.to_numpy(dtype=object)
+
+
+@dataclass
+class _Axes:
+    """Where vectors are seen from: the sample's mean and its leading principal axes."""
+
+    centre: np.ndarray
+    axes: np.ndarray  # components x leading ones
+
+    def lead(self, v: np.ndarray) -> np.ndarray:
+        """The leading components, and the norm of the rest as the last column."""
+        moved = v - self.centre
+        lead = moved @ self.axes
+        rest = np.sqrt(np.maximum((moved * moved).sum(1) - (lead * lead).sum(1), 0.0))
+        return np.column_stack([lead, rest])
+
+
 @dataclass
 class _Cells:
-    """What is known about the train cells: one row per pivot, k distances each."""
+    """What is known about the train cells: one row per pivot."""
 
     pivots: np.ndarray
     size: np.ndarray
     nearest: np.ndarray
     farthest: np.ndarray
-    close: dict[int, np.ndarray]  # query group -> (cells, k) smallest member distances usable by it
+    low: np.ndarray  # boxes of the members' leading components
+    high: np.ndarray
+    axes: _Axes
     scale: float
 
 
@@ -72,127 +104,100 @@ def _without_spare_copies(train: DataFrame, k: int) -> DataFrame:
     return train.withColumn("copy", F.row_number().over(copies)).filter(F.col("copy") <= k).drop("copy")
 
 
-def _place(train: DataFrame, pivots: np.ndarray, chunk: int = 256) -> DataFrame:
+def _principal(sample: np.ndarray) -> _Axes:
+    centre = sample.mean(0)
+    moved = sample - centre
+    _, axes = np.linalg.eigh(moved.T @ moved)
+    return _Axes(centre, np.ascontiguousarray(axes[:, ::-1][:, :LEAD]))
+
+
+def _place(train: DataFrame, pivots: np.ndarray, axes: _Axes, kind: str, chunk: int = 256) -> DataFrame:
+    """Adds each row's cell, its distance to the pivot and its leading components."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for start in range(0, len(batch), chunk):
                 part = batch.iloc[start : start + chunk]
-                d = _distances(np.stack(part["v"].to_numpy()), pivots)
+                v = np.stack(part["v"].to_numpy())
+                d = _distances(v, pivots)
                 cell = d.argmin(1)
-                yield part.assign(cell=cell.astype("int32"), dist=d[np.arange(len(cell)), cell])
+                yield part.assign(cell=cell.astype("int32"), dist=d[np.arange(len(cell)), cell], lead=list(axes.lead(v)))
 
-    return train.mapInPandas(run, "id long, v array<double>, y int, g int, cell int, dist double")
+    return train.mapInPandas(run, f"id {kind}, v array<double>, y int, g int, cell int, dist double, lead array<double>")
 
 
-def _describe(placed: DataFrame, pivots: np.ndarray, k: int) -> _Cells:
-    count = len(pivots)
-    stats = placed.groupBy("cell").agg(
-        F.count("*").alias("n"), F.min("dist").alias("lo"), F.max("dist").alias("hi")
-    )
+def _describe(placed: DataFrame, pivots: np.ndarray, axes: _Axes) -> _Cells:
+    count, width = len(pivots), axes.axes.shape[1] + 1
+    ends = [f(F.col("lead")[i]).alias(f"{n}{i}") for i in range(width) for f, n in ((F.min, "low"), (F.max, "high"))]
+    stats = placed.groupBy("cell").agg(F.count("*").alias("n"), F.min("dist").alias("lo"), F.max("dist").alias("hi"), *ends)
     size, nearest, farthest = np.zeros(count, dtype=np.int64), np.full(count, np.inf), np.zeros(count)
+    low, high = np.zeros((count, width)), np.zeros((count, width))
     for r in stats.collect():  # one row per pivot
-        size[r["cell"]], nearest[r["cell"]], farthest[r["cell"]] = r["n"], r["lo"], r["hi"]
-    # Rank limits are applied before the shuffle, so a crowded cell sends k rows per map task.
-    by_cell = Window.partitionBy("cell", "g").orderBy("dist", "id")
-    closest = (
-        placed.select("cell", "g", "dist", "id").withColumn("rank", F.row_number().over(by_cell)).filter(F.col("rank") <= k)
-    )
-    members: dict[int, dict[int, list[float]]] = {}
-    for r in closest.collect():  # pivots x groups x k numbers
-        members.setdefault(r["g"], {}).setdefault(r["cell"], []).append(r["dist"])
-    close: dict[int, np.ndarray] = {}
-    for query_group in [*members, NO_GROUP]:
-        table = np.full((count, k), np.inf)
-        for cell in range(count):
-            usable = sorted(
-                d
-                for g, cells in members.items()
-                if g == NO_GROUP or g != query_group
-                for d in cells.get(cell, ())
-            )[:k]
-            table[cell, : len(usable)] = usable
-        close[query_group] = table
+        c = r["cell"]
+        size[c], nearest[c], farthest[c] = r["n"], r["lo"], r["hi"]
+        low[c], high[c] = [r[f"low{i}"] for i in range(width)], [r[f"high{i}"] for i in range(width)]
     scale = float(np.sqrt((pivots * pivots).sum(1)).max()) + float(farthest.max()) + 1e-300
-    return _Cells(pivots, size, nearest, farthest, close, scale)
+    return _Cells(pivots, size, nearest, farthest, low, high, axes, scale)
 
 
-def _candidate_cells(
-    v: np.ndarray, g: np.ndarray, cells: _Cells, known: np.ndarray | None = None
-) -> tuple[np.ndarray, np.ndarray]:
-    """Per query row: a bound on its k-th neighbour distance (no larger than a known one), and the mask of
-    cells within that bound."""
+def _cell_bounds(v: np.ndarray, cells: _Cells) -> tuple[np.ndarray, np.ndarray]:
+    """For each row and cell what no member's distance is below, and the distance to the pivot."""
     d = _distances(v, cells.pivots)
-    norm = np.sqrt((v * v).sum(1))
-    slack = 1e-5 * (cells.scale + norm)  # covers rounding in the distances above
-    bound = np.full(len(v), np.inf)
-    k = next(iter(cells.close.values())).shape[1]
-    for group in np.unique(g):
-        members = np.flatnonzero(g == group)
-        table = cells.close.get(int(group), cells.close[NO_GROUP])
-        step = max(1, REACH // table.size)
-        for start in range(0, len(members), step):
-            rows = members[start : start + step]
-            reach = (d[rows][:, :, None] + table[None, :, :]).reshape(len(rows), -1)
-            bound[rows] = np.partition(reach, k - 1, axis=1)[:, k - 1]
-    bound = bound + 4.0 * slack
-    if known is not None:
-        bound = np.minimum(bound, known * (1 + 1e-9))
+    lead = cells.axes.lead(v)
+    slack = 1e-5 * (cells.scale + np.sqrt((v * v).sum(1)))  # covers rounding in the distances
     low = np.maximum(d - cells.farthest[None, :], cells.nearest[None, :] - d)
     own = d.argmin(1)
     between = _distances(cells.pivots[own], cells.pivots)
     near = d[np.arange(len(d)), own]
     far_enough = between > 1e-3 * cells.scale
     plane = np.where(far_enough, (d * d - (near * near)[:, None]) / np.where(far_enough, 2.0 * between, 1.0), -np.inf)
-    low = np.maximum(low, plane) - slack[:, None]
-    return bound, (low <= bound[:, None]) & (cells.size > 0)[None, :]
-
-
-def _route(test: DataFrame, cells: _Cells, chunk: int = 256) -> DataFrame:
-    """Add the bound and the cell to visit first: the nearest one that has rows."""
+    box = np.zeros_like(d)
+    for i in range(lead.shape[1]):
+        gap = np.maximum(np.maximum(cells.low[None, :, i] - lead[:, None, i], lead[:, None, i] - cells.high[None, :, i]), 0.0)
+        box += gap * gap
+    low = np.maximum(np.maximum(low, plane), np.sqrt(box)) - slack[:, None]
+    return np.where((cells.size > 0)[None, :], np.maximum(low, 0.0), np.inf), d
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for start in range(0, len(batch), chunk):
-                part = batch.iloc[start : start + chunk]
-                v = np.stack(part["v"].to_numpy())
-                bound, _ = _candidate_cells(v, part["g"].to_numpy(), cells)
-                d = np.where(cells.size > 0, _distances(v, cells.pivots), np.inf)
-                yield part.assign(bound=bound, cells=[np.array([c], dtype="int32") for c in d.argmin(1)])
 
-    return test.mapInPandas(run, "id long, v array<double>, y int, g int, bound double, cells array<int>")
-
-
-def _reroute(searched: DataFrame, cells: _Cells, chunk: int = 256) -> DataFrame:
-    """Cells still to visit once the nearest cell gave k neighbours: the distance of the k-th one (``kth``)
-    is a much tighter bound. ``cells`` holds the visited cell on the way in."""
+def _route(asked: DataFrame, cells: _Cells, start: int, stop: int, kind: str, chunk: int = 256) -> DataFrame:
+    """One row per visit of this round: the cells at places ``start`` to ``stop`` of the row's order that may hold
+    something within its bound. The order does not change with the bound, so no visit comes twice."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for start in range(0, len(batch), chunk):
-                part = batch.iloc[start : start + chunk]
-                known = part["kth"].fillna(np.inf).to_numpy(dtype="float64")
-                bound, mask = _candidate_cells(np.stack(part["v"].to_numpy()), part["g"].to_numpy(), cells, known)
-                mask[np.arange(len(part)), [c[0] for c in part["cells"]]] = False
-                yield part.drop(columns="kth").assign(bound=bound, cells=[np.flatnonzero(m).astype("int32") for m in mask])
+            for first in range(0, len(batch), chunk):
+                part = batch.iloc[first : first + chunk]
+                v, bound = np.stack(part["v"].to_numpy()), part["bound"].to_numpy(dtype=np.float64)
+                low, d = _cell_bounds(v, cells)
+                order = np.lexsort((d, low), axis=1)[:, start:stop]
+                fits = np.take_along_axis(low, order, axis=1)
+                rows, places = np.nonzero(np.isfinite(fits) & (fits <= bound[:, None] * (1 + 1e-9)))
+                if len(rows):
+                    yield part.iloc[rows].assign(lead=list(cells.axes.lead(v)[rows]), cell=order[rows, places].astype("int32"))
 
-    return searched.mapInPandas(run, "id long, v array<double>, y int, g int, bound double, cells array<int>")
+    return asked.mapInPandas(run, f"id {kind}, v array<double>, y int, g int, bound double, lead array<double>, cell int")
 
 
 def closest_pairs(
-    a: np.ndarray, b: np.ndarray, ids: np.ndarray, allowed: np.ndarray | None, bound: np.ndarray, k: int
+    a: np.ndarray, b: np.ndarray, ids: np.ndarray, allowed: np.ndarray | None, bound: np.ndarray, k: int, lead_a: np.ndarray, lead_b: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row of a, row of b, distance) of the k closest allowed rows of b for each row of a, ties by id.
-    A matrix product finds the candidates; their distances are then recomputed from differences, so equal
+
+    Leading components and norms of the rest rule out pairs beyond the bound. If many are left, a matrix
+    product finds the candidates among them. Distances are then computed from differences, so equal
     vectors get equal distances in every block."""
-    rough = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
-    if allowed is not None:
-        rough[~allowed] = np.inf
     noise = 1e-9 * ((a * a).sum(1).max() + (b * b).sum(1).max()) + 1e-300
-    limit = np.full(len(a), np.inf)
-    if len(b) > k:
-        limit = np.partition(rough, k - 1, axis=1)[:, k - 1] + noise
-    limit = np.minimum(limit, bound * bound * (1 + 1e-9) + noise)
-    keep = np.isfinite(rough) & (rough <= limit[:, None])
+    most = bound * bound * (1 + 1e-9) + noise
+    keep = np.square(_distances(lead_a, lead_b)) <= (most + 1e-5 * np.sqrt(np.where(np.isfinite(most), most * noise, 0.0)))[:, None] + noise
+    if allowed is not None:
+        keep &= allowed
+    if keep.mean() > SPARSE:
+        rough = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
+        rough[~keep] = np.inf
+        limit = np.full(len(a), np.inf)
+        if len(b) > k:
+            limit = np.partition(rough, k - 1, axis=1)[:, k - 1] + noise
+        keep = np.isfinite(rough) & (rough <= np.minimum(limit, most)[:, None])
     rows, cols = np.nonzero(keep)
     exact = np.empty(len(rows))
     step = max(1, 4_000_000 // max(1, a.shape[1]))
@@ -206,29 +211,19 @@ def closest_pairs(
     return rows[first], cols[first], exact[first]
 
 
-FOUND = "id long, y int, g int, neighbor long, neighbor_y int, distance double"
-
-
-def _visit(routed: DataFrame, placed: DataFrame, cells: _Cells, k: int, block_rows: int) -> DataFrame:
+def _visit(visits: DataFrame, placed: DataFrame, k: int, block_rows: int, kind: str, query_kind: str) -> DataFrame:
     """Compare every query row with the cells it visits; at most k rows per query row and block come back."""
-    visits = routed.withColumn("cell", F.explode("cells")).drop("cells")
-    queries = np.zeros(len(cells.pivots), dtype=np.int64)
-    for r in visits.groupBy("cell").agg(F.count("*").alias("n")).collect():  # one row per pivot
-        queries[r["cell"]] = r["n"]
-
-    def parts(counts: np.ndarray) -> Column:
-        pieces = np.maximum(1, -(-counts // block_rows))
-        return F.element_at(F.array(*[F.lit(int(p)) for p in pieces]), F.col("cell") + 1)
-
-    def piece(counts: np.ndarray) -> Column:
-        return F.pmod(F.xxhash64("id"), parts(counts)).cast("int")
-
-    def all_pieces(counts: np.ndarray) -> Column:
-        return F.explode(F.sequence(F.lit(0), parts(counts) - 1))
-
+    pieces = lambda n: F.ceil(F.col(n) / block_rows).cast("int")
+    held = placed.groupBy("cell").agg(F.count("*").alias("n"))
+    asked = visits.groupBy(F.col("cell").alias("a_cell")).agg(F.count("*").alias("q"))
+    # Written, so that its size is known: one row per cell that is visited.
+    plan = stage(held.join(asked, F.col("cell") == F.col("a_cell")).select(F.col("cell").alias("p_cell"), pieces("n").alias("blocks"), pieces("q").alias("slices")), "knn-plan")
+    piece = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     keys = ["cell", "slice", "block"]
-    left = visits.withColumn("slice", piece(queries)).withColumn("block", all_pieces(cells.size))
-    right = placed.drop("dist").withColumn("block", piece(cells.size)).withColumn("slice", all_pieces(queries))
+    dealt = lambda df: df.join(plan, F.col("cell") == F.col("p_cell"))
+    left = dealt(visits).withColumn("slice", piece("slices")).withColumn("block", every("blocks")).drop("p_cell", "blocks", "slices")
+    right = dealt(placed.drop("dist")).withColumn("block", piece("blocks")).withColumn("slice", every("slices")).drop("p_cell", "blocks", "slices")
 
     def compare(queries_part: pd.DataFrame, train_part: pd.DataFrame) -> pd.DataFrame:
         names = ["id", "y", "g", "neighbor", "neighbor_y", "distance"]
@@ -238,7 +233,7 @@ def _visit(routed: DataFrame, placed: DataFrame, cells: _Cells, k: int, block_ro
         allowed = None
         if (qg != NO_GROUP).any():
             allowed = (qg[:, None] != tg[None, :]) | (qg[:, None] == NO_GROUP)
-        ids = train_part["id"].to_numpy()
+        ids = _ids(train_part["id"], kind)
         rows, cols, dist = closest_pairs(
             np.stack(queries_part["v"].to_numpy()),
             np.stack(train_part["v"].to_numpy()),
@@ -246,6 +241,8 @@ def _visit(routed: DataFrame, placed: DataFrame, cells: _Cells, k: int, block_ro
             allowed,
             queries_part["bound"].to_numpy(),
             k,
+            np.stack(queries_part["lead"].to_numpy()),
+            np.stack(train_part["lead"].to_numpy()),
         )
         return pd.DataFrame(
             {
@@ -258,7 +255,8 @@ def _visit(routed: DataFrame, placed: DataFrame, cells: _Cells, k: int, block_ro
             }
         )
 
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, FOUND)
+    found = f"id {query_kind}, y int, g int, neighbor {kind}, neighbor_y int, distance double"
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, found)
 
 
 def _closest(found: DataFrame, k: int) -> DataFrame:
@@ -278,24 +276,32 @@ def knn_neighbors(
     cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """(id, y, g, rank, neighbor, neighbor_y, distance) with the k closest train rows of every test row,
-    ties by smaller neighbour id. Inputs come from ``points``; ids are unique within each side.
+    ties by smaller neighbour id (texts by their bytes). Inputs come from ``points``; ids are unique within each
+    side. An empty side gives no rows.
 
-    The search has two rounds: the nearest cell first, then only the cells that can still hold something
-    closer than the k-th neighbour found there. The number of pivots grows with the root of the train rows."""
+    Only the pivots and one row per cell pass through the driver, the root of the train rows at most."""
+    kind, query_kind = _id_type(train), _id_type(test)
     train = stage(_without_spare_copies(train, k), "knn-points")
-    size, groups = train.agg(F.count("*"), F.approx_count_distinct("g")).first()
-    if groups > MAX_GROUPS:
-        raise ValueError(f"about {groups} groups; distances are kept per group, so at most {MAX_GROUPS} are served")
+    size = train.count()
     pivot_count = max(1, min(math.isqrt(size), size // cell_rows))
     sample = hash_sample(train.select("id", "v"), ["id"], pivot_count).collect()  # the root of the rows at most
+    if not sample:
+        return test.sparkSession.createDataFrame([], f"id {query_kind}, y int, g int, rank int, neighbor {kind}, neighbor_y int, distance double")
     pivots = np.array([r["v"] for r in sample], dtype=np.float64)
-    placed = stage(_place(train, pivots), "knn-train")
-    cells = _describe(placed, pivots, k)
-    routed = stage(_route(test, cells), "knn-test")
-    first = stage(_closest(_visit(routed, placed, cells, k, block_rows), k), "knn-first")
-    kth = first.filter(F.col("rank") == k).select("id", F.col("distance").alias("kth"))
-    rest = stage(_reroute(routed.join(kth, "id", "left"), cells), "knn-rest")
-    return _closest(first.drop("rank").unionByName(_visit(rest, placed, cells, k, block_rows)), k)
+    axes = _principal(pivots)
+    placed = stage(_place(train, pivots, axes, kind), "knn-train")
+    cells = _describe(placed, pivots, axes)
+    asked, best = test.withColumn("bound", F.lit(math.inf)), None
+    start, stop = 0, 1
+    while True:
+        visits = stage(_route(asked, cells, start, stop, query_kind), "knn-visits")
+        found = _visit(visits, placed, k, block_rows, kind, query_kind)
+        best = stage(_closest(found if best is None else best.drop("rank").unionByName(found), k), "knn-best")
+        if stop >= pivot_count:
+            return best
+        kth = best.filter(F.col("rank") == k).select(F.col("id").alias("k_id"), F.col("distance").alias("kth"))
+        asked = test.join(kth, F.col("id") == F.col("k_id"), "left").select("id", "v", "y", "g", F.coalesce("kth", F.lit(math.inf)).alias("bound"))
+        start, stop = stop, stop * GROWTH
 
 
 def knn_classify(train: DataFrame, test: DataFrame, k: int, **options) -> DataFrame:

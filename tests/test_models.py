@@ -70,10 +70,65 @@ def test_k_beyond_the_reachable_rows_is_refused(spark):
         neighbors.knn_k_search(neighbors.points(df, "id", "vec", "y", "fold"), 9)
 
 
-def test_too_many_groups_are_refused(spark):
-    df = spark.range(3000).selectExpr("id", "array(double(id)) AS v", "0 AS y")
-    with pytest.raises(ValueError, match="groups"):
-        neighbors.knn_neighbors(neighbors.points(df, "id", "v", "y", "id"), neighbors.points(df, "id", "v", "y", "id"), 2)
+def test_every_row_a_group_of_its_own(spark):
+    df = spark.range(1500).selectExpr("id", "array(double(id)) AS v", "0 AS y")
+    p = neighbors.points(df, "id", "v", "y", "id")
+    got = neighbors.knn_neighbors(p, p, 2, cell_rows=40).orderBy("id", "rank").collect()
+    near = lambda i: sorted((j for j in range(max(0, i - 3), min(1500, i + 4)) if j != i), key=lambda j: (abs(i - j), j))[:2]
+    assert [r["neighbor"] for r in got] == [j for i in range(1500) for j in near(i)]
+
+
+def test_text_ids(spark):
+    train, tv, ty, _ = cloud(spark, 300, 3, 6, decimals=0)
+    test, qv, _, _ = cloud(spark, 40, 3, 7, first=5000, decimals=0)
+    named = train.withColumn("id", F.concat(F.lit("id-"), "id"))
+    found = neighbors.knn_neighbors(neighbors.points(named, "id", "vec", "y"), neighbors.points(test, "id", "vec", "y"), 5, block_rows=50, cell_rows=30)
+    names = [f"id-{i}" for i in range(300)]
+    got = {}
+    for r in found.orderBy("id", "rank").collect():
+        got.setdefault(r["id"] - 5000, []).append(r["neighbor"])
+    assert got == brute(tv, ty, names, qv, 5)
+    asked = neighbors.points(test.withColumn("id", F.concat(F.lit("q"), "id")), "id", "vec", "y")
+    assert neighbors.knn_classify(neighbors.points(named, "id", "vec", "y"), asked, 3).filter("id like 'q50%'").count() == 40
+
+
+def test_clumped_vectors_are_compared_with_few_others(spark, monkeypatch):
+    """64 components, 40 clumps: under a fifth of the pairs are visited, and the result is that of all pairs."""
+    rng = np.random.default_rng(11)
+    centres = rng.normal(0, 1, (40, 64))
+    frame = lambda n, first: (lambda v: (v, spark.createDataFrame([(first + i, [float(x) for x in r], i % 2) for i, r in enumerate(v)], "id long, v array<double>, y int").repartition(3)))(centres[rng.integers(0, 40, n)] + rng.normal(0, 0.05, (n, 64)))
+    (tv, train), (qv, test) = frame(2000, 0), frame(150, 9000)
+    stored = {}
+    keep = neighbors.stage
+    monkeypatch.setattr(neighbors, "stage", lambda df, label: stored.setdefault(label, []).append(keep(df, label)) or stored[label][-1])
+    found = neighbors.knn_neighbors(neighbors.points(train, "id", "v", "y"), neighbors.points(test, "id", "v", "y"), 5, cell_rows=40)
+    got = {}
+    for r in found.orderBy("id", "rank").collect():
+        got.setdefault(r["id"] - 9000, []).append(r["neighbor"])
+    assert got == brute(tv, None, list(range(2000)), qv, 5)
+    sizes = {r["cell"]: r["count"] for r in stored["knn-train"][0].groupBy("cell").count().collect()}
+    pairs = sum(sizes[r["cell"]] * r["count"] for visits in stored["knn-visits"] for r in visits.groupBy("cell").count().collect())
+    assert pairs < 0.2 * 2000 * 150
+
+
+def test_single_rows_are_ruled_out_by_their_leading_components():
+    rng = np.random.default_rng(2)
+    a, b = rng.normal(size=(20, 30)), rng.normal(size=(400, 30))
+    b[:40, :3] += 40
+    axes = neighbors._principal(b)
+    lead = lambda v: axes.lead(v)
+    d = np.sqrt(((a[:, None] - b[None]) ** 2).sum(2))
+    assert (neighbors._distances(lead(a), lead(b)) <= d + 1e-9).all()
+    kth = np.sort(d, axis=1)[:, 6]
+    for bound in (np.full(20, np.inf), kth):
+        rows, cols, dist = neighbors.closest_pairs(a, b, np.arange(400), None, bound, 7, lead(a), lead(b))
+        assert cols.reshape(20, 7).tolist() == [sorted(range(400), key=lambda j: (d[i, j], j))[:7] for i in range(20)]
+
+
+def test_neighbors_of_empty_tables(spark):
+    some, _, _, _ = cloud(spark, 20, 2, 1)
+    p = neighbors.points(some, "id", "vec", "y")
+    assert neighbors.knn_neighbors(p.limit(0), p, 3).count() == 0 and neighbors.knn_neighbors(p, p.limit(0), 3).count() == 0
 
 
 def test_vote_ties_are_class_zero(spark):
