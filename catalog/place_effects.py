@@ -198,7 +198,8 @@ def _composition_by_entity(spark, sf):
 _ROLES = f"""WITH t AS ({trips_sql(*PLACES, "delayed")}), o AS (SELECT origin AS place, count(*) AS n, avg(delayed) * 100 AS r FROM t GROUP BY 1),
     d AS (SELECT destination AS place, count(*) AS n, avg(delayed) * 100 AS r FROM t GROUP BY 1),
     c AS (SELECT coalesce(o.place, d.place) AS place, coalesce(o.n, 0) AS origin_rows, coalesce(d.n, 0) AS destination_rows,
-    round(o.r, 4) AS origin_pct, round(d.r, 4) AS destination_pct, round(o.r - d.r, 4) AS difference_pp FROM o FULL JOIN d ON o.place = d.place) """
+    round(o.r, 4) AS origin_pct, round(d.r, 4) AS destination_pct, round(o.r - d.r, 4) AS difference_pp FROM o FULL JOIN d ON o.place = d.place),
+    e AS (SELECT o.r AS o, d.r AS d, o.r - d.r AS apart FROM o FULL JOIN d ON o.place = d.place) """
 
 
 @query("role_compare", _ROLES + "SELECT * FROM c")
@@ -209,13 +210,13 @@ def _role_compare(spark, sf):
 @query(
     "role_asymmetry",
     _ROLES
-    + """, s AS (SELECT count(difference_pp) AS n, corr(origin_pct, destination_pct) AS r FROM c), m AS (SELECT n, r, abs(r) * sqrt((n - 2) / (1 - r * r)) AS t FROM s),
+    + """, s AS (SELECT count(apart) AS n, corr(o, d) AS r FROM e), m AS (SELECT n, r, abs(r) * sqrt((n - 2) / (1 - r * r)) AS t FROM s),
     g AS (SELECT i, CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END AS w FROM range(0, 4001) r(i)),
     q AS (SELECT max(n) AS n, max(r) AS r, sum(w * pow(1 + pow(t * i / 4000, 2) / (n - 2), -(n - 1) / 2)) * max(t) / 12000 AS area FROM m, g)
     SELECT max(n) AS places, round(max(r), 5) AS r, round(1 - 2 * max(area) * exp(lgamma((max(n) - 1) / 2) - lgamma((max(n) - 2) / 2)) / sqrt((max(n) - 2) * pi()), 5) AS p_value,
-    round(stddev_samp(origin_pct), 3) AS origin_std, round(stddev_samp(destination_pct), 3) AS destination_std, min(origin_pct) AS origin_min, max(origin_pct) AS origin_max,
-    min(destination_pct) AS destination_min, max(destination_pct) AS destination_max, round(avg(abs(difference_pp)), 3) AS mean_abs_difference,
-    count(*) FILTER (WHERE abs(difference_pp) > 1) AS above_limit FROM c, q""",
+    round(stddev_samp(o), 3) AS origin_std, round(stddev_samp(d), 3) AS destination_std, round(min(o), 4) AS origin_min, round(max(o), 4) AS origin_max,
+    round(min(d), 4) AS destination_min, round(max(d), 4) AS destination_max, round(avg(abs(apart)), 3) AS mean_abs_difference,
+    count(*) FILTER (WHERE abs(apart) > 1) AS above_limit FROM e, q""",
 )
 def _role_asymmetry(spark, sf):
     return entities.role_asymmetry(trips(spark, sf, *PLACES, "delayed"), "origin", "destination", "delayed", limit=1.0)

@@ -180,7 +180,7 @@ def _rate_summary_by_type(spark, sf):
 @query(
     "type_mean_spread",
     _RATED
-    + """, m AS (SELECT round(avg(rate), 1) AS m FROM r GROUP BY kind) SELECT round(max(m) - min(m), 1) AS spread, max(m) - min(m) < 30 AS almost_equal FROM m""",
+    + """, m AS (SELECT avg(rate) AS m FROM r GROUP BY kind) SELECT round(max(m) - min(m), 1) AS spread, max(m) - min(m) < 30 AS almost_equal FROM m""",
 )
 def _type_mean_spread(spark, sf):
     return rates.type_mean_spread(trips(spark, sf, "kind", "distance", "minutes"), "kind", "distance", "minutes")

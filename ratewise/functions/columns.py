@@ -126,21 +126,26 @@ def bin_edges(lo: float, hi: float, n: int) -> tuple[float, float]:
     return lo, (hi - lo) / n
 
 
+def _bin_type(n: int) -> str:
+    """Bins that far values make too many for an int are longs."""
+    return "int" if n < 1 << 31 else "long"
+
+
 def right_closed_bin(c: str | Column, start: float, width: float, n: int) -> Column:
     """1-based bin of (start+(i-1)·width, start+i·width]; the minimum falls in bin 1.
     The two corrections compare with the edge itself, so values on an edge land exactly."""
     x, s, w = as_column(c).cast("double"), F.lit(float(start)), F.lit(float(width))
-    first = F.greatest(F.lit(1), F.least(F.lit(n), F.ceil((x - s) / w).cast("int")))
+    first = F.greatest(F.lit(1), F.least(F.lit(n), F.ceil((x - s) / w).cast("long")))
     down = F.when((first > 1) & (x <= s + (first - 1) * w), first - 1).otherwise(first)
-    return F.when(x.isNotNull(), F.when((down < n) & (x > s + down * w), down + 1).otherwise(down))
+    return F.when(x.isNotNull(), F.when((down < n) & (x > s + down * w), down + 1).otherwise(down)).cast(_bin_type(n))
 
 
 def left_closed_bin(c: str | Column, start: float, width: float, n: int) -> Column:
     """1-based bin of [start+(i-1)·width, start+i·width); the maximum falls in bin n."""
     x, s, w = as_column(c).cast("double"), F.lit(float(start)), F.lit(float(width))
-    first = F.greatest(F.lit(1), F.least(F.lit(n), (F.floor((x - s) / w) + 1).cast("int")))
+    first = F.greatest(F.lit(1), F.least(F.lit(n), (F.floor((x - s) / w) + 1).cast("long")))
     down = F.when((first > 1) & (x < s + (first - 1) * w), first - 1).otherwise(first)
-    return F.when(x.isNotNull(), F.when((down < n) & (x >= s + down * w), down + 1).otherwise(down))
+    return F.when(x.isNotNull(), F.when((down < n) & (x >= s + down * w), down + 1).otherwise(down)).cast(_bin_type(n))
 
 
 def pair_key(a: str | Column, b: str | Column) -> tuple[Column, Column]:

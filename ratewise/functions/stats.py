@@ -18,9 +18,10 @@ def rate_pct(y: str | Column, digits: int | None = 2) -> Column:
 
 
 def pearson(x: str | Column, y: str | Column) -> Column:
-    """Pearson r over rows where both are present; null when either side is constant
+    """Pearson r over rows where both are present (NaN is not); null when either side is constant
     (``corr`` itself raises a division by zero there)."""
-    x, y = as_column(x).cast("double"), as_column(y).cast("double")
+    known = lambda c: F.when(~F.isnan(as_column(c).cast("double")), as_column(c).cast("double"))
+    x, y = known(x), known(y)
     sx = F.stddev_pop(F.when(y.isNotNull(), x))
     sy = F.stddev_pop(F.when(x.isNotNull(), y))
     return F.try_divide(F.covar_pop(x, y), sx * sy)

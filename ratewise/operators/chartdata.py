@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratewise.functions.columns import bin_edges, known_number, left_closed_bin
+from ratewise.functions.columns import bin_edges, known_number, left_closed_bin, shuffle_key
 from ratewise.operators.prepare import min_max_scale
 from ratewise.operators.quantiles import quantile_row
 from ratewise.operators.rates import class_balance, rate_contribution_long
@@ -138,25 +138,22 @@ def box_stats_normalized(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def scatter_sample(df: DataFrame, x: str, y: str, ids: Sequence[str], n: int = 1000, seed: int = 42) -> DataFrame:
     """A reproducible sample of n points; the figure is the feature, so n is fixed."""
-    return hash_sample(df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*ids, x, y), ids, n, seed)
+    return hash_sample(df.filter(known_number(x).isNotNull() & known_number(y).isNotNull()).select(*ids, x, y), ids, n, seed)
 
 
 def scatter_pairs(
     df: DataFrame, cols: Sequence[str], ids: Sequence[str], n: int = 1000, pairs: int | None = None, seed: int = 42
 ) -> DataFrame:
-    """(x_name, y_name, x, y) for all pairs of columns (or the first ``pairs``), all from one sample of n rows."""
+    """(x_name, y_name, x, y) for all pairs of columns (or the first ``pairs``): of each pair the first n points, in the
+    order of a hash of the ids, among the rows that know both."""
     chosen = column_pairs(cols, pairs)
-    sample = hash_sample(df.select(*ids, *cols), ids, n, seed)
     points = [
-        F.struct(
-            F.lit(a).alias("x_name"),
-            F.lit(b).alias("y_name"),
-            F.col(f"`{a}`").cast("double").alias("x"),
-            F.col(f"`{b}`").cast("double").alias("y"),
-        )
-        for a, b in chosen
+        F.struct(F.lit(i).alias("pair"), F.lit(a).alias("x_name"), F.lit(b).alias("y_name"), known_number(a).alias("x"), known_number(b).alias("y"))
+        for i, (a, b) in enumerate(chosen)
     ]
-    return sample.select(*ids, F.inline(F.array(*points))).dropna(subset=["x", "y"])
+    known = df.select(*ids, F.inline(F.array(*points))).dropna(subset=["x", "y"])
+    first = Window.partitionBy("pair").orderBy(shuffle_key(ids, seed), *ids)  # the limit also applies before the shuffle
+    return known.withColumn("_place", F.row_number().over(first)).filter(F.col("_place") <= n).select(*ids, "x_name", "y_name", "x", "y")
 
 
 def scatter_grid(df: DataFrame, x: str, y: str, bins: int = 50) -> DataFrame:

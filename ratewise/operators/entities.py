@@ -127,9 +127,9 @@ def composition_by_entity(df: DataFrame, places: Sequence[str], part: str) -> Da
     return cells.select("place", part, "rows", F.round(F.col("rows") * 100.0 / total, 4).alias("pct"))
 
 
-def role_compare(df: DataFrame, origin: str, destination: str, y: str) -> DataFrame:
-    """Rate of each place as origin next to its rate as destination (either may be missing). The two roles
-    are two columns of one aggregation over the long form, so the raw rows are read once."""
+def role_rates(df: DataFrame, origin: str, destination: str, y: str) -> DataFrame:
+    """Unrounded rates (o, d) of each place in the two roles, which are two columns of one aggregation over the
+    long form, so the raw rows are read once."""
     long = (
         df.select(y, origin, destination)
         .unpivot([y], [origin, destination], "role", "place")
@@ -137,13 +137,17 @@ def role_compare(df: DataFrame, origin: str, destination: str, y: str) -> DataFr
     )
     as_origin = F.when(F.col("role") == origin, F.col(y))
     as_destination = F.when(F.col("role") == destination, F.col(y))
-    table = long.groupBy("place").agg(
+    return long.groupBy("place").agg(
         F.count(as_origin).alias("origin_rows"),
         F.count(as_destination).alias("destination_rows"),
         (F.avg(as_origin) * 100).alias("o"),
         (F.avg(as_destination) * 100).alias("d"),
     )
-    return table.select(
+
+
+def role_compare(df: DataFrame, origin: str, destination: str, y: str) -> DataFrame:
+    """Rate of each place as origin next to its rate as destination (either may be missing)."""
+    return role_rates(df, origin, destination, y).select(
         "place",
         "origin_rows",
         "destination_rows",
@@ -155,20 +159,20 @@ def role_compare(df: DataFrame, origin: str, destination: str, y: str) -> DataFr
 
 def role_asymmetry(df: DataFrame, origin: str, destination: str, y: str, limit: float = 4.0) -> DataFrame:
     """How differently places behave in the two roles: r with p-value, spreads, ranges, mean absolute
-    difference and the number of places above the limit."""
-    t = role_compare(df, origin, destination, y)
-    both = F.col("difference_pp").isNotNull()
+    difference and the number of places above the limit, all from unrounded rates."""
+    t = role_rates(df, origin, destination, y)
+    apart = F.col("o") - F.col("d")
     flat = t.agg(
-        F.count_if(both).alias("places"),
-        pearson("origin_pct", "destination_pct").alias("r"),
-        F.stddev_samp("origin_pct").alias("so"),
-        F.stddev_samp("destination_pct").alias("sd"),
-        F.min("origin_pct").alias("origin_min"),
-        F.max("origin_pct").alias("origin_max"),
-        F.min("destination_pct").alias("destination_min"),
-        F.max("destination_pct").alias("destination_max"),
-        F.avg(F.abs("difference_pp")).alias("mad"),
-        F.count_if(F.abs("difference_pp") > limit).alias("above_limit"),
+        F.count(apart).alias("places"),
+        pearson("o", "d").alias("r"),
+        F.stddev_samp("o").alias("so"),
+        F.stddev_samp("d").alias("sd"),
+        F.round(F.min("o"), 4).alias("origin_min"),
+        F.round(F.max("o"), 4).alias("origin_max"),
+        F.round(F.min("d"), 4).alias("destination_min"),
+        F.round(F.max("d"), 4).alias("destination_max"),
+        F.avg(F.abs(apart)).alias("mad"),
+        F.count_if(F.abs(apart) > limit).alias("above_limit"),
     )
     return flat.select(
         "places",

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.functions.columns import as_column, pair_key, ratio_rate, same_pair
+from ratewise.functions.columns import as_column, known_number, pair_key, ratio_rate, same_pair
 from ratewise.operators.onepass import OnePass, run
 
 Rule = tuple[str, Column]
@@ -116,7 +116,7 @@ def slow_routes(df: DataFrame, a: str, b: str, amount: str, minutes: str, slow:
 
 
 def domain_range_pass(c: str, lo: float = 0.0, hi: float = 100.0) -> OnePass:
-    x = F.col(c)
+    x = known_number(c)
     return OnePass(
         {"above": F.count_if(x > hi), "below": F.count_if(x < lo), "at_lower": F.count_if(x == lo)}, lambda flat: flat
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ratewise.operators import filters, profile, rates, relations
 from ratewise.operators.onepass import OnePass, run_together
+from ratewise.operators.fingerprints import copy_counts
 from ratewise.operators.quantiles import order_statistics
 from ratewise.operators.reshape import value_counts
 from ratewise.operators.roles import classify_columns, has_columns
@@ -73,12 +74,17 @@ def overview_findings(df: DataFrame, roles: AuditRoles, shared: Shared | None =
                 F.col("null_cells"), 0.0, _text("%d null cells", "null_cells")),
         finding(shared["nulls"], section, F.col("column"), INFO, "null_column", F.col("nulls"), 0.0,
                 _text("%s: %d nulls (%.1f%%)", "column", "nulls", "null_pct"), F.col("nulls") > 0),
-        _duplicates(profile.duplicate_count(df), section, "duplicate_rows"),
     ]
+    kinds = {"rows": df.columns}
     if roles.id and has_columns(df, roles.id):
-        out.append(_duplicates(profile.duplicate_count(df, [roles.id]), section, "duplicate_rows_without_id"))
+        kinds |= {"without_id": [c for c in df.columns if c != roles.id], "ids": [roles.id]}
+    copies = stage(copy_counts(df, kinds), "copies")  # all kinds from one shuffle of fingerprints
+    of = lambda kind: copies.filter(F.col("kind") == kind)
+    out.append(_duplicates(profile.duplicate_share(of("rows")), section, "duplicate_rows"))
+    if "ids" in kinds:
+        out.append(_duplicates(profile.duplicate_share(of("without_id")), section, "duplicate_rows_without_id"))
         out.append(
-            finding(profile.id_uniqueness(df, roles.id), section, roles.id, F.when(F.col("unique"), INFO).otherwise(ANOMALY),
+            finding(profile.id_share(of("ids")), section, roles.id, F.when(F.col("unique"), INFO).otherwise(ANOMALY),
                     "unique_ids", F.col("distinct_ids"), None, _text("%d ids in %d rows", "distinct_ids", "rows"))
         )
     return out
@@ -170,8 +176,8 @@ def coherence_findings(df: DataFrame, roles: AuditRoles, shared: Shared) -> list
         out.append(finding(r, section, pair, ANOMALY, "distance_time_low", F.col("r"), 0.90,
                            _text("correlation %.4f below the expected 0.90", "r"), F.col("r") < 0.90))
         if roles.kind and has_columns(df, roles.kind):
-            speeds = stage(rates.rate_stats_by_type(df, roles.kind, roles.distance, roles.minutes), "type-rates")
-            out.append(finding(speeds, section, roles.kind, INFO, "type_rate", F.col("mean"), None,
+            speeds = stage(rates.raw_stats_by_type(df, roles.kind, roles.distance, roles.minutes), "type-rates")
+            out.append(finding(speeds, section, roles.kind, INFO, "type_rate", F.round("mean", 1), None,
                                _text("%s: mean %.1f, from %.1f to %.1f", F.col(roles.kind).cast("string"), "mean", "min", "max")))
             spread = rates.mean_spread_of(speeds)
             out.append(finding(spread, section, roles.kind, FINDING, "type_mean_spread", F.col("spread"), 30.0,

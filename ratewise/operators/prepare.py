@@ -40,7 +40,7 @@ def modes_of(counts: DataFrame) -> DataFrame:
 
 def impute_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     found = {r["column"]: r["median"] for r in medians(df, cols).collect()}  # one row per column
-    return df.withColumns({c: F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(found.get(c))) for c in cols})
+    return df.withColumns({c: F.coalesce(known_number(c), F.lit(found.get(c))) for c in cols})
 
 
 def impute_mode(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -181,7 +181,7 @@ def fit_view(clean: DataFrame, spec: ViewSpec) -> ViewParams:
     numeric, categorical, _ = classify_columns(clean, [spec.target])
     flat = clean.agg(
         F.count("*").alias("rows"),
-        *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"x{i}") for i, c in enumerate(numeric + categorical)],
+        *[F.count_if(known_number(c).isNull() if c in numeric else F.col(f"`{c}`").isNull()).alias(f"x{i}") for i, c in enumerate(numeric + categorical)],
         *[F.min(known_number(c)).alias(f"l{i}") for i, c in enumerate(numeric)],
         *[F.max(known_number(c)).alias(f"h{i}") for i, c in enumerate(numeric)],
     ).first()
@@ -204,7 +204,7 @@ def fit_view(clean: DataFrame, spec: ViewSpec) -> ViewParams:
 def encode(clean: DataFrame, params: ViewParams, target: str, keep: Sequence[str] = ()) -> DataFrame:
     """Impute, scale and encode derived rows with fitted parameters; literals only, no join."""
     filled = clean.withColumns(
-        {c: F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(params.median.get(c))) for c in params.numeric}
+        {c: F.coalesce(known_number(c), F.lit(params.median.get(c))) for c in params.numeric}
         | {c: F.coalesce(category_text(clean, c), F.lit(params.mode.get(c))) for c in params.categorical}
     )
     numeric = [scaled(c, params.low[c], params.high[c]).alias(c) for c in params.numeric]

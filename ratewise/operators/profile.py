@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ratewise.functions.columns import known_number
 from ratewise.functions.stats import sample_kurtosis, sample_skewness
+from ratewise.operators.fingerprints import copy_counts, distinct_counts, fingerprint, fingerprint_counts, known_values
 from ratewise.operators.onepass import OnePass, run
 from ratewise.operators.quantiles import order_statistics, quantile, quantile_row
 from ratewise.operators.reshape import rows_of, value_counts
@@ -29,13 +30,18 @@ def _pct(part, whole):
 
 
 def describe_schema(df: DataFrame, approximate: bool = False) -> DataFrame:
-    """dtype, non-null, null and distinct count of every column."""
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
+    """dtype, non-null, null and distinct count of every column; NaN counts as null. Exact distinct counts come from one
+    shuffle of fingerprints; with ``approximate`` one scan of sketches gives them."""
     dtypes = dict(df.dtypes)
+    named = F.create_map(*[F.lit(x) for c in df.columns for x in (c, dtypes[c])])
+    if not approximate:
+        counts = distinct_counts(df, df.columns)
+        return counts.select("column", F.element_at(named, F.col("column")).alias("dtype"), "non_null", (F.col("rows") - F.col("non_null")).alias("nulls"), "distinct")
+    values = known_values(df, df.columns)
     flat = df.agg(
         F.count("*").alias("rows"),
-        *[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(df.columns)],
-        *[distinct(F.col(f"`{c}`")).alias(f"d{i}") for i, c in enumerate(df.columns)],
+        *[F.count(v).alias(f"n{i}") for i, v in enumerate(values)],
+        *[F.approx_count_distinct(v).alias(f"d{i}") for i, v in enumerate(values)],
     )
     return rows_of(
         flat,
@@ -54,7 +60,7 @@ def describe_schema(df: DataFrame, approximate: bool = False) -> DataFrame:
 
 def table_nulls_pass(df: DataFrame) -> OnePass:
     width = len(df.columns)
-    nulls = sum((F.col(f"`{c}`").isNull().cast("long") for c in df.columns), F.lit(0).cast("long"))
+    nulls = sum((v.isNull().cast("long") for v in known_values(df, df.columns)), F.lit(0).cast("long"))
     return OnePass(
         {"rows": F.count("*"), "null_cells": F.coalesce(F.sum(nulls), F.lit(0)).cast("long")},
         lambda flat: flat.select(
@@ -72,9 +78,7 @@ def table_nulls(df: DataFrame) -> DataFrame:
 
 
 def null_report_pass(df: DataFrame) -> OnePass:
-    floats = {n for n, t in df.dtypes if t in ("double", "float")}
-    missing = lambda c: (known_number(c) if c in floats else F.col(f"`{c}`")).isNull()
-    counts = {f"n{i}": F.count_if(missing(c)) for i, c in enumerate(df.columns)}
+    counts = {f"n{i}": F.count_if(v.isNull()) for i, v in enumerate(known_values(df, df.columns))}
     lines = [
         F.struct(
             F.lit(c).alias("column"),
@@ -93,33 +97,42 @@ def null_report(df: DataFrame) -> DataFrame:
     return run(df, null_report_pass(df))
 
 
-def duplicate_count(df: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
-    """Rows that repeat an earlier row. One shuffle keyed by all columns; copies of a hot row are
-    folded before it."""
-    cols = [c for c in df.columns if c not in set(ignore)]
-    groups = df.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.count("*").alias("_copies"))
-    return groups.agg(
-        F.coalesce(F.sum("_copies"), F.lit(0)).cast("long").alias("rows"), F.count("*").alias("distinct_rows")
-    ).select(
+def duplicate_share(counts: DataFrame) -> DataFrame:
+    """rows, duplicates and their share from (rows, distinct_rows)."""
+    return counts.select(
         "rows",
         (F.col("rows") - F.col("distinct_rows")).alias("duplicates"),
         F.round(_pct(F.col("rows") - F.col("distinct_rows"), F.col("rows")), 2).alias("duplicate_pct"),
     )
 
 
+def duplicate_count(df: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
+    """Rows that repeat an earlier row, missing values being equal. One shuffle of fingerprints; copies of a hot
+    row are folded before it."""
+    return duplicate_share(copy_counts(df, {"rows": [c for c in df.columns if c not in set(ignore)]}))
+
+
 def duplicate_examples(df: DataFrame, ignore: Sequence[str] = (), n: int = 6) -> DataFrame:
-    """The first n members of duplicate groups, in the order of their values. A group contributes at most
-    n copies before the top-n, so a hot group is never expanded in full."""
+    """The first n members of duplicate groups, in the order of their values. Rows are read in full only where a
+    fingerprint repeats, and a group contributes at most n copies before the top-n."""
     cols = [c for c in df.columns if c not in set(ignore)]
-    groups = df.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.count("*").alias("copies"))
+    repeated = stage(fingerprint_counts(df, {"rows": cols}).filter("copies > 1").select(F.col("a").alias("f_a"), F.col("b").alias("f_b")), "repeated")
+    a, b = fingerprint(df, cols)
+    rows = df.select(*[v.alias(c) for v, c in zip(known_values(df, cols), cols)], a.alias("_a"), b.alias("_b"))
+    rows = rows.join(repeated, (F.col("_a") == F.col("f_a")) & (F.col("_b") == F.col("f_b")), "left_semi")
+    groups = rows.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.count("*").alias("copies"))
     copies = F.explode(F.sequence(F.lit(1), F.least(F.col("copies"), F.lit(n)).cast("int")))
     return groups.filter("copies > 1").withColumn("copy", copies).orderBy(*[f"`{c}`" for c in cols], "copy").limit(n)
 
 
+def id_share(counts: DataFrame) -> DataFrame:
+    """Distinct ids, rows and whether they agree, from the counts of the id column; a missing id is no id."""
+    ids = F.col("distinct_rows") - (F.col("empty_rows") > 0).cast("long")
+    return counts.select(ids.alias("distinct_ids"), "rows", (ids == F.col("rows")).alias("unique"))
+
+
 def id_uniqueness(df: DataFrame, id_column: str) -> DataFrame:
-    return df.agg(F.count_distinct(id_column).alias("distinct_ids"), F.count("*").alias("rows")).withColumn(
-        "unique", F.col("distinct_ids") == F.col("rows")
-    )
+    return id_share(copy_counts(df, {"ids": [id_column]}))
 
 
 def numeric_summary(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), digits: int = 2) -> DataFrame:
@@ -131,8 +144,8 @@ def numeric_summary(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
 
 
 def shape_flags_pass(cols: Sequence[str]) -> OnePass:
-    moments = {f"s{i}": sample_skewness(F.col(f"`{c}`")) for i, c in enumerate(cols)}
-    moments |= {f"k{i}": sample_kurtosis(F.col(f"`{c}`")) for i, c in enumerate(cols)}
+    moments = {f"s{i}": sample_skewness(known_number(c)) for i, c in enumerate(cols)}
+    moments |= {f"k{i}": sample_kurtosis(known_number(c)) for i, c in enumerate(cols)}
     lines = [
         F.struct(F.lit(c).alias("column"), F.col(f"s{i}").alias("skewness"), F.col(f"k{i}").alias("kurtosis"))
         for i, c in enumerate(cols)
@@ -263,7 +276,7 @@ def dominant_candidates(seen: DataFrame, share: float = 0.25) -> list[tuple[str,
 def dominant_pass(candidates: Sequence[tuple[str, float]], share: float = 0.25) -> OnePass:
     """Exact counts of the candidates; keeps the most frequent one per column if it passes the share."""
     cols = list(dict.fromkeys(c for c, _ in candidates))
-    aggregates = {f"n{i}": F.count(F.col(f"`{c}`")) for i, c in enumerate(cols)}
+    aggregates = {f"n{i}": F.count(known_number(c)) for i, c in enumerate(cols)}
     lines = []
     for j, (c, v) in enumerate(candidates):
         aggregates[f"h{j}"] = F.count_if(F.col(f"`{c}`").cast("double") == F.lit(v))

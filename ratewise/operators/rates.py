@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratewise.functions.columns import bin_edges, pair_key, ratio_rate, right_closed_bin, time_band_4
+from ratewise.functions.columns import bin_edges, known_number, pair_key, ratio_rate, right_closed_bin, time_band_4
 from ratewise.functions.stats import pearson, rate_pct
 from ratewise.operators.profile import numeric_summary
 from ratewise.operators.reshape import bounded_values, melt_places, pivot_fill, value_counts
@@ -167,8 +167,8 @@ def entity_volume_rate_topn(df: DataFrame, places: Sequence[str], y: str, n: int
 def entity_mean_topn(df: DataFrame, places: Sequence[str], measure: str, n: int = 20) -> DataFrame:
     """The n places with the highest mean of a measure; rows without it are left out."""
     return (
-        melt_places(df, places, [measure])
-        .filter(F.col(measure).isNotNull())
+        melt_places(df.withColumn(measure, known_number(measure)), places, [measure])
+        .filter(F.col(f"`{measure}`").isNotNull())
         .groupBy("place")
         .agg(F.count("*").alias("total"), F.avg(measure).alias("mean"))
         .orderBy(F.col("mean").desc(), "place")
@@ -223,17 +223,14 @@ def rate_contribution(
 
 def rate_stats_by_type(df: DataFrame, kind: str, amount: str, minutes: str, digits: int = 1) -> DataFrame:
     """Mean, std, min and max hourly rate per type."""
-    rated = df.select(kind, ratio_rate(amount, minutes).alias("rate")).dropna(subset=[kind])
-    return (
-        rated.groupBy(kind)
-        .agg(
-            F.round(F.avg("rate"), digits).alias("mean"),
-            F.round(F.stddev_samp("rate"), digits).alias("std"),
-            F.round(F.min("rate"), digits).alias("min"),
-            F.round(F.max("rate"), digits).alias("max"),
-        )
-        .orderBy(F.col("mean").desc(), kind)
-    )
+    raw = raw_stats_by_type(df, kind, amount, minutes)
+    return raw.select(kind, *[F.round(c, digits).alias(c) for c in ("mean", "std", "min", "max")]).orderBy(F.col("mean").desc(), kind)
+
+
+def raw_stats_by_type(df: DataFrame, kind: str, amount: str, minutes: str) -> DataFrame:
+    """The same before rounding, in no order."""
+    rated = df.select(kind, ratio_rate(known_number(amount), known_number(minutes)).alias("rate")).dropna(subset=[kind])
+    return rated.groupBy(kind).agg(F.avg("rate").alias("mean"), F.stddev_samp("rate").alias("std"), F.min("rate").alias("min"), F.max("rate").alias("max"))
 
 
 def rate_summary_by_type(df: DataFrame, kind: str, amount: str, minutes: str, digits: int = 1) -> DataFrame:
@@ -244,11 +241,11 @@ def rate_summary_by_type(df: DataFrame, kind: str, amount: str, minutes: str, di
 
 def type_mean_spread(df: DataFrame, kind: str, amount: str, minutes: str, limit: float = 30.0) -> DataFrame:
     """Distance between the largest and smallest type mean; below the limit the type hardly matters."""
-    return mean_spread_of(rate_stats_by_type(df, kind, amount, minutes), limit)
+    return mean_spread_of(raw_stats_by_type(df, kind, amount, minutes), limit)
 
 
 def mean_spread_of(stats: DataFrame, limit: float = 30.0) -> DataFrame:
-    """The same from the table of ``rate_stats_by_type``."""
+    """The same from a table with the types' means; pass them unrounded, so that rounding decides nothing."""
     spread = F.max("mean") - F.min("mean")
     return stats.agg(
         F.round(spread, 1).alias("spread"), (spread < limit).alias("almost_equal")
@@ -297,7 +294,7 @@ def class_balance(df: DataFrame, y: str) -> DataFrame:
 
 
 def mean_by_class(df: DataFrame, c: str, y: str) -> DataFrame:
-    return df.dropna(subset=[y]).groupBy(y).agg(F.count(c).alias("rows"), F.round(F.avg(c), 6).alias("mean"))
+    return df.dropna(subset=[y]).groupBy(y).agg(F.count(known_number(c)).alias("rows"), F.round(F.avg(known_number(c)), 6).alias("mean"))
 
 
 def hour_correlation(df: DataFrame, hour: str, y: str) -> DataFrame:
