@@ -12,7 +12,6 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -134,23 +133,12 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], by:
 def cumulative_counts(df: DataFrame, order: str, measures: Sequence[str], buckets: int | None = None) -> DataFrame:
     """Sums of ``measures`` over all strictly smaller values of ``order`` (columns ``before_<m>``).
 
-    ``df`` has one row per distinct ``order`` value. Buckets hold about equally many distinct values, so
-    no window sees more than a share of them; the running sum over bucket totals has ``buckets`` rows, by
-    default a sixteenth of the root of the number of values. Rows find their bucket by binary search.
+    ``df`` has one row per distinct ``order`` value. Rows are dealt to range partitions, ``buckets`` or as many as
+    shuffles have, and written with the number of theirs: running sums within a partition, plus a running sum over
+    the partitions' totals, one row each. The driver holds nothing.
     """
-    if buckets is None:
-        buckets = max(8, math.isqrt(df.count()) // 16)
-    cuts = df.agg(
-        F.percentile_approx(F.col(order).cast("double"), [i / buckets for i in range(1, buckets)], 10 * buckets).alias("cuts")
-    ).first()["cuts"]
-    edges = sorted({e for e in cuts or [] if math.isfinite(e)})
-    if edges:
-        numbered = df.withColumn("_order", F.col(order).cast("double"))
-        splits = [-math.inf, *edges, math.inf]
-        search = Bucketizer(splits=splits, inputCol="_order", outputCol="_bucket", handleInvalid="keep")
-        placed = search.transform(numbered).drop("_order")
-    else:  # no values, or one
-        placed = df.withColumn("_bucket", F.lit(0.0))
+    ranged = df.repartitionByRange(order) if buckets is None else df.repartitionByRange(buckets, order)
+    placed = stage(ranged.withColumn("_bucket", F.spark_partition_id()), "ranges")
     within = Window.partitionBy("_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     local = placed.withColumns({f"before_{m}": F.coalesce(F.sum(m).over(within), F.lit(0)) for m in measures})
     across = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

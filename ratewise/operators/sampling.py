@@ -1,6 +1,6 @@
 """Exact, reproducible class balancing, splits and folds.
 
-Rows are ordered inside their class by a hash of (seed, id), so the choice does not depend on
+The input is scanned once, for the class and key of each row; counts, histogram and ranking read that table. Rows are ordered inside their class by a hash of (seed, id), so the choice does not depend on
 partitioning, retries or engine. Instead of ranking a whole class in one task, the wanted positions are
 located in a histogram over the first hash digits, only the rows of the one digit group that holds a
 position are ranked, and the found keys become literals: selecting is then a narrow comparison.
@@ -10,26 +10,36 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewise.functions.columns import shuffle_key
+from ratewise.sources.scratch import stage
 
 SEED = 42
 
 
-def class_counts(df: DataFrame, y: str) -> dict[int, int]:
-    """Rows per class. A null class is refused: its rows would belong to no part."""
-    counts = {r[0]: r[1] for r in df.groupBy(y).agg(F.count("*")).collect()}
-    if None in counts:
-        raise ValueError(f"class column {y} has {counts[None]} nulls")
-    return counts
+@dataclass(frozen=True)
+class Order:
+    """Class and hash key of every row, written once; everything a choice needs is read from it."""
 
+    keyed: DataFrame  # (y, key)
+    counts: dict
+    y: str
+    ids: tuple[str, ...]
+    seed: int
 
-def _keyed(df: DataFrame, y: str, ids: Sequence[str], seed: int) -> DataFrame:
-    return df.select(F.col(y).alias("y"), shuffle_key(ids, seed).alias("key"))
+
+def class_order(df: DataFrame, y: str, ids: Sequence[str], seed: int = SEED) -> Order:
+    """The one scan of the input. A null class is refused: its rows would belong to no part."""
+    keyed = stage(df.select(F.col(y).alias("y"), shuffle_key(ids, seed).alias("key")), "sample-keys")
+    counts = {r[0]: r[1] for r in keyed.groupBy("y").agg(F.count("*")).collect()}  # one row per class
+    if None in counts:
+        raise ValueError(f"class column {y} has {counts[None]} nulls")
+    return Order(keyed, counts, y, tuple(ids), seed)
 
 
 def prefix_digits(rows: int) -> int:
@@ -37,16 +47,14 @@ def prefix_digits(rows: int) -> int:
     return max(4, math.ceil(math.log(max(rows, 1), 16) / 2))
 
 
-def position_keys(
-    df: DataFrame, y: str, ids: Sequence[str], wanted: Mapping[int, Sequence[int]], rows: int, seed: int = SEED
-) -> dict[tuple[int, int], str]:
-    """Hash key of the wanted 1-based positions of every class, in a table of about ``rows`` rows. Raises where
-    rows of one id lie on both sides of a position: such a cut would take more rows than asked."""
-    digits = prefix_digits(rows)
+def position_keys(order: Order, wanted: Mapping[int, Sequence[int]]) -> dict[tuple[int, int], str]:
+    """Hash key of the wanted 1-based positions of every class. Raises where rows of one id lie on both sides of a
+    position: such a cut would take more rows than asked."""
+    digits = prefix_digits(sum(order.counts.values()))
     asked = [(c, p) for c, positions in wanted.items() for p in positions]
     if not asked:
         return {}
-    keyed = _keyed(df, y, ids, seed)
+    keyed, ids = order.keyed, order.ids
     histogram = keyed.groupBy("y", F.substring("key", 1, digits).alias("digits")).agg(F.count("*").alias("rows"))
     upto = Window.partitionBy("y").orderBy("digits")  # at most 16**digits counted rows per class
     running = histogram.withColumn("upto", F.sum("rows").over(upto)).withColumn("before", F.col("upto") - F.col("rows"))
@@ -63,12 +71,12 @@ def position_keys(
         groups,
         F.when(F.lit(False), F.lit(0).cast("long")),
     )
-    order = Window.partitionBy("y", F.substring("key", 1, digits)).orderBy("key")
+    within = Window.partitionBy("y", F.substring("key", 1, digits)).orderBy("key")
     ranked = keyed.filter(edge).select(
         "y",
         "key",
-        (before + F.row_number().over(order)).alias("position"),
-        F.coalesce(F.lead("key").over(order) == F.col("key"), F.lit(False)).alias("torn"),
+        (before + F.row_number().over(within)).alias("position"),
+        F.coalesce(F.lead("key").over(within) == F.col("key"), F.lit(False)).alias("torn"),
     )
     hit = reduce(lambda a, b: a | b, [(F.col("y") == c) & (F.col("position") == p) for c, p in asked])
     found = ranked.filter(hit).collect()  # one row per wanted position
@@ -77,29 +85,34 @@ def position_keys(
     return {(r["y"], r["position"]): r["key"] for r in found}
 
 
-def _quota_flag(
-    df: DataFrame, y: str, ids: Sequence[str], quota: Mapping[int, int], counts: Mapping[int, int], seed: int
-) -> Column:
-    """True for the first ``quota[c]`` rows of every class c."""
-    partial = {c: [q] for c, q in quota.items() if 0 < q < counts[c]}
-    cuts = position_keys(df, y, ids, partial, sum(counts.values()), seed)
-    key = shuffle_key(ids, seed)
-    flag = F.lit(False)
-    for c, q in quota.items():
-        if q >= counts[c]:
-            flag = flag | (F.col(y) == c)
-        elif q > 0:
-            flag = flag | ((F.col(y) == c) & (key <= F.lit(cuts[(c, q)])))
-    return flag
+def _first(order: Order, *quotas: Mapping[int, int]) -> list[Column]:
+    """For each table of quotas: true for the first ``quota[c]`` rows of every class c. All are cuts of the same
+    order, found together."""
+    partial = {c: sorted({q[c] for q in quotas if 0 < q[c] < n}) for c, n in order.counts.items()}
+    cuts = position_keys(order, partial)
+    key, flags = shuffle_key(order.ids, order.seed), []
+    for quota in quotas:
+        flag = F.lit(False)
+        for c, q in quota.items():
+            if q >= order.counts[c]:
+                flag = flag | (F.col(order.y) == c)
+            elif q > 0:
+                flag = flag | ((F.col(order.y) == c) & (key <= F.lit(cuts[(c, q)])))
+        flags.append(flag)
+    return flags
+
+
+def _balanced(counts: Mapping[int, int]) -> dict[int, int]:
+    smallest = min(counts.values()) if counts else 0
+    return {c: smallest for c in counts}
 
 
 def mark_undersample(
     df: DataFrame, y: str, ids: Sequence[str], seed: int = SEED, flag: str = "selected"
 ) -> DataFrame:
     """Mark all rows of the smallest class and equally many of every other class."""
-    counts = class_counts(df, y)
-    smallest = min(counts.values()) if counts else 0
-    return df.withColumn(flag, _quota_flag(df, y, ids, {c: smallest for c in counts}, counts, seed))
+    order = class_order(df, y, ids, seed)
+    return df.withColumn(flag, _first(order, _balanced(order.counts))[0])
 
 
 def undersample_majority(df: DataFrame, y: str, ids: Sequence[str], seed: int = SEED) -> DataFrame:
@@ -127,8 +140,8 @@ def stratified_split(
     df: DataFrame, y: str, ids: Sequence[str], test_size: float = 0.3, seed: int = SEED, flag: str = "is_test"
 ) -> DataFrame:
     """Mark the test part."""
-    counts = class_counts(df, y)
-    return df.withColumn(flag, _quota_flag(df, y, ids, split_quotas(counts, test_size), counts, seed))
+    order = class_order(df, y, ids, seed)
+    return df.withColumn(flag, _first(order, split_quotas(order.counts, test_size))[0])
 
 
 def stratified_kfold(
@@ -136,10 +149,11 @@ def stratified_kfold(
 ) -> DataFrame:
     """Fold 0..folds-1; inside a class the folds take consecutive runs of the hash order whose sizes
     differ by one row at most."""
-    counts = class_counts(df, y)
+    order = class_order(df, y, ids, seed)
+    counts = order.counts
     ends = {c: [round_up(n * f, folds) for f in range(1, folds)] for c, n in counts.items()}
     wanted = {c: sorted({e for e in es if 0 < e < counts[c]}) for c, es in ends.items()}
-    cuts = position_keys(df, y, ids, wanted, sum(counts.values()), seed)
+    cuts = position_keys(order, wanted)
     key = shuffle_key(ids, seed)
     fold = F.lit(0)
     for c, es in ends.items():
@@ -156,12 +170,12 @@ def round_up(a: int, b: int) -> int:
 def full_evaluation_set(
     df: DataFrame, y: str, ids: Sequence[str], test_size: float = 0.3, seed: int = SEED
 ) -> DataFrame:
-    """Test part of the balanced rows plus all rows the balancing discarded. ``df`` is read once: both
-    parts are marks on the same rows, so no anti join or union is needed."""
-    marked = mark_undersample(df, y, ids, seed)
-    split = stratified_split(marked.filter("selected"), y, ids, test_size, seed)
-    discarded = marked.filter("NOT selected").withColumn("is_test", F.lit(True))
-    return split.unionByName(discarded).filter("is_test").drop("is_test")
+    """Test part of the balanced rows plus all rows the balancing discarded. The balanced rows are the first of each
+    class, and their test part the first of these, so both are cuts of one order and ``df`` is scanned once for it."""
+    order = class_order(df, y, ids, seed)
+    kept = _balanced(order.counts)
+    selected, test = _first(order, kept, split_quotas(kept, test_size))
+    return df.filter(test | ~selected)
 
 
 def set_difference(df: DataFrame, taken: DataFrame, ids: Sequence[str]) -> DataFrame:

@@ -202,9 +202,7 @@ def evaluate_saved_model(
     """Metrics on the rows the model has not seen: the test part and, for balanced training, all rows the
     balancing discarded."""
     if balance:
-        marked = sampling.mark_undersample(view, y, [id_column], seed)
-        kept = sampling.stratified_split(marked.filter("selected"), y, [id_column], seed=seed)
-        unseen = kept.filter("is_test").drop("is_test").unionByName(marked.filter("NOT selected")).drop("selected")
+        unseen = sampling.full_evaluation_set(view, y, [id_column], seed=seed)
     else:
         unseen = sampling.stratified_split(view, y, [id_column], seed=seed).filter("is_test").drop("is_test")
     predictions = stage(score_saved_model(model, unseen, id_column, features, y), "scored")

@@ -71,3 +71,28 @@ def test_repeated_ids_away_from_the_cut_are_exact(spark):
     rows = labelled(spark, 60, 10).unionByName(labelled(spark, 60, 10).filter("y = 1"))
     kept = sampling.undersample_majority(rows, "y", ["id"])
     assert {r["y"]: r["count"] for r in kept.groupBy("y").count().collect()} == {0: 20, 1: 20}
+
+
+def test_evaluation_set_is_the_test_part_of_the_balanced_rows_and_the_discarded(spark):
+    rows = labelled(spark, 2000, 700)
+    marked = sampling.mark_undersample(rows, "y", ["id"])
+    test = sampling.stratified_split(marked.filter("selected"), "y", ["id"]).filter("is_test")
+    want = {r["id"] for r in test.collect()} | {r["id"] for r in marked.filter("NOT selected").collect()}
+    assert {r["id"] for r in sampling.full_evaluation_set(rows, "y", ["id"]).collect()} == want
+
+
+def test_input_is_scanned_once_by_a_choice(spark):
+    """The choice itself reads the input once; reading the result is the caller's second scan."""
+    scans = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        scans.add(1)
+        yield from batches
+
+    rows = labelled(spark, 900, 300, 1).coalesce(1)
+    seen = rows.mapInPandas(counting, "id long, y int")
+    for choose in (sampling.stratified_split, sampling.stratified_kfold, sampling.undersample_majority, sampling.undersample_discarded, sampling.full_evaluation_set):
+        before = scans.value
+        out = choose(seen, "y", ["id"])
+        assert scans.value - before == 1, choose.__name__
+        assert out.count() > 0
