@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from catalog.registry import bookings, bookings_sql, logs, logs_sql, query, table, trips, trips_sql
-from ratewise.operators import filters, findings, profile, roles
+from ratewise.operators import filters, findings, fingerprints, profile, roles
 from ratewise.plans import flows
 from ratewise.sources.scratch import stage
 
@@ -467,6 +472,45 @@ def _audit_rows(spark, sf):
     return findings.audit(stage(trips(spark, sf, *AUDIT_COLUMNS), "audit-input"), AUDIT)
 
 
+_CATEGORIES = ("weather", "congestion", "kind", "origin", "destination")
+
+
+@query(
+    "category_findings",
+    f"""WITH t AS ({trips_sql(*_CATEGORIES, "delayed")}), u AS ({_union([f"SELECT '{c}' AS c, {c} AS v, delayed FROM t WHERE {c} IS NOT NULL" for c in _CATEGORIES])}),
+    g AS (SELECT c, v, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (PARTITION BY c), 4) AS pct, round(sum(delayed) * 100.0 / count(*), 4) AS rate FROM u GROUP BY c, v)
+    SELECT 'categorical' AS section, c AS "column", 'INFO' AS level, 'category_share' AS rule, CAST(pct AS DOUBLE) AS value, CAST(NULL AS DOUBLE) AS threshold, v || ' ' || n AS "text" FROM g
+    UNION ALL SELECT 'categorical', c, 'INFO', 'category_rate', CAST(rate AS DOUBLE), NULL, v || ' ' || n FROM g""",
+)
+def _category_findings(spark, sf):
+    """The share and the rate of every category as the audit reports them; category and rows of the text only."""
+    df = stage(trips(spark, sf, *_CATEGORIES, "delayed"), "audit-input")
+    found = reduce(DataFrame.unionByName, findings.categorical_findings(df, list(_CATEGORIES), "delayed"))
+    named = F.regexp_extract("text", "^'(.*)': ", 1)
+    rows = F.regexp_extract("text", "([0-9]+) rows", 1)
+    return found.filter(F.col("rule").isin("category_share", "category_rate")).withColumn("text", F.concat(named, F.lit(" "), rows))
+
+
+@query(
+    "column_roles",
+    """SELECT column_name AS "column", CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' ELSE lower(column_type) END AS dtype,
+    CASE WHEN column_type IN ('BIGINT', 'INTEGER', 'DOUBLE') THEN 'numeric' WHEN column_type = 'VARCHAR' THEN 'categorical' ELSE 'other' END AS role FROM (DESCRIBE customer) WHERE column_name <> 'c_custkey'""",
+)
+def _column_roles(spark, sf):
+    return roles.role_table(table(spark, sf, "customer"), ["c_custkey"])
+
+
+@query(
+    "place_columns",
+    f"""WITH t AS ({trips_sql("origin", "destination")}) SELECT 'aeropuerto_origen' AS "column", count(origin) AS non_null, count(DISTINCT origin) AS "distinct" FROM t
+    UNION ALL SELECT 'destino', count(destination), count(DISTINCT destination) FROM t""",
+)
+def _place_columns(spark, sf):
+    """The columns that name places, among others, and how many places each holds."""
+    df = trips(spark, sf, "origin", "destination", "weather", "distance").withColumnsRenamed({"origin": "aeropuerto_origen", "destination": "destino"})
+    return fingerprints.distinct_counts(df, roles.place_columns(df)).drop("rows")
+
+
 @query("audit")
 def _audit(spark, sf):
     return _audit_rows(spark, sf)

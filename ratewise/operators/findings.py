@@ -13,7 +13,7 @@ from ratewise.operators.onepass import OnePass, run_together
 from ratewise.operators.fingerprints import copy_counts
 from ratewise.operators.quantiles import order_statistics
 from ratewise.operators.reshape import value_counts
-from ratewise.operators.roles import classify_columns, has_columns
+from ratewise.operators.roles import classify_columns, has_columns, require_columns
 from ratewise.sources.scratch import stage
 
 Shared = dict[str, DataFrame]
@@ -134,8 +134,12 @@ def categorical_findings(df: DataFrame, cols: list[str], target: str | None) ->
                 _text("'%s' holds %.1f%%", "top_value", F.col("top_share") * 100), F.col("dominant_category")),
         finding(summary, section, name, FINDING, "rare_categories", F.col("rare_categories"), 1.0,
                 _text("%d categories below 1%%", "rare_categories"), F.col("rare_categories") > 0),
+        finding(profile.category_shares_of(cells), section, name, INFO, "category_share", F.col("pct"), None,
+                _text("'%s': %d rows (%.1f%%)", "value", "rows", "pct")),
     ]
     if with_target:
+        rated = cells.withColumn("rate", F.round(F.try_divide(F.col("positives") * 100.0, F.col("known")), 4))
+        out.append(finding(rated, section, name, INFO, "category_rate", F.col("rate"), None, _text("'%s': rate %.1f%% of %d rows", "value", "rate", "known"), F.col("known") > 0))
         spread = rates.rate_spread_of(cells)
         out.append(
             finding(spread, section, name, F.when(F.col("important"), FINDING).otherwise(INFO), "rate_spread",
@@ -235,8 +239,9 @@ def _shared_checks(df: DataFrame, roles: AuditRoles, numeric: list[str]) -> dict
 
 def audit(df: DataFrame, roles: AuditRoles) -> DataFrame:
     """Every check as rows of one findings frame. The plain aggregates share one scan and the categorical
-    rules one value table; what is left (duplicates, quantiles, routes, types) scans its own columns only.
-    Give a stored table: an input that is itself a join would be joined again by each scan."""
+    rules one value table, with a row for the share and the rate of every category; what is left (duplicates, quantiles, routes, types) scans its own columns only.
+    A named column that is not there raises, a target that is not there is a finding. Give a stored table: an input that is itself a join would be joined again by each scan."""
+    require_columns(df, *[c for c in (roles.id, roles.origin, roles.destination, roles.distance, roles.minutes, roles.load, roles.kind) if c])
     numeric, categorical, _ = classify_columns(df, [roles.id] if roles.id else [])
     shared = run_together(df, _shared_checks(df, roles, numeric))
     if len(numeric) > 1:

@@ -14,7 +14,7 @@ from ratewise.functions.columns import category_text, decimal_hour, extract_hour
 from ratewise.operators.filters import Rule, apply_rules, filter_report
 from ratewise.operators.quantiles import exact_quantiles
 from ratewise.operators.reshape import value_counts
-from ratewise.operators.roles import classify_columns, drop_columns, target_last
+from ratewise.operators.roles import classify_columns, drop_columns, require_columns, target_last
 from ratewise.sources.scratch import stage
 
 MAX_CATEGORIES = 500
@@ -165,6 +165,7 @@ class ViewParams:
 
 def derive(df: DataFrame, spec: ViewSpec) -> DataFrame:
     """Row rules, then the hour-derived columns, then the column drops. Purely narrow."""
+    require_columns(df, spec.target, *([spec.hour] if spec.hour else []))
     out = apply_rules(df, spec.rules) if spec.rules else df
     if spec.hour is not None:
         if spec.add_band:

@@ -329,6 +329,13 @@ def category_proportions(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
+def category_shares_of(counts: DataFrame) -> DataFrame:
+    """(column, value, rows, pct) from stored (column, value, rows) counts: each category's share of the present values."""
+    totals = counts.groupBy(F.col("column").alias("t_column")).agg(F.sum("rows").alias("present"))
+    shares = counts.join(F.broadcast(totals), F.col("column") == F.col("t_column"))  # one row per column
+    return shares.select("column", "value", "rows", F.round(F.col("rows") * 100.0 / F.col("present"), 4).alias("pct"))
+
+
 def category_summary(
     df: DataFrame, cols: Sequence[str], many: int = 30, dominant: float = 0.80, rare: float = 0.01
 ) -> DataFrame:

@@ -15,13 +15,14 @@ from ratewise.functions.columns import bin_edges, known_number, pair_key, ratio_
 from ratewise.functions.stats import pearson, rate_pct
 from ratewise.operators.profile import numeric_summary
 from ratewise.operators.reshape import bounded_values, melt_places, pivot_fill, value_counts
+from ratewise.operators.roles import require_columns
 from ratewise.sources.scratch import stage
 
 
 def rate_by_category(df: DataFrame, category: str, y: str, digits: int = 2) -> DataFrame:
     """Rows and rate per category, highest rate first."""
     return (
-        df.dropna(subset=[category, y])
+        require_columns(df, category, y).dropna(subset=[category, y])
         .groupBy(category)
         .agg(F.count("*").alias("total"), rate_pct(y, None).alias("rate"))
         .orderBy(F.col("rate").desc(), category)
@@ -46,7 +47,7 @@ def rate_by_category_all(df: DataFrame, cols: Sequence[str], y: str, max_categor
 
 def rate_cells(df: DataFrame, cols: Sequence[str], y: str) -> DataFrame:
     """(column, value, rows, positives, known) for every category of every column."""
-    return value_counts(df, cols, [F.sum(y).alias("positives"), F.count(y).alias("known")], keep=[y])
+    return value_counts(require_columns(df, *cols, y), cols, [F.sum(y).alias("positives"), F.count(y).alias("known")], keep=[y])
 
 
 def rate_spread_by_category(df: DataFrame, cols: Sequence[str], y: str, limit: float = 15.0) -> DataFrame:
@@ -69,7 +70,7 @@ def rate_spread_of(cells: DataFrame, limit: float = 15.0) -> DataFrame:
 
 def crosstab_row_pct(df: DataFrame, category: str, y: str) -> DataFrame:
     """Row-normalised two-way table, lowest positive share first."""
-    known = df.dropna(subset=[category, y])
+    known = require_columns(df, category, y).dropna(subset=[category, y])
     table = known.groupBy(category).pivot(y, [0, 1]).agg(F.count(F.lit(1))).na.fill(0, ["0", "1"])
     whole = F.col("0") + F.col("1")
     return table.select(
@@ -223,7 +224,7 @@ def rate_contribution(
 
 def rate_stats_by_type(df: DataFrame, kind: str, amount: str, minutes: str, digits: int = 1) -> DataFrame:
     """Mean, std, min and max hourly rate per type."""
-    raw = raw_stats_by_type(df, kind, amount, minutes)
+    raw = raw_stats_by_type(require_columns(df, kind, amount, minutes), kind, amount, minutes)
     return raw.select(kind, *[F.round(c, digits).alias(c) for c in ("mean", "std", "min", "max")]).orderBy(F.col("mean").desc(), kind)
 
 

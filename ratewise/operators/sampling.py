@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratewise.functions.columns import shuffle_key
+from ratewise.operators.roles import require_columns
 from ratewise.sources.scratch import stage
 
 SEED = 42
@@ -34,8 +35,8 @@ class Order:
 
 
 def class_order(df: DataFrame, y: str, ids: Sequence[str], seed: int = SEED) -> Order:
-    """The one scan of the input. A null class is refused: its rows would belong to no part."""
-    keyed = stage(df.select(F.col(y).alias("y"), shuffle_key(ids, seed).alias("key")), "sample-keys")
+    """The one scan of the input. A column that is missing raises, as does a null class: its rows would belong to no part."""
+    keyed = stage(require_columns(df, y, *ids).select(F.col(y).alias("y"), shuffle_key(ids, seed).alias("key")), "sample-keys")
     counts = {r[0]: r[1] for r in keyed.groupBy("y").agg(F.count("*")).collect()}  # one row per class
     if None in counts:
         raise ValueError(f"class column {y} has {counts[None]} nulls")

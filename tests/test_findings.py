@@ -1,7 +1,9 @@
+import pytest
 from pyspark.sql import functions as F
 
-from ratewise.operators import findings
+from ratewise.operators import findings, prepare, rates, sampling
 from ratewise.operators.findings import AuditRoles
+from ratewise.operators.roles import MissingColumns
 from ratewise.plans import flows
 from ratewise.sources.scratch import stage
 
@@ -28,6 +30,13 @@ def test_planted_problems_are_found(flights, flights_pd):
     assert [r["column"] for r in by_rule["dominant_value"] if r["column"] == "constante"] == ["constante"]
     assert by_rule["rate_too_low"][0]["value"] >= 1
     assert "drop_candidate" in by_rule
+    shares = {(r["column"], r["text"].split("'")[1]): r["value"] for r in by_rule["category_share"]}
+    rates_ = {(r["column"], r["text"].split("'")[1]): r["value"] for r in by_rule["category_rate"]}
+    assert set(shares) == set(rates_)
+    for c in ("condiciones_climaticas", "tipo_avion", "aeropuerto_origen"):
+        present = flights_pd.dropna(subset=[c])
+        for v, part in present.groupby(c):
+            assert abs(shares[c, v] - 100 * len(part) / len(present)) < 1e-3 and abs(rates_[c, v] - 100 * part["demora"].mean()) < 1e-3
     order = findings.audit_report(found).select("level").collect()
     ranks = [findings.SEVERITY.index(r["level"]) for r in order]
     assert ranks == sorted(ranks)
@@ -50,3 +59,15 @@ def test_eda_report_skips_missing_parts(flights):
     assert "rate_by_congestion" not in report and {"rate_by_weather", "rate_by_hour", "entity_rate", "correlation_matrix"} <= set(report)
     for name in ("rate_by_hour", "rate_by_bin", "class_balance", "rate_by_type"):
         assert report[name].count() > 0
+
+
+def test_missing_columns_are_named(flights):
+    for call in (
+        lambda: findings.audit(flights, AuditRoles(id="id_vuelo", target="demora", load="nada")),
+        lambda: rates.rate_by_category(flights, "nada", "demora"),
+        lambda: rates.rate_by_category_all(flights, ["tipo_avion", "nada"], "demora"),
+        lambda: sampling.stratified_split(flights, "demora", ["nada"]),
+        lambda: prepare.build_view(flights, prepare.ViewSpec(target="nada")),
+    ):
+        with pytest.raises(MissingColumns, match="nada"):
+            call()
