@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from catalog.audit_sql import SEVERITY, audit_sql
 from catalog.registry import bookings, bookings_sql, logs, logs_sql, query, table, trips, trips_sql
 from ratewise.operators import filters, findings, fingerprints, profile, roles
 from ratewise.plans import flows
@@ -511,17 +512,20 @@ def _place_columns(spark, sf):
     return fingerprints.distinct_counts(df, roles.place_columns(df)).drop("rows")
 
 
-@query("audit")
+_AUDIT_SQL = audit_sql(trips_sql(*AUDIT_COLUMNS))
+
+
+@query("audit", _AUDIT_SQL + "SELECT * FROM audit")
 def _audit(spark, sf):
     return _audit_rows(spark, sf)
 
 
-@query("audit_report")
+@query("audit_report", _AUDIT_SQL + f"SELECT *, {SEVERITY} AS severity FROM audit")
 def _audit_report(spark, sf):
     return findings.audit_report(_audit_rows(spark, sf))
 
 
-@query("audit_counts")
+@query("audit_counts", _AUDIT_SQL + f"SELECT level, count(*) AS findings, {SEVERITY} AS severity FROM audit GROUP BY level")
 def _audit_counts(spark, sf):
     return findings.audit_counts(_audit_rows(spark, sf))
 

@@ -16,6 +16,7 @@ NAMES = [
     "category_proportions", "duplicate_count", "filter_report", "correlation_matrix", "build_view", "apply_view",
     "stratified_split", "stratified_kfold", "full_evaluation_set", "knn_classify", "roc_curve", "auc_roc_fine",
     "classification_report", "compare_models", "histogram_bins", "box_stats_by_group", "view_registry", "equal_width_bins",
+    "category_findings", "column_roles", "place_columns", "knn_text_ids", "tree_predict", "audit_counts",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not here")
