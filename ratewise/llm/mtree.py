@@ -13,8 +13,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
-import heapq
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -26,6 +24,8 @@ from ratewise.llm.common import stage
 SCALE = 64
 #: The index's shape: pivots at most, vectors to a block, entries to a page, queries to a slice.
 PIVOTS, BLOCK, PAGE, SLICE = 1024, 4096, 256, 4096
+#: Queries that visit the pages of a block together.
+TOGETHER = 512
 _SLACK = 1e-6
 
 
@@ -78,41 +78,60 @@ class Tree:
         d = between(self.x, up, self.x[at], up[at])
         nearest = d.argmin(axis=1)
         self.routing, self.routing_up = self.x[at], up[at]
-        self.pages = [np.flatnonzero(nearest == k) for k in range(len(at))]
+        # The entries of a page by their distance to its routing vector.
+        by = np.lexsort((d[np.arange(n), nearest], nearest))
+        ends = np.searchsorted(nearest[by], np.arange(len(at) + 1))
+        self.pages = [by[a:b] for a, b in zip(ends, ends[1:])]
         self.to_routing = [d[p, k] for k, p in enumerate(self.pages)]
         self.radius = np.array([t.max(initial=0.0) for t in self.to_routing])
 
-    def search(self, query_ids: np.ndarray, q: np.ndarray, k: int, bounds: np.ndarray) -> tuple[list, int]:
-        """(query, ids, scores) of the k best of each query beside itself, at distances up to the bound; and
-        the number of distances computed."""
-        computed, out = 0, []
-        zero = np.zeros(len(q))
-        to_routing = between(q, zero, self.routing, self.routing_up)
+    def search(self, query_ids: np.ndarray, q: np.ndarray, k: int, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        """Queries, ids and scores of the k best of each query beside itself, at distances up to the bound; and
+        the number of distances computed. Queries near the same page search together."""
+        to_routing = between(q, np.zeros(len(q)), self.routing, self.routing_up)
+        near = np.argsort(to_routing.argmin(axis=1), kind="stable")
+        found, computed = [], 0
+        for start in range(0, len(q), TOGETHER):
+            at = near[start : start + TOGETHER]
+            own, ids, scores, n = self._together(query_ids[at], q[at], k, bounds[at], to_routing[at])
+            found.append((query_ids[at][own], ids, scores))
+            computed += n
+        return *(np.concatenate([f[i] for f in found] or [np.empty(0, np.int64)]) for i in range(3)), computed
+
+    def _together(self, query_ids: np.ndarray, q: np.ndarray, k: int, bounds: np.ndarray, to_routing: np.ndarray):
+        """Best first for several queries: pages by their least bound over the queries, each of which leaves out
+        the pages beyond its own reach."""
         norms = (q.astype(np.float64) ** 2).sum(axis=1)
-        for i, own in enumerate(query_ids):
-            reach = bounds[i] + _SLACK
-            best_ids, best = np.empty(0, np.int64), np.empty(0, np.int64)
-            pages = [(low, p) for p, low in enumerate(np.maximum(to_routing[i] - self.radius, 0).tolist()) if len(self.pages[p])]
-            heapq.heapify(pages)
-            while pages:
-                low, p = heapq.heappop(pages)
-                if low > reach:
-                    break
-                rows = self.pages[p][np.abs(to_routing[i, p] - self.to_routing[p]) <= reach]
-                rows = rows[self.ids[rows] != own]
-                computed += len(rows)
-                ids, score = np.append(best_ids, self.ids[rows]), np.append(best, products(q[i : i + 1], self.x[rows])[0])
-                if len(ids) > k:
-                    cut = np.partition(score, len(score) - k)[len(score) - k]
-                    keep = score >= cut
-                    ids, score = ids[keep], score[keep]
-                    keep = np.lexsort((ids, -score))[:k]
-                    ids, score = ids[keep], score[keep]
-                if len(ids) == k:
-                    reach = min(reach, math.sqrt(max(norms[i] + self.top - 2.0 * float(score.min()), 0)) + _SLACK)
-                best_ids, best = ids, score
-            out.append((int(own), best_ids, best))
-        return out, computed
+        reach, computed = bounds + _SLACK, 0
+        low = np.maximum(to_routing - self.radius, 0)
+        own = ids = scores = np.empty(0, np.int64)
+        for p in np.argsort(low.min(axis=0, initial=np.inf), kind="stable").tolist():
+            asks = np.flatnonzero(low[:, p] <= reach)
+            if not len(asks) or not len(self.pages[p]):
+                continue
+            # Entries within reach of any of them, by the stored distances to the routing vector.
+            first = np.searchsorted(self.to_routing[p], (to_routing[asks, p] - reach[asks]).min(), "left")
+            last = np.searchsorted(self.to_routing[p], (to_routing[asks, p] + reach[asks]).max(), "right")
+            rows = self.pages[p][first:last]
+            if not len(rows):
+                continue
+            score = products(q[asks], self.x[rows])
+            computed += score.size
+            least = (norms[asks] + self.top - reach[asks] ** 2) / 2 - 1
+            if len(rows) > k + 1:  # one of them may be the query itself
+                least = np.maximum(least, np.partition(score, len(rows) - k - 1, axis=1)[:, len(rows) - k - 1])
+            i, j = np.nonzero(score >= least[:, None])
+            other = self.ids[rows[j]] != query_ids[asks[i]]
+            i, j = i[other], j[other]
+            own, ids, scores = np.append(own, asks[i]), np.append(ids, self.ids[rows[j]]), np.append(scores, score[i, j])
+            order = np.lexsort((ids, -scores, own))
+            place = np.arange(len(order)) - np.searchsorted(own[order], own[order])
+            order = order[place < k]
+            own, ids, scores = own[order], ids[order], scores[order]
+            ends = np.flatnonzero(np.bincount(own, minlength=len(q)) == k)
+            kth = scores[np.searchsorted(own, ends, "right") - 1]
+            reach[ends] = np.minimum(reach[ends], np.sqrt(np.maximum(norms[ends] + self.top - 2.0 * kth, 0)) + _SLACK)
+        return own, ids, scores, computed
 
 
 def _searcher(k: int, top: float):
@@ -123,15 +142,8 @@ def _searcher(k: int, top: float):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
         dim = len(block["x"].iloc[0]) // 8
         tree = Tree(block["vec_id"].to_numpy(np.int64), unpack(block["x"], dim), top)
-        found, _ = tree.search(queries["query_id"].to_numpy(np.int64), unpack(queries["x"], dim), k, queries["bound"].to_numpy(np.float64))
-        size = [len(ids) for _, ids, _ in found]
-        return pd.DataFrame(
-            {
-                "query_id": np.repeat([q for q, _, _ in found], size).astype(np.int64),
-                "vec_id": np.concatenate([ids for _, ids, _ in found]),
-                "score": np.concatenate([s for _, _, s in found]),
-            }
-        )
+        own, ids, scores, _ = tree.search(queries["query_id"].to_numpy(np.int64), unpack(queries["x"], dim), k, queries["bound"].to_numpy(np.float64))
+        return pd.DataFrame({"query_id": own, "vec_id": ids, "score": scores})
 
     return search, schema
 
@@ -141,7 +153,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_
 
     Ties go to the smaller id. Null vectors, vectors with null or non-finite components and null ids take no
     part; only vectors of equal length are compared. Ids must be unique: rows that repeat an id count once
-    (the smallest vector). An empty table gives no rows.
+    (the smallest vector). An empty table gives no rows. More than 64 different lengths raise.
     """
     pack = F.col(vector_col)
     spark = vectors.sparkSession
@@ -190,7 +202,10 @@ def _top_k(known: DataFrame, n: int, asks: int, top: float, k: int, block: int)
     queries = placed.filter("asks").select(F.col("vec_id").alias("query_id"), "x", "cell", F.pmod(F.xxhash64("vec_id"), sub).cast("int").alias("sub"), slice_of.alias("slice"))
     search, schema = _searcher(k, top)
     key = ["cell", "sub", "slice"]
-    near = stage(held.groupBy(*key).cogroup(queries.withColumn("bound", F.lit(float("inf"))).groupBy(*key)).applyInPandas(search, schema), "mtree-near")
+    # The first visit needs a query's own block alone, so no vector is copied for the slices.
+    home = ["cell", "sub"]
+    once = placed.select("vec_id", "x", "cell", F.pmod(F.xxhash64("vec_id"), sub).cast("int").alias("sub"))
+    near = stage(once.groupBy(*home).cogroup(queries.withColumn("bound", F.lit(float("inf"))).groupBy(*home)).applyInPandas(search, schema), "mtree-near")
     # The k-th score near the query, if there are k.
     kth = near.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("kth")).select(F.col("query_id").alias("k_query"), F.when(F.col("n") >= k, F.col("kth")).alias("kth"))
     asked = queries.join(kth, queries["query_id"] == kth["k_query"], "left").select("query_id", "x", "cell", "sub", "slice", "kth")
