@@ -11,7 +11,6 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -33,7 +32,6 @@ LONGEST_SPACE = 100_000
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 
 
-@lru_cache(maxsize=2)
 def encoder(name: str, special: bool = False):
     """A function from text to token ids as uint32. `special`: special tokens written in a text are their one id,
     as in the library's plain call; without it they are text like any other.
@@ -47,11 +45,13 @@ def encoder(name: str, special: bool = False):
     import tiktoken
     from tokenizers import Tokenizer
 
-    @lru_cache(maxsize=1)
-    def slow():
-        made = Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
-        made.encode_special_tokens = not special
-        return made
+    made: list[Tokenizer] = []
+
+    def slow() -> Tokenizer:
+        if not made:
+            made.append(Tokenizer.from_file(public_tokenizers.path(f"{name}.json")))
+            made[0].encode_special_tokens = not special
+        return made[0]
 
     with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}

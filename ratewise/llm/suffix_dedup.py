@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,12 +39,28 @@ CHUNK = 1 << 20
 _N, _OFF = 8, 8
 
 
-@lru_cache(maxsize=1)
-def _constants() -> tuple[np.ndarray, np.ndarray]:
-    values = np.random.default_rng(20).integers(0, 2**63, 256, dtype=np.uint64)
-    powers = np.ones(2 * CHUNK + 1, dtype=np.uint64)
-    np.cumprod(np.full(2 * CHUNK, 0x9E3779B97F4A7C15, dtype=np.uint64), out=powers[1:])
-    return values, powers
+class _Constants:
+    """Values of bytes and powers, made once in each task: they don't travel with the functions that use them."""
+
+    def __init__(self):
+        self.made = None
+
+    def __call__(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.made is None:
+            values = np.random.default_rng(20).integers(0, 2**63, 256, dtype=np.uint64)
+            powers = np.ones(2 * CHUNK + 1, dtype=np.uint64)
+            np.cumprod(np.full(2 * CHUNK, 0x9E3779B97F4A7C15, dtype=np.uint64), out=powers[1:])
+            self.made = values, powers
+        return self.made
+
+    def cache_clear(self) -> None:
+        self.made = None
+
+    def __reduce__(self):
+        return _Constants, ()
+
+
+_constants = _Constants()
 
 
 class Hashes:
