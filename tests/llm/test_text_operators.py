@@ -357,6 +357,53 @@ def test_licences(spark, none):
     assert licences.scan(none.withColumn("path", F.lit("p"))).count() == 0
 
 
+def test_licence_files_notices_and_tags(spark):
+    notice = lambda name, i=0: "\n".join(" * " + line.strip() for line in licences.NOTICES[name][i].split("\n"))
+    code = "def f(x):\n    return x\n" * 400
+    files = [
+        ("p/LICENSE", "Copyright (c) 2020 Somebody\n\n" + licences.NOTICES["MIT"][0]),
+        ("p/a.py", code),
+        ("q/x/b.py", "# SPDX-License-Identifier: MIT OR Apache-2.0\n" + code),
+        ("q/x/c.py", code),
+        ("r/LICENSE", notice("Apache-2.0") + "\n" + "more words of another kind " * 60),
+        ("r/x.py", code),
+        ("s/long.c", code + "/*\n" + notice("LGPL-2.1") + "\n */\n" + code),
+        ("t/wrapped.py", code + "# Licensed under the Apache\n# License, Version 2.0.\n" + code),
+        ("u/COPYING.txt", licences.NOTICES["GPL-3.0"][1] + "\n" + "terms and conditions follow " * 500),
+        ("u/v/w.py", code),
+        ("x/LICENSE", licences.NOTICES["BSD-2-Clause"][0]),
+        ("y/LICENSE", licences.NOTICES["BSD-3-Clause"][0]),
+        ("z/talk.txt", "the license of the software is not something that we talk about in this text " * 50),
+    ]
+    got = {r["path"]: (r["licence"], r["how"], r["origin"]) for r in licences.scan(spark.createDataFrame(files, "path string, text string")).collect()}
+    assert got == {
+        "p/LICENSE": ("MIT", "own", "p/LICENSE"),
+        "p/a.py": ("MIT", "inherited", "p/LICENSE"),
+        "q/x/b.py": ("MIT OR Apache-2.0", "own", "q/x/b.py"),
+        "q/x/c.py": (None, "none", None),
+        "r/LICENSE": ("Apache-2.0", "own", "r/LICENSE"),
+        "r/x.py": ("Apache-2.0", "inherited", "r/LICENSE"),
+        "s/long.c": ("LGPL-2.1", "own", "s/long.c"),
+        "t/wrapped.py": ("Apache-2.0", "own", "t/wrapped.py"),
+        "u/COPYING.txt": ("GPL-3.0", "own", "u/COPYING.txt"),
+        "u/v/w.py": ("GPL-3.0", "inherited", "u/COPYING.txt"),
+        "x/LICENSE": ("BSD-2-Clause", "own", "x/LICENSE"),
+        "y/LICENSE": ("BSD-3-Clause", "own", "y/LICENSE"),
+        "z/talk.txt": (None, "none", None),
+    }
+
+
+def test_anchors_miss_no_similar_passage():
+    rng = random.Random(6)
+    model = licences.Templates(licences.LICENCES, 1000, {w: rng.randrange(1000) for ts in licences.LICENCES.values() for t in ts for w in licences.words(t)})
+    for t in model.all:
+        for _ in range(40):
+            ws = [w if rng.random() < rng.choice((0.5, 0.7, 0.9)) else "other" for w in rng.choices(list(t.weights), k=t.size)]
+            counts = collections.Counter(ws)
+            if model.cosine(t, counts) >= model.least:
+                assert not t.anchors.keys().isdisjoint(counts)
+
+
 def test_language(docs, rows, none):
     model = language.learn(docs)
     assert model.languages == ["en", "fr"]
@@ -421,10 +468,41 @@ def test_tree_passes_over_far_pages():
     x = np.rint(centres.repeat(100, axis=0) + rng.normal(0, 1, (3000, 8))).astype(np.int64)
     top = float((x.astype(float) ** 2).sum(axis=1).max())
     tree = mtree.Tree(np.arange(3000), x, top, page=64)
-    _, computed = tree.search(np.arange(0, 3000, 50), x[::50], 5, np.full(60, np.inf))
+    *_, computed = tree.search(np.arange(0, 3000, 50), x[::50], 5, np.full(60, np.inf))
     assert computed < 0.5 * 60 * 3000
 
 
+def test_search_together_matches_brute_force(monkeypatch):
+    rng = np.random.default_rng(2)
+    x = rng.integers(-3, 4, (500, 4))
+    x[100:140] = x[0]
+    ids = rng.permutation(500)
+    top = float((x.astype(float) ** 2).sum(axis=1).max())
+    for together, page, k in ((1, 16, 3), (7, 64, 20), (512, 500, 600)):
+        monkeypatch.setattr(mtree, "TOGETHER", together)
+        own, found, score, _ = mtree.Tree(ids, x, top, page=page).search(ids[:60], x[:60], k, np.full(60, np.inf))
+        for i in range(60):
+            s = x @ x[i]
+            want = sorted(((-s[j], ids[j]) for j in range(500) if j != i))[:k]
+            at = own == ids[i]
+            assert sorted(zip((-score[at]).tolist(), found[at].tolist())) == want
+
+
+def test_lanes_hold_every_token_once():
+    rng = np.random.default_rng(3)
+    docs = [rng.integers(0, 9, n).astype(np.int32) for n in (1, 0, 70_000, 5, 5, 800)]
+    for whole in (True, False):
+        lanes = lm.Lanes(docs, 4, whole)
+        seen = [[] for _ in docs]
+        for x, fresh, of, valid in lanes.windows(24):
+            assert x.shape == fresh.shape == of.shape == valid.shape and x.shape[1] <= 4
+            for i, t in zip(of.T[valid.T].tolist(), x.T[valid.T].tolist()):
+                seen[i].append(t)
+        assert [len(s) for s in seen] == [len(d) for d in docs]
+        if whole:
+            assert all(s == d.tolist() for s, d in zip(seen, docs))
+
+
 def test_masks_find_two_substitutions_in_thirteen():
     for bad in itertools.combinations(range(decontam.WINDOW), 2):
         assert any(all(p + o not in bad for o in m) for m in decontam.MASKS for p in range(decontam.WINDOW - m[-1]))
