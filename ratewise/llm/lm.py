@@ -12,10 +12,12 @@ start, so the sum is the log-likelihood of the complete text.
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import compress
 
 import numpy as np
 import pandas as pd
@@ -32,7 +34,7 @@ KNOWN_WORDS = 65_536
 #: They make up at least this share of all tokens each, so at most a million words are ordered to find them.
 KNOWN_SHARE = 1e-6
 #: Training tokens to a worker; rounds; steps to a window; lanes.
-WORKER_TOKENS, ROUNDS, WINDOW, LANES = 500_000, 4, 24, 32
+WORKER_TOKENS, ROUNDS, WINDOW, LANES = 1_000_000, 1, 24, 256
 #: Smoothing of counts.
 ADD = 0.1
 END = b""
@@ -44,6 +46,13 @@ def digest(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word) - (1 << 63)
 
 
+def digests(words: Iterable[bytes], count: int) -> np.ndarray:
+    """`digest` of many words at once."""
+    import xxhash
+
+    return (np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, count) ^ np.uint64(1 << 63)).view(np.int64)
+
+
 def ending(word: bytes) -> bytes:
     return word[-2:]
 
@@ -54,7 +63,7 @@ def word_counts(docs: DataFrame, flush: int = 400_000) -> DataFrame:
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> pa.RecordBatch:
             words = list(counts)
-            return pa.RecordBatch.from_arrays([pa.array([digest(w) for w in words], pa.int64()), pa.array(words, pa.binary()), pa.array([counts[w] for w in words], pa.int64())], names=["h", "word", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(digests(words, len(words))), pa.array(words, pa.binary()), pa.array(np.fromiter(counts.values(), np.int64, len(words)))], names=["h", "word", "n"])
 
         counts: Counter = Counter()
         for batch in chunks(batches):
@@ -179,27 +188,42 @@ def initial(vocab: Vocabulary, seed: int = 5) -> dict[str, np.ndarray]:
     }
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 + 0.5 * np.tanh(0.5 * x)
-
-
 def forward(p: dict, table: np.ndarray, x: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: bool):
-    """States before each token of x (steps, lanes), and the state after. `fresh`: a document starts here."""
+    """States before each token of x (steps, STATE, lanes), and the state after (lanes, STATE). `fresh`: a
+    document starts here. With `keep` also gates and candidates of each step. Lanes come last inside, so that
+    a gate's values lie together."""
     steps, lanes = x.shape
-    before, kept = np.empty((steps, lanes, STATE), np.float32), []
-    u, two = p["u"], 2 * STATE
+    two, dtype = 2 * STATE, h.dtype
+    u, h = np.ascontiguousarray(p["u"].T), np.ascontiguousarray(h.T)
+    given, starts = np.ascontiguousarray(table[x].transpose(0, 2, 1)), fresh.any(axis=1)
+    before, kept = np.empty((steps, STATE, lanes), dtype), None
+    if keep:
+        kept = np.empty((steps, two, lanes), dtype), np.empty((steps, STATE, lanes), dtype), np.empty((steps, STATE, lanes), dtype)
     for t in range(steps):
-        if fresh[t].any():
-            h = np.where(fresh[t][:, None], np.float32(0), h)
+        if starts[t]:
+            h = h * ~fresh[t]
         before[t] = h
-        a, g = table[x[t]], h @ u
-        zr = sigmoid(a[:, :two] + g[:, :two])
-        z, r = zr[:, :STATE], zr[:, STATE:]
-        n = np.tanh(a[:, two:] + r * g[:, two:])
+        g = u @ h
+        zr = given[t, :two]
+        zr += g[:two]
+        zr *= 0.5
+        np.tanh(zr, out=zr)
+        zr *= 0.5
+        zr += 0.5
+        n = zr[STATE:] * g[two:]
+        n += given[t, two:]
+        np.tanh(n, out=n)
         if keep:
-            kept.append((z, r, n, g[:, two:]))
-        h = n + z * (h - n)
-    return before, h, kept
+            kept[0][t], kept[1][t], kept[2][t] = zr, n, g[two:]
+        h = h - n
+        h *= zr[:STATE]
+        h += n
+    return before, h.T, kept
+
+
+def by_token(steps: np.ndarray) -> np.ndarray:
+    """(steps, values, lanes) as one row per token."""
+    return np.ascontiguousarray(steps.transpose(0, 2, 1)).reshape(-1, steps.shape[1])
 
 
 #: Logits start as log shares and stay far below; a bound keeps their exponentials finite.
@@ -214,91 +238,121 @@ def log_probabilities(p: dict, vocab: Vocabulary, h: np.ndarray, y: np.ndarray,
     """Natural log of p(class) and, for frequent words, p(word | class) of rows y given states h; adds to
     `grads` and returns the gradient of the states if asked."""
     c = target_classes(vocab, y)
-    rows = np.arange(len(y))
-    logits = np.minimum(h @ p["wc"] + p["bc"], _MOST)
-    e = np.exp(logits)
-    total = e.sum(axis=1)
-    out = logits[rows, c] - np.log(total)
+    out, d = _softmax(h, p["wc"], p["bc"], c, valid)
     dh = None
     if grads is not None:
-        d = e / total[:, None]
-        d[rows, c] -= 1
-        d *= valid[:, None]
         grads["wc"] += h.T @ d
         grads["bc"] += d.sum(axis=0)
         dh = d @ p["wc"].T
-    frequent = np.flatnonzero(y < vocab.outputs)
-    order = frequent[np.argsort(c[frequent], kind="stable")]
+    order = np.argsort(c.astype(np.uint16), kind="stable")
     cuts = np.searchsorted(c[order], np.arange(vocab.word_classes + 1))
-    for k in range(vocab.word_classes):
+    for k in np.flatnonzero(np.diff(cuts)).tolist():
         at = order[cuts[k] : cuts[k + 1]]
-        if not len(at):
-            continue
-        hk, word = h[at], y[at] - k * CLASS_WORDS
-        logits = np.minimum(hk @ p["ww"][k] + p["bw"][k], _MOST)
-        e = np.exp(logits)
-        total = e.sum(axis=1)
-        out[at] += logits[np.arange(len(at)), word] - np.log(total)
+        hk = h[at]
+        lp, d = _softmax(hk, p["ww"][k], p["bw"][k], y[at] - k * CLASS_WORDS, None if valid is None else valid[at])
+        out[at] += lp
         if grads is not None:
-            d = e / total[:, None]
-            d[np.arange(len(at)), word] -= 1
-            d *= valid[at][:, None]
             grads["ww"][k] += hk.T @ d
             grads["bw"][k] += d.sum(axis=0)
             dh[at] += d @ p["ww"][k].T
     return out, dh
 
 
+def _softmax(h: np.ndarray, w: np.ndarray, b: np.ndarray, target: np.ndarray, valid: np.ndarray | None):
+    """Log probabilities of the targets and, if `valid` is given, the gradient of their negative sum."""
+    rows = np.arange(len(target))
+    e = h @ w
+    e += b
+    np.minimum(e, _MOST, out=e)
+    out = e[rows, target]
+    np.exp(e, out=e)
+    total = e.sum(axis=1)
+    out -= np.log(total)
+    if valid is not None:
+        e *= (valid / total)[:, None]
+        e[rows, target] -= valid
+    return out, e
+
+
 def backward(p: dict, vocab: Vocabulary, x: np.ndarray, fresh: np.ndarray, valid: np.ndarray, h: np.ndarray):
     """Loss, gradients and the state after one window; x are the tokens, each predicted from the state before."""
     grads = {k: np.zeros_like(v) for k, v in p.items()}
     table = p["emb"] @ p["wx"] + p["b"]
     before, after, kept = forward(p, table, x, fresh, h, True)
     steps, lanes = x.shape
-    out, dh_out = log_probabilities(p, vocab, before.reshape(-1, STATE), x.ravel(), grads, valid.ravel().astype(np.float32))
-    dh_out = dh_out.reshape(steps, lanes, STATE)
-    d_table = np.empty((steps, lanes, 3 * STATE), np.float32)
-    dh = np.zeros((lanes, STATE), np.float32)
+    two, states = 2 * STATE, by_token(before)
+    out, dh_out = log_probabilities(p, vocab, states, x.ravel(), grads, valid.ravel().astype(before.dtype))
+    dh_out = np.ascontiguousarray(dh_out.reshape(steps, lanes, STATE).transpose(0, 2, 1))
+    zr, n, gn = kept
+    z, r = zr[:, :STATE], zr[:, STATE:]
+    # What each step's gradient is multiplied by, for all steps at once.
+    to_n = (1 - z) * (1 - n * n)
+    to_z, to_r = (before - n) * z * (1 - z), to_n * gn * r * (1 - r)
+    d, d_gn = np.empty((steps, 3 * STATE, lanes), before.dtype), np.empty((steps, STATE, lanes), before.dtype)
+    u_zr, u_n = np.ascontiguousarray(p["u"][:, :two]), np.ascontiguousarray(p["u"][:, two:])
+    starts, dh = fresh.any(axis=1), np.zeros((STATE, lanes), before.dtype)
     for t in range(steps - 1, -1, -1):
-        z, r, n, gn = kept[t]
-        hp = before[t]
-        dn = dh * (1 - z) * (1 - n * n)
-        dz = dh * (hp - n) * z * (1 - z)
-        dr = dn * gn * r * (1 - r)
-        d_table[t] = np.concatenate([dz, dr, dn], axis=1)
-        dg = np.concatenate([dz, dr, dn * r], axis=1)
-        grads["u"] += hp.T @ dg
-        dh = dh * z + dg @ p["u"].T + dh_out[t]
-        if fresh[t].any():
-            dh = np.where(fresh[t][:, None], np.float32(0), dh)
-    flat, ids = d_table.reshape(-1, 3 * STATE), x.ravel()
+        np.multiply(dh, to_z[t], out=d[t, :STATE])
+        np.multiply(dh, to_r[t], out=d[t, STATE:two])
+        np.multiply(dh, to_n[t], out=d[t, two:])
+        np.multiply(d[t, two:], r[t], out=d_gn[t])
+        dh = dh * z[t]
+        dh += u_zr @ d[t, :two]
+        dh += u_n @ d_gn[t]
+        dh += dh_out[t]
+        if starts[t]:
+            dh *= ~fresh[t]
+    flat, ids = by_token(d), x.ravel()
+    grads["u"][:, :two] += states.T @ flat[:, :two]
+    grads["u"][:, two:] += states.T @ by_token(d_gn)
     grads["b"] += flat.sum(axis=0)
-    np.add.at(grads["emb"], ids, flat @ p["wx"].T)
+    d_emb = p["wx"] @ flat.T
+    for j in range(EMBEDDING):
+        grads["emb"][:, j] += np.bincount(ids, weights=d_emb[j], minlength=len(p["emb"]))
     grads["wx"] += p["emb"][ids].T @ flat
     return -float((out * valid.ravel()).sum()), grads, after
 
 
-def lanes_of(docs: list[np.ndarray], lanes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Documents end to end in lanes, longest first to the shortest lane: tokens (0 where there is none),
-    whether a document starts, and the document's number (-1 where there is none)."""
-    lanes = max(1, min(lanes, len(docs)))
-    order = sorted(range(len(docs)), key=lambda i: (-len(docs[i]), i))
-    filled, held = [(0, k) for k in range(lanes)], [[] for _ in range(lanes)]
-    import heapq
-
-    for i in order:
-        n, k = heapq.heappop(filled)
-        held[k].append(i)
-        heapq.heappush(filled, (n + len(docs[i]), k))
-    steps = max(n for n, _ in filled)
-    x, fresh, of = np.zeros((steps, lanes), np.int32), np.zeros((steps, lanes), bool), np.full((steps, lanes), -1, np.int32)
-    for k, own in enumerate(held):
-        at = 0
-        for i in own:
-            n = len(docs[i])
-            x[at : at + n, k], of[at : at + n, k], fresh[at, k] = docs[i], i, True
-            at += n
-    return x, fresh, of
+class Lanes:
+    """Documents end to end in lanes, read window by window; holds the tokens once, whatever their lengths.
+
+    `whole`: a document lies in one lane (longest first to the shortest lane), lanes with more tokens come
+    first. Otherwise the row of all documents is cut into lanes of equal length.
+    """
+
+    def __init__(self, docs: list[np.ndarray], lanes: int, whole: bool):
+        sizes = np.array([len(d) for d in docs], np.int64)
+        if whole:
+            held: list[list[int]] = [[] for _ in range(max(1, min(lanes, len(docs))))]
+            filled = [(0, k) for k in range(len(held))]
+            for i in np.argsort(-sizes, kind="stable").tolist():
+                n, k = heapq.heappop(filled)
+                held[k].append(i)
+                heapq.heappush(filled, (n + len(docs[i]), k))
+            held.sort(key=lambda own: -int(sizes[own].sum()))
+            order = [i for own in held for i in own]
+            self.length = np.array([sizes[own].sum() for own in held], np.int64)
+        else:
+            order, total = list(range(len(docs))), int(sizes.sum())
+            each = -(-total // max(1, min(lanes, total)))
+            starts = np.arange(0, total, each)
+            self.length = np.minimum(each, total - starts)
+        self.at = np.cumsum(self.length) - self.length
+        self.tokens = np.concatenate([docs[i] for i in order]) if docs else np.zeros(0, np.int32)
+        self.of = np.repeat(np.array(order, np.int32), sizes[order])
+        self.first = np.zeros(len(self.tokens), bool)
+        ends = np.cumsum(sizes[order])
+        self.first[(ends - sizes[order])[sizes[order] > 0]] = True
+        self.first[self.at[self.length > 0]] = True
+
+    def windows(self, steps: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Tokens, whether a document starts, its number and whether there is a token, of the lanes not ended."""
+        for t in range(0, int(self.length.max(initial=0)), steps):
+            live = int((self.length > t).sum())
+            places = t + np.arange(min(steps, int(self.length[0]) - t))[:, None]
+            valid = places < self.length[:live]
+            places = np.where(valid, places, 0) + self.at[:live]
+            yield self.tokens[places], self.first[places] & valid, self.of[places], valid
 
 
 def train(p: dict, vocab: Vocabulary, docs: list[np.ndarray], rate: float) -> dict:
@@ -308,12 +362,11 @@ def train(p: dict, vocab: Vocabulary, docs: list[np.ndarray], rate: float) -> di
     docs = [d for d in docs if len(d)]
     if not docs:
         return p
-    x, fresh, of = lanes_of(docs, LANES)
-    h = np.zeros((x.shape[1], STATE), np.float32)
+    lanes = Lanes(docs, LANES, whole=False)
+    h = np.zeros((len(lanes.length), STATE), np.float32)
     step = 0
-    for t in range(0, len(x), WINDOW):
-        valid = of[t : t + WINDOW] >= 0
-        _, grads, h = backward(p, vocab, x[t : t + WINDOW], fresh[t : t + WINDOW], valid, h)
+    for x, fresh, _, valid in lanes.windows(WINDOW):
+        _, grads, h = backward(p, vocab, x, fresh, valid, h[: x.shape[1]])
         step += 1
         scale = 1 / max(1, int(valid.sum()))
         norm = math.sqrt(sum(float((g * g).sum()) for g in grads.values())) * scale
@@ -326,23 +379,19 @@ def train(p: dict, vocab: Vocabulary, docs: list[np.ndarray], rate: float) -> di
     return p
 
 
-def likelihoods(p: dict, vocab: Vocabulary, docs: list[np.ndarray], window: int = 64, lanes: int = 256) -> np.ndarray:
+def likelihoods(p: dict, vocab: Vocabulary, docs: list[np.ndarray], window: int = 24, lanes: int = 256) -> np.ndarray:
     """Log10 probability of each document's symbols."""
     out = np.zeros(len(docs))
     if not len(docs):
         return out
     table = (p["emb"] @ p["wx"] + p["b"]).astype(np.float32)
-    x, fresh, of = lanes_of(docs, lanes)
-    h = np.zeros((x.shape[1], STATE), np.float32)
-    for t in range(0, len(x), window):
-        here = of[t : t + window] >= 0
-        width = max(1, int(here.any(axis=0).sum()))  # lanes are longest where documents are; short ones drop out
-        live = np.flatnonzero(here.any(axis=0)) if width < x.shape[1] else slice(None)
-        before, h_live, _ = forward(p, table, x[t : t + window, live], fresh[t : t + window, live], h[live], False)
-        h[live] = h_live
-        at = here[:, live].ravel()
-        lp, _ = log_probabilities(p, vocab, before.reshape(-1, STATE)[at], x[t : t + window, live].ravel()[at])
-        out += np.bincount(of[t : t + window, live].ravel()[at], weights=lp, minlength=len(docs))
+    dealt = Lanes(docs, lanes, whole=True)
+    h = np.zeros((len(dealt.length), STATE), np.float32)
+    for x, fresh, of, valid in dealt.windows(window):
+        before, h, _ = forward(p, table, x, fresh, h[: x.shape[1]], False)
+        states, at = by_token(before), slice(None) if valid.all() else valid.ravel()
+        lp, _ = log_probabilities(p, vocab, states[at], x.ravel()[at])
+        out += np.bincount(of.ravel()[at], weights=lp, minlength=len(docs))
     return out / math.log(10)
 
 
@@ -382,7 +431,7 @@ def _local_pass(start: dict, vocab: Vocabulary, rate: float):
     return local
 
 
-def fit(docs: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS, rate: float = 0.01) -> dict:
+def fit(docs: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS, rate: float = 0.02) -> dict:
     """Parameters after `rounds` of local training and averaging over all documents (doc_id, text)."""
     p = initial(vocab)
     if not vocab.words:
@@ -445,10 +494,10 @@ def _scored(given: DataFrame, counts: DataFrame, vocab: Vocabulary, p: dict) ->
                 common = codes < len(v.words)
                 own = log_count[codes[common]]
                 row = base_row + seen + k
-                others = Counter([words[i] for i in np.flatnonzero(~common).tolist()])
-                rows += [row] * len(others)
-                hashes += map(digest, others)
-                times += others.values()
+                others = Counter(compress(words, (~common).tolist()))
+                rows.append(np.full(len(others), row, np.int64))
+                hashes.append(digests(others, len(others)))
+                times.append(np.fromiter(others.values(), np.int32, len(others)))
                 inside = own[codes[common] >= v.outputs].sum() - below[ids[ids >= v.outputs] - v.outputs].sum()
                 about.append([row, docs[k], learns[k], len(words), int((v.counts[codes[common]] > 0).sum()), float(own.sum()) - len(words) * v.base_floor, float(inside)])
             seen += batch.num_rows
@@ -457,8 +506,9 @@ def _scored(given: DataFrame, counts: DataFrame, vocab: Vocabulary, p: dict) ->
             own = pa.StructArray.from_arrays([pa.array([a[i + 1] for a in about], info.field(i).type) for i in range(6)], fields=list(info))
             spread = mixed(np.array([a[0] for a in about], dtype=np.uint64)).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array([a[0] for a in about], pa.int64()), pa.array(spread), pa.array([0] * len(about), pa.int32()), own], names=["row", "h", "times", "info"])
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(hashes, pa.int64()), pa.array(times, pa.int32()), pa.nulls(len(rows), info)], names=["row", "h", "times", "info"])
+            n = sum(map(len, rows))
+            if n:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(rows)), pa.array(np.concatenate(hashes)), pa.array(np.concatenate(times)), pa.nulls(n, info)], names=["row", "h", "times", "info"])
 
     parts = given.mapInArrow(kernel, "row long, h long, times int, info struct<doc_id:long,learn:boolean,n_tokens:long,n_known:long,base:double,score:double>")
     rest = counts.select(F.col("h").alias("c_h"), F.col("n").alias("c"))
