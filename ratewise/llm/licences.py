@@ -1,8 +1,8 @@
 """Licence scans: passages against licence templates by sparse TF-IDF cosine, then inheritance along directories.
 
 Inverse document frequencies come from all given files. A passage as long as a template can only be similar to it
-if it holds one of the template's heaviest words (Cauchy), so passages are laid over each occurrence of those, in
-files of any length and across lines. Tags that name a licence count as well. Files without a licence of their own
+if it holds one of a few of the template's words (Cauchy; the rarest are taken), so passages are laid over each
+occurrence of those, in files of any length and across lines. Tags that name a licence count as well. Files without a licence of their own
 take that of the licence file in the nearest directory above them, found by equi-joins on directory paths.
 """
 
@@ -135,12 +135,12 @@ class Template:
         self.licence, ws = licence, words(text)
         self.size = len(ws)
         self.weights = {w: n * weight(w) for w, n in Counter(ws).items()}
-        squares = sorted(((x * x, w) for w, x in self.weights.items()), key=lambda s: (-s[0], s[1]))
-        total = sum(s for s, _ in squares)
+        squares = {w: self.weights[w] ** 2 for w in sorted(self.weights, key=lambda w: (-weight(w), w))}
+        total = sum(squares.values())
         self.norm = math.sqrt(total)
-        # A passage without these words shares less than least ** 2 of the squared weight, so its cosine is less.
+        # The rarest words: a passage without them shares less than least ** 2 of the squared weight, so its cosine is less.
         self.anchors, missing = {}, 0.0
-        for s, w in squares:
+        for w, s in squares.items():
             if missing > (1 - least * least) * total:
                 break
             self.anchors[w] = [i for i, x in enumerate(ws) if x == w]
