@@ -3,8 +3,9 @@
 Rows are binned once, equal ones folded. A *region* is the set of rows that took the same splits; trees that have
 made the same choices so far share it. Each level counts (region, feature, bin) with one aggregation for all
 trees, finds every tree's best split of each of its regions from these counts, and moves the rows by a join
-of regions with splits. Nodes are a table from the first level to the last: none passes through the driver,
-and nothing limits the depth.
+of regions with splits. A region that has become small is finished by one task, all of its trees of a fold together;
+the tasks of all levels are one job. Nodes are a table from the first level to the last: none passes through the
+driver, and nothing limits the depth.
 
 Greedy growth never looks ahead, so the full tree of one (criterion, smallest leaf) contains every shallower
 tree and every tree with a larger split minimum. The rows of all folds move along, so each node knows how
@@ -19,7 +20,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ratewise.functions.columns import known_number
@@ -40,6 +41,11 @@ GAIN_DIGITS = 12
 LEVELS_A_PLAN = 12
 #: Rows (region, feature, bin) that a task looks at together.
 AT_ONCE = 1 << 19
+#: A region of at most so many rows, and so many rows times features, is finished by one task.
+LOCAL_ROWS, LOCAL_CELLS = 1 << 16, 1 << 20
+#: Nodes below one region: the bits of their numbers.
+LOCAL_BITS = 24
+NODES = "tree int, level int, region long, above long, rows long, positives long, held long, held_positives long, feature int, bin int, left long, right long"
 
 
 @dataclass(frozen=True)
@@ -207,14 +213,105 @@ def _node_finder(growths: Sequence[Growth], folds: int, min_split: int, may_spli
     return kernel, "tree int, region long, rows long, positives long, held long, held_positives long, feature int, bin int"
 
 
-def grow(data: DataFrame, growths: Sequence[Growth], max_depth: int | None = None, min_split: int = 2, max_bins: int = MAX_BINS) -> tuple[list[DataFrame], list[np.ndarray]]:
-    """Nodes of all trees, one stored table per level, and the features' thresholds.
-
-    ``data``: fold (0, 1, ...), y (0 or 1), features. A node is (tree, region, above, rows, positives, held, held_positives,
+def _best_local(bins: np.ndarray, n: np.ndarray, p: np.ndarray, row: np.ndarray, region: np.ndarray, rows: np.ndarray, positives: np.ndarray, trees: Sequence[Growth], member: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Feature (-1: none) and bin of the best split by (region, tree), from the training rows of the regions that may be
+    split. The gains and ties are those of ``best_splits``."""
+    best = np.full(member.shape, -np.inf)
+    feature, at = np.full(member.shape, -1), np.zeros(member.shape, np.int64)
+    row_bits, bin_bits = int(len(bins)).bit_length(), int(bins.max(initial=0)).bit_length()
+    step = max(1, AT_ONCE // max(1, len(row)))
+    for f in range(0, bins.shape[1], step) if len(row) else ():
+        some = bins[row, f : f + step].astype(np.int64)
+        width = some.shape[1]
+        key = np.sort(((((region[:, None] * width + np.arange(width)) << bin_bits) | some) << row_bits | row[:, None]).ravel())
+        cell, who = key >> row_bits, key & ((1 << row_bits) - 1)
+        start = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+        cell, count, hits = cell[start], np.add.reduceat(n[who], start), np.add.reduceat(p[who], start)
+        line = cell >> bin_bits  # (region, feature)
+        first = np.flatnonzero(np.append(True, line[1:] != line[:-1]))
+        lengths = np.diff(np.append(first, len(line)))
+        left, left_p = (np.cumsum(x) - np.repeat((np.cumsum(x) - x)[first], lengths) for x in (count, hits))
+        of = line // width
+        fits = np.flatnonzero(left < rows[of])
+        left, left_p, of, cell, line = left[fits], left_p[fits], of[fits], cell[fits], line[fits]
+        whole, whole_p = rows[of], positives[of]
+        right, right_p = whole - left, whole_p - left_p
+        for criterion in sorted({g.criterion for g in trees}):
+            parts = left / np.maximum(whole, 1) * impurity(criterion, left, left_p) + right / np.maximum(whole, 1) * impurity(criterion, right, right_p)
+            gain = np.round(impurity(criterion, whole, whole_p) - parts, GAIN_DIGITS)
+            for t, g in enumerate(trees):
+                if g.criterion != criterion:
+                    continue
+                mine = np.flatnonzero(member[of, t] & (left >= g.min_leaf) & (right >= g.min_leaf))
+                if not len(mine):
+                    continue
+                value, here = gain[mine], of[mine]
+                begin = np.flatnonzero(np.append(True, here[1:] != here[:-1]))
+                most = np.maximum.reduceat(value, begin)
+                hit = np.flatnonzero(value == np.repeat(most, np.diff(np.append(begin, len(here)))))
+                hit = hit[np.append(True, here[hit][1:] != here[hit][:-1])]
+                better = most > best[here[begin], t]  # the first feature wins a tie
+                r, c = here[begin][better], mine[hit[better]]
+                best[r, t], feature[r, t], at[r, t] = most[better], f + line[c] % width, cell[c] & ((1 << bin_bits) - 1)
+    return feature, at
+
+
+def _finisher(growths: Sequence[Growth], max_depth: int | None, min_split: int):
+    """All levels below one region for its trees that hold out the same fold."""
+
+    def finish(x: pa.Table) -> pa.Table:
+        root, held, level, above = (x.column(c)[0].as_py() for c in ("region", "held_fold", "level", "above"))
+        number = np.array(sorted(x.column("trees")[0].as_py()))
+        trees = [growths[t] for t in number]
+        fold, n, p = (x.column(c).to_numpy() for c in ("fold", "n", "positives"))
+        bins = np.concatenate([c.flatten().to_numpy() for c in x.column("bins").chunks]).reshape(len(n), -1)
+        row, region = np.arange(len(n)), np.zeros(len(n), np.int64)
+        ids, over, member, used = np.array([root]), np.array([-1 if above is None else above]), np.ones((1, len(trees)), bool), 0
+        out: list[list[np.ndarray]] = []
+        while len(ids):
+            learnt = fold[row] != held
+            total = lambda w, rows: np.bincount(region[rows], weights=w[row[rows]], minlength=len(ids)).astype(np.int64)
+            rows, positives, held_rows, held_positives = total(n, learnt), total(p, learnt), total(n, ~learnt), total(p, ~learnt)
+            open_ = (positives > 0) & (positives < rows) & (rows >= min_split) & (max_depth is None or level < max_depth)
+            use = learnt & open_[region]
+            feature, at = _best_local(bins, n, p, row[use], region[use], rows, positives, trees, member)
+            r, t = np.nonzero(member)
+            split = feature[r, t] >= 0
+            kinds, which = np.unique(np.stack([r[split], feature[r, t][split], at[r, t][split]], axis=1), axis=0, return_inverse=True)
+            child = np.full(len(r), 0)
+            child[split] = -((root << LOCAL_BITS) + used + 1 + 2 * which.reshape(-1))  # negative: the numbers of this region's nodes
+            out.append([number[t], np.full(len(r), level), ids[r], over[r], rows[r], positives[r], held_rows[r], held_positives[r], feature[r, t], at[r, t], child, child - 1])
+            # Rows go to the children of every different split of their region.
+            many = np.bincount(kinds[:, 0], minlength=len(ids))
+            begin = np.cumsum(many) - many
+            copies = many[region]
+            kind = np.repeat(begin[region], copies) + np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies)
+            row = np.repeat(row, copies)
+            region = 2 * kind + (bins[row, kinds[kind, 1]] > kinds[kind, 2])
+            grown = np.zeros((2 * len(kinds), len(trees)), bool)
+            for side in (0, 1):
+                grown[2 * which.reshape(-1) + side, t[split]] = True
+            ids, over, member = -((root << LOCAL_BITS) + used + 1 + np.arange(2 * len(kinds))), np.repeat(rows[kinds[:, 0]], 2), grown
+            used += 2 * len(kinds)
+            level += 1
+        columns = [np.concatenate(c) for c in zip(*out)]
+        none = {"above": columns[3] < 0, **{c: columns[8] < 0 for c in ("feature", "bin", "left", "right")}}
+        kinds_ = {"int": pa.int32(), "long": pa.int64()}
+        fields = [f.split() for f in NODES.split(", ")]
+        return pa.table({name: pa.array(c.astype(np.int64), mask=none.get(name)).cast(kinds_[kind]) for (name, kind), c in zip(fields, columns)})
+
+    return finish
+
+
+def grow(data: DataFrame, growths: Sequence[Growth], max_depth: int | None = None, min_split: int = 2, max_bins: int = MAX_BINS) -> tuple[DataFrame, list[np.ndarray]]:
+    """Nodes of all trees, a stored table, and the features' thresholds.
+
+    ``data``: fold (0, 1, ...), y (0 or 1), features. A node is (tree, level, region, above, rows, positives, held, held_positives,
     feature, bin, left, right); ``above`` is its parent's rows, feature and children are null in leaves. A node is split while it holds both classes, ``min_split``
     rows and a split that leaves each side the growth's smallest leaf. An empty table raises.
     """
     data = stage(data.select("fold", "y", "features"), "tree-data")
+    spark = data.sparkSession
     width = (data.agg(F.max(F.size("features"))).first()[0]) or 0
     cuts = thresholds(data, width, max_bins)
     state = _binned(data, cuts)
@@ -222,39 +319,61 @@ def grow(data: DataFrame, growths: Sequence[Growth], max_depth: int | None = Non
     if last is None:
         raise ValueError("a tree needs rows")
     folds = last + 1
-    frontier = data.sparkSession.createDataFrame([(t, 0, None) for t in range(len(growths))], "tree int, region long, above long")
+    limit = max(1, min(LOCAL_ROWS, LOCAL_CELLS // max(1, width)))
+    frontier = spark.createDataFrame([(t, 0, None) for t in range(len(growths))], "tree int, region long, above long")
+    holds = spark.createDataFrame([(t, g.held) for t, g in enumerate(growths)], "h_tree int, held_fold int")
     levels: list[DataFrame] = []
+    small: list[DataFrame] = []
+    level, numbered = 0, 1
     sums = [s for f in range(folds) for s in (F.sum(F.when(F.col("fold") == f, F.col("n")).otherwise(0)).alias(f"n{f}"), F.sum(F.when(F.col("fold") == f, F.col("positives")).otherwise(0)).alias(f"p{f}"))]
     while True:
-        may_split = max_depth is None or len(levels) < max_depth
+        sizes = stage(state.groupBy(F.col("region").alias("z_region")).agg((F.count("*") <= limit).alias("small")), "tree-sizes")
+        here = F.col("region") == F.col("z_region")
+        tasks = frontier.join(sizes.filter("small"), here).join(F.broadcast(holds), F.col("tree") == F.col("h_tree"))  # one row a tree
+        tasks = tasks.groupBy("z_region", "held_fold").agg(F.collect_list("tree").alias("trees"), F.first("above").alias("above"))  # one entry to a tree
+        small.append(state.join(tasks, here).drop("z_region").withColumn("level", F.lit(level)))
+        crowded = sizes.filter("NOT small").select("z_region")
+        if crowded.isEmpty():
+            break
+        state, frontier = state.join(crowded, here).drop("z_region"), frontier.join(crowded, here).drop("z_region")
+        may_split = max_depth is None or level < max_depth
         cells = state.select("region", "fold", "n", "positives", F.posexplode("bins").alias("feature", "bin")).groupBy("region", "feature", "bin").agg(*sums)
         of = frontier.groupBy(F.col("region").alias("f_region")).agg(F.collect_list("tree").alias("trees"))  # one entry to a tree
         finder, schema = _node_finder(growths, folds, min_split, may_split)
         sorted_ = cells.join(of, F.col("region") == F.col("f_region")).drop("f_region").repartition("region").sortWithinPartitions("region", "feature", "bin")
         found = stage(sorted_.mapInArrow(finder, schema), "tree-nodes")
         chosen = found.filter("feature is not null").select(F.col("region").alias("s_region"), F.col("feature").alias("s_feature"), F.col("bin").alias("s_bin")).distinct()
-        # Written, so that each split keeps its number.
-        splits = stage(chosen.withColumn("left", F.monotonically_increasing_id() * 2).withColumn("right", F.col("left") + 1), "tree-splits")
+        # One row to a split of a crowded region. Written, so that each split keeps its number.
+        place = F.row_number().over(Window.orderBy("s_region", "s_feature", "s_bin")).cast("long")
+        splits = stage(chosen.withColumn("left", place * 2 - 2 + numbered).withColumn("right", F.col("left") + 1), "tree-splits")
         above = frontier.select(F.col("tree").alias("a_tree"), F.col("region").alias("a_region"), "above")
         nodes = found.join(above, (F.col("tree") == F.col("a_tree")) & (F.col("region") == F.col("a_region"))).drop("a_tree", "a_region")
         same = (F.col("region") == F.col("s_region")) & (F.col("feature") == F.col("s_feature")) & (F.col("bin") == F.col("s_bin"))
-        levels.append(stage(nodes.join(splits, same, "left").drop("s_region", "s_feature", "s_bin"), "tree-level"))
-        if not may_split or splits.isEmpty():
-            return levels, cuts
+        levels.append(stage(nodes.join(splits, same, "left").drop("s_region", "s_feature", "s_bin").withColumn("level", F.lit(level)), "tree-level"))
+        new = splits.count()
+        if not may_split or not new:
+            break
         frontier = levels[-1].filter("left is not null").select("tree", F.explode(F.array("left", "right")).alias("region"), F.col("rows").alias("above"))
         child = F.when(F.element_at("bins", F.col("s_feature") + 1) <= F.col("s_bin"), F.col("left")).otherwise(F.col("right"))
         state = stage(state.join(splits, F.col("region") == F.col("s_region")).select(child.alias("region"), "fold", "bins", "n", "positives"), "tree-rows")
+        level, numbered = level + 1, numbered + 2 * new
+    # Little data, much work: the number of tasks is given.
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    spread = reduce(DataFrame.unionByName, small).repartition(parts, "region", "held_fold")
+    finished = stage(spread.groupBy("region", "held_fold").applyInArrow(_finisher(growths, max_depth, min_split), NODES), "tree-finished")
+    return reduce(DataFrame.unionByName, levels, finished), cuts
 
 
 def tree_fit(data: DataFrame, params: TreeParams, max_bins: int = MAX_BINS) -> Tree:
     """``data`` has columns y and features (see ``assemble``)."""
     rows = data.select(F.lit(0).alias("fold"), "y", "features")
-    levels, cuts = grow(rows, [Growth(-1, params.criterion, params.min_leaf)], params.max_depth, params.min_split, max_bins)
+    nodes, cuts = grow(rows, [Growth(-1, params.criterion, params.min_leaf)], params.max_depth, params.min_split, max_bins)
     table = data.sparkSession.createDataFrame([(f, b, float(t)) for f, c in enumerate(cuts) for b, t in enumerate(c)], "c_feature int, c_bin int, threshold double")  # features x bins
     at = (F.col("feature") == F.col("c_feature")) & (F.col("bin") == F.col("c_bin"))
-    named = [n.join(table, at, "left").select(F.col("region").alias("node"), "rows", "positives", "feature", "threshold", "left", "right") for n in levels]
+    named = nodes.join(table, at, "left").select("level", F.col("region").alias("node"), "rows", "positives", "feature", "threshold", "left", "right")
     path = new_path(data.sparkSession, "tree")
-    return write_tree(Tree(named), path)
+    named.write.partitionBy("level").parquet(path)
+    return read_tree(data.sparkSession, path)
 
 
 def write_tree(model: Tree, path: str) -> Tree:
@@ -285,7 +404,7 @@ def tree_predict(model: Tree, data: DataFrame, keep: Sequence[str] = (), min_spl
 
 
 def grid_accuracies(nodes: DataFrame, growths: Sequence[Growth], depths: Sequence[int | None], splits: Sequence[int]) -> DataFrame:
-    """criterion, depth (-1: none), leaf, split, held, accuracy on the held-out rows; ``nodes`` is the table of all levels.
+    """criterion, depth (-1: none), leaf, split, held, accuracy on the held-out rows; ``nodes`` comes from ``grow``.
 
     Rows get fewer going down, so a node is reached if its parent has the split minimum, and its rows stop
     there if it is a leaf, lacks the minimum itself, or lies at the depth limit.
@@ -317,8 +436,8 @@ def tree_grid_search(
     numbered = data.withColumn("fold", F.array_position(F.array(*[F.lit(f) for f in folds]), F.col("fold")).cast("int") - 1)
     deepest = None if None in depths else max(d for d in depths if d is not None)
     growths = [Growth(f, c, leaf) for f in range(len(folds)) for c in criteria for leaf in leaf_minimums]
-    levels, _ = grow(numbered, growths, deepest, min(split_minimums), max_bins)
-    scored = grid_accuracies(Tree(levels).table(), growths, depths, split_minimums)
+    nodes, _ = grow(numbered, growths, deepest, min(split_minimums), max_bins)
+    scored = grid_accuracies(nodes, growths, depths, split_minimums)
     table = stage(
         scored.groupBy("criterion", "depth", "leaf", "split").agg(
             F.round(F.avg("accuracy"), digits).alias("accuracy_mean"),

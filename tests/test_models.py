@@ -277,3 +277,23 @@ def test_saved_models_score_without_training(spark, tmp_path):
     assert a.exceptAll(b).count() == 0
     unseen = flows.evaluate_saved_model(kept, rows, "id", features, "y", balance=True).first()
     assert 0.0 <= unseen["auc_roc"] <= 1.0
+
+
+def test_small_regions_are_finished_without_a_round_of_jobs_per_level(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 300, (500, 3))
+    rows = spark.createDataFrame([(i, *map(float, r), int(rng.random() < 0.5), i % 3) for i, r in enumerate(x)], "id int, a double, b double, c double, y int, fold int")
+    data = trees.assemble(rows, ["a", "b", "c"], "y", ["fold"])
+    growths = [trees.Growth(f, c, leaf) for f in range(-1, 3) for c in trees.CRITERIA for leaf in (1, 5)]
+    stages, keep = [], trees.stage
+    monkeypatch.setattr(trees, "stage", lambda df, label: stages.append(label) or keep(df, label))
+    columns = ["tree", "level", "above", "rows", "positives", "held", "held_positives", "feature", "bin"]
+
+    def nodes():
+        found = trees.grow(data, growths, max_bins=64)[0].withColumn("leaf", F.col("left").isNull())
+        return sorted((tuple(-1 if v is None else v for v in r) for r in found.select(*columns, "leaf").collect()))
+
+    alone = nodes()
+    assert max(r[1] for r in alone) > 8 and len(stages) < 12
+    monkeypatch.setattr(trees, "LOCAL_ROWS", 60)
+    assert nodes() == alone
