@@ -1,14 +1,16 @@
 """Exact k-nearest-neighbour joins and classification.
 
-Train rows are assigned to the nearest of a few pivots, at most the root of their number. A cell knows the
+Train rows are assigned to the nearest of a few pivots, at most the root of their number and ``PIVOTS``. A cell knows the
 range of its members' distances to the pivot and the box of their leading components under one rotation
 (the sample's principal axes), with the norm of what is left; every row stores its own. Each of these bounds
 the distance of a query row to a member from below, cell by cell and then row by row.
 
 Query rows visit cells in the order of that bound, in rounds that grow eightfold; the k-th distance found so
-far rules out the cells beyond it, whole blocks of rows, and single rows. A visit is an equi-join on (cell,
-slice, block): both sides of a crowded cell are cut into blocks of bounded size, so no task sees a whole cell,
-and each task returns at most k rows per query row instead of the pairs it compared.
+far rules out the cells beyond it, and single rows. Cells are packed into slabs, cut where they are crowded: about
+``SLABS`` at any size until a slab would not fit into a task. In a round a query row is sent once to each slab that holds
+a cell it visits, with a bit for each cell there, and the slab is sent once for each slice of its query rows; so what is
+shuffled grows with the rows, and not with the cells. A task sees one slice and one slab, goes through them tile by tile
+with the k-th distance found so far, and returns at most k rows per query row.
 
 Equal train vectors are reduced to their k smallest ids first: more copies can never be among the k nearest,
 so a group of copies of any size costs k rows.
@@ -28,7 +30,10 @@ from pyspark.sql import functions as F
 from ratewise.operators.sampling import hash_sample
 from ratewise.sources.scratch import stage
 
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 4096  # a slab's rows, if there are not more than SLABS times as many
+SLABS, SLAB_ROWS, SLAB_VALUES = 8, 1 << 17, 1 << 23  # above these rows, or components, there are more slabs
+TILE, TILE_TRAIN = 1024, 2048  # query and train rows that are compared at once
+PIVOTS = 256
 CELL_ROWS = 256  # a pivot stands for at least so many train rows
 GROWTH = 8  # of the cells visited up to a round
 LEAD = 8  # leading components that are stored beside a vector
@@ -159,45 +164,106 @@ def _cell_bounds(v: np.ndarray, cells: _Cells) -> tuple[np.ndarray, np.ndarray]:
     return np.where((cells.size > 0)[None, :], np.maximum(low, 0.0), np.inf), d
 
 
-def _route(asked: DataFrame, cells: _Cells, start: int, stop: int, kind: str, chunk: int = 256) -> DataFrame:
-    """One row per visit of this round: the cells at places ``start`` to ``stop`` of the row's order that may hold
-    something within its bound. The order does not change with the bound, so no visit comes twice."""
+@dataclass
+class _Slabs:
+    """Where the train rows of each cell lie: its rows are dealt to ``pieces[cell]`` pieces, each in a slab."""
+
+    pieces: list[int]
+    units: list[tuple[int, int, int]]  # cell, piece, slab
+    cells: list[np.ndarray]  # of each slab
+    rows: int  # of a slab, about
+
+
+def _pack(size: np.ndarray, rows: int) -> _Slabs:
+    """Cells in their order, cut into pieces of at most ``rows`` rows (about: rows are dealt by a hash), into slabs."""
+    pieces = [max(1, -(-int(n) // rows)) for n in size]
+    units, cells, room = [], [], 0
+    for cell, n in enumerate(size):
+        for piece in range(pieces[cell]):
+            need = -(-int(n) // pieces[cell])
+            if not cells or need > room:
+                cells.append([])
+                room = rows
+            cells[-1].append(cell)
+            units.append((cell, piece, len(cells) - 1))
+            room -= need
+    return _Slabs(pieces, units, [np.unique(c) for c in cells], rows)
+
+
+def _visited(part: pd.DataFrame, v: np.ndarray, cells: _Cells, start: int, stop: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, cell) of the visits of this round: the cells at places ``start`` to ``stop`` of the row's order that may
+    hold something within its bound. The order does not change with the bound, so no visit comes twice."""
+    low, d = _cell_bounds(v, cells)
+    order = np.lexsort((d, low), axis=1)[:, start:stop]
+    fits = np.take_along_axis(low, order, axis=1)
+    rows, places = np.nonzero(np.isfinite(fits) & (fits <= part["bound"].to_numpy(dtype=np.float64)[:, None] * (1 + 1e-9)))
+    return rows, order[rows, places]
+
+
+def _visits(asked: DataFrame, cells: _Cells, start: int, stop: int, kind: str, chunk: int = 256) -> DataFrame:
+    """(id, cell): one row per visit of this round."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for first in range(0, len(batch), chunk):
                 part = batch.iloc[first : first + chunk]
-                v, bound = np.stack(part["v"].to_numpy()), part["bound"].to_numpy(dtype=np.float64)
-                low, d = _cell_bounds(v, cells)
-                order = np.lexsort((d, low), axis=1)[:, start:stop]
-                fits = np.take_along_axis(low, order, axis=1)
-                rows, places = np.nonzero(np.isfinite(fits) & (fits <= bound[:, None] * (1 + 1e-9)))
+                rows, cell = _visited(part, np.stack(part["v"].to_numpy()), cells, start, stop)
                 if len(rows):
-                    yield part.iloc[rows].assign(lead=list(cells.axes.lead(v)[rows]), cell=order[rows, places].astype("int32"))
+                    yield part[["id"]].iloc[rows].assign(cell=cell.astype("int32"))
+
+    return asked.select("id", "v", "bound").mapInPandas(run, f"id {kind}, cell int")
+
+
+def _route(asked: DataFrame, cells: _Cells, slabs: _Slabs, start: int, stop: int, kind: str, chunk: int = 256) -> DataFrame:
+    """One row per query row and slab of this round's visits; ``cells`` has a bit for each cell of the slab."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for first in range(0, len(batch), chunk):
+                part = batch.iloc[first : first + chunk]
+                rows, cell = _visited(part, np.stack(part["v"].to_numpy()), cells, start, stop)
+                goes = np.zeros((len(part), len(cells.size)), bool)
+                goes[rows, cell] = True
+                for slab in np.unique([s for c in np.unique(cell) for s in homes[c]]):
+                    here = goes[:, slabs.cells[slab]]
+                    some = np.flatnonzero(here.any(1))
+                    if len(some):
+                        yield part.iloc[some].assign(slab=np.int32(slab), cells=[b.tobytes() for b in np.packbits(here[some], axis=1)])
 
-    return asked.mapInPandas(run, f"id {kind}, v array<double>, y int, g int, bound double, lead array<double>, cell int")
+    homes: list[list[int]] = [[] for _ in cells.size]
+    for cell, _, slab in slabs.units:
+        homes[cell].append(slab)
+    return asked.mapInPandas(run, f"id {kind}, v array<double>, y int, g int, bound double, slab int, cells binary")
 
 
 def closest_pairs(
-    a: np.ndarray, b: np.ndarray, ids: np.ndarray, allowed: np.ndarray | None, bound: np.ndarray, k: int, lead_a: np.ndarray, lead_b: np.ndarray
+    a: np.ndarray, b: np.ndarray, ids: np.ndarray, allowed: np.ndarray | None, bound: np.ndarray, k: int, lead_a: np.ndarray | None, lead_b: np.ndarray | None
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row of a, row of b, distance) of the k closest allowed rows of b for each row of a, ties by id.
 
-    Leading components and norms of the rest rule out pairs beyond the bound. If many are left, a matrix
+    Leading components and norms of the rest, if given, rule out pairs beyond the bound. If many are left, a matrix
     product finds the candidates among them. Distances are then computed from differences, so equal
     vectors get equal distances in every block."""
     noise = 1e-9 * ((a * a).sum(1).max() + (b * b).sum(1).max()) + 1e-300
     most = bound * bound * (1 + 1e-9) + noise
-    keep = np.square(_distances(lead_a, lead_b)) <= (most + 1e-5 * np.sqrt(np.where(np.isfinite(most), most * noise, 0.0)))[:, None] + noise
-    if allowed is not None:
-        keep &= allowed
-    if keep.mean() > SPARSE:
-        rough = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
-        rough[~keep] = np.inf
-        limit = np.full(len(a), np.inf)
-        if len(b) > k:
-            limit = np.partition(rough, k - 1, axis=1)[:, k - 1] + noise
-        keep = np.isfinite(rough) & (rough <= np.minimum(limit, most)[:, None])
+    keep = allowed
+    if lead_a is not None:
+        near = np.square(_distances(lead_a, lead_b)) <= (most + 1e-5 * np.sqrt(np.where(np.isfinite(most), most * noise, 0.0)))[:, None] + noise
+        keep = near if keep is None else near & keep
+    if keep is None or keep.mean() > SPARSE:
+        rough = (-2.0 * a) @ b.T
+        rough += (b * b).sum(1)
+        own = (a * a).sum(1)
+        limit = most - own
+        found = rough <= limit[:, None]
+        if keep is not None:
+            found &= keep
+        # The k-th of those within the bound is looked for where the bound leaves many.
+        if len(b) > k and found.sum() > 4 * k * len(a):
+            rough[~found] = np.inf
+            limit = np.minimum(limit, np.partition(rough, k - 1, axis=1)[:, k - 1] + noise)
+            found = np.isfinite(rough) & (rough <= limit[:, None])
+        keep = found
     rows, cols = np.nonzero(keep)
     exact = np.empty(len(rows))
     step = max(1, 4_000_000 // max(1, a.shape[1]))
@@ -211,39 +277,85 @@ def closest_pairs(
     return rows[first], cols[first], exact[first]
 
 
-def _visit(visits: DataFrame, placed: DataFrame, k: int, block_rows: int, kind: str, query_kind: str) -> DataFrame:
-    """Compare every query row with the cells it visits; at most k rows per query row and block come back."""
-    pieces = lambda n: F.ceil(F.col(n) / block_rows).cast("int")
-    held = placed.groupBy("cell").agg(F.count("*").alias("n"))
-    asked = visits.groupBy(F.col("cell").alias("a_cell")).agg(F.count("*").alias("q"))
-    # Written, so that its size is known: one row per cell that is visited.
-    plan = stage(held.join(asked, F.col("cell") == F.col("a_cell")).select(F.col("cell").alias("p_cell"), pieces("n").alias("blocks"), pieces("q").alias("slices")), "knn-plan")
+def _nearest_in_slab(a, b, ids, cell, goes, qg, tg, bound, k, lead_a, lead_b) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of a, row of b, distance) of the k closest rows of b for each row of a, among the cells it goes to and the
+    other groups, ties by id. ``b`` is sorted by ``cell``, whose numbers are the columns of ``goes``."""
+    starts = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+    if goes.mean() > 0.5:  # small cells together
+        starts = starts[np.append(True, np.diff(starts // TILE_TRAIN) > 0)]
+    ends = np.append(starts[1:], len(b))
+    tiles = [(s, min(s + TILE_TRAIN, e)) for i, e in zip(starts, ends) for s in range(i, e, TILE_TRAIN)]
+    use_lead, grouped, out = True, (qg != NO_GROUP).any(), []
+    for q in range(0, len(a), TILE):
+        part = slice(q, min(q + TILE, len(a)))
+        most, kept = bound[part].copy(), tuple(np.empty(0, t) for t in (np.int64, np.int64, np.float64))
+        for s, e in tiles:
+            wants = goes[part][:, cell[s:e]] if cell[s] != cell[e - 1] else np.repeat(goes[part][:, cell[s : s + 1]], e - s, axis=1)
+            some = np.flatnonzero(wants.any(1))
+            if not len(some):
+                continue
+            whole = bool(wants[some].all())
+            allowed = None if whole else wants[some]
+            if grouped:
+                other = (qg[part][some][:, None] != tg[None, s:e]) | (qg[part][some][:, None] == NO_GROUP)
+                allowed = other if allowed is None else allowed & other
+            leads = (lead_a[part][some], lead_b[s:e]) if use_lead and np.isfinite(most[some]).any() else (None, None)
+            rows, cols, dist = closest_pairs(a[part][some], b[s:e], ids[s:e], allowed, most[some], k, *leads)
+            if leads[0] is not None and q == 0 and whole:
+                # Where the leading components rule out little they are not looked at again.
+                use_lead = np.mean(_distances(*leads) <= most[some][:, None]) <= SPARSE
+            rows, cols, dist = np.append(kept[0], some[rows]), np.append(kept[1], cols + s), np.append(kept[2], dist)
+            order = np.lexsort((ids[cols], dist, rows))
+            rows, cols, dist = rows[order], cols[order], dist[order]
+            begin = np.searchsorted(rows, np.arange(part.stop - q + 1))
+            first = np.arange(len(rows)) - begin[rows] < k
+            full = np.flatnonzero(np.diff(begin) >= k)
+            most[full] = np.minimum(most[full], dist[begin[full] + k - 1])
+            kept = rows[first], cols[first], dist[first]
+        out.append((kept[0] + q, kept[1], kept[2]))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def _visit(asked: DataFrame, visits: DataFrame, queries: int, placed: DataFrame, cells: _Cells, slabs: _Slabs, start: int, stop: int, k: int, kind: str, query_kind: str) -> DataFrame:
+    """Compare every query row with the cells it visits; at most k rows per query row and slab come back."""
+    asks = {r["cell"]: r["count"] for r in visits.groupBy("cell").count().collect()}  # one row per cell
+    slices = [max(1, -(-min(queries, sum(asks.get(int(c), 0) for c in held)) // slabs.rows)) for held in slabs.cells]
+    spark = placed.sparkSession
+    # One row per cell, or per piece of a crowded one.
+    units = F.broadcast(spark.createDataFrame([(c, p, slabs.pieces[c], s, slices[s]) for c, p, s in slabs.units], "u_cell int, u_piece int, u_pieces int, slab int, slices int"))
+    ways = F.broadcast(spark.createDataFrame(list(enumerate(slices)), "w_slab int, slices int"))
     piece = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    keys = ["cell", "slice", "block"]
-    dealt = lambda df: df.join(plan, F.col("cell") == F.col("p_cell"))
-    left = dealt(visits).withColumn("slice", piece("slices")).withColumn("block", every("blocks")).drop("p_cell", "blocks", "slices")
-    right = dealt(placed.drop("dist")).withColumn("block", piece("blocks")).withColumn("slice", every("slices")).drop("p_cell", "blocks", "slices")
-
-    def compare(queries_part: pd.DataFrame, train_part: pd.DataFrame) -> pd.DataFrame:
-        names = ["id", "y", "g", "neighbor", "neighbor_y", "distance"]
+    left = _route(asked, cells, slabs, start, stop, query_kind).join(ways, F.col("slab") == F.col("w_slab")).withColumn("slice", piece("slices")).drop("w_slab", "slices")
+    right = placed.drop("dist").join(units, (F.col("cell") == F.col("u_cell")) & (piece("u_pieces") == F.col("u_piece")))
+    right = right.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("u_cell", "u_piece", "u_pieces", "slices")
+    held, axes = slabs.cells, cells.axes
+
+    def compare(key: tuple, queries_part: pd.DataFrame, train_part: pd.DataFrame) -> pd.DataFrame:
+        # An empty column of texts is not taken as a result; this row is left out below.
+        nothing = pd.DataFrame({n: [None] for n in ("id", "y", "g", "neighbor", "neighbor_y", "distance")})
         if not len(queries_part) or not len(train_part):
-            return pd.DataFrame({n: [] for n in names})
-        qg, tg = queries_part["g"].to_numpy(), train_part["g"].to_numpy()
-        allowed = None
-        if (qg != NO_GROUP).any():
-            allowed = (qg[:, None] != tg[None, :]) | (qg[:, None] == NO_GROUP)
-        ids = _ids(train_part["id"], kind)
-        rows, cols, dist = closest_pairs(
-            np.stack(queries_part["v"].to_numpy()),
+            return nothing
+        train_part = train_part.sort_values("cell", kind="stable")
+        here = held[key[0]]
+        bits = np.frombuffer(b"".join(queries_part["cells"]), dtype=np.uint8).reshape(len(queries_part), -1)
+        goes = np.unpackbits(bits, axis=1)[:, : len(here)].astype(bool)
+        ids, a = _ids(train_part["id"], kind), np.stack(queries_part["v"].to_numpy())
+        qg = queries_part["g"].to_numpy()
+        rows, cols, dist = _nearest_in_slab(
+            a,
             np.stack(train_part["v"].to_numpy()),
             ids,
-            allowed,
+            np.searchsorted(here, train_part["cell"].to_numpy()),
+            goes,
+            qg,
+            train_part["g"].to_numpy(),
             queries_part["bound"].to_numpy(),
             k,
-            np.stack(queries_part["lead"].to_numpy()),
+            axes.lead(a),
             np.stack(train_part["lead"].to_numpy()),
         )
+        if not len(rows):
+            return nothing
         return pd.DataFrame(
             {
                 "id": queries_part["id"].to_numpy()[rows],
@@ -256,7 +368,8 @@ def _visit(visits: DataFrame, placed: DataFrame, k: int, block_rows: int, kind:
         )
 
     found = f"id {query_kind}, y int, g int, neighbor {kind}, neighbor_y int, distance double"
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, found)
+    keys = ["slab", "slice"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, found).filter(F.col("distance").isNotNull())
 
 
 def _closest(found: DataFrame, k: int) -> DataFrame:
@@ -272,18 +385,19 @@ def knn_neighbors(
     train: DataFrame,
     test: DataFrame,
     k: int,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
     cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """(id, y, g, rank, neighbor, neighbor_y, distance) with the k closest train rows of every test row,
     ties by smaller neighbour id (texts by their bytes). Inputs come from ``points``; ids are unique within each
     side. An empty side gives no rows.
 
-    Only the pivots and one row per cell pass through the driver, the root of the train rows at most."""
+    ``block_rows`` fixes the rows of a slab. Only the pivots and one row per cell pass through the driver, the root of the
+    train rows and ``PIVOTS`` at most."""
     kind, query_kind = _id_type(train), _id_type(test)
     train = stage(_without_spare_copies(train, k), "knn-points")
     size = train.count()
-    pivot_count = max(1, min(math.isqrt(size), size // cell_rows))
+    pivot_count = max(1, min(math.isqrt(size), size // cell_rows, PIVOTS))
     sample = hash_sample(train.select("id", "v"), ["id"], pivot_count).collect()  # the root of the rows at most
     if not sample:
         return test.sparkSession.createDataFrame([], f"id {query_kind}, y int, g int, rank int, neighbor {kind}, neighbor_y int, distance double")
@@ -291,11 +405,14 @@ def knn_neighbors(
     axes = _principal(pivots)
     placed = stage(_place(train, pivots, axes, kind), "knn-train")
     cells = _describe(placed, pivots, axes)
+    most = min(SLAB_ROWS, max(BLOCK_ROWS, SLAB_VALUES // pivots.shape[1]))
+    slabs = _pack(cells.size, block_rows or max(BLOCK_ROWS, min(-(-size // SLABS), most)))
+    queries = test.count()
     asked, best = test.withColumn("bound", F.lit(math.inf)), None
     start, stop = 0, 1
     while True:
-        visits = stage(_route(asked, cells, start, stop, query_kind), "knn-visits")
-        found = _visit(visits, placed, k, block_rows, kind, query_kind)
+        visits = stage(_visits(asked, cells, start, stop, query_kind), "knn-visits")
+        found = _visit(asked, visits, queries, placed, cells, slabs, start, stop, k, kind, query_kind)
         best = stage(_closest(found if best is None else best.drop("rank").unionByName(found), k), "knn-best")
         if stop >= pivot_count:
             return best

@@ -297,3 +297,17 @@ def test_small_regions_are_finished_without_a_round_of_jobs_per_level(spark, mon
     assert max(r[1] for r in alone) > 8 and len(stages) < 12
     monkeypatch.setattr(trees, "LOCAL_ROWS", 60)
     assert nodes() == alone
+
+
+def test_a_query_row_is_sent_to_few_slabs_whatever_the_number_of_cells(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    frame = lambda n, first: (lambda v: (v, spark.createDataFrame([(first + i, [float(x) for x in r], i % 2) for i, r in enumerate(v)], "id long, v array<double>, y int").repartition(3)))(rng.normal(0, 1, (n, 12)))
+    (tv, train), (qv, test) = frame(2500, 0), frame(60, 9000)
+    sent, keep = [], neighbors._route
+    monkeypatch.setattr(neighbors, "_route", lambda *a, **b: sent.append(keep(*a, **b)) or sent[-1])
+    found = neighbors.knn_neighbors(neighbors.points(train, "id", "v", "y"), neighbors.points(test, "id", "v", "y"), 5, cell_rows=50)
+    got = {}
+    for r in found.orderBy("id", "rank").collect():
+        got.setdefault(r["id"] - 9000, []).append(r["neighbor"])
+    assert got == brute(tv, None, list(range(2500)), qv, 5)
+    assert sum(s.count() for s in sent) <= 3 * 60  # once a round, though there are 50 cells
