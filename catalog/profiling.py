@@ -563,8 +563,8 @@ def _eda(df):
 
 @query("eda_table")
 def _eda_table(spark, sf):
-    """The whole report; the joined rows are stored before its tables read them."""
-    return flows.eda_table(_eda(stage(trips(spark, sf, *EDA_COLUMNS), "eda-input")))
+    """The whole report."""
+    return flows.eda_table(_eda(trips(spark, sf, *EDA_COLUMNS)))
 
 
 @query(

@@ -63,15 +63,22 @@ _TRIP_JOINS = [
     ("cn", "nation", "c_nationkey = cn.n_nationkey"),
     ("sn", "nation", "s_nationkey = sn.n_nationkey"),
 ]
+# Joined to each other before the order lines, of which there are more, are dealt to them.
+_TRIP_SIDES = [("orders", "customer", "cn"), ("part",), ("supplier", "sn")]
 
 
 def trips(spark: SparkSession, sf: str, *cols: str) -> DataFrame:
     """One row per order line, bound to the roles of a flight."""
     need = set().union(*[_TRIP_COLUMNS[c][2] for c in cols])
     df = table(spark, sf, "lineitem")
-    for alias, source, on in _TRIP_JOINS:
-        if alias in need:
-            df = df.join(table(spark, sf, source).alias(alias), F.expr(on))
+    joins = {alias: (source, on) for alias, source, on in _TRIP_JOINS}
+    for first, *others in _TRIP_SIDES:
+        if first in need:
+            side = table(spark, sf, joins[first][0]).alias(first)
+            for alias in others:
+                if alias in need:
+                    side = side.join(table(spark, sf, joins[alias][0]).alias(alias), F.expr(joins[alias][1]))
+            df = df.join(side, F.expr(joins[first][1]))
     return df.selectExpr(*[f"{_TRIP_COLUMNS[c][0]} AS {c}" for c in cols])
 
 

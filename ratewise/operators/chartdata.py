@@ -29,14 +29,26 @@ def _ends(df: DataFrame, c: str) -> tuple[float, float, int, float]:
 
 def auto_bins(df: DataFrame, c: str) -> int:
     """Freedman-Diaconis or Sturges, whichever gives more bins."""
-    lo, hi, n, _ = _ends(df, c)
-    if not n or lo == hi:
-        return 1
-    q = quantile_row(df, [c], {"q1": 0.25, "q3": 0.75}).first()
-    width = 2 * (q["q3"] - q["q1"]) / n ** (1 / 3)
-    sturges = math.ceil(math.log2(n) + 1)
-    diaconis = math.ceil((hi - lo) / width) if width > 0 else 1
-    return max(sturges, diaconis)
+    return auto_bins_of(df, [c])[c]
+
+
+def auto_bins_of(df: DataFrame, cols: Sequence[str]) -> dict[str, int]:
+    """The same for several columns, which share the scans."""
+    if not cols:
+        return {}
+    x = [known_number(c) for c in cols]
+    ends = df.agg(*[f(c) for c in x for f in (F.min, F.max, F.count)]).first()
+    ends = {c: ends[3 * i : 3 * i + 3] for i, c in enumerate(cols)}
+    wide = [c for c, (lo, hi, n) in ends.items() if n and lo != hi]
+    quartiles = {r["column"]: r for r in quantile_row(df, wide, {"q1": 0.25, "q3": 0.75}).collect()} if wide else {}  # one row per column
+    bins = {c: 1 for c in cols}
+    for c in wide:
+        lo, hi, n = ends[c]
+        width = 2 * (quartiles[c]["q3"] - quartiles[c]["q1"]) / n ** (1 / 3)
+        sturges = math.ceil(math.log2(n) + 1)
+        diaconis = math.ceil((hi - lo) / width) if width > 0 else 1
+        bins[c] = max(sturges, diaconis)
+    return bins
 
 
 def histogram_bins(df: DataFrame, c: str, bins: int | None = None, by: Sequence[str] = ()) -> DataFrame:

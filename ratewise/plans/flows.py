@@ -34,7 +34,9 @@ class EdaRoles:
 
 
 def eda_report(df: DataFrame, roles: EdaRoles) -> dict[str, DataFrame]:
-    """The ordered set of profiling and relation tables; parts whose columns are missing are left out."""
+    """The ordered set of profiling and relation tables; parts whose columns are missing are left out. The rows are
+    stored before the tables read them, so what they are made from is computed once."""
+    df = stage(df, "eda-input")
     numeric, categorical, _ = classify_columns(df, [roles.id])
     features = [c for c in numeric if c != roles.target]
     y = roles.target
@@ -71,8 +73,9 @@ def eda_report(df: DataFrame, roles: EdaRoles) -> dict[str, DataFrame]:
         out["distance_time"] = relations.row_correlation(df, roles.distance, roles.minutes)
         if roles.kind:
             out["rate_by_type"] = rates.rate_summary_by_type(df, roles.kind, roles.distance, roles.minutes)
+    bins = chartdata.auto_bins_of(df, features)
     for c in features:
-        out[f"histogram_{c}"] = chartdata.histogram_bins(df, c)
+        out[f"histogram_{c}"] = chartdata.histogram_bins(df, c, bins[c])
     out["box_stats"] = chartdata.box_stats(df, features)
     for x, z in column_pairs(features):
         out[f"scatter_{x}_{z}"] = chartdata.scatter_grid(df, x, z)
