@@ -5,12 +5,13 @@ range of its members' distances to the pivot and the box of their leading compon
 (the sample's principal axes), with the norm of what is left; every row stores its own. Each of these bounds
 the distance of a query row to a member from below, cell by cell and then row by row.
 
-Query rows visit cells in the order of that bound, in rounds that grow eightfold; the k-th distance found so
-far rules out the cells beyond it, and single rows. Cells are packed into slabs, cut where they are crowded: about
-``SLABS`` at any size until a slab would not fit into a task. In a round a query row is sent once to each slab that holds
-a cell it visits, with a bit for each cell there, and the slab is sent once for each slice of its query rows; so what is
-shuffled grows with the rows, and not with the cells. A task sees one slice and one slab, goes through them tile by tile
-with the k-th distance found so far, and returns at most k rows per query row.
+Query rows visit cells in the order of that bound: first the nearest cell, then, in a single round, all others that the
+k-th distance found does not rule out. Rows that have not found k yet visit eightfold as many cells before that. Cells
+are packed into slabs, cut where they are crowded: about ``SLABS`` at any size until a slab would not fit into a task. In
+a round a query row is sent once to each slab that holds a cell it visits, with a bit for each cell there, and the slab is
+sent once for each slice of its query rows; so what is shuffled grows with the rows, and not with the cells or rounds. A
+task sees one slice and one slab, goes through them tile by tile with the k-th distance found so far, and returns at most
+k rows per query row. Vectors travel in single precision where that is exact.
 
 Equal train vectors are reduced to their k smallest ids first: more copies can never be among the k nearest,
 so a group of copies of any size costs k rows.
@@ -31,11 +32,11 @@ from ratewise.operators.sampling import hash_sample
 from ratewise.sources.scratch import stage
 
 BLOCK_ROWS = 4096  # a slab's rows, if there are not more than SLABS times as many
-SLABS, SLAB_ROWS, SLAB_VALUES = 8, 1 << 17, 1 << 23  # above these rows, or components, there are more slabs
+SLABS, SLAB_ROWS, SLAB_VALUES = 5, 1 << 17, 1 << 23  # above these rows, or components, there are more slabs
 TILE, TILE_TRAIN = 1024, 2048  # query and train rows that are compared at once
 PIVOTS = 256
 CELL_ROWS = 256  # a pivot stands for at least so many train rows
-GROWTH = 8  # of the cells visited up to a round
+GROWTH = 8  # of the cells visited up to a round, by rows that have not found k yet
 LEAD = 8  # leading components that are stored beside a vector
 SPARSE = 0.25  # share of a block's pairs below which they are looked at one by one
 NO_GROUP = -1
@@ -68,6 +69,24 @@ def _ids(column: pd.Series, kind: str) -> np.ndarray:
     return column.to_numpy(dtype=np.int64) if kind == "long" else column.to_numpy(dtype=object)
 
 
+def _to_bytes(v: np.ndarray) -> list[bytes]:
+    """Each row's components, in single precision if that loses nothing."""
+    with np.errstate(over="ignore"):
+        single = v.astype("<f4")
+    short = (single == v).all(1)
+    return [a.tobytes() if s else b.tobytes() for a, b, s in zip(single, v.astype("<f8", copy=False), short)]
+
+
+def _from_bytes(column: pd.Series, width: int) -> np.ndarray:
+    rows = column.tolist()
+    short = np.fromiter(map(len, rows), np.int64, len(rows)) == 4 * width
+    out = np.empty((len(rows), width))
+    for kind, where in (("<f4", short), ("<f8", ~short)):
+        at = np.flatnonzero(where)
+        out[at] = np.frombuffer(b"".join([rows[i] for i in at]), kind).reshape(len(at), width)
+    return out
+
+
 @dataclass
 class _Axes:
     """Where vectors are seen from: the sample's mean and its leading principal axes."""
@@ -117,7 +136,7 @@ def _principal(sample: np.ndarray) -> _Axes:
 
 
 def _place(train: DataFrame, pivots: np.ndarray, axes: _Axes, kind: str, chunk: int = 256) -> DataFrame:
-    """Adds each row's cell, its distance to the pivot and its leading components."""
+    """Adds each row's cell, its distance to the pivot and its leading components; vectors become bytes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -126,9 +145,9 @@ def _place(train: DataFrame, pivots: np.ndarray, axes: _Axes, kind: str, chunk:
                 v = np.stack(part["v"].to_numpy())
                 d = _distances(v, pivots)
                 cell = d.argmin(1)
-                yield part.assign(cell=cell.astype("int32"), dist=d[np.arange(len(cell)), cell], lead=list(axes.lead(v)))
+                yield part.assign(v=_to_bytes(v), cell=cell.astype("int32"), dist=d[np.arange(len(cell)), cell], lead=list(axes.lead(v)))
 
-    return train.mapInPandas(run, f"id {kind}, v array<double>, y int, g int, cell int, dist double, lead array<double>")
+    return train.mapInPandas(run, f"id {kind}, v binary, y int, g int, cell int, dist double, lead array<double>")
 
 
 def _describe(placed: DataFrame, pivots: np.ndarray, axes: _Axes) -> _Cells:
@@ -190,28 +209,31 @@ def _pack(size: np.ndarray, rows: int) -> _Slabs:
     return _Slabs(pieces, units, [np.unique(c) for c in cells], rows)
 
 
-def _visited(part: pd.DataFrame, v: np.ndarray, cells: _Cells, start: int, stop: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, cell) of the visits of this round: the cells at places ``start`` to ``stop`` of the row's order that may
-    hold something within its bound. The order does not change with the bound, so no visit comes twice."""
+def _visited(part: pd.DataFrame, v: np.ndarray, cells: _Cells, start: int, stop: int) -> np.ndarray:
+    """Rows x cells: whether a row visits a cell in this round. These are the cells from place ``start`` of the row's order on that may hold
+    something within its bound; without a bound, up to place ``stop``. The order does not change with the bound, so no
+    visit comes twice."""
     low, d = _cell_bounds(v, cells)
-    order = np.lexsort((d, low), axis=1)[:, start:stop]
+    order = np.lexsort((d, low), axis=1)[:, start:]
     fits = np.take_along_axis(low, order, axis=1)
-    rows, places = np.nonzero(np.isfinite(fits) & (fits <= part["bound"].to_numpy(dtype=np.float64)[:, None] * (1 + 1e-9)))
-    return rows, order[rows, places]
+    bound = part["bound"].to_numpy(dtype=np.float64)[:, None]
+    goes = np.isfinite(fits) & (fits <= bound * (1 + 1e-9)) & (np.isfinite(bound) | (np.arange(start, len(cells.size)) < stop))
+    out = np.zeros(low.shape, bool)
+    np.put_along_axis(out, order, goes, axis=1)
+    return out
 
 
-def _visits(asked: DataFrame, cells: _Cells, start: int, stop: int, kind: str, chunk: int = 256) -> DataFrame:
-    """(id, cell): one row per visit of this round."""
+def _visits(asked: DataFrame, cells: _Cells, start: int, stop: int, chunk: int = 256) -> DataFrame:
+    """(cell): one row per visit of this round, equal ones together."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for first in range(0, len(batch), chunk):
                 part = batch.iloc[first : first + chunk]
-                rows, cell = _visited(part, np.stack(part["v"].to_numpy()), cells, start, stop)
-                if len(rows):
-                    yield part[["id"]].iloc[rows].assign(cell=cell.astype("int32"))
+                goes = _visited(part, np.stack(part["v"].to_numpy()), cells, start, stop)
+                yield pd.DataFrame({"cell": np.repeat(np.arange(goes.shape[1], dtype=np.int32), goes.sum(0))})
 
-    return asked.select("id", "v", "bound").mapInPandas(run, f"id {kind}, cell int")
+    return asked.select("v", "bound").mapInPandas(run, "cell int")
 
 
 def _route(asked: DataFrame, cells: _Cells, slabs: _Slabs, start: int, stop: int, kind: str, chunk: int = 256) -> DataFrame:
@@ -221,19 +243,16 @@ def _route(asked: DataFrame, cells: _Cells, slabs: _Slabs, start: int, stop: int
         for batch in batches:
             for first in range(0, len(batch), chunk):
                 part = batch.iloc[first : first + chunk]
-                rows, cell = _visited(part, np.stack(part["v"].to_numpy()), cells, start, stop)
-                goes = np.zeros((len(part), len(cells.size)), bool)
-                goes[rows, cell] = True
-                for slab in np.unique([s for c in np.unique(cell) for s in homes[c]]):
-                    here = goes[:, slabs.cells[slab]]
+                v = np.stack(part["v"].to_numpy())
+                goes = _visited(part, v, cells, start, stop)
+                part = part.assign(v=_to_bytes(v))
+                for slab, held in enumerate(slabs.cells):
+                    here = goes[:, held]
                     some = np.flatnonzero(here.any(1))
                     if len(some):
                         yield part.iloc[some].assign(slab=np.int32(slab), cells=[b.tobytes() for b in np.packbits(here[some], axis=1)])
 
-    homes: list[list[int]] = [[] for _ in cells.size]
-    for cell, _, slab in slabs.units:
-        homes[cell].append(slab)
-    return asked.mapInPandas(run, f"id {kind}, v array<double>, y int, g int, bound double, slab int, cells binary")
+    return asked.mapInPandas(run, f"id {kind}, v binary, y int, g int, bound double, slab int, cells binary")
 
 
 def closest_pairs(
@@ -326,9 +345,9 @@ def _visit(asked: DataFrame, visits: DataFrame, queries: int, placed: DataFrame,
     ways = F.broadcast(spark.createDataFrame(list(enumerate(slices)), "w_slab int, slices int"))
     piece = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     left = _route(asked, cells, slabs, start, stop, query_kind).join(ways, F.col("slab") == F.col("w_slab")).withColumn("slice", piece("slices")).drop("w_slab", "slices")
-    right = placed.drop("dist").join(units, (F.col("cell") == F.col("u_cell")) & (piece("u_pieces") == F.col("u_piece")))
+    right = placed.drop("dist", "lead").join(units, (F.col("cell") == F.col("u_cell")) & (piece("u_pieces") == F.col("u_piece")))
     right = right.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("u_cell", "u_piece", "u_pieces", "slices")
-    held, axes = slabs.cells, cells.axes
+    held, axes, width = slabs.cells, cells.axes, cells.pivots.shape[1]
 
     def compare(key: tuple, queries_part: pd.DataFrame, train_part: pd.DataFrame) -> pd.DataFrame:
         # An empty column of texts is not taken as a result; this row is left out below.
@@ -339,11 +358,11 @@ def _visit(asked: DataFrame, visits: DataFrame, queries: int, placed: DataFrame,
         here = held[key[0]]
         bits = np.frombuffer(b"".join(queries_part["cells"]), dtype=np.uint8).reshape(len(queries_part), -1)
         goes = np.unpackbits(bits, axis=1)[:, : len(here)].astype(bool)
-        ids, a = _ids(train_part["id"], kind), np.stack(queries_part["v"].to_numpy())
+        ids, a, b = _ids(train_part["id"], kind), _from_bytes(queries_part["v"], width), _from_bytes(train_part["v"], width)
         qg = queries_part["g"].to_numpy()
         rows, cols, dist = _nearest_in_slab(
             a,
-            np.stack(train_part["v"].to_numpy()),
+            b,
             ids,
             np.searchsorted(here, train_part["cell"].to_numpy()),
             goes,
@@ -352,7 +371,7 @@ def _visit(asked: DataFrame, visits: DataFrame, queries: int, placed: DataFrame,
             queries_part["bound"].to_numpy(),
             k,
             axes.lead(a),
-            np.stack(train_part["lead"].to_numpy()),
+            axes.lead(b),
         )
         if not len(rows):
             return nothing
@@ -407,17 +426,23 @@ def knn_neighbors(
     cells = _describe(placed, pivots, axes)
     most = min(SLAB_ROWS, max(BLOCK_ROWS, SLAB_VALUES // pivots.shape[1]))
     slabs = _pack(cells.size, block_rows or max(BLOCK_ROWS, min(-(-size // SLABS), most)))
-    queries = test.count()
-    asked, best = test.withColumn("bound", F.lit(math.inf)), None
+    asked, queries = test.withColumn("bound", F.lit(math.inf)), test.count()
+    best, bound = None, None
     start, stop = 0, 1
     while True:
-        visits = stage(_visits(asked, cells, start, stop, query_kind), "knn-visits")
+        visits = stage(_visits(asked, cells, start, stop), "knn-visits")
         found = _visit(asked, visits, queries, placed, cells, slabs, start, stop, k, kind, query_kind)
         best = stage(_closest(found if best is None else best.drop("rank").unionByName(found), k), "knn-best")
         if stop >= pivot_count:
             return best
-        kth = best.filter(F.col("rank") == k).select(F.col("id").alias("k_id"), F.col("distance").alias("kth"))
-        asked = test.join(kth, F.col("id") == F.col("k_id"), "left").select("id", "v", "y", "g", F.coalesce("kth", F.lit(math.inf)).alias("bound"))
+        rest = test
+        if bound is not None:  # rows that had one in this round have seen all cells within it
+            rest = test.join(bound, F.col("id") == F.col("k_id"), "left_anti")
+            queries = rest.count()
+            if not queries:
+                return best
+        bound = best.filter(F.col("rank") == k).select(F.col("id").alias("k_id"), F.col("distance").alias("kth"))
+        asked = rest.join(bound, F.col("id") == F.col("k_id"), "left").select("id", "v", "y", "g", F.coalesce("kth", F.lit(math.inf)).alias("bound"))
         start, stop = stop, stop * GROWTH
 
 

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -311,3 +312,23 @@ def test_a_query_row_is_sent_to_few_slabs_whatever_the_number_of_cells(spark, mo
         got.setdefault(r["id"] - 9000, []).append(r["neighbor"])
     assert got == brute(tv, None, list(range(2500)), qv, 5)
     assert sum(s.count() for s in sent) <= 3 * 60  # once a round, though there are 50 cells
+
+
+def test_even_vectors_are_sent_twice_and_in_single_precision_where_that_is_exact(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    v = rng.normal(0, 1, (2500, 12)).astype(np.float32).astype(np.float64)
+    df = spark.createDataFrame([(i, [float(x) for x in r], i % 2, i % 40) for i, r in enumerate(v)], "id long, v array<double>, y int, f int").repartition(3)
+    sent, keep = [], neighbors._route
+    monkeypatch.setattr(neighbors, "_route", lambda *a, **b: sent.append(keep(*a, **b)) or sent[-1])
+    asked = neighbors.points(df.filter("f = 0"), "id", "v", "y")
+    assert neighbors.knn_neighbors(neighbors.points(df, "id", "v", "y"), asked, 5, cell_rows=50).count() == 5 * asked.count()
+    rows = [r for s in sent for r in s.select("v").collect()]
+    assert len(rows) <= 2 * asked.count()  # the nearest cell, then all others, though there are 50 cells
+    assert {len(r["v"]) for r in rows} == {12 * 4}
+
+
+def test_vectors_as_bytes_lose_nothing():
+    v = np.array([[0.5, -0.0, 3.0], [0.1, 1e300, 2.0], [np.inf, 1e-320, np.nan]])
+    packed = neighbors._to_bytes(v)
+    assert [len(p) for p in packed] == [12, 24, 24]
+    assert neighbors._from_bytes(pd.Series(packed), 3).tobytes() == v.tobytes()
