@@ -28,6 +28,8 @@ from ratewise.llm.common import chunks, mixed, stage
 LEAST, LONGEST, TOP, CONTAINED = 30, 4, 2000, 80
 #: Bytes of text to a chunk, and n-gram occurrences to a hash partition on average.
 CHUNK, MASS = 4 << 20, 1 << 23
+#: Bits of a hash that tell n-grams apart in the first pass; in large corpora more, so that a partition's keys have 24.
+HASH_BITS = 36
 #: Parts that each language's ranking is cut into before the last one.
 PARTS = 256
 #: The bytes that end a piece.
@@ -62,8 +64,13 @@ def _unpacked(data: bytes, size: int) -> bytes:
     return pa.Codec("zstd").decompress(data, size, asbytes=True) if size else b""
 
 
+def key_bits(bits: int) -> int:
+    """Bits of a key within one of 2^bits hash partitions: a key costs as much however many partitions there are."""
+    return min(32, max(24, HASH_BITS - bits))
+
+
 def pack_sorted(keys: np.ndarray) -> bytes:
-    """Rising 32-bit keys: their steps, byte by byte, compressed."""
+    """Rising keys of up to 32 bits: their steps, byte by byte, compressed."""
     steps = np.diff(keys.astype(np.uint32), prepend=np.uint32(0)).astype("<u4")
     return _packed(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 4).T).tobytes())
 
@@ -187,14 +194,15 @@ def cut_into_chunks(docs: DataFrame, text_col: str, lang_col: str, most: int) ->
 
 def _summarise(longest: int, bits: int):
     """Each chunk's counts, dealt to the 2^bits hash partitions: part, chunk, n, mass, keys, counts."""
-    shift = 32 - bits
+    width = key_bits(bits)
+    shift, inside = 64 - bits - width, np.uint64((1 << width) - 1)
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {c: batch.column(c)[i].as_py() for c in ("chunk", "lang", "size", "text")}
                 keys, counts = Chunk(_unpacked(row["text"], row["size"]), row["lang"], longest).counted(shift)
-                part = (keys >> np.uint64(32)).astype(np.int64)
+                part, keys = (keys >> np.uint64(width)).astype(np.int64), keys & inside
                 edges = np.searchsorted(part, np.arange((1 << bits) + 1))
                 spans = [(p, a, b) for p, (a, b) in enumerate(zip(edges.tolist(), edges[1:].tolist())) if b > a]
                 yield pa.RecordBatch.from_arrays(
@@ -245,16 +253,17 @@ def _survivors(least: int):
 
 def _recount(longest: int, bits: int):
     """A chunk's exact counts of the n-grams with surviving hashes: part, lang, words, size, phrases, counts."""
-    shift = 32 - bits
+    width = key_bits(bits)
+    shift = 64 - bits - width
 
     def kernel(chunk: pa.Table, wanted: pa.Table) -> pa.Table:
         out: list[list] = [[], [], [], [], [], []]
         if chunk.num_rows and wanted.num_rows:
             lang = chunk.column("lang")[0].as_py()
-            prefixes = [np.uint64(p << 32) | unpack_sorted(k, n).astype(np.uint64) for p, n, k in sorted(zip(*(wanted.column(c).to_pylist() for c in ("part", "n", "keys"))))]
+            prefixes = [np.uint64(p << width) | unpack_sorted(k, n).astype(np.uint64) for p, n, k in sorted(zip(*(wanted.column(c).to_pylist() for c in ("part", "n", "keys"))))]
             grams = Chunk(_unpacked(chunk.column("text")[0].as_py(), chunk.column("size")[0].as_py()), lang, longest)
             for prefix, n, texts, counts in grams.phrases(np.concatenate(prefixes), shift):
-                part = (prefix >> np.uint64(32)).astype(np.int64)
+                part = (prefix >> np.uint64(width)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
                 edges = np.searchsorted(part[order], np.arange((1 << bits) + 1)).tolist()
                 for p, (a, b) in enumerate(zip(edges, edges[1:])):

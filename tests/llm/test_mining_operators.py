@@ -264,3 +264,8 @@ def test_registered_queries_return_the_agreed_columns(spark):
     assert dict(QUERIES["op11_phrase_collocations"](spark, sf).dtypes) == {c: "bigint" for c in ("rank", "a", "l", "r", "n", "score")} | {"lang": "string", "phrase": "string"}
     assert QUERIES["op12_quality"](spark, sf).dtypes == [("doc_id", "bigint"), ("held_out", "boolean"), ("score", "double"), ("predicted", "int")]
     assert dict(QUERIES["op13_hard_negatives"](spark, sf).dtypes) == {"anchor_id": "bigint", "positive_id": "bigint", "rank": "int", "negative_id": "bigint", "positive_score": "bigint", "negative_score": "bigint"}
+
+
+def test_a_key_has_no_more_bits_with_more_partitions():
+    assert [b + phrases.key_bits(b) for b in (4, 7, 12)] == [phrases.HASH_BITS] * 3
+    assert phrases.key_bits(0) == 32 and phrases.key_bits(20) == 24
